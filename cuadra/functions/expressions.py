@@ -45,7 +45,7 @@ def to_amount(c: ColumnOrName, precision: int = 23, scale: int = 2) -> Column:
 
 def period_of(ts: ColumnOrName) -> Column:
     """'yyyy-MM-01' of a date or timestamp."""
-    return F.date_format(_col(ts), "yyyy-MM-01")
+    return F.trunc(F.to_date(_col(ts)), "MM").cast("string")
 
 
 def period_literal(year: int, month: int) -> Column:
@@ -59,7 +59,7 @@ def period_str(year: int, month: int) -> str:
 
 def shift_period(period: ColumnOrName, months: int) -> Column:
     """Period ``months`` later (negative: earlier), as the stored string."""
-    return F.date_format(F.add_months(F.to_date(_col(period)), months), PERIOD_FORMAT)
+    return F.add_months(F.to_date(_col(period)), months).cast("string")
 
 
 def shift_period_str(period: str, months: int) -> str:

@@ -22,13 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuadra.functions.expressions import decimal_comma, scale_millions, shift_period, to_amount
+from cuadra.functions.expressions import (decimal_comma, scale_millions, shift_period,
+                                          shift_period_str, to_amount)
 from cuadra.operators.joins import join_dimension, semi_join
 from cuadra.specs import Measure
 
 PERIOD = "periodo_mes"
-ACT = "act"
-ANT = "ant"
 
 
 # ---------------------------------------------------------------- unify (D6)
@@ -74,16 +73,23 @@ def unify_sources(branches: Sequence[DataFrame]) -> DataFrame:
 
 # ------------------------------------------------- current vs previous (D1)
 
+CUR = "_is_current"
+VAL = "_value"
+
+
 def current_previous_rows(df: DataFrame, value: str, keys: Sequence[str],
                           period: str = PERIOD) -> DataFrame:
-    """Each row twice: (its period, act=value, ant=0) and
-    (next period, act=0, ant=value).  No aggregation yet."""
-    vtype = df.schema[value].dataType.simpleString()
-    zero = F.lit(0).cast(vtype)
+    """Each row twice: (its period, value, current) and
+    (next period, value, previous).  No aggregation yet.
+
+    Conditional sums over these rows use ``CASE WHEN ... THEN v END`` (null
+    elsewhere, skipped by ``sum``) and one ``coalesce(.., 0)`` at the end,
+    which equals the reference's ``CASE ... ELSE 0`` sums while each row
+    touches only the one or two measures it belongs to."""
     v = F.col(value)
     pairs = F.array(
-        F.struct(F.col(period).alias(period), v.alias(ACT), zero.alias(ANT)),
-        F.struct(shift_period(period, 1).alias(period), zero.alias(ACT), v.alias(ANT)),
+        F.struct(F.col(period).alias(period), v.alias(VAL), F.lit(True).alias(CUR)),
+        F.struct(shift_period(period, 1).alias(period), v.alias(VAL), F.lit(False).alias(CUR)),
     )
     return df.select(*keys, F.inline(pairs))
 
@@ -103,10 +109,13 @@ def _restrict_periods(out: DataFrame, source: DataFrame, period_col: str,
 def _scope_input(df: DataFrame, period_col: str, period: str | None) -> DataFrame:
     if period is None:
         return df
-    from cuadra.functions.expressions import shift_period_str
     return df.where(F.col(period_col).isin(period, shift_period_str(period, -1)))
 
 
+def _zero_if_null(c: Column) -> Column:
+    return F.coalesce(c, F.lit(0))
+
+
 def month_compare(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
                   period: str | None = None, period_col: str = PERIOD,
                   act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant") -> DataFrame:
@@ -118,32 +127,40 @@ def month_compare(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
     """
     src = _scope_input(df, period_col, period)
     rows = current_previous_rows(src.select(period_col, *keys, value), value, keys, period_col)
-    out = rows.groupBy(period_col, *keys).agg(F.sum(ACT).alias(act), F.sum(ANT).alias(ant))
+    cur, v = F.col(CUR), F.col(VAL)
+    out = rows.groupBy(period_col, *keys).agg(
+        _zero_if_null(F.sum(F.when(cur, v))).alias(act),
+        _zero_if_null(F.sum(F.when(~cur, v))).alias(ant))
     return _restrict_periods(out, src, period_col, period)
 
 
 # ------------------------------------------------------ concept pivot (D2)
 
+def _not_january(period_col: str) -> Column:
+    return F.substring(F.col(period_col), 6, 2) != F.lit("01")
+
+
 def measure_expr(m: Measure, period_col: str = PERIOD, concept_col: str = "concept") -> Column:
-    act, ant = F.col(ACT), F.col(ANT)
+    """Conditional sum of one measure over current/previous rows."""
+    cur, v = F.col(CUR), F.col(VAL)
+    of_concept = F.col(concept_col) == F.lit(m.concept)
+    signed = F.when(cur, v).otherwise(-v)           # act - ant, row by row
     if m.formula == "act":
-        f = act
+        term = F.when(of_concept & cur, v)
     elif m.formula == "act-ant":
-        f = act - ant
-    elif m.formula == "ytd":
-        f = F.when(F.month(F.to_date(period_col)) > 1, act - ant).otherwise(act)
+        term = F.when(of_concept, signed)
+    elif m.formula == "ytd":                        # January: act only
+        term = F.when(of_concept & (cur | _not_january(period_col)), signed)
     else:
         raise ValueError(f"unknown formula {m.formula!r}")
-    return F.sum(F.when(F.col(concept_col) == F.lit(m.concept), f).otherwise(F.lit(0))).alias(m.name)
+    return _zero_if_null(F.sum(term)).alias(m.name)
 
 
 def concept_pivot(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
                   concept_col: str = "concept", period_col: str = PERIOD) -> DataFrame:
-    """One conditional sum per measure, grouped by ``keys``.
-
-    ``rows`` carries ``act``/``ant`` columns, aggregated or not (sums are
-    linear).  Concepts without a measure still produce their group with
-    zeros, as a SQL ``CASE ... ELSE 0`` pivot does."""
+    """One conditional sum per measure, grouped by ``keys``, over the rows of
+    ``current_previous_rows``.  Groups whose concept has no measure still
+    appear with zeros, as a SQL ``CASE ... ELSE 0`` pivot gives."""
     return rows.groupBy(*keys).agg(*[measure_expr(m, period_col, concept_col) for m in measures])
 
 
@@ -183,9 +200,9 @@ def ytd_to_month(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
     """
     src = _scope_input(df, period_col, period)
     rows = current_previous_rows(src.select(period_col, *keys, value), value, keys, period_col)
-    ytd = Measure(out, "_", "ytd")
-    res = (rows.withColumn("concept", F.lit("_"))
-           .groupBy(period_col, *keys).agg(measure_expr(ytd, period_col)))
+    cur, v = F.col(CUR), F.col(VAL)
+    term = F.when(cur, v).when(_not_january(period_col), -v)
+    res = rows.groupBy(period_col, *keys).agg(_zero_if_null(F.sum(term)).alias(out))
     return _restrict_periods(res, src, period_col, period)
 
 

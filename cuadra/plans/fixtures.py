@@ -34,7 +34,21 @@ COMPONENT_SOURCES = (("clp", "l_extendedprice"), ("ipc", "l_quantity"),
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when a scan yields fewer splits than cores.
+
+    A single-row-group file is read by one task; everything up to the first
+    shuffle would run there.  At cluster scale the scan has thousands of
+    splits and this is a no-op (no extra shuffle of the fact).  Hash on the
+    first column: deterministic on task retry without the local sort a
+    round-robin repartition needs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, df.columns[0])
 
 
 def institutions(supplier: DataFrame) -> DataFrame:
