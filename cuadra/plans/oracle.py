@@ -127,11 +127,260 @@ SELECT periodo_mes, ins_id, planCuenta_id,
 FROM c"""
 
 
+# ----------------------------------------------------------- data quality
+
+def _q(v):
+    return "CAST(NULL AS VARCHAR)" if v is None else "'" + v + "'"
+
+
+def _passed_sql(tol_rows=None, tol_share=None) -> str:
+    if tol_rows is None and tol_share is None:
+        return "n_bad = 0"
+    fail = []
+    if tol_rows is not None:
+        fail.append(f"n_bad > {tol_rows}")
+    if tol_share is not None:
+        fail.append(f"(CASE WHEN n_rows > 0 THEN n_bad / n_rows ELSE 0.0 END) > {tol_share}")
+    return "NOT (" + " OR ".join(fail) + ")"
+
+
+def rules_sql(source: str, rules: list[tuple]) -> str:
+    """rules: (rule_id, rule_type, column, error_code, external_code, severity,
+    bad_predicate, tol_rows, tol_share) evaluated over ``source``."""
+    parts = []
+    for rid, rtype, col, code, ext, sev, bad, tr, ts in rules:
+        parts.append(f"""SELECT {_q(rid)} AS rule_id, {_q(rtype)} AS rule_type, {_q(col)} AS column_name,
+       CAST({code} AS INTEGER) AS error_code, {_q(ext)} AS external_code, {_q(sev)} AS severity,
+       n_rows, n_bad, {_passed_sql(tr, ts)} AS passed
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE coalesce({bad}, false)) AS n_bad FROM ({source}))""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def column_rules_sql(spec, types=None) -> list[tuple]:
+    out = []
+    for c in spec.columns:
+        n = c.name
+        cand = []
+        if not c.nullable:
+            cand.append((f"{n}:not_null", "not_null", None, f"{n} IS NULL"))
+        if c.min_len is not None:
+            cand.append((f"{n}:min_len", "min_len", c.min_len_code, f"length({n}) < {c.min_len}"))
+        if c.max_len is not None:
+            cand.append((f"{n}:max_len", "max_len", c.max_len_code, f"length({n}) > {c.max_len}"))
+        if c.min_value is not None:
+            cand.append((f"{n}:min_value", "min_value", None, f"{n} < {c.min_value}"))
+        if c.max_value is not None:
+            cand.append((f"{n}:max_value", "max_value", None, f"{n} > {c.max_value}"))
+        if c.min_datetime is not None:
+            cand.append((f"{n}:min_datetime", "min_datetime", None, f"{n} < TIMESTAMP '{c.min_datetime}'"))
+        if c.max_datetime is not None:
+            cand.append((f"{n}:max_datetime", "max_datetime", None, f"{n} > TIMESTAMP '{c.max_datetime}'"))
+        if c.regex is not None:
+            cand.append((f"{n}:regex", "regex", None, f"NOT regexp_matches({n}, '{c.regex}')"))
+        for rid, rtype, ext, bad in cand:
+            if types is None or rtype in types:
+                out.append((rid, rtype, n, 0, ext, "ERROR", bad, None, None))
+    return out
+
+
+def sql_rule(r) -> tuple:
+    return (r.rule_id, "row_sql", r.column, r.error_code, r.external_code, r.severity.value,
+            f"NOT coalesce({r.expr}, false)", r.tolerance_rows, r.tolerance_share)
+
+
+def governed_accounts_sql() -> str:
+    return (f"SELECT planCuenta_id, planCuenta_Nombre, "
+            f"CASE WHEN planCuenta_Concepto IS NOT NULL THEN negocio_id END AS negocio_id, "
+            f"CASE WHEN planCuenta_Concepto IS NOT NULL THEN producto_id END AS producto_id, "
+            f"planCuenta_Concepto FROM ({accounts_sql()})")
+
+
+def _reg():
+    from cuadra.plans import registry as R
+    from cuadra.plans import tables as TB
+    return R, TB
+
+
+def pk_violations_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()})
+SELECT periodo_mes, ins_id, planCuenta_id, count(*) AS n_rows FROM fact
+GROUP BY periodo_mes, ins_id, planCuenta_id HAVING count(*) > 1"""
+
+
+def not_null_sql() -> str:
+    _, TB = _reg()
+    parts = [f"SELECT '{c.name}' AS column_name, {str(c.nullable).lower()} AS nullable, count(*) AS n_rows, "
+             f"count(*) FILTER (WHERE {c.name} IS NULL) AS n_null FROM acct" for c in TB.ACCOUNT.columns]
+    return (f"WITH acct AS ({governed_accounts_sql()}), r AS ({' UNION ALL '.join(parts)}) "
+            "SELECT column_name, nullable, n_rows, n_null, nullable OR n_null = 0 AS passed FROM r")
+
+
+def len_rule_sql() -> str:
+    _, TB = _reg()
+    a = rules_sql(governed_accounts_sql(), column_rules_sql(TB.ACCOUNT, {"min_len", "max_len"}))
+    i = rules_sql(institutions_sql(), column_rules_sql(TB.INSTITUTION, {"min_len", "max_len"}))
+    return f"SELECT 'account' AS table_name, * FROM ({a}) UNION ALL SELECT 'institution' AS table_name, * FROM ({i})"
+
+
+def row_rule_sql() -> str:
+    _, TB = _reg()
+    return rules_sql(governed_accounts_sql(), [sql_rule(r) for r in TB.ACCOUNT.rules])
+
+
+def tolerance_sql() -> str:
+    R, _ = _reg()
+    return rules_sql(governed_accounts_sql(), [sql_rule(R.TOLERANT_RULE)])
+
+
+def range_rules_sql() -> str:
+    from cuadra.specs import TableKind, TableSpec
+    R, _ = _reg()
+    spec = TableSpec("orders", TableKind.REFERENCE, R.ORDER_RANGES)
+    rules = [r for r in column_rules_sql(spec) if r[1] != "not_null"]
+    return rules_sql("SELECT * FROM orders", rules)
+
+
+def regex_rule_sql() -> str:
+    from cuadra.specs import TableKind, TableSpec
+    R, _ = _reg()
+    spec = TableSpec("customer", TableKind.REFERENCE, R.CUSTOMER_PATTERNS)
+    return rules_sql("SELECT * FROM customer", column_rules_sql(spec, {"regex"}))
+
+
+def unique_rule_sql() -> str:
+    return """SELECT 'p_name:unique' AS rule_id, 'unique' AS rule_type, 'p_name' AS column_name,
+       CAST(0 AS INTEGER) AS error_code, 'COD_ERROR' AS external_code, 'ERROR' AS severity,
+       n_rows, n_bad, n_bad = 0 AS passed
+FROM (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
+             CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS n_bad
+      FROM (SELECT p_name, count(*) AS n FROM part WHERE p_name IS NOT NULL GROUP BY p_name))"""
+
+
+def one_value_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()})
+SELECT 'periodo_mes' AS column_name, count(DISTINCT periodo_mes) AS n_distinct,
+       count(DISTINCT periodo_mes) = 1 AS passed FROM fact
+UNION ALL
+SELECT 'ins_id', count(DISTINCT ins_id), count(DISTINCT ins_id) = 1 FROM fact"""
+
+
+def row_count_interval_sql() -> str:
+    R, _ = _reg()
+    whens = " ".join(f"WHEN eerr_origen = '{o}' THEN n_rows BETWEEN {lo} AND {hi}"
+                     for o, (lo, hi) in R.FILE_ROWS.items())
+    return f"""WITH fact AS ({fact_sql()})
+SELECT periodo_mes, ins_id, eerr_origen, n_rows, CASE {whens} ELSE false END AS passed
+FROM (SELECT periodo_mes, ins_id, eerr_origen, count(*) AS n_rows FROM fact GROUP BY ALL)"""
+
+
+def _agg_rules_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()}), eerr AS ({compare_sql(['ins_id', 'planCuenta_id'])}),
+per AS (SELECT periodo_mes, sum(act) > 0 AS r1, sum(ant) > 0 AS r2 FROM eerr GROUP BY periodo_mes),
+res AS (
+SELECT periodo_mes, 'sum_act' AS rule_id, CAST(1 AS INTEGER) AS error_code, 'ERROR' AS severity,
+       CAST(0 AS INTEGER) AS rule_order, coalesce(r1, false) AS passed FROM per
+UNION ALL
+SELECT periodo_mes, 'sum_ant', CAST(2 AS INTEGER), 'ERROR', CAST(1 AS INTEGER), coalesce(r2, false) FROM per)"""
+
+
+def agg_rule_sql() -> str:
+    return _agg_rules_sql() + "\nSELECT * FROM res"
+
+
+def dq_summary_sql() -> str:
+    return _agg_rules_sql() + """
+SELECT periodo_mes, count(*) AS n_rules, count(*) FILTER (WHERE NOT passed) AS n_failed,
+       arg_min(CASE WHEN NOT passed AND severity = 'ERROR' THEN error_code END,
+               CASE WHEN NOT passed AND severity = 'ERROR' THEN rule_order END) AS error_code
+FROM res GROUP BY periodo_mes"""
+
+
+def dq_details_sql() -> str:
+    _, TB = _reg()
+    checks = column_rules_sql(TB.ACCOUNT) + [sql_rule(r) for r in TB.ACCOUNT.rules]
+    parts = [f"SELECT '{r[0]}' AS rule_id, planCuenta_id FROM acct WHERE coalesce({r[6]}, false)" for r in checks]
+    parts.append("SELECT 'pk' AS rule_id, planCuenta_id FROM acct WHERE planCuenta_id IN "
+                 "(SELECT planCuenta_id FROM acct GROUP BY planCuenta_id HAVING count(*) > 1)")
+    parts.append("SELECT 'fk:negocio_id->negocio', planCuenta_id FROM acct WHERE negocio_id IS NOT NULL "
+                 "AND negocio_id NOT IN (SELECT p_type FROM part WHERE p_type <> 'PROMO')")
+    parts.append("SELECT 'fk:producto_id->producto', planCuenta_id FROM acct WHERE producto_id IS NOT NULL "
+                 "AND producto_id NOT IN (SELECT p_brand FROM part)")
+    return f"WITH acct AS ({governed_accounts_sql()})\n" + "\nUNION ALL\n".join(parts)
+
+
+def fk_single_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()})
+SELECT ins_id, count(*) AS n_rows FROM fact
+WHERE ins_id NOT IN (SELECT {code_sql('s_suppkey', 3)} FROM supplier WHERE s_acctbal >= 0)
+GROUP BY ins_id"""
+
+
+def fk_composite_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()}),
+reg AS (SELECT DISTINCT {period_sql('o.o_orderdate')} AS periodo_mes, {code_sql('l.l_suppkey', 3)} AS ins_id
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT f.ins_id, f.periodo_mes, count(*) AS n_rows FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM reg r WHERE r.ins_id = f.ins_id AND r.periodo_mes = f.periodo_mes)
+GROUP BY f.ins_id, f.periodo_mes"""
+
+
+def fk_nullable_sql() -> str:
+    return f"""WITH acct AS ({governed_accounts_sql()})
+SELECT 'fk:negocio_id->negocio' AS rule_id, 'fk' AS rule_type, 'negocio_id' AS column_name,
+       CAST(0 AS INTEGER) AS error_code, 'ERROR_FK_NEGOCIO' AS external_code, 'WARNING_EXCLUDE' AS severity,
+       count(*) AS n_rows,
+       count(*) FILTER (WHERE negocio_id IS NOT NULL AND negocio_id NOT IN
+                        (SELECT p_type FROM part WHERE p_type <> 'PROMO')) AS n_bad,
+       n_bad = 0 AS passed
+FROM acct
+UNION ALL
+SELECT 'fk:producto_id->producto', 'fk', 'producto_id', CAST(0 AS INTEGER), 'ERROR_FK_PRODUCTO', 'ERROR',
+       count(*), count(*) FILTER (WHERE producto_id IS NOT NULL AND producto_id NOT IN (SELECT p_brand FROM part)),
+       count(*) FILTER (WHERE producto_id IS NOT NULL AND producto_id NOT IN (SELECT p_brand FROM part)) = 0
+FROM acct"""
+
+
+def warning_exclude_sql() -> str:
+    return f"""WITH acct AS ({governed_accounts_sql()})
+SELECT * FROM acct
+WHERE negocio_id IS NULL OR negocio_id IN (SELECT p_type FROM part WHERE p_type <> 'PROMO')"""
+
+
+def new_record_cap_sql() -> str:
+    return f"""WITH acct AS ({governed_accounts_sql()}),
+seen AS (SELECT DISTINCT {code_sql('l_partkey', 7)} AS planCuenta_id FROM lineitem
+         WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+b AS (SELECT DISTINCT planCuenta_id FROM acct),
+c AS (SELECT count(*) AS n_rows,
+             count(*) FILTER (WHERE planCuenta_id NOT IN (SELECT planCuenta_id FROM seen)) AS n_bad FROM b)
+SELECT 'max_new_records' AS rule_id, 'max_new_records' AS rule_type, 'planCuenta_id' AS column_name,
+       CAST(0 AS INTEGER) AS error_code, CAST(NULL AS VARCHAR) AS external_code, 'ERROR' AS severity,
+       n_rows, n_bad, {_passed_sql(None, 0.2)} AS passed FROM c"""
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
     "month_compare": month_compare_sql,
     "ytd_to_month": ytd_to_month_sql,
+    "pk_violations": pk_violations_sql,
+    "not_null": not_null_sql,
+    "len_rule": len_rule_sql,
+    "row_rule": row_rule_sql,
+    "tolerance": tolerance_sql,
+    "range_rules": range_rules_sql,
+    "regex_rule": regex_rule_sql,
+    "unique_rule": unique_rule_sql,
+    "one_value": one_value_sql,
+    "row_count_interval": row_count_interval_sql,
+    "agg_rule": agg_rule_sql,
+    "dq_summary": dq_summary_sql,
+    "dq_details": dq_details_sql,
+    "fk_single": fk_single_sql,
+    "fk_composite": fk_composite_sql,
+    "fk_nullable": fk_nullable_sql,
+    "warning_exclude": warning_exclude_sql,
+    "new_record_cap": new_record_cap_sql,
 }
 
 

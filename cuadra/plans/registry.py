@@ -46,3 +46,171 @@ QUERIES: dict[str, Query] = {
     "month_compare": q_month_compare,
     "ytd_to_month": q_ytd_to_month,
 }
+
+
+# ----------------------------------------------------------- data quality
+
+from cuadra.operators import quality as Q  # noqa: E402
+from cuadra.plans import tables as TB  # noqa: E402
+from cuadra.specs import ColumnSpec, ForeignKey, Rule, Severity  # noqa: E402
+
+# Test parameters (ours, not reference values): bounds that cut through the
+# fixture distributions so that both outcomes occur.
+ORDER_RANGES = (
+    ColumnSpec("o_totalprice", "double", min_value="0", max_value="450000"),
+    ColumnSpec("o_orderdate", "timestamp_ntz", min_datetime="1995-01-01 00:00:00",
+               max_datetime="2000-12-31 23:59:59"),
+)
+CUSTOMER_PATTERNS = (
+    ColumnSpec("c_name", regex="^Customer#[0-9]{9}$"),
+    ColumnSpec("c_mktsegment", regex="^(AUTOMOBILE|BUILDING|FURNITURE)$"),
+)
+TOLERANT_RULE = Rule("DQ_CuentaCorta_tol", "length(planCuenta_Nombre) <= 10", severity=Severity.WARNING,
+                     error_code=1, column="planCuenta_Nombre", tolerance_rows=10, tolerance_share=0.2)
+# Rows per statement file by origin, and the aggregate rules of
+# the indicators job (code 1: current month empty, code 2: previous month empty).
+FILE_ROWS = {"B1": (10, 1000), "R1": (10, 1000), "C1": (10, 1000), "C2": (1, 1000)}
+COMPARE_RULES = (
+    Rule("sum_act", "sum(eerr_Monto_Act) > 0", level="aggregate", error_code=1),
+    Rule("sum_ant", "sum(eerr_Monto_Ant) > 0", level="aggregate", error_code=2),
+)
+
+
+def _t(spark, sf, name):
+    return X.table(spark, sf, name)
+
+
+def _fact(spark, sf):
+    return X.statement_fact(_t(spark, sf, "lineitem"))
+
+
+def _accounts(spark, sf):
+    return TB.governed_accounts(_t(spark, sf, "part"))
+
+
+def _account_refs(spark, sf):
+    part = _t(spark, sf, "part")
+    return {"negocio": TB.business_lines(part), "producto": TB.products(part)}
+
+
+def _labelled(df: DataFrame, table: str) -> DataFrame:
+    return df.select(F.lit(table).alias("table_name"), *df.columns)
+
+
+def q_pk_violations(spark, sf):
+    return Q.duplicate_keys(_fact(spark, sf).select(*TB.STATEMENT.pk), TB.STATEMENT.pk)
+
+
+def q_not_null(spark, sf):
+    return Q.null_report(_accounts(spark, sf), TB.ACCOUNT)
+
+
+def q_len_rule(spark, sf):
+    parts = []
+    for name, df, spec in (("account", _accounts(spark, sf), TB.ACCOUNT),
+                           ("institution", X.institutions(_t(spark, sf, "supplier")), TB.INSTITUTION)):
+        checks = [c for col in spec.columns for c in Q.column_checks(col) if c.rule_type in ("min_len", "max_len")]
+        parts.append(_labelled(Q.evaluate_row_checks(df, checks), name))
+    return parts[0].unionByName(parts[1])
+
+
+def q_row_rule(spark, sf):
+    return Q.evaluate_row_checks(_accounts(spark, sf), [Q.sql_check(r) for r in TB.ACCOUNT.rules])
+
+
+def q_tolerance(spark, sf):
+    return Q.evaluate_row_checks(_accounts(spark, sf), [Q.sql_check(TOLERANT_RULE)])
+
+
+def q_range_rules(spark, sf):
+    checks = [c for col in ORDER_RANGES for c in Q.column_checks(col) if c.rule_type != "not_null"]
+    return Q.evaluate_row_checks(_t(spark, sf, "orders"), checks)
+
+
+def q_regex_rule(spark, sf):
+    checks = [c for col in CUSTOMER_PATTERNS for c in Q.column_checks(col) if c.rule_type == "regex"]
+    return Q.evaluate_row_checks(_t(spark, sf, "customer"), checks)
+
+
+def q_unique_rule(spark, sf):
+    return Q.pk_check(_t(spark, sf, "part"), ["p_name"], rule_id="p_name:unique", rule_type="unique",
+                      ignore_nulls=True, external_code="COD_ERROR")
+
+
+def q_one_value(spark, sf):
+    return Q.one_value(_fact(spark, sf), list(TB.STATEMENT.one_value_partitions))
+
+
+def q_row_count_interval(spark, sf):
+    counted = Q.row_count_interval(_fact(spark, sf), None, None, by=["periodo_mes", "ins_id", "eerr_origen"])
+    ok = None
+    for origin, (lo, hi) in FILE_ROWS.items():
+        cond = F.col("n_rows").between(lo, hi)
+        ok = F.when(F.col("eerr_origen") == origin, cond) if ok is None else ok.when(F.col("eerr_origen") == origin, cond)
+    return counted.withColumn("passed", ok.otherwise(F.lit(False)))
+
+
+def _compare(spark, sf):
+    return A.month_compare(_fact(spark, sf), ["ins_id", "planCuenta_id"])
+
+
+def q_agg_rule(spark, sf):
+    return Q.aggregate_rules(_compare(spark, sf), COMPARE_RULES, by=["periodo_mes"])
+
+
+def q_dq_summary(spark, sf):
+    return Q.first_error(Q.aggregate_rules(_compare(spark, sf), COMPARE_RULES, by=["periodo_mes"]),
+                         by=["periodo_mes"])
+
+
+def q_dq_details(spark, sf):
+    res = Q.check(_accounts(spark, sf), TB.ACCOUNT, _account_refs(spark, sf), detail_cols=["planCuenta_id"])
+    return res.details
+
+
+def q_fk_single(spark, sf):
+    fk = ForeignKey("institution", (("ins_id", "ins_id"),))
+    return Q.fk_violation_keys(_fact(spark, sf), TB.registered_institutions(_t(spark, sf, "supplier")), fk)
+
+
+def q_fk_composite(spark, sf):
+    fk = TB.STATEMENT.foreign_keys[0]
+    reg = TB.institution_month(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "supplier"))
+    return Q.fk_violation_keys(_fact(spark, sf), reg, fk)
+
+
+def q_fk_nullable(spark, sf):
+    acct, refs = _accounts(spark, sf), _account_refs(spark, sf)
+    a, b = [Q.fk_check(acct, refs[fk.ref], fk) for fk in TB.ACCOUNT.foreign_keys]
+    return a.unionByName(b)
+
+
+def q_warning_exclude(spark, sf):
+    return Q.exclude_warnings(_accounts(spark, sf), TB.ACCOUNT, _account_refs(spark, sf))
+
+
+def q_new_record_cap(spark, sf):
+    current = TB.accounts_seen_before(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), "1998-01-01")
+    return Q.new_record_check(_accounts(spark, sf), current, ["planCuenta_id"], None, 0.2)
+
+
+QUERIES.update({
+    "pk_violations": q_pk_violations,
+    "not_null": q_not_null,
+    "len_rule": q_len_rule,
+    "row_rule": q_row_rule,
+    "tolerance": q_tolerance,
+    "range_rules": q_range_rules,
+    "regex_rule": q_regex_rule,
+    "unique_rule": q_unique_rule,
+    "one_value": q_one_value,
+    "row_count_interval": q_row_count_interval,
+    "agg_rule": q_agg_rule,
+    "dq_summary": q_dq_summary,
+    "dq_details": q_dq_details,
+    "fk_single": q_fk_single,
+    "fk_composite": q_fk_composite,
+    "fk_nullable": q_fk_nullable,
+    "warning_exclude": q_warning_exclude,
+    "new_record_cap": q_new_record_cap,
+})

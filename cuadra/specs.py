@@ -57,8 +57,8 @@ class ColumnSpec:
     unique: bool = False
     min_len: int | None = None
     max_len: int | None = None
-    min_len_code: int | None = None
-    max_len_code: int | None = None
+    min_len_code: str | None = None    # external code reported by the length rules
+    max_len_code: str | None = None
     min_value: str | None = None       # SQL literal, inclusive
     max_value: str | None = None
     min_datetime: str | None = None
