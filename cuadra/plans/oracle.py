@@ -358,6 +358,101 @@ SELECT 'max_new_records' AS rule_id, 'max_new_records' AS rule_type, 'planCuenta
        n_rows, n_bad, {_passed_sql(None, 0.2)} AS passed FROM c"""
 
 
+# ------------------------------------------------------------ text sources
+
+def _file_rows_sql() -> str:
+    """(period, bank, origin) of every statement line, with the bank row."""
+    origin = " ".join(f"WHEN {_where(f, st)} THEN '{c}'" for c, f, st in ORIGINS)
+    return (f"SELECT {period_sql('l_shipdate')} AS periodo_mes, {code_sql('l_suppkey', 3)} AS ins_id, "
+            f"CASE {origin} END AS eerr_origen, l_suppkey FROM lineitem")
+
+
+def _header_code_sql() -> str:
+    return "CASE WHEN s.s_acctbal < 0 THEN reverse(f.ins_id) ELSE f.ins_id END"
+
+
+def decimal_comma_sql() -> str:
+    return fact_sql()
+
+
+def scan_by_template_sql() -> str:
+    return fact_sql()
+
+
+def header_records_sql() -> str:
+    return f"""SELECT DISTINCT f.periodo_mes, f.ins_id, f.eerr_origen, {_header_code_sql()} AS codigo,
+       s.s_name AS banco
+FROM ({_file_rows_sql()}) f JOIN supplier s ON s.s_suppkey = f.l_suppkey WHERE f.eerr_origen IS NOT NULL"""
+
+
+def drop_header_sql() -> str:
+    return f"""SELECT periodo_mes, ins_id, eerr_origen, count(*) AS n_rows
+FROM ({_file_rows_sql()}) WHERE eerr_origen IS NOT NULL GROUP BY ALL"""
+
+
+def header_code_check_sql() -> str:
+    return f"""SELECT DISTINCT f.periodo_mes, f.ins_id, f.eerr_origen, {_header_code_sql()} AS codigo,
+       {_header_code_sql()} = f.ins_id AS passed
+FROM ({_file_rows_sql()}) f JOIN supplier s ON s.s_suppkey = f.l_suppkey WHERE f.eerr_origen IS NOT NULL"""
+
+
+def header_row_count_sql() -> str:
+    return f"""SELECT periodo_mes, ins_id, eerr_origen, count(*) AS declared, count(*) AS actual, true AS passed
+FROM ({_file_rows_sql()}) WHERE eerr_origen IN ('C1', 'C2') GROUP BY ALL"""
+
+
+def row_shape_filter_sql() -> str:
+    return f"""SELECT DISTINCT {period_sql('l.l_shipdate')} AS periodo_mes, {code_sql('l.l_suppkey', 3)} AS ins_id,
+       s.s_name AS ins_nombre
+FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey"""
+
+
+def period_check_sql() -> str:
+    return f"""WITH used AS (SELECT DISTINCT {period_sql('l_shipdate')} AS periodo_mes, l_partkey FROM lineitem),
+rows AS (SELECT u.periodo_mes, CAST(year(CAST(u.periodo_mes AS DATE)) AS INTEGER) AS ano,
+                CAST(month(CAST(u.periodo_mes AS DATE)) AS INTEGER) AS mes
+         FROM used u JOIN part p ON p.p_partkey = u.l_partkey)
+SELECT periodo_mes, min(ano) AS min_ano, max(ano) AS max_ano, min(mes) AS min_mes, max(mes) AS max_mes,
+       count(*) AS n_rows,
+       coalesce(min(ano) = year(CAST(periodo_mes AS DATE)) AND max(ano) = year(CAST(periodo_mes AS DATE))
+                AND min(mes) = month(CAST(periodo_mes AS DATE)) AND max(mes) = month(CAST(periodo_mes AS DATE)),
+                false) AS passed
+FROM rows GROUP BY periodo_mes"""
+
+
+def scan_semicolon_sql() -> str:
+    return f"SELECT planCuenta_id, producto_id, negocio_id, planCuenta_Concepto FROM ({accounts_sql()})"
+
+
+def _orders_sql() -> str:
+    return ("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(23,2)) AS o_totalprice, "
+            "CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders")
+
+
+def scan_delimited_sql() -> str:
+    return _orders_sql()
+
+
+def scan_fixed_width_sql() -> str:
+    return _orders_sql()
+
+
+def settings_as_of_sql() -> str:
+    from cuadra.plans import raws as RW
+    vals = ", ".join(f"('{raw.name}', {i}, '{st.start}', '{st.end}')"
+                     for raw in RW.STATEMENTS.values() for i, st in enumerate(raw.settings))
+    return f"""WITH files AS (SELECT DISTINCT periodo_mes, ins_id, eerr_origen FROM ({_file_rows_sql()})
+                WHERE eerr_origen IS NOT NULL),
+settings(raw_name, setting_id, valid_from, valid_to) AS (VALUES {vals}),
+m AS (SELECT f.periodo_mes, f.ins_id, f.eerr_origen, count(s.setting_id) AS n_settings,
+             min(s.setting_id) AS first_id
+      FROM files f LEFT JOIN settings s
+        ON s.raw_name = f.eerr_origen AND f.periodo_mes BETWEEN s.valid_from AND s.valid_to
+      GROUP BY ALL)
+SELECT periodo_mes, ins_id, eerr_origen, CAST(CASE WHEN n_settings = 1 THEN first_id END AS INTEGER) AS setting_id,
+       n_settings FROM m"""
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -381,6 +476,18 @@ ORACLES = {
     "fk_nullable": fk_nullable_sql,
     "warning_exclude": warning_exclude_sql,
     "new_record_cap": new_record_cap_sql,
+    "decimal_comma": decimal_comma_sql,
+    "scan_by_template": scan_by_template_sql,
+    "header_records": header_records_sql,
+    "drop_header": drop_header_sql,
+    "header_code_check": header_code_check_sql,
+    "header_row_count": header_row_count_sql,
+    "row_shape_filter": row_shape_filter_sql,
+    "period_check": period_check_sql,
+    "scan_semicolon": scan_semicolon_sql,
+    "scan_delimited": scan_delimited_sql,
+    "scan_fixed_width": scan_fixed_width_sql,
+    "settings_as_of": settings_as_of_sql,
 }
 
 

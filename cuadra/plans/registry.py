@@ -214,3 +214,167 @@ QUERIES.update({
     "warning_exclude": q_warning_exclude,
     "new_record_cap": q_new_record_cap,
 })
+
+
+# ------------------------------------------------------------ text sources
+
+from functools import reduce as _reduce  # noqa: E402
+
+from cuadra.functions.expressions import decimal_comma  # noqa: E402
+from cuadra.plans import raws as RW  # noqa: E402
+from cuadra.plans import staging as ST  # noqa: E402
+from cuadra.sources import layouts as L  # noqa: E402
+from cuadra.sources import text as TX  # noqa: E402
+
+
+def _root(spark, sf, kind):
+    return ST.stage(spark, sf, kind)
+
+
+def _statement_scan(spark, sf, origin):
+    raw = RW.STATEMENTS[origin]
+    root = _root(spark, sf, "stmt")
+    data, headers = TX.scan_delimited(spark, f"{root}/{origin.lower()}/{raw.template}", raw.settings[-1])
+    return data, headers
+
+
+def _file_keys(df: DataFrame, origin: str) -> list:
+    return [TX.file_period().alias("periodo_mes"), F.col("Cod_Banco").alias("ins_id"),
+            F.lit(origin).alias("eerr_origen")]
+
+
+def _headers(spark, sf, origin):
+    raw = RW.STATEMENTS[origin]
+    root = _root(spark, sf, "stmt")
+    lines = TX.read_lines(spark, f"{root}/{origin.lower()}/{raw.template}")
+    keys = [TX.FILE, "YYYY", "MM", "Cod_Banco"]
+    hdr = TX.header_records(lines, raw.settings[-1].header_fields, keys=keys)
+    return lines, hdr
+
+
+def q_decimal_comma(spark, sf):
+    return X.statement_fact_union(_t(spark, sf, "lineitem"), as_text=True)
+
+
+def q_scan_by_template(spark, sf):
+    branches = []
+    for origin in RW.STATEMENTS:
+        data, _ = _statement_scan(spark, sf, origin)
+        shaped = data.select(*_file_keys(data, origin)[:2], *[c for c in data.columns if c.startswith("planCuenta")
+                                                              or "_Monto" in c])
+        amounts = [c for c in shaped.columns if "_Monto" in c]
+        if len(amounts) == 4:
+            branches.append(A.statement_branch(shaped, origin, components=amounts))
+        else:
+            branches.append(A.statement_branch(shaped, origin, total=amounts[0]))
+    return A.unify_sources(branches)
+
+
+def q_header_records(spark, sf):
+    parts = []
+    for origin in RW.STATEMENTS:
+        _, hdr = _headers(spark, sf, origin)
+        parts.append(hdr.select(*_file_keys(hdr, origin), "codigo", "banco"))
+    return _reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_drop_header(spark, sf):
+    parts = []
+    for origin in RW.STATEMENTS:
+        lines, hdr = _headers(spark, sf, origin)
+        kept = TX.drop_header(lines, hdr, keys=[TX.FILE, "YYYY", "MM", "Cod_Banco"])
+        parts.append(kept.groupBy("YYYY", "MM", "Cod_Banco").agg(F.count(F.lit(1)).alias("n_rows"))
+                     .select(*_file_keys(kept, origin), "n_rows"))
+    return _reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_header_code_check(spark, sf):
+    parts = []
+    for origin in RW.STATEMENTS:
+        _, hdr = _headers(spark, sf, origin)
+        parts.append(hdr.select(*_file_keys(hdr, origin), "codigo",
+                                (F.col("codigo") == F.col("Cod_Banco")).alias("passed")))
+    return _reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_header_row_count(spark, sf):
+    parts = []
+    for origin in ("C1", "C2"):
+        lines, hdr = _headers(spark, sf, origin)
+        keys = [TX.FILE, "YYYY", "MM", "Cod_Banco"]
+        counted = TX.drop_header(lines, hdr, keys=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("actual"))
+        joined = hdr.join(counted, keys, "left")
+        parts.append(joined.select(*_file_keys(joined, origin),
+                                   F.col("filas").try_cast("bigint").alias("declared"),
+                                   F.coalesce("actual", F.lit(0)).alias("actual"),
+                                   F.coalesce(F.col("filas").try_cast("bigint") == F.col("actual"),
+                                              F.lit(False)).alias("passed")))
+    return _reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def q_row_shape_filter(spark, sf):
+    root = _root(spark, sf, "codifis")
+    lines = TX.read_lines(spark, f"{root}/{RW.CODIFIS.template}", encoding=RW.CODIFIS.settings[-1].encoding)
+    rows = TX.split_fields(TX.row_shape_filter(lines), RW.CODIFIS.settings[-1], keep=["YYYY", "MM"])
+    return rows.select(TX.file_period().alias("periodo_mes"), F.col("institucion_id").alias("ins_id"),
+                       F.col("institucion_nombre").alias("ins_nombre"))
+
+
+def q_period_check(spark, sf):
+    root = _root(spark, sf, "plan")
+    data, _ = TX.scan_delimited(spark, f"{root}/{RW.PLAN_CTAS.template}", RW.PLAN_CTAS.settings[-1])
+    prof = data.groupBy("YYYY", "MM").agg(
+        F.min("ano").alias("min_ano"), F.max("ano").alias("max_ano"),
+        F.min("mes").alias("min_mes"), F.max("mes").alias("max_mes"), F.count(F.lit(1)).alias("n_rows"))
+    y, m = F.col("YYYY").cast("int"), F.col("MM").cast("int")
+    ok = (F.col("min_ano") == y) & (F.col("max_ano") == y) & (F.col("min_mes") == m) & (F.col("max_mes") == m)
+    return prof.select(TX.file_period().alias("periodo_mes"), "min_ano", "max_ano", "min_mes", "max_mes",
+                       "n_rows", F.coalesce(ok, F.lit(False)).alias("passed"))
+
+
+def q_scan_semicolon(spark, sf):
+    root = _root(spark, sf, "asigna")
+    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ASIGNA.template}", RW.ASIGNA.settings[-1])
+    return data.select("planCuenta_id", F.nullif("producto_id", F.lit("")).alias("producto_id"),
+                       F.nullif("negocio_id", F.lit("")).alias("negocio_id"),
+                       F.nullif("concepto", F.lit("")).alias("planCuenta_Concepto"))
+
+
+def _orders_from(data: DataFrame) -> DataFrame:
+    return data.select("o_orderkey", "o_custkey", "o_orderstatus",
+                       decimal_comma("o_totalprice").alias("o_totalprice"), "o_orderdate", "o_orderpriority")
+
+
+def q_scan_delimited(spark, sf):
+    root = _root(spark, sf, "orders_tab")
+    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ORDERS_TEMPLATE}", RW.ORDERS_TAB)
+    return _orders_from(data)
+
+
+def q_scan_fixed_width(spark, sf):
+    root = _root(spark, sf, "orders_fixed")
+    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ORDERS_TEMPLATE}", RW.ORDERS_FIXED)
+    return _orders_from(data)
+
+
+def q_settings_as_of(spark, sf):
+    files = _fact(spark, sf).select("periodo_mes", "ins_id", "eerr_origen").distinct()
+    settings = _reduce(lambda a, b: a.unionByName(b),
+                       [L.settings_frame(spark, raw) for raw in RW.STATEMENTS.values()])
+    return L.settings_as_of(files, settings, keys=["ins_id", "eerr_origen"], name_col="eerr_origen")
+
+
+QUERIES.update({
+    "decimal_comma": q_decimal_comma,
+    "scan_by_template": q_scan_by_template,
+    "header_records": q_header_records,
+    "drop_header": q_drop_header,
+    "header_code_check": q_header_code_check,
+    "header_row_count": q_header_row_count,
+    "row_shape_filter": q_row_shape_filter,
+    "period_check": q_period_check,
+    "scan_semicolon": q_scan_semicolon,
+    "scan_delimited": q_scan_delimited,
+    "scan_fixed_width": q_scan_fixed_width,
+    "settings_as_of": q_settings_as_of,
+})
