@@ -453,6 +453,98 @@ SELECT periodo_mes, ins_id, eerr_origen, CAST(CASE WHEN n_settings = 1 THEN firs
        n_settings FROM m"""
 
 
+# ------------------------------------------------------------ write modes
+
+_AT = "TIMESTAMP '2024-01-31 00:00:00'"
+
+
+def _before_sql() -> str:
+    return f"""SELECT * FROM ({governed_accounts_sql()}) WHERE planCuenta_id IN
+  (SELECT {code_sql('l_partkey', 7)} FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')"""
+
+
+def _chart_1998_sql() -> str:
+    return f"""SELECT {code_sql('p_partkey', 7)} AS planCuenta_id, upper(p_name) AS planCuenta_Nombre FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem
+                    WHERE l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01')"""
+
+
+def _upsert_sql() -> str:
+    changed = ("t.planCuenta_id IS NOT NULL AND s.planCuenta_id IS NOT NULL "
+               "AND s.planCuenta_Nombre IS DISTINCT FROM t.planCuenta_Nombre")
+    return f"""WITH t AS ({_before_sql()}), s AS ({_chart_1998_sql()})
+SELECT coalesce(t.planCuenta_id, s.planCuenta_id) AS planCuenta_id,
+       CASE WHEN s.planCuenta_id IS NOT NULL THEN s.planCuenta_Nombre ELSE t.planCuenta_Nombre END AS planCuenta_Nombre,
+       t.negocio_id, t.producto_id, t.planCuenta_Concepto,
+       CASE WHEN {changed} THEN t.planCuenta_Nombre END AS planCuenta_Nombre_old,
+       CASE WHEN {changed} THEN {_AT} END AS planCuenta_Nombre_changed_at,
+       CASE WHEN {changed} THEN 'upsert_full' END AS planCuenta_Nombre_changed_by
+FROM t FULL OUTER JOIN s ON t.planCuenta_id = s.planCuenta_id"""
+
+
+def _null_tracking(cols) -> str:
+    out = []
+    for c in cols:
+        out += [f"CAST(NULL AS VARCHAR) AS {c}_old", f"CAST(NULL AS TIMESTAMP) AS {c}_changed_at",
+                f"CAST(NULL AS VARCHAR) AS {c}_changed_by"]
+    return ", ".join(out)
+
+
+def partition_replace_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()}),
+batch AS (SELECT * FROM fact WHERE eerr_origen IN ('C1', 'C2') AND periodo_mes >= '1999-01-01')
+SELECT * FROM fact WHERE eerr_origen IN ('B1', 'R1')
+  AND periodo_mes NOT IN (SELECT DISTINCT periodo_mes FROM batch)
+UNION ALL SELECT * FROM batch"""
+
+
+def upsert_full_sql() -> str:
+    return (f"SELECT planCuenta_id, planCuenta_Nombre, negocio_id, producto_id, planCuenta_Concepto "
+            f"FROM ({_upsert_sql()})")
+
+
+def change_tracking_sql() -> str:
+    return (f"SELECT planCuenta_id, planCuenta_Nombre_old, planCuenta_Nombre_changed_at, "
+            f"planCuenta_Nombre_changed_by, "
+            f"{_null_tracking(['negocio_id', 'producto_id', 'planCuenta_Concepto'])} FROM ({_upsert_sql()})")
+
+
+def change_trace_sql() -> str:
+    return f"""WITH t AS ({_before_sql()}), u AS ({_upsert_sql()})
+SELECT u.planCuenta_id, 'planCuenta_Nombre' AS column_name, t.planCuenta_Nombre AS old_value,
+       u.planCuenta_Nombre AS new_value, {_AT} AS changed_at, 'upsert_full' AS changed_by
+FROM u LEFT JOIN t ON u.planCuenta_id = t.planCuenta_id
+WHERE u.planCuenta_Nombre IS DISTINCT FROM t.planCuenta_Nombre
+UNION ALL
+SELECT u.planCuenta_id, c.name, NULL, c.val, {_AT}, 'upsert_full'
+FROM u LEFT JOIN t ON u.planCuenta_id = t.planCuenta_id,
+     LATERAL (VALUES ('negocio_id', u.negocio_id), ('producto_id', u.producto_id),
+                     ('planCuenta_Concepto', u.planCuenta_Concepto)) AS c(name, val)
+WHERE t.planCuenta_id IS NULL AND c.val IS NOT NULL"""
+
+
+def backup_versions_sql() -> str:
+    return f"""SELECT 1 AS version, count(*) AS n_rows FROM ({_before_sql()})
+UNION ALL SELECT 2, count(*) FROM ({_upsert_sql()})"""
+
+
+def selective_update_sql() -> str:
+    return f"""WITH t AS ({_before_sql()}), a AS ({accounts_sql()})
+SELECT t.planCuenta_id, t.planCuenta_Nombre, a.negocio_id, a.producto_id, a.planCuenta_Concepto
+FROM t JOIN a ON t.planCuenta_id = a.planCuenta_id"""
+
+
+def insert_only_sql() -> str:
+    return f"""WITH t AS ({_before_sql()})
+SELECT * FROM t UNION ALL
+SELECT * FROM ({governed_accounts_sql()}) WHERE planCuenta_id NOT IN (SELECT planCuenta_id FROM t)"""
+
+
+def update_only_sql() -> str:
+    return (f"SELECT planCuenta_id, upper(planCuenta_Nombre) AS planCuenta_Nombre, negocio_id, producto_id, "
+            f"planCuenta_Concepto FROM ({_before_sql()})")
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -488,6 +580,14 @@ ORACLES = {
     "scan_delimited": scan_delimited_sql,
     "scan_fixed_width": scan_fixed_width_sql,
     "settings_as_of": settings_as_of_sql,
+    "partition_replace": partition_replace_sql,
+    "upsert_full": upsert_full_sql,
+    "change_tracking": change_tracking_sql,
+    "change_trace": change_trace_sql,
+    "backup_versions": backup_versions_sql,
+    "selective_update": selective_update_sql,
+    "insert_only": insert_only_sql,
+    "update_only": update_only_sql,
 }
 
 

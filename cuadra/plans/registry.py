@@ -378,3 +378,119 @@ QUERIES.update({
     "scan_fixed_width": q_scan_fixed_width,
     "settings_as_of": q_settings_as_of,
 })
+
+
+# ------------------------------------------------------------ write modes
+
+import dataclasses as _dc  # noqa: E402
+
+from cuadra.session import shared_dir  # noqa: E402
+from cuadra.sinks import tables as SK  # noqa: E402
+
+# Fixed for determinism: when and by whom the loads below ran.
+CHANGED_AT = "2024-01-31 00:00:00"
+DIM_CUTOFF = "1998-01-01"          # the dimension as loaded before 1998
+BATCH_FROM = "1999-01-01"          # statement batch replacing later periods
+# The fixture has 100-1000 banks a month; the per-bank second partition level
+# of the statement table would make one folder per bank and month, so these
+# write queries partition by period only.
+STATEMENT_BY_PERIOD = _dc.replace(TB.STATEMENT, partition_cols=("periodo_mes",))
+
+
+def _accounts_before(spark, sf):
+    return TB.accounts_seen_before(_t(spark, sf, "lineitem"), _t(spark, sf, "part"), DIM_CUTOFF)
+
+
+def _chart_1998(spark, sf):
+    """Accounts with statements in 1998, names as that year's chart spells
+    them (upper case)."""
+    li = _t(spark, sf, "lineitem")
+    seen = (li.where((F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+                     & (F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+            .select(F.col("l_partkey").alias("p_partkey")).distinct())
+    part = _t(spark, sf, "part").join(seen, "p_partkey", "left_semi")
+    return part.select(X.padded_code("p_partkey", 7).alias("planCuenta_id"),
+                       F.upper("p_name").alias("planCuenta_Nombre"))
+
+
+def _load_v1(spark, sf, name):
+    path = shared_dir(spark, name)
+    SK.save_version(_accounts_before(spark, sf), TB.ACCOUNT, path)
+    return path, SK.read_table(spark, TB.ACCOUNT, path)
+
+
+def _upserted(spark, sf):
+    path, v1 = _load_v1(spark, sf, "upsert_full")
+    merged = SK.upsert_full(v1, _chart_1998(spark, sf), TB.ACCOUNT, ["planCuenta_id", "planCuenta_Nombre"],
+                            CHANGED_AT, "upsert_full")
+    SK.save_version(merged, TB.ACCOUNT, path)
+    return path, v1, SK.read_table(spark, TB.ACCOUNT, path)
+
+
+def q_partition_replace(spark, sf):
+    fact = _fact(spark, sf)
+    path = shared_dir(spark, "partition_replace")
+    SK.partition_replace(fact.where(F.col("eerr_origen").isin("B1", "R1")), STATEMENT_BY_PERIOD, path)
+    batch = fact.where(F.col("eerr_origen").isin("C1", "C2") & (F.col("periodo_mes") >= BATCH_FROM))
+    return SK.partition_replace(batch, STATEMENT_BY_PERIOD, path)
+
+
+def q_upsert_full(spark, sf):
+    _, _, v2 = _upserted(spark, sf)
+    return v2.select(*TB.ACCOUNT.names)
+
+
+def q_change_tracking(spark, sf):
+    _, _, v2 = _upserted(spark, sf)
+    return v2.select(*TB.ACCOUNT.pk, *[n for n, _ in SK.tracking_columns(TB.ACCOUNT)])
+
+
+def q_change_trace(spark, sf):
+    _, v1, v2 = _upserted(spark, sf)
+    return SK.change_trace(v1, v2, TB.ACCOUNT, CHANGED_AT, "upsert_full")
+
+
+def q_backup_versions(spark, sf):
+    path, _, _ = _upserted(spark, sf)
+    return SK.version_counts(spark, TB.ACCOUNT, path)
+
+
+def q_selective_update(spark, sf):
+    path = shared_dir(spark, "selective_update")
+    loaded = _accounts_before(spark, sf).select(
+        "planCuenta_id", "planCuenta_Nombre", *[F.lit(None).cast("string").alias(c)
+                                                for c in ("negocio_id", "producto_id", "planCuenta_Concepto")])
+    SK.save_version(loaded, TB.ACCOUNT, path)
+    v1 = SK.read_table(spark, TB.ACCOUNT, path)
+    assignment = X.accounts(_t(spark, sf, "part"))
+    updated, _ = SK.selective_update(v1, assignment, TB.ACCOUNT,
+                                     ["producto_id", "negocio_id", "planCuenta_Concepto"],
+                                     CHANGED_AT, "selective_update")
+    SK.save_version(updated, TB.ACCOUNT, path)
+    return SK.read_table(spark, TB.ACCOUNT, path).select(*TB.ACCOUNT.names)
+
+
+def q_insert_only(spark, sf):
+    path, v1 = _load_v1(spark, sf, "insert_only")
+    SK.save_version(SK.insert_only(v1, _accounts(spark, sf), TB.ACCOUNT), TB.ACCOUNT, path)
+    return SK.read_table(spark, TB.ACCOUNT, path).select(*TB.ACCOUNT.names)
+
+
+def q_update_only(spark, sf):
+    path, v1 = _load_v1(spark, sf, "update_only")
+    renamed = _accounts(spark, sf).select("planCuenta_id", F.upper("planCuenta_Nombre").alias("planCuenta_Nombre"))
+    SK.save_version(SK.update_only(v1, renamed, TB.ACCOUNT, ["planCuenta_Nombre"], CHANGED_AT, "update_only"),
+                    TB.ACCOUNT, path)
+    return SK.read_table(spark, TB.ACCOUNT, path).select(*TB.ACCOUNT.names)
+
+
+QUERIES.update({
+    "partition_replace": q_partition_replace,
+    "upsert_full": q_upsert_full,
+    "change_tracking": q_change_tracking,
+    "change_trace": q_change_trace,
+    "backup_versions": q_backup_versions,
+    "selective_update": q_selective_update,
+    "insert_only": q_insert_only,
+    "update_only": q_update_only,
+})
