@@ -545,6 +545,67 @@ def update_only_sql() -> str:
             f"planCuenta_Concepto FROM ({_before_sql()})")
 
 
+# ------------------------------------------------- mapping and analytics
+
+def map_columns_sql() -> str:
+    return institutions_sql()
+
+
+def auto_map_sql() -> str:
+    return institutions_sql()
+
+
+def default_values_sql() -> str:
+    return f"""SELECT planCuenta_id, planCuenta_Nombre, coalesce(negocio_id, 'SIN_NEGOCIO') AS negocio_id,
+       coalesce(producto_id, 'SIN_PRODUCTO') AS producto_id, 'SIN_CONCEPTO' AS planCuenta_Concepto
+FROM ({governed_accounts_sql()})"""
+
+
+def month_snapshot_sql() -> str:
+    return f"""SELECT DISTINCT {period_sql('l.l_shipdate')} AS periodo_mes, {code_sql('p.p_partkey', 7)} AS planCuenta_id,
+       p.p_name AS planCuenta_Nombre
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey"""
+
+
+def _registry_sql() -> str:
+    return (f"SELECT DISTINCT {period_sql('o.o_orderdate')} AS periodo_mes, {code_sql('l.l_suppkey', 3)} AS ins_id "
+            f"FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey")
+
+
+def month_scope_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()}), reg AS ({_registry_sql()})
+SELECT f.* FROM fact f
+WHERE EXISTS (SELECT 1 FROM reg r WHERE r.ins_id = f.ins_id AND r.periodo_mes = f.periodo_mes)"""
+
+
+def month_scope_missing_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()}), reg AS ({_registry_sql()})
+SELECT r.ins_id, r.periodo_mes FROM reg r
+WHERE NOT EXISTS (SELECT 1 FROM fact f WHERE r.ins_id = f.ins_id AND r.periodo_mes = f.periodo_mes)"""
+
+
+def sql_text_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()})
+SELECT periodo_mes, eerr_origen, count(*) AS n_rows, CAST(sum(eerr_Monto) AS DECIMAL(26,2)) AS eerr_Monto
+FROM fact WHERE eerr_Monto >= 0 AND eerr_origen IN ('B1', 'R1', 'C1', 'C2')
+GROUP BY periodo_mes, eerr_origen"""
+
+
+def profile_columns_sql() -> str:
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, "
+        f"count({c}) AS n_non_null FROM orders" for c in cols)
+
+
+def month_prefix_sql() -> str:
+    return f"""WITH m AS (SELECT {period_sql('o_orderdate')} AS periodo_mes, count(*) AS n_orders,
+                  CAST(sum(CAST(o_totalprice AS DECIMAL(23,2))) AS DECIMAL(26,2)) AS total
+           FROM orders GROUP BY 1),
+bad AS (SELECT min(periodo_mes) AS first_fail FROM m WHERE NOT (n_orders BETWEEN 100 AND 100000))
+SELECT m.* FROM m, bad WHERE m.periodo_mes < coalesce(bad.first_fail, '9999-12-31')"""
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -588,6 +649,15 @@ ORACLES = {
     "selective_update": selective_update_sql,
     "insert_only": insert_only_sql,
     "update_only": update_only_sql,
+    "map_columns": map_columns_sql,
+    "auto_map": auto_map_sql,
+    "default_values": default_values_sql,
+    "month_snapshot": month_snapshot_sql,
+    "month_scope": month_scope_sql,
+    "month_scope_missing": month_scope_missing_sql,
+    "sql_text": sql_text_sql,
+    "profile_columns": profile_columns_sql,
+    "month_prefix": month_prefix_sql,
 }
 
 

@@ -494,3 +494,110 @@ QUERIES.update({
     "insert_only": q_insert_only,
     "update_only": q_update_only,
 })
+
+
+# ------------------------------------------------- mapping and analytics
+
+from cuadra.operators import mapping as M  # noqa: E402
+from cuadra.operators.joins import join_dimension  # noqa: E402
+
+DEFAULTED_ACCOUNT = _dc.replace(TB.ACCOUNT, columns=tuple(
+    _dc.replace(c, default={"negocio_id": "'SIN_NEGOCIO'", "producto_id": "'SIN_PRODUCTO'",
+                            "planCuenta_Concepto": "'SIN_CONCEPTO'"}.get(c.name))
+    for c in TB.ACCOUNT.columns))
+# Test parameters (ours): scope of the parameterised SQL query.
+SQL_TEXT = """SELECT periodo_mes, eerr_origen, count(*) AS n_rows,
+                     CAST(sum(eerr_Monto) AS DECIMAL(26,2)) AS eerr_Monto
+              FROM {fact}
+              WHERE eerr_Monto >= :min_amount AND eerr_origen IN (:o1, :o2, :o3, :o4)
+              GROUP BY periodo_mes, eerr_origen"""
+# Rows expected per month (indicators job row-count rule).
+MONTH_ROWS = (100, 100000)
+
+
+def _raw_institutions(supplier: DataFrame) -> DataFrame:
+    """The institution list as read from the raw file: text columns with the
+    file's own names."""
+    return supplier.select(X.padded_code("s_suppkey", 3).alias("institucion_id"),
+                           F.col("s_name").alias("institucion_nombre"), "s_acctbal")
+
+
+def q_map_columns(spark, sf):
+    raw = _raw_institutions(_t(spark, sf, "supplier"))
+    return M.map_columns(raw, TB.INSTITUTION, {"ins_id": "institucion_id", "ins_nombre": "institucion_nombre"})
+
+
+def q_auto_map(spark, sf):
+    raw = _raw_institutions(_t(spark, sf, "supplier"))
+    src = raw.select(F.col("institucion_id").alias("INS_ID"), F.col("institucion_nombre").alias("Ins_Nombre"),
+                     "s_acctbal")
+    return M.auto_map(src, TB.INSTITUTION)
+
+
+def q_default_values(spark, sf):
+    acct = _accounts(spark, sf)
+    return M.map_columns(acct, DEFAULTED_ACCOUNT, {"planCuenta_id": "planCuenta_id",
+                                                   "planCuenta_Nombre": "planCuenta_Nombre",
+                                                   "negocio_id": "negocio_id", "producto_id": "producto_id"})
+
+
+def q_month_snapshot(spark, sf):
+    """Accounts per month: the monthly chart (ano, mes, id, name) made
+    distinct, with the period built from year and month, auto-mapped."""
+    li = _t(spark, sf, "lineitem")
+    used = li.select(F.year("l_shipdate").alias("ano"), F.month("l_shipdate").alias("mes"),
+                     F.col("l_partkey").alias("p_partkey")).distinct()
+    part = _t(spark, sf, "part").select("p_partkey", "p_name")
+    chart = join_dimension(used, part, "p_partkey").select(
+        "ano", "mes", X.padded_code("p_partkey", 7).alias("planCuenta_id"),
+        F.col("p_name").alias("planCuenta_Nombre"))
+    snap = chart.select(F.make_date("ano", "mes", F.lit(1)).cast("string").alias("periodo_mes"), "ano", "mes",
+                        "planCuenta_id", "planCuenta_Nombre").distinct()
+    return M.auto_map(snap, TB.ACCOUNT_MONTH)
+
+
+def _registry(spark, sf):
+    return TB.institution_month(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "supplier"))
+
+
+def q_month_scope(spark, sf):
+    in_scope, _ = A.month_scope(_fact(spark, sf), _registry(spark, sf))
+    return in_scope
+
+
+def q_month_scope_missing(spark, sf):
+    _, missing = A.month_scope(_fact(spark, sf), _registry(spark, sf))
+    return missing
+
+
+def q_sql_text(spark, sf):
+    return spark.sql(SQL_TEXT, args={"min_amount": 0, "o1": "B1", "o2": "R1", "o3": "C1", "o4": "C2"},
+                     fact=_fact(spark, sf))
+
+
+def q_profile_columns(spark, sf):
+    return A.profile_columns(_t(spark, sf, "orders"), approx_distinct=False)
+
+
+def q_month_prefix(spark, sf):
+    """Mass reprocessing over every month of orders: keep the months before
+    the first month whose row count falls outside the expected interval."""
+    monthly = (_t(spark, sf, "orders").groupBy(X.period_of("o_orderdate").alias("periodo_mes"))
+               .agg(F.count(F.lit(1)).alias("n_orders"),
+                    F.sum(F.col("o_totalprice").cast("decimal(23,2)")).cast("decimal(26,2)").alias("total")))
+    rules = Q.row_count_interval(_t(spark, sf, "orders").select(X.period_of("o_orderdate").alias("periodo_mes")),
+                                 *MONTH_ROWS, by=["periodo_mes"])
+    return A.month_prefix(monthly, rules)
+
+
+QUERIES.update({
+    "map_columns": q_map_columns,
+    "auto_map": q_auto_map,
+    "default_values": q_default_values,
+    "month_snapshot": q_month_snapshot,
+    "month_scope": q_month_scope,
+    "month_scope_missing": q_month_scope_missing,
+    "sql_text": q_sql_text,
+    "profile_columns": q_profile_columns,
+    "month_prefix": q_month_prefix,
+})
