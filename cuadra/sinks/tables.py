@@ -37,6 +37,15 @@ def _filesystem(path: str):
     return pafs.LocalFileSystem(), path
 
 
+def exists(path: str) -> bool:
+    """True when a table folder holds data (a partition folder or a file;
+    dynamic partition overwrite leaves no ``_SUCCESS`` at the root)."""
+    import pyarrow.fs as pafs
+    fs, base = _filesystem(path)
+    entries = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+    return any(not e.base_name.startswith(("_", ".")) for e in entries)
+
+
 def versions(path: str) -> list[int]:
     """Complete versions of a reference table, ascending."""
     import pyarrow.fs as pafs

@@ -102,21 +102,34 @@ def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | N
               .schema("value string").csv(folder))
     else:
         df = reader.text(folder, wholetext=whole_files)
+    if whole_files:
+        return file_lines(df, template)
     pattern, names = template_regex(template)
     path = F.col("_metadata.file_path")
     tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
-    matched = path.rlike(pattern)
-    if whole_files:
-        files = df.where(matched).select(path.alias(FILE), *tokens,
-                                          F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
-                                          .alias("_lines"))
-        return files.select(FILE, *names, F.element_at("_lines", 1).alias("_header"),
-                            F.posexplode("_lines").alias("_line", LINE))
-    return df.where(matched).select(path.alias(FILE), *tokens,
+    return df.where(path.rlike(pattern)).select(path.alias(FILE), *tokens,
                                     F.col("_metadata.file_block_start").alias("_block"),
                                     F.monotonically_increasing_id().alias("_row"), F.col(LINE))
 
 
+def file_lines(files: DataFrame, template: str) -> DataFrame:
+    """Numbered lines of whole-file rows (``value`` = file text) read by the
+    text source with ``wholetext``; works on batch and streaming reads.
+    Output: ``_file``, the template values, ``_header``, ``_line``, ``value``."""
+    pattern, names = template_regex(template)
+    path = F.col("_metadata.file_path")
+    tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
+    split = F.split(F.regexp_replace(LINE, r"\r?\n$", ""), r"\r?\n").alias("_lines")
+    per_file = files.where(path.rlike(pattern)).select(path.alias(FILE), *tokens, split)
+    return per_file.select(FILE, *names, F.element_at("_lines", 1).alias("_header"),
+                           F.posexplode("_lines").alias("_line", LINE))
+
+
+def listing(template: str, params: Mapping[str, str] | None = None) -> tuple[str, str]:
+    """Public form of the (folder, file-name glob) a template is read from."""
+    return _listing(template, params)
+
+
 def header_records(lines: DataFrame, fields: Sequence[str], sep: str = "\t",
                    keys: Sequence[str] = (FILE,)) -> DataFrame:
     """First line of each file, split into the header fields.
