@@ -243,3 +243,13 @@ def new_partitions(batch: DataFrame, spec: TableSpec) -> DataFrame:
 __all__ = ["ColumnSpec", "change_trace", "insert_only", "partition_replace", "read_table",
            "save_version", "selective_update", "update_only", "upsert_full", "version_counts",
            "versions"]
+
+
+def append_quality(summary: DataFrame, details: DataFrame, path: str, table: str, run_id: str) -> None:
+    """Keep rule results and violating rows of a load (both appended,
+    partitioned by table and rule; the run id tells loads apart)."""
+    tag = [F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id")]
+    summary.select(*tag, *summary.columns).write.mode("append") \
+        .partitionBy("table_name").parquet(f"{path.rstrip('/')}/dq_results")
+    details.select(*tag, *details.columns).write.mode("append") \
+        .partitionBy("table_name", "rule_id").parquet(f"{path.rstrip('/')}/dq_details")

@@ -86,3 +86,25 @@ def test_indicators_job_and_first_error(spark, roots):
     assert ok.ok and ok.written.count() > 0
     jan = P.indicators(spark, wh, 1998, 2, compare_rows=(1, 100000))
     assert not jan.ok and jan.first_error.first().error_code == 2   # previous month empty
+
+
+def test_reprocess_writes_months_before_first_failure(spark):
+    from cuadra.operators import analytics as A
+    from cuadra.plans import fixtures as X
+    from cuadra.plans.measures import DERIVED, MEASURES
+    from cuadra.sinks import tables as SK
+    wh = P.Warehouse(shared_dir(spark, "wh5"))
+    li = X.table(spark, SF_SMALL, "lineitem")
+    # statements loaded for 1998-01 .. 1998-06 except April: May and June
+    # must not be written (the run stops at the first failing month)
+    fact = X.statement_fact(li).where(F.col("periodo_mes").between("1998-01-01", "1998-06-01")
+                                      & (F.col("periodo_mes") != "1998-04-01"))
+    SK.partition_replace(fact, TB.STATEMENT, wh.path("statement"))
+    accounts = TB.governed_accounts(X.table(spark, SF_SMALL, "part"))
+    SK.save_version(accounts, TB.ACCOUNT, wh.path("account"))
+    out = P.reprocess_indicators(spark, wh, "1998-02-01", 5)
+    months = sorted(r.periodo_mes for r in out.select("periodo_mes").distinct().collect())
+    assert months == ["1998-02-01", "1998-03-01"]
+    want = A.management_indicators(fact, accounts, MEASURES, DERIVED, period="1998-03-01")
+    got = out.where("periodo_mes = '1998-03-01'").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
