@@ -235,9 +235,10 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
 
 def month_range(spark, start: str, n: int, col: str = PERIOD) -> DataFrame:
     """n consecutive periods starting at ``start`` ('yyyy-MM-01')."""
-    return spark.range(1).select(F.explode(F.sequence(
+    days = spark.range(1).select(F.explode(F.sequence(
         F.to_date(F.lit(start)), F.add_months(F.to_date(F.lit(start)), n - 1),
-        F.expr("INTERVAL 1 MONTH"))).cast("string").alias(col))
+        F.expr("INTERVAL 1 MONTH"))).alias("_d"))
+    return days.select(F.col("_d").cast("string").alias(col))
 
 
 def month_scope(fact: DataFrame, registered: DataFrame, on: Sequence[str] = ("ins_id", PERIOD)

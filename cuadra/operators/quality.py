@@ -137,6 +137,14 @@ def evaluate_row_checks(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return stacked.withColumn("passed", passed).select(*SUMMARY_COLUMNS)
 
 
+def row_rule_details(df: DataFrame, checks: Sequence[RowCheck], cols: Sequence[str]) -> DataFrame:
+    """Violating rows of every row rule in one scan: each row carries the
+    ids of the rules it fails, and is emitted once per failed rule."""
+    failed = F.array_compact(F.array(*[F.when(chk.bad, F.lit(chk.rule_id)) for chk in checks]))
+    return (df.select(*cols, failed.alias("_failed")).where(F.size("_failed") > 0)
+            .select(F.explode("_failed").alias("rule_id"), *cols))
+
+
 def _empty_summary(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [], "rule_id string, rule_type string, column_name string, error_code int, "
@@ -339,8 +347,7 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
                 F.when(F.col("passed"), 0).otherwise(1).cast("bigint").alias("n_bad"), "passed"))
     summary = reduce(lambda a, b: a.unionByName(b), parts)
 
-    details = [df.where(chk.bad).select(F.lit(chk.rule_id).alias("rule_id"), *detail_cols)
-               for chk in checks]
+    details = [row_rule_details(df, checks, detail_cols)] if checks else []
     if spec.pk:
         dup = duplicate_keys(df, spec.pk).select(*spec.pk)
         details.append(df.join(dup, spec.pk, "left_semi")

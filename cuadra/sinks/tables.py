@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.operators.joins import small_side
+from cuadra.operators.joins import fits, small_side
 from cuadra.specs import ColumnSpec, TableSpec
 
 VERSION = "v"
@@ -102,12 +102,20 @@ def _ordered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _with_tracking(df, spec).select(*cols)
 
 
+# Rows below which a reference table is written as ``num_partitions`` files.
+SMALL_TABLE_ROWS = 5_000_000
+
+
 def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Output file count: ``num_partitions`` files per table partition, else
-    one file per table partition (no single-task write for the table)."""
+    """Output file count.  Partitioned tables: rows are rebalanced by the
+    partition columns, so a small table partition becomes one file while AQE
+    splits a partition holding a large share of the rows over several tasks
+    (no single task receives a hot month).  Unpartitioned tables:
+    ``num_partitions`` files when the table is proven small, otherwise the
+    data's own partitioning (never a single-task write of a large table)."""
     if spec.partition_cols:
-        return df.repartition(*[F.col(c) for c in spec.partition_cols])
-    if spec.num_partitions:
+        return df.hint("rebalance", *spec.partition_cols)
+    if spec.num_partitions and fits(df, SMALL_TABLE_ROWS):
         return df.repartition(spec.num_partitions)
     return df
 
