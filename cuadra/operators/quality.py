@@ -65,6 +65,13 @@ def tolerance_passed(n_bad: Column, n_rows: Column, tolerance_rows: int | None,
 
 # ------------------------------------------------------------- row rules
 
+def _datetime(value: str, dtype: str) -> Column:
+    """A bound literal in the column's own date/time type (no session time
+    zone enters the comparison)."""
+    kind = dtype.strip().lower()
+    return F.lit(value).cast(kind if kind in ("date", "timestamp", "timestamp_ntz") else "timestamp_ntz")
+
+
 def column_checks(col: ColumnSpec) -> list[RowCheck]:
     """Row checks declared on a column: not-null (unless nullable), length,
     decimal and date-time bounds, regular expression.  Bounds are inclusive;
@@ -89,10 +96,10 @@ def column_checks(col: ColumnSpec) -> list[RowCheck]:
                             c > F.expr(col.max_value)))
     if col.min_datetime is not None:
         out.append(RowCheck(f"{col.name}:min_datetime", "min_datetime", col.name, 0, Severity.ERROR,
-                            c < F.to_timestamp(F.lit(col.min_datetime))))
+                            c < _datetime(col.min_datetime, col.dtype)))
     if col.max_datetime is not None:
         out.append(RowCheck(f"{col.name}:max_datetime", "max_datetime", col.name, 0, Severity.ERROR,
-                            c > F.to_timestamp(F.lit(col.max_datetime))))
+                            c > _datetime(col.max_datetime, col.dtype)))
     if col.regex is not None:
         out.append(RowCheck(f"{col.name}:regex", "regex", col.name, 0, Severity.ERROR,
                             ~c.rlike(col.regex)))

@@ -45,8 +45,11 @@ def spread(df: DataFrame) -> DataFrame:
     splits and this is a no-op (no extra shuffle of the fact).  Hash on the
     first column: deterministic on task retry without the local sort a
     round-robin repartition needs."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect)
         return df
     return df.repartition(cores, df.columns[0])
 

@@ -606,6 +606,14 @@ bad AS (SELECT min(periodo_mes) AS first_fail FROM m WHERE NOT (n_orders BETWEEN
 SELECT m.* FROM m, bad WHERE m.periodo_mes < coalesce(bad.first_fail, '9999-12-31')"""
 
 
+def lost_in_cast_sql() -> str:
+    parts = [("o_orderkey", "false"), ("o_totalprice", "o_totalprice >= 100000"),
+             ("o_orderdate", "false"), ("o_orderpriority", "false")]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {bad}) AS n_lost, "
+        f"count(*) FILTER (WHERE {bad}) = 0 AS passed FROM orders" for c, bad in parts)
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -658,6 +666,7 @@ ORACLES = {
     "sql_text": sql_text_sql,
     "profile_columns": profile_columns_sql,
     "month_prefix": month_prefix_sql,
+    "lost_in_cast": lost_in_cast_sql,
 }
 
 

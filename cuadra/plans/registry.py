@@ -601,3 +601,20 @@ QUERIES.update({
     "profile_columns": q_profile_columns,
     "month_prefix": q_month_prefix,
 })
+
+
+def _narrow_orders_spec():
+    """Test parameter (ours): orders mapped onto a narrower declared price
+    type, so that prices of 100000 and more do not fit."""
+    from cuadra.specs import TableKind, TableSpec
+    return TableSpec("orders_narrow", TableKind.TRANSACTION, (
+        ColumnSpec("o_orderkey", "bigint", pk=True), ColumnSpec("o_totalprice", "decimal(7,2)"),
+        ColumnSpec("o_orderdate", "date"), ColumnSpec("o_orderpriority")))
+
+
+def q_lost_in_cast(spark, sf):
+    spec = _narrow_orders_spec()
+    return M.cast_losses(_t(spark, sf, "orders"), spec, {c.name: c.name for c in spec.columns})
+
+
+QUERIES["lost_in_cast"] = q_lost_in_cast

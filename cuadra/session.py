@@ -43,7 +43,11 @@ def checkpoint_base(spark: SparkSession) -> str:
 
     Read from the session; set a local one only where the cluster gives none.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        return base or tempfile.mkdtemp(prefix="cuadra-ckpt-")
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         current = sc.getCheckpointDir()
@@ -51,7 +55,8 @@ def checkpoint_base(spark: SparkSession) -> str:
             # Spark appends a per-application folder; use its parent.
             return current.rstrip("/").rsplit("/", 1)[0]
         base = tempfile.mkdtemp(prefix="cuadra-ckpt-")
-    sc.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base
 
 

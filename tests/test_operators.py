@@ -177,3 +177,17 @@ def test_broadcast_check_falls_back_to_shuffle(spark):
     li = X.table(spark, SF_SMALL, "lineitem").select("l_partkey")
     joined = join_dimension(li, part.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", max_rows=5)
     assert joined.count() == li.count()
+
+
+def test_quality_results_are_appended(spark, tmp_path):
+    from cuadra.sinks import tables as SK
+    acct = TB.governed_accounts(_parts(spark))
+    refs = {"negocio": TB.business_lines(_parts(spark)), "producto": TB.products(_parts(spark))}
+    res = Q.check(acct, TB.ACCOUNT, refs, detail_cols=["planCuenta_id"])
+    for run in ("r1", "r2"):
+        SK.append_quality(res.summary, res.details, str(tmp_path), "account", run)
+    summary = spark.read.parquet(f"{tmp_path}/dq_results")
+    details = spark.read.parquet(f"{tmp_path}/dq_details")
+    assert summary.where("run_id = 'r2'").count() == res.summary.count()
+    assert details.count() == 2 * res.details.count() > 0
+    assert {r.rule_id for r in details.select("rule_id").distinct().collect()} >= {"DQ_CuentaCorta"}
