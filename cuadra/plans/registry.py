@@ -3,14 +3,28 @@ whole fixture tables of ``sf_dir``.  ``oracle.py`` holds the matching SQL."""
 
 from __future__ import annotations
 
+import dataclasses as _dc
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuadra.functions.expressions import decimal_comma
 from cuadra.operators import analytics as A
+from cuadra.operators import mapping as M
+from cuadra.operators import quality as Q
+from cuadra.operators.joins import join_dimension
 from cuadra.plans import fixtures as X
+from cuadra.plans import raws as RW
+from cuadra.plans import staging as ST
+from cuadra.plans import tables as TB
 from cuadra.plans.measures import DERIVED, MEASURES
+from cuadra.session import shared_dir
+from cuadra.sinks import tables as SK
+from cuadra.sources import layouts as L
+from cuadra.sources import text as TX
+from cuadra.specs import ColumnSpec, ForeignKey, Rule, Severity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,9 +64,6 @@ QUERIES: dict[str, Query] = {
 
 # ----------------------------------------------------------- data quality
 
-from cuadra.operators import quality as Q  # noqa: E402
-from cuadra.plans import tables as TB  # noqa: E402
-from cuadra.specs import ColumnSpec, ForeignKey, Rule, Severity  # noqa: E402
 
 # Test parameters (ours, not reference values): bounds that cut through the
 # fixture distributions so that both outcomes occur.
@@ -218,14 +229,6 @@ QUERIES.update({
 
 # ------------------------------------------------------------ text sources
 
-from functools import reduce as _reduce  # noqa: E402
-
-from cuadra.functions.expressions import decimal_comma  # noqa: E402
-from cuadra.plans import raws as RW  # noqa: E402
-from cuadra.plans import staging as ST  # noqa: E402
-from cuadra.sources import layouts as L  # noqa: E402
-from cuadra.sources import text as TX  # noqa: E402
-
 
 def _root(spark, sf, kind):
     return ST.stage(spark, sf, kind)
@@ -275,7 +278,7 @@ def q_header_records(spark, sf):
     for origin in RW.STATEMENTS:
         _, hdr = _headers(spark, sf, origin)
         parts.append(hdr.select(*_file_keys(hdr, origin), "codigo", "banco"))
-    return _reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_drop_header(spark, sf):
@@ -285,7 +288,7 @@ def q_drop_header(spark, sf):
         kept = TX.drop_header(lines, hdr, keys=[TX.FILE, "YYYY", "MM", "Cod_Banco"])
         parts.append(kept.groupBy("YYYY", "MM", "Cod_Banco").agg(F.count(F.lit(1)).alias("n_rows"))
                      .select(*_file_keys(kept, origin), "n_rows"))
-    return _reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_header_code_check(spark, sf):
@@ -294,7 +297,7 @@ def q_header_code_check(spark, sf):
         _, hdr = _headers(spark, sf, origin)
         parts.append(hdr.select(*_file_keys(hdr, origin), "codigo",
                                 (F.col("codigo") == F.col("Cod_Banco")).alias("passed")))
-    return _reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_header_row_count(spark, sf):
@@ -309,7 +312,7 @@ def q_header_row_count(spark, sf):
                                    F.coalesce("actual", F.lit(0)).alias("actual"),
                                    F.coalesce(F.col("filas").try_cast("bigint") == F.col("actual"),
                                               F.lit(False)).alias("passed")))
-    return _reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_row_shape_filter(spark, sf):
@@ -359,7 +362,7 @@ def q_scan_fixed_width(spark, sf):
 
 def q_settings_as_of(spark, sf):
     files = _fact(spark, sf).select("periodo_mes", "ins_id", "eerr_origen").distinct()
-    settings = _reduce(lambda a, b: a.unionByName(b),
+    settings = reduce(lambda a, b: a.unionByName(b),
                        [L.settings_frame(spark, raw) for raw in RW.STATEMENTS.values()])
     return L.settings_as_of(files, settings, keys=["ins_id", "eerr_origen"], name_col="eerr_origen")
 
@@ -382,10 +385,6 @@ QUERIES.update({
 
 # ------------------------------------------------------------ write modes
 
-import dataclasses as _dc  # noqa: E402
-
-from cuadra.session import shared_dir  # noqa: E402
-from cuadra.sinks import tables as SK  # noqa: E402
 
 # Fixed for determinism: when and by whom the loads below ran.
 CHANGED_AT = "2024-01-31 00:00:00"
@@ -498,8 +497,6 @@ QUERIES.update({
 
 # ------------------------------------------------- mapping and analytics
 
-from cuadra.operators import mapping as M  # noqa: E402
-from cuadra.operators.joins import join_dimension  # noqa: E402
 
 DEFAULTED_ACCOUNT = _dc.replace(TB.ACCOUNT, columns=tuple(
     _dc.replace(c, default={"negocio_id": "'SIN_NEGOCIO'", "producto_id": "'SIN_PRODUCTO'",

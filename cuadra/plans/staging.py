@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadra.functions.expressions import padded_code
+from cuadra.operators.joins import small_side
 from cuadra.plans import fixtures as X
 from cuadra.session import shared_dir
 
@@ -115,7 +116,7 @@ def statement_lines(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         .otherwise(F.concat_ws("\t", "planCuenta_id", _amount_text("l_extendedprice"))).alias("value"))
     banks = supplier.select(padded_code("s_suppkey", 3).alias("banco"), "s_name", "s_acctbal")
     files = keyed.groupBy("periodo", "banco", "origen").agg(F.count(F.lit(1)).alias("n"))
-    hdr = files.join(F.broadcast(banks), "banco", "left").select(
+    hdr = files.join(small_side(banks), "banco", "left").select(
         "periodo", "banco", "origen", F.lit(0).alias("_ord"),
         F.when(F.col("origen").isin("b1", "r1"),
                F.concat_ws("\t", header_code(F.col("banco"), F.col("s_acctbal")), "s_name"))

@@ -191,3 +191,18 @@ def test_quality_results_are_appended(spark, tmp_path):
     assert summary.where("run_id = 'r2'").count() == res.summary.count()
     assert details.count() == 2 * res.details.count() > 0
     assert {r.rule_id for r in details.select("rule_id").distinct().collect()} >= {"DQ_CuentaCorta"}
+
+
+def test_period_filter_prunes_partitions_and_columns(spark, tmp_path, capsys):
+    from cuadra.sinks import tables as SK
+    fact = X.statement_fact(X.table(spark, SF_SMALL, "lineitem"))
+    path = str(tmp_path / "stmt")
+    SK.partition_replace(fact.where("periodo_mes < '1995-04-01'"), TB.STATEMENT, path)
+    table = SK.read_table(spark, TB.STATEMENT, path)
+    assert dict(table.dtypes)["ins_id"] == "string"          # partition values stay strings
+    q = table.where("periodo_mes = '1995-02-01'").select("ins_id", "eerr_Monto")
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(periodo_mes" in plan and "(periodo_mes" in plan
+    assert "ReadSchema: struct<eerr_Monto:decimal(26,2)>" in plan
+    assert q.count() == fact.where("periodo_mes = '1995-02-01'").count()
