@@ -50,34 +50,37 @@ def _filesystem(root: str):
 
 def _writer(root: str):
     """Write the rows of a task, sorted by (path, _ord), one file per path.
-    A file's lines may span Arrow batches: the last path of a batch is held
-    back until the next batch (or the end) shows it is complete."""
+    Lines are appended batch by batch to the open file and the file is
+    closed when the path changes: memory stays at one Arrow batch however
+    large a file is."""
     def write(batches):
         fs, base = _filesystem(root)
         made: set[str] = set()
-        pending = None
-
-        def flush(group: pd.DataFrame) -> tuple[str, int]:
-            rel = group["path"].iloc[0]
-            path = f"{base.rstrip('/')}/{rel}"
-            folder = path.rsplit("/", 1)[0]
-            if folder not in made:
-                fs.create_dir(folder, recursive=True)
-                made.add(folder)
-            with fs.open_output_stream(path) as out:
-                out.write(("\n".join(group["value"].tolist()) + "\n").encode("utf-8"))
-            return rel, len(group)
-
-        for pdf in batches:
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            last = pdf["path"].iloc[-1]
-            done, pending = pdf[pdf["path"] != last], pdf[pdf["path"] == last]
-            written = [flush(g) for _, g in done.groupby("path", sort=False)]
-            if written:
-                yield pd.DataFrame(written, columns=["path", "n_lines"])
-        if pending is not None and len(pending):
-            yield pd.DataFrame([flush(pending)], columns=["path", "n_lines"])
+        current, out, n = None, None, 0
+        done: list[tuple[str, int]] = []
+        try:
+            for pdf in batches:
+                for rel, group in pdf.groupby("path", sort=False):
+                    if rel != current:
+                        if out is not None:
+                            out.close()
+                            done.append((current, n))
+                        path = f"{base.rstrip('/')}/{rel}"
+                        folder = path.rsplit("/", 1)[0]
+                        if folder not in made:
+                            fs.create_dir(folder, recursive=True)
+                            made.add(folder)
+                        out, current, n = fs.open_output_stream(path), rel, 0
+                    out.write(("\n".join(group["value"].tolist()) + "\n").encode("utf-8"))
+                    n += len(group)
+                if done:
+                    yield pd.DataFrame(done, columns=["path", "n_lines"])
+                    done = []
+        finally:
+            if out is not None:
+                out.close()
+        if current is not None:
+            yield pd.DataFrame([(current, n)], columns=["path", "n_lines"])
     return write
 
 
