@@ -7,6 +7,9 @@ row: how many rules failed); data never is.
 
 Differences to the reference's per-bank loop: a job reads every bank of the
 month in one distributed scan, checks all of them, and writes all or none.
+Inputs that feed several rules and the write are materialised once in the
+shared checkpoint folder (``session.materialize``), so the rules do not each
+re-read and re-parse the extracts.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from cuadra.operators import quality as Q
 from cuadra.plans import raws as RW
 from cuadra.plans import tables as TB
 from cuadra.plans.measures import DERIVED, MEASURES
+from cuadra.session import materialize
 from cuadra.sinks import tables as SK
 from cuadra.sources import text as TX
 from cuadra.specs import RawSpec, Rule, Severity
@@ -219,7 +223,7 @@ def statements(spark: SparkSession, raw_root: str, wh: Warehouse, year: int, mon
     for origin, raw in raws.items():
         setting = raw.setting(period)
         tpl = f"{raw_root.rstrip('/')}/{origin.lower()}/{raw.template}"
-        lines = TX.read_lines(spark, tpl, {"YYYY": period[:4], "MM": period[5:7]})
+        lines = materialize(TX.read_lines(spark, tpl, {"YYYY": period[:4], "MM": period[5:7]}))
         hdr = TX.header_records(lines, setting.header_fields, keys=[TX.FILE, "Cod_Banco"])
         bad_code = hdr.agg(F.count(F.lit(1)).alias("n_rows"),
                            F.count(F.when(F.col("codigo") != F.col("Cod_Banco"), 1)).alias("n_bad"))
@@ -238,7 +242,7 @@ def statements(spark: SparkSession, raw_root: str, wh: Warehouse, year: int, mon
     in_scope, missing = A.month_scope(fact, registered)
     missing_rule = Q._summary_row(missing.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("n_bad")),
                                   "registered_without_statements", "scope", "ins_id", 0, Severity.ERROR)
-    batch = M.auto_map(in_scope, TB.STATEMENT)
+    batch = materialize(M.auto_map(in_scope, TB.STATEMENT))
     refs = {"institution_month": registered,
             "account_month": SK.read_table(spark, TB.ACCOUNT_MONTH, wh.path("account_month"))
             .where(F.col("periodo_mes") == period)}
@@ -260,7 +264,7 @@ def indicators(spark: SparkSession, wh: Warehouse, year: int, month: int,
     """Management indicators of a month from the statement table."""
     period = period_str(year, month)
     fact = SK.read_table(spark, TB.STATEMENT, wh.path("statement"))
-    compared = A.month_compare(fact, ["ins_id", "planCuenta_id"], period=period)
+    compared = materialize(A.month_compare(fact, ["ins_id", "planCuenta_id"], period=period))
     agg = Q.aggregate_rules(compared, AGG_RULES)
     first = Q.first_error(agg)
     agg_summary = agg.select(
@@ -270,7 +274,7 @@ def indicators(spark: SparkSession, wh: Warehouse, year: int, month: int,
         .alias("n_bad"), "passed")
     accounts = SK.read_table(spark, TB.ACCOUNT, wh.path("account"))
     out = A.management_indicators(fact, accounts, MEASURES, DERIVED, period=period)
-    batch = M.auto_map(out, TB.INDICATORS)
+    batch = materialize(M.auto_map(out, TB.INDICATORS))
     res = Q.check(batch, TB.INDICATORS)
     summary = reduce(DataFrame.unionByName, [_interval_rule(compared, compare_rows, "compare_rows"),
                                              agg_summary, res.summary])

@@ -64,3 +64,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder ``<checkpoint base>/cuadra/<name>-<uuid>``."""
     base = checkpoint_base(spark)
     return f"{base.rstrip('/')}/cuadra/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    there: several rules and a write then read the result instead of
+    recomputing the lineage, and a lost executor does not lose it."""
+    checkpoint_base(df.sparkSession)
+    return df.checkpoint(eager=True)
