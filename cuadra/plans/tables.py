@@ -163,9 +163,10 @@ def registered_institutions(supplier: DataFrame) -> DataFrame:
 def institution_month(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame) -> DataFrame:
     """Banks registered per month: (order month, supplier) of every line.
 
-    Lines are first reduced to distinct (orderkey, suppkey), then joined to
-    the order month; both sides are narrow projections."""
-    lines = lineitem.select("l_orderkey", "l_suppkey").distinct()
+    Narrow projections are joined on the order key, then reduced to
+    distinct (month, bank): partial aggregation dedups map-side, where the
+    few (month, bank) pairs collapse most rows."""
+    lines = lineitem.select("l_orderkey", "l_suppkey")
     months = orders.select(F.col("o_orderkey").alias("l_orderkey"), period_of("o_orderdate").alias("periodo_mes"))
     keyed = (lines.join(months, "l_orderkey")
              .select("periodo_mes", padded_code("l_suppkey", 3).alias("ins_id")).distinct())
