@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.caseSensitive": "false",
+    # Raw extracts are many small files: pack more of them into one task.
+    "spark.sql.files.openCostInBytes": str(256 * 1024),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

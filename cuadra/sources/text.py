@@ -84,7 +84,8 @@ def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | N
     """Every line of every file matching the template.
 
     ``whole_files`` (for layouts whose files are bounded, e.g. by a row-count
-    rule): each file is read as one value and split into numbered lines, so
+    rule; the binary reader takes files below 2 GB): each file is read as
+    one value and split into numbered lines, so
     the header (line 0) travels with its lines and needs no aggregation or
     join.  Output: ``_file``, the template values, ``_line``, ``_header``,
     ``value``.
@@ -94,32 +95,33 @@ def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | N
     ``_block``/``_row`` order the lines of a file."""
     folder, name_glob = _listing(template, params)
     reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob))
+    if whole_files:
+        # binaryFile opens each file once and hands over its bytes; it is
+        # several times cheaper per small file than the whole-text reader.
+        return file_lines(reader.format("binaryFile").load(folder), template, encoding)
     if encoding.upper().replace("-", "") != "UTF8":
-        if whole_files:
-            raise ValueError("whole-file reads decode UTF-8 only; use whole_files=False")
         # the text source only decodes UTF-8; the CSV source honours the encoding
         df = (reader.option("sep", "\u0000").option("quote", "").option("encoding", encoding)
               .schema("value string").csv(folder))
     else:
-        df = reader.text(folder, wholetext=whole_files)
-    if whole_files:
-        return file_lines(df, template)
+        df = reader.text(folder)
     pattern, names = template_regex(template)
     path = F.col("_metadata.file_path")
     tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
     return df.where(path.rlike(pattern)).select(path.alias(FILE), *tokens,
-                                    F.col("_metadata.file_block_start").alias("_block"),
-                                    F.monotonically_increasing_id().alias("_row"), F.col(LINE))
+                                                F.col("_metadata.file_block_start").alias("_block"),
+                                                F.monotonically_increasing_id().alias("_row"), F.col(LINE))
 
 
-def file_lines(files: DataFrame, template: str) -> DataFrame:
-    """Numbered lines of whole-file rows (``value`` = file text) read by the
-    text source with ``wholetext``; works on batch and streaming reads.
+def file_lines(files: DataFrame, template: str, encoding: str = "UTF-8") -> DataFrame:
+    """Numbered lines of whole files read with the ``binaryFile`` source
+    (columns ``path`` and ``content``); works on batch and streaming reads.
     Output: ``_file``, the template values, ``_header``, ``_line``, ``value``."""
     pattern, names = template_regex(template)
-    path = F.col("_metadata.file_path")
+    path = F.col("path")
     tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
-    split = F.split(F.regexp_replace(LINE, r"\r?\n$", ""), r"\r?\n").alias("_lines")
+    text = F.decode(F.col("content"), encoding)
+    split = F.split(F.regexp_replace(text, r"\r?\n$", ""), r"\r?\n").alias("_lines")
     per_file = files.where(path.rlike(pattern)).select(path.alias(FILE), *tokens, split)
     return per_file.select(FILE, *names, F.element_at("_lines", 1).alias("_header"),
                            F.posexplode("_lines").alias("_line", LINE))
@@ -194,8 +196,7 @@ def scan_delimited(spark: SparkSession, template: str, setting: RawSetting,
 
     Returns (data, headers); headers is None for header-less layouts.  The
     data keeps ``_file`` and the template values."""
-    whole = setting.encoding.upper().replace("-", "") == "UTF8"
-    lines = read_lines(spark, template, params, setting.encoding, whole_files=whole)
+    lines = read_lines(spark, template, params, setting.encoding, whole_files=True)
     _, names = template_regex(template)
     keep = list(keep if keep is not None else [FILE, *names])
     headers = None

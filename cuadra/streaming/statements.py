@@ -13,7 +13,7 @@ overwritten) and replaces those partitions.  Replaying a micro-batch after
 a failure gives the same partitions: exactly-once without a transactional
 sink.
 
-Files are read whole (``wholetext``): statement files are bounded by their
+Files are read whole (``binaryFile``): statement files are bounded by their
 row-count rule, and the header travels with its lines.
 """
 
@@ -64,7 +64,7 @@ def start_statement_stream(spark: SparkSession, landing: str, raw: RawSpec, orig
     """Stream one statement kind from ``landing`` into the statement table."""
     template = f"{landing.rstrip('/')}/{raw.template}"
     folder, name_glob = TX.listing(template)
-    files = (spark.readStream.format("text").option("wholetext", "true")
+    files = (spark.readStream.format("binaryFile")
              .option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
              .option("maxFilesPerTrigger", max_files).load(folder))
     fact = parse_statements(files, template, raw, origin)
