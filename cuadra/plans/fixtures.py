@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a scan yields fewer splits than cores.
+    """Use every core when a scan reads fewer files than there are cores.
 
     A single-row-group file is read by one task; everything up to the first
     shuffle would run there.  At cluster scale the scan has thousands of
@@ -47,9 +47,11 @@ def spread(df: DataFrame) -> DataFrame:
     round-robin repartition needs."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect)
+    except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
+        return df
+    # Count files, not planned splits: a file with one row group planned as
+    # several byte-range splits is still read by one task.
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, df.columns[0])
 

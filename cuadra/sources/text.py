@@ -1,10 +1,11 @@
 """Delimited and fixed-width text extracts.
 
 One distributed read covers every file a path template matches (all banks,
-all months): the template becomes a glob for the read and a regular
-expression that recovers the template values (period, bank code, ...) from
-each row's file path.  Header records are found per file, and header lines
-are removed by value, all as DataFrame operations (no per-file driver loop).
+all months): the template's fixed folder is listed recursively with a
+file-name filter, and a regular expression over each file's path enforces
+the full template and recovers its values (period, bank code, ...).  Header
+records are found per file and header lines are removed by value, all as
+DataFrame operations (no per-file driver loop).
 """
 
 from __future__ import annotations
