@@ -30,6 +30,10 @@ from cuadra.sources import text as TX
 from cuadra.specs import RawSpec, TableSpec
 
 
+# Columns of Spark's binaryFile source (a stream needs them declared).
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def parse_statements(files: DataFrame, template: str, raw: RawSpec, origin: str) -> DataFrame:
     """Whole-file rows of one statement kind -> rows of the unified fact."""
     setting = raw.settings[-1]
@@ -64,7 +68,7 @@ def start_statement_stream(spark: SparkSession, landing: str, raw: RawSpec, orig
     """Stream one statement kind from ``landing`` into the statement table."""
     template = f"{landing.rstrip('/')}/{raw.template}"
     folder, name_glob = TX.listing(template)
-    files = (spark.readStream.format("binaryFile")
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob)
              .option("maxFilesPerTrigger", max_files).load(folder))
     fact = parse_statements(files, template, raw, origin)
