@@ -21,6 +21,8 @@ A group is one file, so a retried task rewrites the same bytes.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,12 @@ CHART_TITLE = "Codigo\tNombre"
 
 _STAGED: dict[tuple[str, str], str] = {}
 
+# The writer below runs in Python workers.  Ship this module's code with
+# the task (pickled by value) so workers need no installed copy of cuadra.
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _filesystem(root: str):
     import pyarrow.fs as pafs
