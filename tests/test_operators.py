@@ -206,3 +206,16 @@ def test_period_filter_prunes_partitions_and_columns(spark, tmp_path, capsys):
     assert "PartitionFilters: [isnotnull(periodo_mes" in plan and "(periodo_mes" in plan
     assert "ReadSchema: struct<eerr_Monto:decimal(26,2)>" in plan
     assert q.count() == fact.where("periodo_mes = '1995-02-01'").count()
+
+
+def test_flagship_plan_has_one_aggregation_shuffle(spark, capsys):
+    import __spark_entry__ as E
+    df = E.queries()["mgmt_indicators"](spark, SF_SMALL)
+    df.explain()
+    plan = capsys.readouterr().out
+    group_exchanges = [ln for ln in plan.splitlines()
+                       if "Exchange hashpartitioning(periodo_mes" in ln and "ins_id" in ln]
+    assert len(group_exchanges) == 1                       # one shuffle of (pre-aggregated) fact data
+    assert "partial_sum" in plan                            # map-side combine before it
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Generate inline" in plan                        # current / previous rows, no self-join
