@@ -207,7 +207,7 @@ def pk_check(df: DataFrame, keys: Sequence[str], rule_id: str = "pk", error_code
     counted = key_counts(src, keys)
     agg = counted.agg(F.sum("n_rows").alias("n_rows"),
                       F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))).alias("n_bad"))
-    if ignore_nulls:  # n_rows is the whole input, nulls included
+    if ignore_nulls:  # n_rows counts the rows with a non-null key (0 when none)
         agg = agg.select(F.coalesce(F.col("n_rows"), F.lit(0)).alias("n_rows"), "n_bad")
     return _summary_row(agg.fillna({"n_rows": 0}), rule_id, rule_type, ",".join(keys), error_code,
                         severity, external_code=external_code)
