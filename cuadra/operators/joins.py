@@ -1,9 +1,12 @@
 """Joins with a checked broadcast side.
 
-A side is broadcast only after proving it holds at most ``max_rows`` rows:
-``limit(max_rows + 1).count()`` stops each task after ``max_rows + 1`` rows,
-so the check costs little even when the side turns out to be large.  Beyond
-the bound the join is left to a shuffle join, where AQE splits skewed keys.
+A side is broadcast only after proving it holds at most ``max_rows`` rows.
+The probe takes ``max_rows + 1`` one-column rows with ``take``, which Spark
+runs incrementally (one partition, then 4, 16, ... more) and stops as soon
+as the bound is exceeded: a large side costs a partition or two of reading,
+a small side its full (small) scan, and at most ``max_rows + 1`` tiny rows
+reach the driver.  Beyond the bound the join is left to a shuffle join,
+where AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -14,13 +17,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a narrow dimension (a few key and label columns) we accept to ship
-# to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# to every executor.  The reference's dimensions hold 10 to 1000 rows.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+# Above this bound the probe counts on the executors instead of taking rows
+# to the driver (each task then stops after ``max_rows + 1`` rows).
+TAKE_PROBE_ROWS = 200_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded work)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    probe = df.select(F.lit(1).alias("_one"))
+    if max_rows <= TAKE_PROBE_ROWS:
+        return len(probe.take(max_rows + 1)) <= max_rows
+    return probe.limit(max_rows + 1).count() <= max_rows
 
 
 def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
