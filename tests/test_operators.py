@@ -14,7 +14,7 @@ from cuadra.plans import fixtures as X
 from cuadra.plans import tables as TB
 from cuadra.plans.measures import DERIVED, MEASURES
 from cuadra.sources import text as TX
-from cuadra.specs import ColumnSpec, Rule, Severity, TableKind, TableSpec
+from cuadra.specs import ColumnSpec, Rule, TableKind, TableSpec
 from tests.conftest import SF_SMALL
 
 
