@@ -219,3 +219,28 @@ def test_flagship_plan_has_one_aggregation_shuffle(spark, capsys):
     assert "partial_sum" in plan                            # map-side combine before it
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "Generate inline" in plan                        # current / previous rows, no self-join
+
+
+def test_files_outside_every_layout_are_reported(spark):
+    from cuadra.sources import layouts as L
+    from cuadra.specs import RawSetting, RawSpec
+    raw = RawSpec("B1", "{{YYYY}}{{MM}}/b1{{YYYY}}{{MM}}{{Cod_Banco}}.txt", (
+        RawSetting("1996-01-01", "1997-12-31", (("planCuenta_id", "string"),)),
+        RawSetting("1997-07-01", "2050-12-12", (("planCuenta_id", "string"),))))
+    files = (X.statement_fact(X.table(spark, SF_SMALL, "lineitem"))
+             .where("eerr_origen = 'B1'").select("periodo_mes", "ins_id", "eerr_origen").distinct())
+    out = L.settings_as_of(files, L.settings_frame(spark, raw), keys=["ins_id", "eerr_origen"],
+                           name_col="eerr_origen")
+    by = {r.kind: r.n for r in out.selectExpr(
+        "CASE WHEN periodo_mes < '1996-01-01' THEN 'none' WHEN periodo_mes BETWEEN '1997-07-01' AND '1997-12-31' "
+        "THEN 'both' ELSE 'one' END AS kind", "n_settings AS n", "setting_id").distinct().collect()}
+    assert by == {"none": 0, "both": 2, "one": 1}
+    assert out.where("n_settings != 1 AND setting_id IS NOT NULL").count() == 0
+
+
+def test_profile_with_approximate_distinct(spark):
+    orders = X.table(spark, SF_SMALL, "orders")
+    prof = {r.column_name: r for r in A.profile_columns(orders, ["o_orderstatus", "o_custkey"]).collect()}
+    exact = orders.select("o_orderstatus").distinct().count()
+    assert prof["o_orderstatus"].approx_distinct == exact
+    assert prof["o_custkey"].n_non_null == orders.count()
