@@ -212,17 +212,21 @@ def account_enrichment(spark: SparkSession, raw_root: str, wh: Warehouse, lot: s
 
 # ------------------------------------------------------------------ H6
 
-def statements(spark: SparkSession, raw_root: str, wh: Warehouse, year: int, month: int,
+def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehouse, year: int, month: int,
                raws: dict[str, RawSpec] | None = None) -> JobResult:
     """Statement fact of a month: every bank's four extracts in one scan each,
     header code and row-count checks per file, scope to the banks registered
-    for the month, unify, table rules, partition replace."""
+    for the month, unify, table rules, partition replace.
+
+    ``raw_root``: one folder holding every statement kind (the reference's
+    layout), or a folder per kind ({'B1': ..., 'R1': ...})."""
     raws = raws or RW.STATEMENTS
+    roots = raw_root if isinstance(raw_root, dict) else {o: raw_root for o in raws}
     period = period_str(year, month)
     branches, file_rules = [], []
     for origin, raw in raws.items():
         setting = raw.setting(period)
-        tpl = f"{raw_root.rstrip('/')}/{origin.lower()}/{raw.template}"
+        tpl = f"{roots[origin].rstrip('/')}/{raw.template}"
         lines = materialize(TX.read_lines(spark, tpl, {"YYYY": period[:4], "MM": period[5:7]}))
         hdr = TX.header_records(lines, setting.header_fields, keys=[TX.FILE, "Cod_Banco"])
         bad_code = hdr.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -286,12 +290,12 @@ def indicators(spark: SparkSession, wh: Warehouse, year: int, month: int,
 
 # ------------------------------------------------------------------ H8, H9
 
-def monthly_run(spark: SparkSession, roots: dict[str, str], wh: Warehouse, year: int, month: int,
+def monthly_run(spark: SparkSession, roots: dict[str, object], wh: Warehouse, year: int, month: int,
                 raws: dict[str, object] | None = None) -> list[JobResult]:
     """The monthly run in dependency order; a job runs only if the previous
     ones passed.  ``roots``: folders of the 'codifis', 'plan' and 'stmt'
-    extracts; ``raws`` may override their layouts (keys 'codifis', 'plan',
-    'stmt')."""
+    extracts ('stmt' may map each statement kind to its own folder);
+    ``raws`` may override their layouts (keys 'codifis', 'plan', 'stmt')."""
     raws = raws or {}
     codifis, plan = raws.get("codifis", RW.CODIFIS), raws.get("plan", RW.PLAN_CTAS)
     steps = [

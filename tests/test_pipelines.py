@@ -23,7 +23,10 @@ RELAXED = {
 
 @pytest.fixture(scope="module")
 def roots(spark):
-    return {k: ST.stage(spark, SF_SMALL, k) for k in ("codifis", "plan", "stmt", "asigna")}
+    out = {k: ST.stage(spark, SF_SMALL, k) for k in ("codifis", "plan", "stmt", "asigna")}
+    # the staged statements keep each kind in its own folder
+    out["stmt"] = {o: f"{out['stmt']}/{o.lower()}" for o in RW.STATEMENTS}
+    return out
 
 
 def test_monthly_run_writes_all_tables(spark, roots):
@@ -108,3 +111,24 @@ def test_reprocess_writes_months_before_first_failure(spark):
     want = A.management_indicators(fact, accounts, MEASURES, DERIVED, period="1998-03-01")
     got = out.where("periodo_mes = '1998-03-01'").select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_statements_from_one_shared_folder(spark):
+    """The reference's layout: every statement kind in the month's folder."""
+    from cuadra.plans import fixtures as X
+    from cuadra.sinks import tables as SK
+    root = shared_dir(spark, "shared-layout")
+    lines = ST.statement_lines(X.table(spark, SF_SMALL, "lineitem"), X.table(spark, SF_SMALL, "supplier"))
+    ST.write_files(lines.withColumn("path", F.regexp_replace("path", "^[a-z0-9]+/", "")), root)
+    wh = P.Warehouse(shared_dir(spark, "wh6"))
+    fact = X.statement_fact(X.table(spark, SF_SMALL, "lineitem")).where("periodo_mes = '1998-03-01'")
+    registered = fact.select("periodo_mes", "ins_id", F.lit("x").alias("ins_nombre")).distinct()
+    SK.partition_replace(registered, TB.INSTITUTION_MONTH, wh.path("institution_month"))
+    months = fact.select("periodo_mes", "planCuenta_id", F.lit("name").alias("planCuenta_Nombre")).distinct()
+    SK.partition_replace(months, TB.ACCOUNT_MONTH, wh.path("account_month"))
+    res = P.statements(spark, root, wh, 1998, 3, RELAXED["stmt"])
+    rules = {r.rule_id: r.n_rows for r in res.summary.collect()}
+    # every kind was found in the shared folder: each file rule saw that kind's rows
+    for origin in RW.STATEMENTS:
+        want = fact.where(F.col("eerr_origen") == origin).count()
+        assert rules[f"{origin}:rows_per_file"] == want > 0
