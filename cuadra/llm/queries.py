@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pii
+from . import langid, minhash, pii, tokens, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
+    "op2_urls": urls.op2_urls,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op7_minhash": minhash.op7_minhash,
+    "op9_tokens": tokens.op9_tokens,
+    "op10_langid": langid.op10_langid,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_pii": pii.oracle(),
+    "op2_urls": urls.oracle(),
 }
