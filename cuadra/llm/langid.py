@@ -123,9 +123,17 @@ class Model:
 
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(index, probability, lead over the second) for each text."""
+        p = self.posterior(raw, offsets)
+        if len(self.names) < 2:
+            return np.zeros(len(p), int), np.ones(len(p)), np.ones(len(p))
+        top = p.max(1)
+        return p.argmax(1), top, top - np.sort(p, 1)[:, -2]
+
+    def posterior(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Probability of each language for each text; even where there is no text."""
         rows = len(offsets) - 1
         if len(self.names) < 2:
-            return np.zeros(rows, int), np.ones(rows), np.ones(rows)
+            return np.ones((rows, len(self.names)))
         margin = np.zeros((rows, self.table.shape[1]))
         length = np.diff(offsets)
         full = np.flatnonzero(length)
@@ -136,11 +144,7 @@ class Model:
         z = mean * np.minimum(length, EVIDENCE)[:, None]
         loss = (np.logaddexp(0, -z[:, None, :] * self.code[None]) * self.bits).sum(2)
         p = np.exp(loss.min(1, keepdims=True) - loss)
-        p /= p.sum(1, keepdims=True)
-        best = p.argmax(1)
-        second = np.sort(p, 1)[:, -2]
-        top = p[np.arange(rows), best]
-        return best, top, top - second
+        return p / p.sum(1, keepdims=True)
 
 
 def train(df: DataFrame, text: str = "text", label: str = "lang") -> Model:
@@ -163,6 +167,16 @@ def predict(df: DataFrame, model: Model, text: str = "text", out: str = "languag
     return df.withColumn(out, F.pandas_udf(run, "lang string, score double, ambiguous boolean")(column, letters))
 
 
+def posteriors(df: DataFrame, model: Model, text: str = "text", out: str = "posterior") -> DataFrame:
+    """``df`` with ``out``: probability of each of ``model.names``."""
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], ["text"])
+            yield pd.Series([p for b in slices(iter([batch]), "text", 1 << 20) for p in model.posterior(*utf8(b.column("text")))], dtype=object)
+
+    return df.withColumn(out, F.pandas_udf(run, "array<double>")(F.col(f"`{text}`")))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (F.coalesce(crc32_of("doc_id"), F.lit(0)) % 4 == 2).alias("held_out"))
