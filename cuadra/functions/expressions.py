@@ -79,5 +79,8 @@ def lost_in_cast(source: ColumnOrName, target: ColumnOrName) -> Column:
 
 
 def padded_code(c: ColumnOrName, width: int) -> Column:
-    """Zero-padded code of fixed width (e.g. institution 7 -> '007')."""
-    return F.lpad(_col(c).cast("string"), width, "0")
+    """Zero-padded code of at least ``width`` characters (e.g. institution 7 ->
+    '007').  A longer code stays whole, so that no two codes merge; the length
+    rules report it."""
+    text = _col(c).cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))

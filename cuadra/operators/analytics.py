@@ -98,12 +98,11 @@ def _restrict_periods(out: DataFrame, source: DataFrame, period_col: str,
                       period: str | None) -> DataFrame:
     """Keep the requested period, or every period present in the source.
 
-    The set of periods is bounded by the calendar (one per month), so it is
-    broadcast."""
+    The set of periods is bounded by the calendar (one per month)."""
     if period is not None:
         return out.where(F.col(period_col) == period)
     periods = source.select(period_col).distinct()
-    return out.join(F.broadcast(periods), period_col, "left_semi")
+    return out.join(periods, period_col, "left_semi")
 
 
 def _scope_input(df: DataFrame, period_col: str, period: str | None) -> DataFrame:

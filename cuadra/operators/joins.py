@@ -1,12 +1,10 @@
-"""Joins with a checked broadcast side.
-
-A side is broadcast only after proving it holds at most ``max_rows`` rows.
-The probe takes ``max_rows + 1`` one-column rows with ``take``, which Spark
-runs incrementally (one partition, then 4, 16, ... more) and stops as soon
-as the bound is exceeded: a large side costs a partition or two of reading,
-a small side its full (small) scan, and at most ``max_rows + 1`` tiny rows
-reach the driver.  Beyond the bound the join is left to a shuffle join,
-where AQE splits skewed keys.
+"""Joins to dimensions and key sets.
+
+The physical join is the planner's choice: a side is broadcast when its
+statistics, or the size that adaptive execution measures after its shuffle, are
+under the session's ``autoBroadcastJoinThreshold``; beyond that both sides
+shuffle on the key, with skewed partitions split.  No job runs while a query is
+built.
 """
 
 from __future__ import annotations
@@ -14,45 +12,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of a narrow dimension (a few key and label columns) we accept to ship
-# to every executor.  The reference's dimensions hold 10 to 1000 rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-# Above this bound the probe counts on the executors instead of taking rows
-# to the driver (each task then stops after ``max_rows + 1`` rows).
-TAKE_PROBE_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded work)."""
-    probe = df.select(F.lit(1).alias("_one"))
-    if max_rows <= TAKE_PROBE_ROWS:
-        return len(probe.take(max_rows + 1)) <= max_rows
-    return probe.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint when its size is proven small."""
-    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
-                   how: str = "inner",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a large table to a keyed dimension.
-
-    The dimension is broadcast when proven small (no shuffle of the fact);
-    otherwise both sides shuffle on the key.
-    """
-    return fact.join(small_side(dim, max_rows), on=on, how=how)
+                   how: str = "inner") -> DataFrame:
+    """Join a large table to a keyed dimension."""
+    return fact.join(dim, on=on, how=how)
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
-              anti: bool = False,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``left_semi`` (or ``left_anti``) against a key set, broadcast when small."""
-    return df.join(small_side(keys, max_rows), on=on,
-                   how="left_anti" if anti else "left_semi")
+              anti: bool = False) -> DataFrame:
+    """``left_semi`` (or ``left_anti``) against a key set."""
+    return df.join(keys, on=on, how="left_anti" if anti else "left_semi")

@@ -22,7 +22,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuadra.operators.joins import small_side
 from cuadra.specs import ColumnSpec, ForeignKey, Rule, Severity, TableSpec
 
 SUMMARY_COLUMNS = ("rule_id", "rule_type", "column_name", "error_code", "external_code",
@@ -225,7 +224,7 @@ def fk_violations(df: DataFrame, ref: DataFrame, fk: ForeignKey) -> DataFrame:
     src = df
     if fk.nullable:
         src = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.local]))
-    return src.join(small_side(_ref_keys(ref, fk)), fk.local, "left_anti")
+    return src.join(_ref_keys(ref, fk), fk.local, "left_anti")
 
 
 def fk_violation_keys(df: DataFrame, ref: DataFrame, fk: ForeignKey) -> DataFrame:
@@ -233,13 +232,13 @@ def fk_violation_keys(df: DataFrame, ref: DataFrame, fk: ForeignKey) -> DataFram
     src = df
     if fk.nullable:
         src = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.local]))
-    return key_counts(src, fk.local).join(small_side(_ref_keys(ref, fk)), fk.local, "left_anti")
+    return key_counts(src, fk.local).join(_ref_keys(ref, fk), fk.local, "left_anti")
 
 
 def fk_check(df: DataFrame, ref: DataFrame, fk: ForeignKey, rule_id: str | None = None) -> DataFrame:
     counted = key_counts(df, fk.local)
     hits = _ref_keys(ref, fk).withColumn("_hit", F.lit(True))
-    joined = counted.join(small_side(hits), fk.local, "left")
+    joined = counted.join(hits, fk.local, "left")
     checked = F.lit(True)
     if fk.nullable:
         checked = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.local])
@@ -307,7 +306,7 @@ def new_record_check(batch: DataFrame, current: DataFrame, keys: Sequence[str],
                      rule_id: str = "max_new_records") -> DataFrame:
     """Cap on keys of the batch that are new to the current table."""
     bkeys = batch.select(*keys).distinct()
-    marked = bkeys.join(small_side(current.select(*keys).distinct().withColumn("_old", F.lit(True))),
+    marked = bkeys.join(current.select(*keys).distinct().withColumn("_old", F.lit(True)),
                         list(keys), "left")
     agg = marked.agg(F.count(F.lit(1)).alias("n_rows"),
                      F.count(F.when(F.col("_old").isNull(), 1)).alias("n_bad"))
@@ -326,9 +325,12 @@ class CheckResult:
 
 
 def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None = None,
-          detail_cols: Sequence[str] | None = None) -> CheckResult:
+          detail_cols: Sequence[str] | None = None, skip_refs: Sequence[str] = ()) -> CheckResult:
     """Run every rule a spec declares; lazy, nothing is collected.
 
+    Every foreign key needs its reference table in ``refs``; a key that is not
+    to be checked is named in ``skip_refs``.
+
     Rules run as: one pass for all row rules, one aggregation for the primary
     key, one for each unique column, one anti-join per foreign key."""
     refs = refs or {}
@@ -341,6 +343,9 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
         if col.unique:
             parts.append(pk_check(df, [col.name], rule_id=f"{col.name}:unique", rule_type="unique",
                                   ignore_nulls=True))
+    absent = [fk.ref for fk in spec.foreign_keys if fk.ref not in refs and fk.ref not in skip_refs]
+    if absent:
+        raise ValueError(f"{spec.name}: no reference given for {absent}; pass it, or name it in skip_refs")
     for fk in spec.foreign_keys:
         if fk.ref in refs:
             parts.append(fk_check(df, refs[fk.ref], fk))
@@ -356,9 +361,11 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
 
     details = [row_rule_details(df, checks, detail_cols)] if checks else []
     if spec.pk:
-        dup = duplicate_keys(df, spec.pk).select(*spec.pk)
-        details.append(df.join(dup, spec.pk, "left_semi")
-                       .select(F.lit("pk").alias("rule_id"), *detail_cols))
+        details.append(_repeated_rows(df, spec.pk).select(F.lit("pk").alias("rule_id"), *detail_cols))
+    for col in spec.columns:
+        if col.unique:
+            rows = _repeated_rows(df.where(F.col(col.name).isNotNull()), [col.name])
+            details.append(rows.select(F.lit(f"{col.name}:unique").alias("rule_id"), *detail_cols))
     for fk in spec.foreign_keys:
         if fk.ref in refs:
             rid = f"fk:{','.join(fk.local)}->{fk.ref}"
@@ -371,6 +378,13 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
     return CheckResult(summary, detail_df, kept)
 
 
+def _repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs more than once; nulls are equal to each other."""
+    dup = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])
+    return df.join(dup, same, "left_semi")
+
+
 def exclude_warnings(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None = None
                      ) -> DataFrame:
     """Drop rows violating WARNING_EXCLUDE rules (row predicates by filter,
@@ -385,10 +399,10 @@ def exclude_warnings(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFram
             keys = _ref_keys(refs[fk.ref], fk)
             if fk.nullable:
                 nulls = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in fk.local])
-                marked = out.join(small_side(keys.withColumn("_hit", F.lit(True))), fk.local, "left")
+                marked = out.join(keys.withColumn("_hit", F.lit(True)), fk.local, "left")
                 out = marked.where(nulls | F.col("_hit").isNotNull()).drop("_hit")
             else:
-                out = out.join(small_side(keys), fk.local, "left_semi")
+                out = out.join(keys, fk.local, "left_semi")
     return out
 
 

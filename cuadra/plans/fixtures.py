@@ -1,7 +1,7 @@
 """Map the driver's TPC-H style tables onto the governed entities.
 
-institution  <- supplier   ins_id = lpad(s_suppkey, 3, '0'), ins_nombre = s_name
-account      <- part       planCuenta_id = lpad(p_partkey, 7, '0'), name = p_name,
+institution  <- supplier   ins_id = s_suppkey zero-padded to 3, ins_nombre = s_name
+account      <- part       planCuenta_id = p_partkey zero-padded to 7, name = p_name,
                            negocio_id = p_type, producto_id = p_brand,
                            concept = CONCEPTS[p_size % 11] (10 -> null)
 statement    <- lineitem   period = month of l_shipdate, bank = supplier, account = part;
@@ -34,26 +34,7 @@ COMPONENT_SOURCES = (("clp", "l_extendedprice"), ("ipc", "l_quantity"),
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when a scan reads fewer files than there are cores.
-
-    A single-row-group file is read by one task; everything up to the first
-    shuffle would run there.  At cluster scale the scan has thousands of
-    splits and this is a no-op (no extra shuffle of the fact).  Hash on the
-    first column: deterministic on task retry without the local sort a
-    round-robin repartition needs."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
-        return df
-    # Count files, not planned splits: a file with one row group planned as
-    # several byte-range splits is still read by one task.
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, df.columns[0])
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def institutions(supplier: DataFrame) -> DataFrame:

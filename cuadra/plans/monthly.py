@@ -7,15 +7,17 @@ row: how many rules failed); data never is.
 
 Differences to the reference's per-bank loop: a job reads every bank of the
 month in one distributed scan, checks all of them, and writes all or none.
-Inputs that feed several rules and the write are materialised once in the
-shared checkpoint folder (``session.materialize``), so the rules do not each
-re-read and re-parse the extracts.
+The statement lines, the comparison and the indicators feed several rules and
+the write; they are materialised once in the shared checkpoint folder
+(``session.materialize``).  The small institution and account lists are read
+again by each rule.
 """
 
 from __future__ import annotations
 
 import dataclasses
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +107,7 @@ def institution(spark: SparkSession, raw_root: str, wh: Warehouse, year: int, mo
     path = wh.path("institution")
 
     def write():
-        merged = SK.upsert_full(SK.read_table(spark, TB.INSTITUTION, path), batch, TB.INSTITUTION,
+        merged = SK.upsert_full(SK.read_table(spark, TB.INSTITUTION, path), res.kept, TB.INSTITUTION,
                                 TB.INSTITUTION.names, f"{period} 00:00:00", "institution")
         SK.save_version(merged, TB.INSTITUTION, path)
         return SK.read_table(spark, TB.INSTITUTION, path)
@@ -123,7 +125,7 @@ def institution_month(spark: SparkSession, raw_root: str, wh: Warehouse, year: i
     res = Q.check(batch, TB.INSTITUTION_MONTH, refs)
     summary = res.summary.unionByName(_interval_rule(rows, raw, "rows_in_file"))
     return _finish("institution_month", period, summary,
-                   lambda: SK.partition_replace(batch, TB.INSTITUTION_MONTH, wh.path("institution_month")))
+                   lambda: SK.partition_replace(res.kept, TB.INSTITUTION_MONTH, wh.path("institution_month")))
 
 
 # ------------------------------------------------------------------ H3, H4, H5
@@ -146,15 +148,15 @@ def account(spark: SparkSession, raw_root: str, wh: Warehouse, year: int, month:
     """Account dimension: upsert id and name from the month's chart."""
     period = period_str(year, month)
     rows, period_rule = _chart(spark, raw_root, period, raw)
-    batch = rows.select("planCuenta_id", "planCuenta_Nombre")
-    refs = {}   # product / business-line masters are checked by the enrichment job
-    res = Q.check(M.map_columns(batch, TB.ACCOUNT, {"planCuenta_id": "planCuenta_id",
-                                                    "planCuenta_Nombre": "planCuenta_Nombre"}), TB.ACCOUNT, refs)
+    batch = M.map_columns(rows, TB.ACCOUNT, {"planCuenta_id": "planCuenta_id",
+                                             "planCuenta_Nombre": "planCuenta_Nombre"})
+    # product and business line stay null here; the enrichment job checks them
+    res = Q.check(batch, TB.ACCOUNT, skip_refs=("negocio", "producto"))
     summary = reduce(DataFrame.unionByName, [res.summary, period_rule, _interval_rule(rows, raw, "rows_in_file")])
     path = wh.path("account")
 
     def write():
-        merged = SK.upsert_full(SK.read_table(spark, TB.ACCOUNT, path), batch, TB.ACCOUNT,
+        merged = SK.upsert_full(SK.read_table(spark, TB.ACCOUNT, path), res.kept, TB.ACCOUNT,
                                 ["planCuenta_id", "planCuenta_Nombre"], f"{period} 00:00:00", changed_by)
         SK.save_version(merged, TB.ACCOUNT, path)
         return SK.read_table(spark, TB.ACCOUNT, path)
@@ -174,27 +176,34 @@ def account_month(spark: SparkSession, raw_root: str, wh: Warehouse, year: int,
     res = Q.check(batch, TB.ACCOUNT_MONTH, refs)
     summary = reduce(DataFrame.unionByName, [res.summary, period_rule, _interval_rule(rows, raw, "rows_in_file")])
     return _finish("account_month", period, summary,
-                   lambda: SK.partition_replace(batch, TB.ACCOUNT_MONTH, wh.path("account_month")))
+                   lambda: SK.partition_replace(res.kept, TB.ACCOUNT_MONTH, wh.path("account_month")))
 
 
 def account_enrichment(spark: SparkSession, raw_root: str, wh: Warehouse, lot: str,
                        masters: dict[str, DataFrame], raw: RawSpec = RW.ASIGNA,
-                       changed_by: str = "account_enrichment") -> JobResult:
+                       changed_by: str = "account_enrichment", changed_at: str | None = None) -> JobResult:
     """Assign product, business line and concept to existing accounts
     (selective update).  Business lines missing from their master are
-    excluded with a warning; unknown products stop the job."""
+    excluded with a warning; unknown products and repeated assignments stop the
+    job.  ``changed_at``: time of the change, the run's own by default."""
+    changed_at = changed_at or f"{datetime.now(timezone.utc):%Y-%m-%d %H:%M:%S}"
     rows = _read(spark, raw_root, raw, RW.REF_START, NUM=lot)
     src = rows.select("planCuenta_id", F.nullif("producto_id", F.lit("")).alias("producto_id"),
                       F.nullif("negocio_id", F.lit("")).alias("negocio_id"),
                       F.nullif("concepto", F.lit("")).alias("planCuenta_Concepto"))
     path = wh.path("account")
     current = SK.read_table(spark, TB.ACCOUNT, path)
+    src = materialize(src)
+    source_key = Q.pk_check(src, TB.ACCOUNT.pk, rule_id="assignment_pk")
+    if not _gate(source_key):
+        return JobResult("account_enrichment", RW.REF_START, False,
+                         source_key.unionByName(_interval_rule(rows, raw, "rows_in_file")), None)
     updated, unmatched = SK.selective_update(current, src, TB.ACCOUNT,
                                              ["producto_id", "negocio_id", "planCuenta_Concepto"],
-                                             f"{RW.REF_START} 00:00:00", changed_by)
+                                             changed_at, changed_by)
     base = updated.select(*TB.ACCOUNT.names)
-    fk_rules = [Q.fk_check(base, masters[fk.ref], fk) for fk in TB.ACCOUNT.foreign_keys]
-    summary = reduce(DataFrame.unionByName, [*fk_rules, _interval_rule(rows, raw, "rows_in_file")])
+    checked = Q.check(base, TB.ACCOUNT, masters).summary
+    summary = reduce(DataFrame.unionByName, [checked, source_key, _interval_rule(rows, raw, "rows_in_file")])
     # Rows failing a WARNING_EXCLUDE rule keep their previous values.
     kept_keys = Q.exclude_warnings(base, TB.ACCOUNT, masters).select(*TB.ACCOUNT.pk)
     final = updated.join(kept_keys, TB.ACCOUNT.pk, "left_semi").unionByName(
@@ -212,6 +221,26 @@ def account_enrichment(spark: SparkSession, raw_root: str, wh: Warehouse, lot: s
 
 # ------------------------------------------------------------------ H6
 
+def file_counts(lines: DataFrame, origin: str) -> DataFrame:
+    """(ins_id, eerr_origen, n_rows) of every file, also of one without any
+    data row: lines other than the header line."""
+    data = (F.col("value") != F.col("_header")) & (F.length("value") > 0)
+    return (lines.groupBy(F.col("Cod_Banco").alias("ins_id")).agg(F.count(F.when(data, 1)).alias("n_rows"))
+            .select("ins_id", F.lit(origin).alias("eerr_origen"), "n_rows"))
+
+
+def completeness(registered: DataFrame, counts: DataFrame, raws: dict[str, RawSpec]) -> DataFrame:
+    """One row for each statement that a registered institution owes: ins_id,
+    eerr_origen, n_rows (null: no file), passed (rows within the kind's bounds)."""
+    kinds = F.array(*[F.struct(F.lit(o).alias("eerr_origen"), F.lit(r.min_rows).alias("lo"),
+                               F.lit(r.max_rows).alias("hi")) for o, r in raws.items()])
+    owed = registered.select("ins_id").distinct().select("ins_id", F.inline(kinds))
+    found = counts.groupBy("ins_id", "eerr_origen").agg(F.sum("n_rows").alias("n_rows"))
+    return (owed.join(found, ["ins_id", "eerr_origen"], "left")
+            .withColumn("passed", F.coalesce(F.col("n_rows").between(F.col("lo"), F.col("hi")), F.lit(False)))
+            .select("ins_id", "eerr_origen", "n_rows", "passed"))
+
+
 def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehouse, year: int, month: int,
                raws: dict[str, RawSpec] | None = None) -> JobResult:
     """Statement fact of a month: every bank's four extracts in one scan each,
@@ -223,7 +252,7 @@ def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehous
     raws = raws or RW.STATEMENTS
     roots = raw_root if isinstance(raw_root, dict) else {o: raw_root for o in raws}
     period = period_str(year, month)
-    branches, file_rules = [], []
+    branches, file_rules, files = [], [], []
     for origin, raw in raws.items():
         setting = raw.setting(period)
         tpl = f"{roots[origin].rstrip('/')}/{raw.template}"
@@ -232,6 +261,7 @@ def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehous
         bad_code = hdr.agg(F.count(F.lit(1)).alias("n_rows"),
                            F.count(F.when(F.col("codigo") != F.col("Cod_Banco"), 1)).alias("n_bad"))
         file_rules.append(Q._summary_row(bad_code, f"{origin}:header_code", "header", "codigo", 0, Severity.ERROR))
+        files.append(file_counts(lines, origin))
         data = TX.split_fields(TX.drop_header(lines, hdr, keys=[TX.FILE]).where(F.length("value") > 0),
                                setting, keep=[TX.FILE, "Cod_Banco"])
         file_rules.append(_interval_rule(data, raw, f"{origin}:rows_per_file", by=[TX.FILE]))
@@ -246,6 +276,10 @@ def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehous
     in_scope, missing = A.month_scope(fact, registered)
     missing_rule = Q._summary_row(missing.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.lit(1)).alias("n_bad")),
                                   "registered_without_statements", "scope", "ins_id", 0, Severity.ERROR)
+    complete = completeness(registered, reduce(DataFrame.unionByName, files), raws)
+    file_rules.append(Q._summary_row(
+        complete.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(~F.col("passed"), 1)).alias("n_bad")),
+        "statement_files", "scope", "ins_id,eerr_origen", 0, Severity.ERROR))
     batch = materialize(M.auto_map(in_scope, TB.STATEMENT))
     refs = {"institution_month": registered,
             "account_month": SK.read_table(spark, TB.ACCOUNT_MONTH, wh.path("account_month"))
@@ -258,14 +292,18 @@ def statements(spark: SparkSession, raw_root: str | dict[str, str], wh: Warehous
         F.when(F.col("passed"), 0).otherwise(1).cast("bigint").alias("n_bad"), "passed")
     summary = reduce(DataFrame.unionByName, [res.summary, one, missing_rule, *file_rules])
     return _finish("statements", period, summary,
-                   lambda: SK.partition_replace(batch, TB.STATEMENT, wh.path("statement")))
+                   lambda: SK.partition_replace(res.kept, TB.STATEMENT, wh.path("statement")))
 
 
 # ------------------------------------------------------------------ H7
 
 def indicators(spark: SparkSession, wh: Warehouse, year: int, month: int,
-               compare_rows: tuple[int, int] = COMPARE_ROWS) -> JobResult:
-    """Management indicators of a month from the statement table."""
+               compare_rows: tuple[int, int] = COMPARE_ROWS,
+               masters: dict[str, DataFrame] | None = None) -> JobResult:
+    """Management indicators of a month from the statement table.
+
+    ``masters``: product and business-line tables for the foreign keys; those
+    of a table that is not given are not checked, which the summary says."""
     period = period_str(year, month)
     fact = SK.read_table(spark, TB.STATEMENT, wh.path("statement"))
     compared = materialize(A.month_compare(fact, ["ins_id", "planCuenta_id"], period=period))
@@ -279,11 +317,16 @@ def indicators(spark: SparkSession, wh: Warehouse, year: int, month: int,
     accounts = SK.read_table(spark, TB.ACCOUNT, wh.path("account"))
     out = A.management_indicators(fact, accounts, MEASURES, DERIVED, period=period)
     batch = materialize(M.auto_map(out, TB.INDICATORS))
-    res = Q.check(batch, TB.INDICATORS)
+    refs = {"institution": SK.read_table(spark, TB.INSTITUTION, wh.path("institution")), **(masters or {})} \
+        if SK.versions(wh.path("institution")) else dict(masters or {})
+    absent = [fk for fk in TB.INDICATORS.foreign_keys if fk.ref not in refs]
+    res = Q.check(batch, TB.INDICATORS, refs, skip_refs=[fk.ref for fk in absent])
+    skipped = [Q._summary_row(spark.range(1).select(F.lit(0).alias("n_rows"), F.lit(0).alias("n_bad")),
+                              f"not_checked:{fk.ref}", "info", ",".join(fk.local), 0, Severity.WARNING) for fk in absent]
     summary = reduce(DataFrame.unionByName, [_interval_rule(compared, compare_rows, "compare_rows"),
-                                             agg_summary, res.summary])
+                                             agg_summary, res.summary, *skipped])
     result = _finish("indicators", period, summary,
-                     lambda: SK.partition_replace(batch, TB.INDICATORS, wh.path("indicators")))
+                     lambda: SK.partition_replace(res.kept, TB.INDICATORS, wh.path("indicators")))
     result.first_error = first   # code 1: current month empty, 2: previous month empty
     return result
 
@@ -314,6 +357,18 @@ def monthly_run(spark: SparkSession, roots: dict[str, object], wh: Warehouse, ye
     return done
 
 
+def run_range(job, start: str, n_months: int) -> list[JobResult]:
+    """``job(year, month)`` for n months from ``start``, stopping at the first
+    month that fails: later months are not touched."""
+    done: list[JobResult] = []
+    for i in range(n_months):
+        period = shift_period_str(start, i)
+        done.append(job(int(period[:4]), int(period[5:7])))
+        if not done[-1].ok:
+            break
+    return done
+
+
 def reprocess_indicators(spark: SparkSession, wh: Warehouse, start: str, n_months: int) -> DataFrame:
     """Mass reprocessing of n months from ``start`` in one job: indicators
     and their rules for every month at once, written only for the months

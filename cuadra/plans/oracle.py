@@ -19,7 +19,8 @@ def period_sql(ts: str) -> str:
 
 
 def code_sql(c: str, width: int) -> str:
-    return f"lpad(CAST({c} AS VARCHAR), {width}, '0')"
+    text = f"CAST({c} AS VARCHAR)"
+    return f"(repeat('0', greatest(0, {width} - length({text}))::INT) || {text})"
 
 
 def prev_period_sql(p: str, months: int = -1) -> str:
@@ -602,7 +603,7 @@ def month_prefix_sql() -> str:
     return f"""WITH m AS (SELECT {period_sql('o_orderdate')} AS periodo_mes, count(*) AS n_orders,
                   CAST(sum(CAST(o_totalprice AS DECIMAL(23,2))) AS DECIMAL(26,2)) AS total
            FROM orders GROUP BY 1),
-bad AS (SELECT min(periodo_mes) AS first_fail FROM m WHERE NOT (n_orders BETWEEN 100 AND 100000))
+bad AS (SELECT min(periodo_mes) AS first_fail FROM m WHERE n_orders < 0.25 * (SELECT max(n_orders) FROM m))
 SELECT m.* FROM m, bad WHERE m.periodo_mes < coalesce(bad.first_fail, '9999-12-31')"""
 
 

@@ -22,15 +22,15 @@ A group is one file, so a retried task rewrites the same bytes.
 from __future__ import annotations
 
 import sys
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuadra.functions.expressions import padded_code
-from cuadra.operators.joins import small_side
 from cuadra.plans import fixtures as X
-from cuadra.session import shared_dir
+from cuadra.session import qualified, shared_dir
 
 # The header record of a statement file.
 HEADER_FIELDS = ("codigo", "banco")
@@ -49,11 +49,9 @@ _cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def _filesystem(root: str):
     import pyarrow.fs as pafs
-    if root.startswith("file:"):
-        return pafs.LocalFileSystem(), root[len("file:"):]
-    if "://" in root:
-        return pafs.FileSystem.from_uri(root)
-    return pafs.LocalFileSystem(), root
+    if "://" not in root:
+        raise ValueError(f"{root}: name the file system, as session.shared_dir does")
+    return pafs.FileSystem.from_uri(root)
 
 
 def _writer(root: str):
@@ -72,13 +70,16 @@ def _writer(root: str):
                     if rel != current:
                         if out is not None:
                             out.close()
+                            fs.move(own, final)
                             done.append((current, n))
                         path = f"{base.rstrip('/')}/{rel}"
                         folder = path.rsplit("/", 1)[0]
                         if folder not in made:
                             fs.create_dir(folder, recursive=True)
                             made.add(folder)
-                        out, current, n = fs.open_output_stream(path), rel, 0
+                        # a speculative copy of this task writes to another name
+                        own, final = f"{folder}/_{uuid.uuid4().hex}.tmp", path
+                        out, current, n = fs.open_output_stream(own), rel, 0
                     out.write(("\n".join(group["value"].tolist()) + "\n").encode("utf-8"))
                     n += len(group)
                 if done:
@@ -88,6 +89,7 @@ def _writer(root: str):
             if out is not None:
                 out.close()
         if current is not None:
+            fs.move(own, final)
             yield pd.DataFrame([(current, n)], columns=["path", "n_lines"])
     return write
 
@@ -96,6 +98,7 @@ def write_files(lines: DataFrame, root: str) -> int:
     """Write ``lines`` (path, _ord, value) as one text file per path under
     ``root``; returns the number of files.  Rows are hash-partitioned by
     path, so each file is written by exactly one task."""
+    root = qualified(lines.sparkSession, root)
     out = (lines.select("path", "_ord", "value").repartition("path")
            .sortWithinPartitions("path", "_ord")
            .mapInPandas(_writer(root), "path string, n_lines long"))
@@ -127,7 +130,7 @@ def statement_lines(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         .otherwise(F.concat_ws("\t", "planCuenta_id", _amount_text("l_extendedprice"))).alias("value"))
     banks = supplier.select(padded_code("s_suppkey", 3).alias("banco"), "s_name", "s_acctbal")
     files = keyed.groupBy("periodo", "banco", "origen").agg(F.count(F.lit(1)).alias("n"))
-    hdr = files.join(small_side(banks), "banco", "left").select(
+    hdr = files.join(banks, "banco", "left").select(
         "periodo", "banco", "origen", F.lit(0).alias("_ord"),
         F.when(F.col("origen").isin("b1", "r1"),
                F.concat_ws("\t", header_code(F.col("banco"), F.col("s_acctbal")), "s_name"))

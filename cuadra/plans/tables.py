@@ -44,7 +44,7 @@ INSTITUTION_MONTH = TableSpec(
 
 # Chart-of-accounts dimension with change tracking.
 ACCOUNT = TableSpec(
-    name="account", kind=TableKind.REFERENCE, backup=True, num_partitions=1,
+    name="account", kind=TableKind.REFERENCE, backup=True, num_partitions=1, pk_external_code="COD_ERROR",
     columns=(
         C("planCuenta_id", pk=True, min_len=7, max_len=7, min_len_code="ERROR_01",
           max_len_code="ERROR_01", description="account code"),
@@ -83,7 +83,7 @@ ACCOUNT_MONTH = TableSpec(
 
 # Unified statement fact, partitioned by period and institution.
 STATEMENT = TableSpec(
-    name="statement", kind=TableKind.TRANSACTION, num_partitions=1,
+    name="statement", kind=TableKind.TRANSACTION, num_partitions=1, pk_external_code="COD_ERROR",
     partition_cols=("periodo_mes", "ins_id"), one_value_partitions=("periodo_mes", "ins_id"),
     columns=(
         C("periodo_mes", pk=True, description="period"),

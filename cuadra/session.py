@@ -7,7 +7,6 @@ that setting is absent (local runs, tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,26 +39,43 @@ def get_session(master: str | None = None, app: str = "cuadra",
     return spark
 
 
+#: Shared folder of a local session that names none.
+LOCAL_FOLDER = "file:///tmp/checkpoints"
+
+
 def checkpoint_base(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged data.
+    """The shared folder for checkpoints and staged data, as a full URI.
 
-    Read from the session; set a local one only where the cluster gives none.
+    Read from the session.  Only a local session may go without: on a cluster
+    a folder of one machine would lose what other executors wrote.
     """
+    base = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        return base or tempfile.mkdtemp(prefix="cuadra-ckpt-")
-    base = sc.getConf().get("spark.checkpoint.dir", None)
+        if not base:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return base
     if not base:
         current = sc.getCheckpointDir()
         if current:
             # Spark appends a per-application folder; use its parent.
-            return current.rstrip("/").rsplit("/", 1)[0]
-        base = tempfile.mkdtemp(prefix="cuadra-ckpt-")
+            base = current.rstrip("/").rsplit("/", 1)[0]
+        elif sc.master.startswith("local"):
+            base = LOCAL_FOLDER
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-    return base
+    return qualified(spark, base)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system: one without a scheme lies on the session's
+    default file system, where Spark itself would write it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = folder.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

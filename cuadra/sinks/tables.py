@@ -20,7 +20,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.operators.joins import fits, small_side
 from cuadra.specs import ColumnSpec, TableSpec
 
 VERSION = "v"
@@ -28,37 +27,28 @@ VERSION = "v"
 
 # ------------------------------------------------------------ storage
 
-def _filesystem(path: str):
-    import pyarrow.fs as pafs
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), path[len("file:"):]
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+def _entries(path: str) -> list[tuple[str, bool]]:
+    """(name, is a folder) of what lies in ``path``, on the file system that
+    Spark itself would write the path to."""
+    spark = SparkSession.getActiveSession()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return [(x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(folder)]
 
 
 def exists(path: str) -> bool:
     """True when a table folder holds data (a partition folder or a file;
     dynamic partition overwrite leaves no ``_SUCCESS`` at the root)."""
-    import pyarrow.fs as pafs
-    fs, base = _filesystem(path)
-    entries = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-    return any(not e.base_name.startswith(("_", ".")) for e in entries)
+    return any(not name.startswith(("_", ".")) for name, _ in _entries(path))
 
 
 def versions(path: str) -> list[int]:
     """Complete versions of a reference table, ascending."""
-    import pyarrow.fs as pafs
-    fs, base = _filesystem(path)
-    info = fs.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-    out = []
-    for entry in info:
-        name = entry.base_name
-        if entry.type == pafs.FileType.Directory and name.startswith(f"{VERSION}="):
-            done = fs.get_file_info(f"{entry.path}/_SUCCESS")
-            if done.type == pafs.FileType.File:
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    found = [name for name, folder in _entries(path) if folder and name.startswith(f"{VERSION}=")]
+    return sorted(int(name.split("=", 1)[1]) for name in found
+                  if ("_SUCCESS", False) in _entries(f"{path}/{name}"))
 
 
 def tracking_columns(spec: TableSpec) -> list[tuple[str, str]]:
@@ -102,22 +92,12 @@ def _ordered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _with_tracking(df, spec).select(*cols)
 
 
-# Rows below which a reference table is written as ``num_partitions`` files.
-SMALL_TABLE_ROWS = 5_000_000
-
-
 def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Output file count.  Partitioned tables: rows are rebalanced by the
-    partition columns, so a small table partition becomes one file while AQE
-    splits a partition holding a large share of the rows over several tasks
-    (no single task receives a hot month).  Unpartitioned tables:
-    ``num_partitions`` files when the table is proven small, otherwise the
-    data's own partitioning (never a single-task write of a large table)."""
-    if spec.partition_cols:
-        return df.hint("rebalance", *spec.partition_cols)
-    if spec.num_partitions and fits(df, SMALL_TABLE_ROWS):
-        return df.repartition(spec.num_partitions)
-    return df
+    """Output files.  Rows are rebalanced (by the partition columns, if any):
+    AQE makes one file of what is small and splits what holds a large share of
+    the rows, from the sizes it measures at run time.  No row is counted first
+    and no large table or hot month goes through one task."""
+    return df.hint("rebalance", *spec.partition_cols)
 
 
 def partition_replace(df: DataFrame, spec: TableSpec, path: str) -> DataFrame:
@@ -150,6 +130,19 @@ def _changed(new: Column, old: Column) -> Column:
     return ~new.eqNullSafe(old)
 
 
+def single_keys(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """``source``, failing at run time if a key of the table occurs twice in it
+    (a merge would multiply the target's rows)."""
+    pk = spec.pk
+    rest = [c for c in source.columns if c not in pk]
+    grouped = source.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.first(c).alias(c) for c in rest])
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in pk])
+    message = F.concat(F.lit(f"{spec.name}: repeated source key "), key)
+    return grouped.withColumn("_ok", F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean"))
+                              .otherwise(F.lit(True))).where("_ok").select(*source.columns)
+
+
 def _merge(target: DataFrame, source: DataFrame, spec: TableSpec, mapped: Sequence[str],
            how: str, changed_at: str, changed_by: str) -> DataFrame:
     """Core of the keyed write modes.  ``how``: full (upsert), left (update
@@ -157,12 +150,13 @@ def _merge(target: DataFrame, source: DataFrame, spec: TableSpec, mapped: Sequen
     is in the source; other columns keep the target value.  Change tracking
     records old value, time and process where a tracked value changes."""
     pk = spec.pk
+    source = single_keys(source, spec)
     t = _with_tracking(target, spec).select(
         *pk, *[F.col(c).alias(f"_t_{c}") for c in _ordered(target, spec).columns if c not in pk])
     s = source.select(*pk, *[F.col(c).alias(f"_s_{c}") for c in mapped if c not in pk],
                       F.lit(True).alias("_in_source"))
     if how == "left":
-        joined = t.join(small_side(s), pk, "left").withColumn("_in_target", F.lit(True))
+        joined = t.join(s, pk, "left").withColumn("_in_target", F.lit(True))
     else:
         t = t.withColumn("_in_target", F.lit(True))
         joined = t.join(s, pk, "full_outer")
@@ -219,8 +213,16 @@ def update_only(target: DataFrame, source: DataFrame, spec: TableSpec, mapped: S
 
 def insert_only(target: DataFrame, source: DataFrame, spec: TableSpec,
                 mapping: Mapping[str, str] | None = None) -> DataFrame:
-    """Append the source keys that are new; existing keys are not touched."""
+    """Append the source keys that are new; existing keys are not touched.
+
+    ``mapping``: table column -> source column, as in the other modes; a column
+    that the source lacks takes its declared default, or null."""
+    named = {v: k for k, v in (mapping or {}).items()}
+    source = source.select(*[F.col(c).alias(named.get(c, c)) for c in source.columns])
     new = source.join(target.select(*spec.pk), spec.pk, "left_anti")
+    absent = {c.name: F.expr(c.default if c.default is not None else "NULL").try_cast(c.dtype)
+              for c in spec.columns if c.name not in new.columns}
+    new = new.withColumns(absent) if absent else new
     return _ordered(target, spec).unionByName(_ordered(new, spec))
 
 

@@ -16,7 +16,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.operators.joins import small_side
 from cuadra.specs import RawSetting
 
 FILE = "_file"
@@ -46,9 +45,13 @@ def template_glob(template: str, params: Mapping[str, str] | None = None) -> str
     return _TOKEN.sub(sub, template)
 
 
-def template_regex(template: str) -> tuple[str, list[str]]:
+def template_regex(template: str, params: Mapping[str, str] | None = None) -> tuple[str, list[str]]:
     """Regular expression over a file path, and the token of each group.
-    A token used twice must repeat the same value (back-reference)."""
+    A token used twice must repeat the same value (back-reference); a given
+    parameter must be that value."""
+    params = params or {}
+    # local file paths come back with one slash after the scheme or with three
+    template = re.sub(r"^file:/+", "/", template)
     names: list[str] = []
     out, pos = [], 0
     for m in _TOKEN.finditer(template):
@@ -58,7 +61,8 @@ def template_regex(template: str) -> tuple[str, list[str]]:
             out.append(f"\\{names.index(name) + 1}")
         else:
             names.append(name)
-            out.append(TOKENS.get(name, ("*", r"([^/]+?)"))[1])
+            out.append(f"({re.escape(str(params[name]))})" if name in params
+                       else TOKENS.get(name, ("*", r"([^/]+?)"))[1])
         pos = m.end()
     out.append(re.escape(template[pos:]).replace("\\*", "[^/]*"))
     return "".join(out) + "$", names
@@ -99,14 +103,14 @@ def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | N
     if whole_files:
         # binaryFile opens each file once and hands over its bytes; it is
         # several times cheaper per small file than the whole-text reader.
-        return file_lines(reader.format("binaryFile").load(folder), template, encoding)
+        return file_lines(reader.format("binaryFile").load(folder), template, encoding, params)
     if encoding.upper().replace("-", "") != "UTF8":
         # the text source only decodes UTF-8; the CSV source honours the encoding
         df = (reader.option("sep", "\u0000").option("quote", "").option("encoding", encoding)
               .schema("value string").csv(folder))
     else:
         df = reader.text(folder)
-    pattern, names = template_regex(template)
+    pattern, names = template_regex(template, params)
     path = F.col("_metadata.file_path")
     tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
     return df.where(path.rlike(pattern)).select(path.alias(FILE), *tokens,
@@ -114,11 +118,12 @@ def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | N
                                                 F.monotonically_increasing_id().alias("_row"), F.col(LINE))
 
 
-def file_lines(files: DataFrame, template: str, encoding: str = "UTF-8") -> DataFrame:
+def file_lines(files: DataFrame, template: str, encoding: str = "UTF-8",
+               params: Mapping[str, str] | None = None) -> DataFrame:
     """Numbered lines of whole files read with the ``binaryFile`` source
     (columns ``path`` and ``content``); works on batch and streaming reads.
     Output: ``_file``, the template values, ``_header``, ``_line``, ``value``."""
-    pattern, names = template_regex(template)
+    pattern, names = template_regex(template, params)
     path = F.col("path")
     tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
     text = F.decode(F.col("content"), encoding)
@@ -154,7 +159,7 @@ def drop_header(lines: DataFrame, headers: DataFrame | None = None,
     a repeated header further down is dropped too)."""
     if "_header" in lines.columns:
         return lines.where(F.col(LINE) != F.col("_header")).drop("_header")
-    hdr = small_side(headers.select(*keys, "_header"))
+    hdr = headers.select(*keys, "_header")
     return (lines.join(hdr, list(keys), "left")
             .where(F.col("_header").isNull() | (F.col(LINE) != F.col("_header")))
             .drop("_header"))

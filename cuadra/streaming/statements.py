@@ -56,8 +56,8 @@ def merge_into_partitions(batch: DataFrame, table: TableSpec, path: str, kind_co
     if SK.exists(path):
         touched = batch.select(*parts).distinct()
         kinds = batch.select(*parts, kind_col).distinct()
-        keep = (SK.read_table(spark, table, path).join(F.broadcast(touched), parts, "left_semi")
-                .join(F.broadcast(kinds), [*parts, kind_col], "left_anti"))
+        keep = (SK.read_table(spark, table, path).join(touched, parts, "left_semi")
+                .join(kinds, [*parts, kind_col], "left_anti"))
         merged = keep.unionByName(batch.select(*keep.columns))
     SK.partition_replace(merged.checkpoint(), table, path)
 

@@ -170,13 +170,48 @@ def test_repeated_header_lines_are_dropped(spark, tmp_path):
     assert TX.drop_header(read2, hdr2).count() == data.count()
 
 
-def test_broadcast_check_falls_back_to_shuffle(spark):
-    from cuadra.operators.joins import fits, join_dimension
-    part = _parts(spark)
-    assert fits(part, 10**6) and not fits(part, 5)
+def test_joins_need_no_job_while_a_query_is_built(spark):
+    from cuadra.operators.joins import join_dimension
     li = X.table(spark, SF_SMALL, "lineitem").select("l_partkey")
-    joined = join_dimension(li, part.withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", max_rows=5)
+    joined = join_dimension(li, _parts(spark).withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
     assert joined.count() == li.count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" not in plan
+
+
+def test_long_codes_stay_apart(spark):
+    from cuadra.functions.expressions import padded_code
+    codes = spark.range(998, 1012).select(padded_code("id", 3).alias("c"))
+    assert codes.distinct().count() == 14
+    assert codes.where("length(c) > 3").count() == 12
+
+
+def test_template_parameters_hold_behind_a_wildcard_folder():
+    from cuadra.sources.text import template_regex
+    import re
+    pattern, names = template_regex("/in/{{Cod_Banco}}/{{YYYY}}{{MM}}/data.txt", {"MM": "03"})
+    assert names == ["Cod_Banco", "YYYY", "MM"]
+    assert re.search(pattern, "/in/007/199803/data.txt") and not re.search(pattern, "/in/007/199804/data.txt")
+
+
+def test_repeated_source_keys_and_null_keys(spark):
+    import pytest
+    from cuadra.sinks import tables as SK
+    cols = "planCuenta_id string, planCuenta_Nombre string"
+    target = spark.createDataFrame([("1000000", "first name", None, None, None)],
+                                   cols + ", negocio_id string, producto_id string, planCuenta_Concepto string")
+    twice = spark.createDataFrame([("1000000", "one name"), ("1000000", "another")], cols)
+    with pytest.raises(Exception, match="repeated source key"):
+        SK.upsert_full(target, twice, TB.ACCOUNT, ["planCuenta_id", "planCuenta_Nombre"], "2020-01-01 00:00:00", "t").collect()
+    bad = spark.createDataFrame([(None, "some name"), (None, "other name")], cols).selectExpr(
+        "*", "string(null) negocio_id", "string(null) producto_id", "string(null) planCuenta_Concepto")
+    res = Q.check(bad, TB.ACCOUNT, skip_refs=("negocio", "producto"))
+    assert res.details.where("rule_id = 'pk'").count() == 2
+    with pytest.raises(ValueError, match="no reference"):
+        Q.check(bad, TB.ACCOUNT)
+    new = SK.insert_only(target, spark.createDataFrame([("2000000", "renamed")], "id string, label string"), TB.ACCOUNT,
+                         {"planCuenta_id": "id", "planCuenta_Nombre": "label"})
+    assert sorted(r.planCuenta_Nombre for r in new.collect()) == ["first name", "renamed"]
 
 
 def test_quality_results_are_appended(spark, tmp_path):

@@ -3,21 +3,22 @@
 import pytest
 
 import __spark_entry__ as E
+from cuadra.plans import oracle, registry
 from tests.conftest import SF_SMALL
 from tools.compare import rows_of
 
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.oracle_sql()) == set(registry.QUERIES)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = registry.QUERIES[key](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[key])
+    res = duck.execute(oracle.oracle_sql()[key])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert rows_of(df.columns, got) == rows_of(cols, res.fetchall())

@@ -132,3 +132,74 @@ def test_statements_from_one_shared_folder(spark):
     for origin in RW.STATEMENTS:
         want = fact.where(F.col("eerr_origen") == origin).count()
         assert rules[f"{origin}:rows_per_file"] == want > 0
+
+
+def test_statement_completeness_sees_absent_and_empty_files(spark):
+    """Every registered institution owes every kind; no file and a file with
+    only its header both fail, and nothing is written."""
+    root = shared_dir(spark, "incomplete")
+    banks, kinds = ["001", "002", "003"], list(RW.STATEMENTS)
+    rows = []
+    for bank in banks:
+        for kind in kinds:
+            if (bank, kind) == ("002", "C2"):
+                continue                                    # no file at all
+            path = f"199803/{kind.lower()}199803{bank}.txt"
+            rows.append((path, 0, f"{bank}\tBANK {bank}"))
+            if (bank, kind) == ("003", "C1"):
+                continue                                    # header only
+            amounts = ["1,5"] * (4 if kind in ("B1", "R1") else 1)
+            account = str(1000000 + kinds.index(kind))
+            rows.append((path, 1, "\t".join([account, *amounts])))
+    from cuadra.sinks import tables as SK
+
+    def run(path_rows, name):
+        folder = shared_dir(spark, name)
+        ST.write_files(spark.createDataFrame(path_rows, "path string, _ord int, value string"), folder)
+        wh = P.Warehouse(shared_dir(spark, f"wh-{name}"))
+        SK.partition_replace(spark.createDataFrame([("1998-03-01", b, f"BANK {b}") for b in banks],
+                                                   "periodo_mes string, ins_id string, ins_nombre string"),
+                             TB.INSTITUTION_MONTH, wh.path("institution_month"))
+        SK.partition_replace(spark.createDataFrame([("1998-03-01", str(1000000 + i), "an account") for i in range(4)],
+                                                   "periodo_mes string, planCuenta_id string, planCuenta_Nombre string"),
+                             TB.ACCOUNT_MONTH, wh.path("account_month"))
+        return P.statements(spark, folder, wh, 1998, 3, RELAXED["stmt"]), wh
+
+    res, wh = run(rows, "incomplete")
+    failed = {r.rule_id: r.n_bad for r in res.summary.where("NOT passed").collect()}
+    assert not res.ok and res.written is None and failed["statement_files"] == 2
+    assert not SK.exists(wh.path("statement"))
+    whole = [*rows, ("199803/c2199803002.txt", 0, "002\tBANK 002"), ("199803/c2199803002.txt", 1, "1000003\t1,5"),
+             ("199803/c1199803003.txt", 1, "1000002\t1,5")]
+    res, wh = run(whole, "complete")
+    assert res.ok, [r.asDict() for r in res.summary.where("NOT passed").collect()]
+    assert res.written.count() == 12
+
+
+def test_enrichment_stops_on_repeated_assignments(spark):
+    from cuadra.sinks import tables as SK
+    wh = P.Warehouse(shared_dir(spark, "wh7"))
+    part = spark.read.parquet(f"{SF_SMALL}/part.parquet")
+    accounts = TB.governed_accounts(part)
+    SK.save_version(accounts, TB.ACCOUNT, wh.path("account"))
+    one = accounts.first()
+    root = shared_dir(spark, "twice")
+    raw = dataclasses.replace(RW.ASIGNA, min_rows=1, max_rows=100000)
+    path = RW.ASIGNA.template.replace("{{NUM}}", "1")
+    lines = [(path, i, f"{one.planCuenta_id};{one.producto_id};{one.negocio_id};x") for i in range(2)]
+    ST.write_files(spark.createDataFrame(lines, "path string, _ord int, value string"), root)
+    masters = {"negocio": TB.business_lines(part), "producto": TB.products(part)}
+    res = P.account_enrichment(spark, root, wh, "1", masters, raw)
+    assert not res.ok and res.written is None and SK.versions(wh.path("account")) == [1]
+
+
+def test_a_range_stops_at_the_first_failing_month(spark, roots):
+    wh = P.Warehouse(shared_dir(spark, "wh8"))
+    strict = dataclasses.replace(RELAXED["plan"], min_rows=10**6, max_rows=10**7)
+    seen = []
+
+    def job(year, month):
+        seen.append((year, month))
+        return P.account(spark, roots["plan"], wh, year, month, strict if month == 1 else RELAXED["plan"])
+    done = P.run_range(job, "1997-12-01", 4)
+    assert [r.ok for r in done] == [True, False] and seen == [(1997, 12), (1998, 1)]
