@@ -615,6 +615,60 @@ def lost_in_cast_sql() -> str:
         f"count(*) FILTER (WHERE {bad}) = 0 AS passed FROM orders" for c, bad in parts)
 
 
+# ------------------------------------------------------------ monthly jobs
+
+MARCH = "l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01'"
+
+
+def institution_job_sql() -> str:
+    return (f"SELECT DISTINCT {code_sql('s_suppkey', 3)} AS ins_id, s_name AS ins_nombre "
+            f"FROM supplier JOIN lineitem ON s_suppkey = l_suppkey WHERE {MARCH}")
+
+
+def institution_month_job_sql() -> str:
+    return f"SELECT '1998-03-01' AS periodo_mes, * FROM ({institution_job_sql()})"
+
+
+def account_job_sql(months: str = MARCH) -> str:
+    return (f"SELECT DISTINCT {code_sql('p_partkey', 7)} AS planCuenta_id, p_name AS planCuenta_Nombre "
+            f"FROM part JOIN lineitem ON p_partkey = l_partkey WHERE {months}")
+
+
+def account_month_job_sql() -> str:
+    return f"SELECT '1998-03-01' AS periodo_mes, * FROM ({account_job_sql()})"
+
+
+def account_range_job_sql() -> str:
+    return account_job_sql("l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '1998-04-01'")
+
+
+ORIGIN = ("CASE WHEN l_returnflag = 'A' THEN 'B1' WHEN l_returnflag = 'R' THEN 'R1' "
+          "WHEN l_linestatus = 'F' THEN 'C1' WHEN l_linestatus = 'O' THEN 'C2' END")
+
+
+def statement_completeness_sql() -> str:
+    return f"""
+WITH n AS (SELECT l_suppkey AS s_suppkey, {ORIGIN} AS eerr_origen,
+                  count(*) FILTER (NOT (l_suppkey % 10 = 4 AND {ORIGIN} = 'C1')) AS n_rows
+           FROM lineitem WHERE {MARCH} AND NOT (l_suppkey % 10 = 3 AND {ORIGIN} = 'C2') GROUP BY 1, 2)
+SELECT {code_sql('s_suppkey', 3)} AS ins_id, eerr_origen, n_rows, coalesce(n_rows >= 1, false) AS passed
+FROM (SELECT s_suppkey, unnest(['B1', 'R1', 'C1', 'C2']) AS eerr_origen FROM supplier) LEFT JOIN n USING (s_suppkey, eerr_origen)"""
+
+
+def statements_job_sql() -> str:
+    return f"""
+WITH once AS (SELECT l_suppkey, l_partkey FROM lineitem WHERE {MARCH} GROUP BY ALL HAVING count(*) = 1),
+m AS (SELECT * FROM lineitem JOIN once USING (l_suppkey, l_partkey) WHERE {MARCH}),
+clean AS (SELECT * FROM m WHERE l_suppkey IN (
+  SELECT l_suppkey FROM m JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal >= 0
+  GROUP BY l_suppkey HAVING count(DISTINCT {ORIGIN}) = 4))
+{fact_sql().replace('FROM lineitem', 'FROM clean')}"""
+
+
+def indicators_job_sql() -> str:
+    return f"SELECT * FROM ({mgmt_indicators_sql()}) WHERE periodo_mes = '1998-03-01'"
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -668,6 +722,14 @@ ORACLES = {
     "profile_columns": profile_columns_sql,
     "month_prefix": month_prefix_sql,
     "lost_in_cast": lost_in_cast_sql,
+    "institution_job": institution_job_sql,
+    "institution_month_job": institution_month_job_sql,
+    "account_job": account_job_sql,
+    "account_month_job": account_month_job_sql,
+    "account_range_job": account_range_job_sql,
+    "statement_completeness": statement_completeness_sql,
+    "statements_job": statements_job_sql,
+    "indicators_job": indicators_job_sql,
 }
 
 

@@ -16,6 +16,7 @@ from cuadra.operators import mapping as M
 from cuadra.operators import quality as Q
 from cuadra.operators.joins import join_dimension
 from cuadra.plans import fixtures as X
+from cuadra.plans import jobs as JB
 from cuadra.plans import raws as RW
 from cuadra.plans import staging as ST
 from cuadra.plans import tables as TB
@@ -616,3 +617,5 @@ def q_lost_in_cast(spark, sf):
 
 
 QUERIES["lost_in_cast"] = q_lost_in_cast
+
+QUERIES.update(JB.QUERIES)
