@@ -7,7 +7,7 @@ Sharding: each window of LENGTH bytes is owned by its minimizer, the KEY-byte
 string in it with the least hash (the first of equals).  Equal windows have equal
 minimizers at equal places, so it is enough to compare, for each minimizer that
 occurs twice, the segments around it: the windows that it owns.  Equal segments
-are one row with a count.
+are one row with a count, summed in each slice and again where they meet.
 
 Index: each shard of segments gets a suffix array by prefix doubling, its
 run-compressed Burrows-Wheeler transform and suffix samples at the runs' ends.
@@ -16,8 +16,10 @@ computed where a run starts or ends and falls by one from place to place in
 between.  Matches of LENGTH bytes mark the windows.
 
 A minimizer around which more than HOT different segments lie (a short common
-line in ever different surroundings) does not fit one shard; its windows are
-then counted one by one by 128-bit hash, exactly and with partial sums.
+line in ever different surroundings) does not fit one shard.  Its windows are
+dealt anew, BLOCK by BLOCK, by the bytes that all windows of a block share; what
+is still too common is counted window by window by 128-bit hash, exactly and
+with partial sums.
 
 Defined results: null and empty texts and texts under LENGTH bytes lose nothing;
 texts are read whole, in overlapping parts of a task's slice; repeated rows are
@@ -40,6 +42,8 @@ from .common import BASE, BYTE_HASH, SLICE_BYTES, mix, slices, span_hashes, stag
 LENGTH, KEY = 200, 64
 #: Bytes that an index covers, and different segments of one minimizer in it.
 SHARD_BYTES, HOT = 1 << 20, 2048
+#: Windows that are dealt together by the bytes that they share.
+BLOCK = 25
 PLACE = np.uint64((1 << 22) - 1)
 #: A place is start * WIDEST + windows.
 WIDEST = 256
@@ -201,33 +205,83 @@ def covered(marked: np.ndarray, first: int = 0) -> list[tuple[int, int]]:
     return [(int(a) + first, int(z) + LENGTH + first) for a, z in zip(at[np.r_[0, gap + 1]], at[np.r_[gap, len(at) - 1]], strict=True)]
 
 
-SPANS = "key long, seg long, spans array<struct<a:int,z:int>>"
-SPANS_ARROW = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())])))])
+FOUND = "key long, seg long, spans array<struct<a:int,z:int>>, n long, content binary"
+FOUND_ARROW = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())]))), ("n", pa.int64()), ("content", pa.binary())])
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated byte runs of each segment; rows of one key stand together."""
-    held: list[tuple] = []
+    """Repeated byte runs of each segment; rows are sorted by key.  Segments of
+    a key with more than HOT of them come back whole, with no runs."""
+    shard: list[tuple] = []
     size = 0
+    out: list[dict] = []
+    group: list[tuple] = []
+    hot = False
 
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
+    def searched(rows: list[tuple]) -> list[dict]:
         index = RunIndex([r[3] for r in rows])
         marked = index.repeated(LENGTH)
-        out = []
         for (key, seg, n, content), start in zip(rows, index.starts, strict=True):
-            own = marked[start:start + len(content) - LENGTH + 1] if n == 1 else np.ones(len(content) - LENGTH + 1, bool)
-            out.append({"key": key, "seg": seg, "spans": [{"a": a, "z": z} for a, z in covered(own)]})
-        return pa.RecordBatch.from_pylist([r for r in out if r["spans"]], SPANS_ARROW)
+            windows = len(content) - LENGTH + 1
+            spans = covered(marked[start:start + windows] if n == 1 else np.ones(windows, bool))
+            if spans:
+                out.append({"key": key, "seg": seg, "spans": [{"a": a, "z": z} for a, z in spans]})
+        return out
+
+    def closed() -> None:
+        nonlocal size
+        if len(group) == 1 and group[0][2] > 1:  # copies alone need no index
+            key, seg, _, content = group[0]
+            out.append({"key": key, "seg": seg, "spans": [{"a": 0, "z": len(content)}]})
+        elif len(group) > 1:
+            shard.extend(group)
+            size += sum(len(r[3]) + 1 for r in group)
 
     for b in batches:
-        for row in zip(b.column("key").to_pylist(), b.column("seg").to_pylist(), b.column("n").to_pylist(), b.column("content").to_pylist(), strict=True):
-            if size > SHARD_BYTES and held[-1][0] != row[0]:
-                yield shard(held)
-                held, size = [], 0
-            held.append(row)
-            size += len(row[3]) + 1
-    if held:
-        yield shard(held)
+        for row in zip(*(b.column(c).to_pylist() for c in ("key", "seg", "n", "content")), strict=True):
+            if group and group[0][0] != row[0] or hot and key_now != row[0]:
+                closed()
+                group, hot = [], False
+                if size > SHARD_BYTES:
+                    searched(shard)
+                    shard, size = [], 0
+            key_now = row[0]
+            group.append(row)
+            if hot or len(group) > HOT:
+                out += [{"key": k, "seg": g, "n": n, "content": c} for k, g, n, c in group]
+                group, hot = [], True
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_pylist(out, FOUND_ARROW)
+                out = []
+    closed()
+    if shard:
+        searched(shard)
+    yield pa.RecordBatch.from_pylist(out, FOUND_ARROW)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment's windows in blocks by their distance from the minimizer,
+    keyed by the bytes that all windows of the block hold."""
+    for b in slices(batches, "content", 1 << 19):
+        raw, offsets = utf8(b.column("content"))
+        keys, own = key_hashes(raw).view(np.int64), b.column("key").to_numpy()
+        rows = []
+        for i in range(b.num_rows):
+            lo, hi = offsets[i], offsets[i + 1]
+            windows = hi - lo - LENGTH + 1
+            place = int(np.flatnonzero(keys[lo:lo + LENGTH - KEY + 1] == own[i])[0])
+            far = place - np.arange(windows)  # falls by one from window to window
+            for block in range(int(far[-1]) // BLOCK, int(far[0]) // BLOCK + 1):
+                at = np.flatnonzero(far // BLOCK == block)
+                rows.append((i, int(at[0]), lo + int(at[0]), lo + int(at[-1]) + LENGTH, lo + place - block * BLOCK, block))
+        row, shift, start, end, common, block = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+        values = mix(BYTE_HASH[raw])
+        key = mix(span_hashes(values, common, common + LENGTH - BLOCK + 1) + (block + 1).astype(np.uint64) * BASE) ^ own[row].view(np.uint64)
+        content = raw.tobytes()
+        yield pa.RecordBatch.from_arrays([
+            *(b.column(c).take(pa.array(row)) for c in ("key", "seg", "n")), pa.array(shift.astype(np.int32)), pa.array(key.view(np.int64)),
+            pa.array(span_hashes(values, start, end).view(np.int64)), pa.array([content[x:y] for x, y in zip(start, end, strict=True)], pa.binary())],
+            ["key", "seg", "n", "shift", "key2", "seg2", "content"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,11 +313,17 @@ def _cut(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.R
         if not whole:
             yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(row)), pa.array(at), pa.array(key), pa.array(seg)], ["row", "at", "key", "seg"])
             continue
+        # equal segments of the slice are one row
+        order = np.lexsort((seg, key))
+        key, seg, start, end = key[order], seg[order], start[order], end[order]
+        one = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])]) if len(key) else order
+        times = np.diff(np.r_[one, len(key)])
         content = raw.tobytes()
-        for lo in range(0, len(start), 8192):
-            some = slice(lo, lo + 8192)
+        for lo in range(0, len(one), 8192):
+            some = one[lo:lo + 8192]
             yield pa.RecordBatch.from_arrays([
-                pa.array(key[some]), pa.array(seg[some]), pa.array([content[s:e] for s, e in zip(start[some], end[some], strict=True)], pa.binary())], ["key", "seg", "content"])
+                pa.array(key[some]), pa.array(seg[some]), pa.array(times[lo:lo + 8192]),
+                pa.array([content[s:e] for s, e in zip(start[some], end[some], strict=True)], pa.binary())], ["key", "seg", "n", "content"])
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,35 +350,55 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """RESULT for each row of ``docs``; ``kept`` is what is left of the text."""
+def _met(segments: DataFrame, name: str) -> DataFrame:
+    """FOUND for (key, seg, n, content): rows of a key meet in one task, equal
+    ones are summed there, and the task indexes them shard by shard."""
+    one = segments.repartition("key").groupBy("key", "seg").agg(F.sum("n").alias("n"), F.first("content").alias("content"))
+    return staged(one.sortWithinPartitions("key", "seg").mapInArrow(_indexed, FOUND), name)
+
+
+def _spans(segments: DataFrame) -> DataFrame:
+    """(key, seg, spans): the repeated byte runs of each segment."""
+    found = _met(segments, "spans")
+    blocks = staged(found.where("content is not null").select("key", "seg", "n", "content").mapInArrow(
+        _blocks, "key long, seg long, n long, shift int, key2 long, seg2 long, content binary"), "blocks")
+    finer = _met(blocks.select(F.col("key2").alias("key"), F.col("seg2").alias("seg"), "n", "content"), "finer")
+    single = finer.where("content is not null").select("key", "seg", "n", "content").mapInArrow(_windows, "w1 long, w2 long, key long, seg long, n long, at int")
+    twice = single.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
+    single = single.join(twice, ["w1", "w2"]).select("key", "seg", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + LENGTH).alias("z"))).alias("spans"))
+    finer = finer.where("spans is not null").select("key", "seg", "spans").unionByName(single).select(
+        F.col("key").alias("key2"), F.col("seg").alias("seg2"), "spans")
+    back = blocks.select("key", "seg", "shift", "key2", "seg2").join(finer, ["key2", "seg2"]).select("key", "seg", F.transform(
+        "spans", lambda x: F.struct((F.col("shift") + x["a"]).alias("a"), (F.col("shift") + x["z"]).alias("z"))).alias("spans"))
+    return found.where("spans is not null").select("key", "seg", "spans").unionByName(back)
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = True) -> DataFrame:
+    """RESULT for each row of ``docs``; ``kept`` is what is left of the text.
+    Without ``whole``, ``kept`` is null and untouched texts are not carried."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("id", "text"))
     often = rows.select("text").mapInArrow(_keys, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
     places = rows.select("row", "text").mapInArrow(_places, "key long, row long, place long").join(often, "key")
     listed = places.groupBy("row").agg(F.collect_list(F.struct("key", "place")).alias("places"))
-    texts = staged(rows.join(listed, "row", "left"), "texts")
+    joined = rows.join(listed, "row", "left")
+    untouched = F.col("places").isNull()
+    texts = staged(joined.select(
+        "row", "id", "places", F.octet_length("text").cast("long").alias("n_bytes"), F.when(untouched, F.sha2(F.col("text").cast("binary"), 256)).alias("sha"),
+        F.when(~untouched | F.lit(whole), F.col("text")).alias("text")), "texts")
     some = texts.where("places is not null").select("row", "text", "places")
-    # one row for each different segment, with the number of its occurrences
-    cut = some.mapInArrow(_cut, "key long, seg long, content binary")
-    segments = staged(cut.groupBy("key", "seg").agg(F.count("*").alias("n"), F.first("content").alias("content")), "segments")
-    sized = segments.join(segments.groupBy("key").agg(F.count("*").alias("m")), "key")
-    # copies alone need no index, and what is alone has no match
-    copies = sized.where("m = 1 and n > 1").select("key", "seg", F.array(F.struct(F.lit(0).alias("a"), F.length("content").alias("z"))).alias("spans"))
-    shards = sized.where(f"m between 2 and {HOT}").select("key", "seg", "n", "content")
-    spans = shards.repartition("key").sortWithinPartitions("key", "seg").mapInArrow(_indexed, SPANS)
-    hot = sized.where(f"m > {HOT}").select("key", "seg", "n", "content").mapInArrow(_windows, "w1 long, w2 long, key long, seg long, n long, at int")
-    twice = hot.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
-    single = hot.join(twice, ["w1", "w2"]).select("key", "seg", F.array(F.struct(F.col("at").alias("a"), (F.col("at") + LENGTH).alias("z"))).alias("spans"))
-    spans = staged(copies.unionByName(spans).unionByName(single), "spans")
+    spans = staged(_spans(some.mapInArrow(_cut, "key long, seg long, n long, content binary")), "runs")
     moved = F.transform("spans", lambda s: F.struct((F.col("at") + s["a"]).alias("a"), (F.col("at") + s["z"]).alias("z")))
     found = (some.mapInArrow(_named, "row long, at long, key long, seg long").join(spans, ["key", "seg"])
              .select("row", F.explode(moved).alias("s")).groupBy("row").agg(F.collect_list("s").alias("spans")))
-    whole = texts.where("places is null").select("id", "text", F.lit(None).cast("array<struct<a:bigint,z:bigint>>").alias("spans"))
-    left = texts.where("places is not null").join(found, "row", "left").select("id", "text", "spans")
-    return whole.unionByName(left).mapInArrow(_kept, RESULT)
+    left = texts.where("places is not null").select("row", "id", "text").join(found, "row", "left").select("id", "text", "spans").mapInArrow(_kept, RESULT)
+    zero = F.lit(0).cast("long")
+    same = texts.where("places is null").select("id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"),
+                                                F.col("text").cast("binary").alias("kept"))
+    out = same.unionByName(left)
+    return out if whole else out.withColumn("kept", F.lit(None).cast("binary"))
 
 
 def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=False).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
