@@ -93,7 +93,7 @@ def test_mixing_meets_targets_and_handles_edges(spark):
     texts, langs = [*en, *fr, None, "", en[0]], ["en"] * 30 + ["fr"] * 10 + [None, "en", None]
     rows, found = mixing.mix(docs(spark, texts, langs), targets={"en": 0.5, "fr": 0.5})
     assert np.abs(found.totals - found.targets).sum() <= 1e-4 * found.targets.sum()
-    got = rows.collect()
+    got = rows.orderBy("doc_id").collect()
     assert len(got) == len(texts) and all(r.mixing.rate >= 0.999 and r.mixing.copies >= 0 for r in got)
     assert {r.mixing.domain for r in got[:30]} == {"en"}
     rows, found = mixing.mix(docs(spark, ["a", None]))
