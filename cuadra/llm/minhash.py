@@ -10,10 +10,13 @@ COORDINATES - MATCHES + 1 rarest, the longest lists of each are skipped.  Pairs
 that reach MATCHES are confirmed on the full shingle sets.
 
 Equal sets are one vertex, so copies are never paired.  In each posting list
-the documents meet the list's smallest first; a second pass meets all pairs of
-a list that are still in different components, block by block, and passes on
-only those that reach MATCHES.  No list is gathered in one task, no pair inside
-a component is ever formed, and none that could join two components is skipped.
+the documents meet the list's smallest first.  Lists that still hold several
+components then meet one of HUBS members picked by hash, which joins a large
+group of copies that are not all copies of each other.  A last pass compares the
+signatures of what is left apart in a list, block by block, and passes on only
+pairs that reach MATCHES.  No list is gathered in one task, no pair inside a
+component is ever formed, and none that could join two components is skipped
+(sets whose sizes rule the similarity out are no such pair).
 
 Defined results: null or empty text, or text without words, has no shingles and
 is linked with nothing; fewer than five words are one shingle; texts are read
@@ -27,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +38,10 @@ from .common import components, distinct_shingles, list_array, mix, slices, stag
 
 WIDTH, SIMILARITY = 5, 75
 COORDINATES, MATCHES = 64, 32
-#: Documents of a block in the second pass.
-BLOCK = 512
+#: Different members that a list may be met with in the second pass.
+HUBS = 6
+#: Documents of a block in the last pass, and pairs that are compared at once.
+BLOCK, PAIRS = 512, 50_000
 
 _RNG = np.random.default_rng(11)
 XOR = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -88,23 +92,56 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_similar, "a long, b long")
 
 
-def _blocks_matched(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one list and one pair of blocks, of different components, that
-    agree in MATCHES coordinates."""
-    i, j = int(pdf.low.iloc[0]), int(pdf.high.iloc[0])
-    left = pdf[pdf.block == i]
-    right = pdf[pdf.block == j]
-    sign = lambda x: np.array(x.postings.tolist(), np.int64).reshape(len(x), COORDINATES)
-    s, t = sign(left), sign(right)
-    ids, others = left.id.to_numpy(), right.id.to_numpy()
-    comps, their = left.component.to_numpy(), right.component.to_numpy()
-    out = []
-    for k in range(len(left)):
-        hit = ((t == s[k]).sum(1) >= MATCHES) & (their != comps[k])
-        if i == j:
-            hit &= others > ids[k]
-        out += [(min(ids[k], o), max(ids[k], o)) for o in others[hit]]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _matched_in(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Pairs of different components within the groups (posting, low, high) of
+    ``b`` that agree in MATCHES coordinates; rows of a group stand together."""
+    posting, low, high, block, ids, comp, size = (b.column(c).to_numpy() for c in ("posting", "low", "high", "block", "id", "component", "n"))
+    own, prefix = b.column("j").to_numpy(), b.column("prefix").to_numpy()
+    sign = b.column("postings").flatten().to_numpy().reshape(-1, COORDINATES)
+    n = len(ids)
+    new = np.r_[True, (posting[1:] != posting[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+    stop = np.r_[np.flatnonzero(new)[1:], n][np.cumsum(new) - 1]
+    # each row with the later rows of its group, some rows at a time
+    later = stop - np.arange(n) - 1
+    found, at = [np.zeros((0, 2), np.int64)], 0
+    total = np.cumsum(later)
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS)))
+        i = np.repeat(np.arange(at, to), later[at:to])
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later[at:to]) - later[at:to], later[at:to])
+        some = (comp[i] != comp[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+        some &= 100 * np.minimum(size[i], size[j]) >= SIMILARITY * np.maximum(size[i], size[j])
+        i, j = i[some], j[some]
+        same = sign[i] == sign[j]
+        some = same.sum(1) >= MATCHES
+        i, j, same = i[some], j[some], same[some]
+        # a pair counts in the first list that both have in their prefixes
+        shared = same & ((prefix[i] & prefix[j])[:, None] >> np.arange(COORDINATES) & 1).astype(bool)
+        some = shared.argmax(1) == own[i]
+        found.append(np.column_stack([np.minimum(ids[i[some]], ids[j[some]]), np.maximum(ids[i[some]], ids[j[some]])]))
+        at = to
+    out = np.concatenate(found)
+    return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+
+
+def _blocks_matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_matched_in`` over a sorted partition; a group that goes on in the next
+    batch waits for it."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        last = [b.column(c).to_numpy() for c in ("posting", "low", "high")]
+        own = np.flatnonzero(np.any([c != c[-1] for c in last], axis=0))
+        cut = int(own[-1]) + 1 if len(own) else 0
+        if held and (cut or any(held[-1].column(c)[-1].as_py() != b.column(c)[0].as_py() for c in ("posting", "low", "high"))):
+            yield _matched_in(pa.concat_batches([*held, b.slice(0, cut)]))
+            held = []
+        elif cut:
+            yield _matched_in(b.slice(0, cut))
+        held.append(b.slice(cut))
+    if held:
+        yield _matched_in(pa.concat_batches(held))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,34 +153,51 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
     # postings that occur twice, of one document for each distinct set
     vertices = signed.join(same.select(F.col("vertex").alias("id")).distinct(), "id", "left_semi").where("n > 0").dropDuplicates(["id"])
-    posted = vertices.select("id", F.explode("postings").alias("posting"))
+    posted = vertices.select("id", F.posexplode("postings").alias("j", "posting"))
     often = posted.groupBy("posting").agg(F.count("*").alias("length")).where("length > 1")
-    kept = posted.join(often, "posting").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("length", "posting"))).alias("p"))
+    kept = posted.join(often, "posting").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("length", "posting", "j"))).alias("p"))
     # postings of one document alone are the rarest: they fill the prefix first
     prefix = COORDINATES - MATCHES + 1
     lists = staged(kept.withColumn("p", F.expr(f"slice(p, 1, greatest(0, size(p) - {COORDINATES - prefix}))")).where("size(p) > 0")
-                   .select("id", F.explode("p.posting").alias("posting")), "lists")
-
-    # first pass: each document with the smallest of its lists
-    hubs = lists.groupBy("posting").agg(F.min("id").alias("a"), F.count("*").alias("length")).where("length > 1")
-    met = lists.join(hubs, "posting").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    sign = signed.where("id is not null and n > 0").select("id", "postings")
-    first = staged(_matched(met, sign), "met")
-    touched = lists.select("id").distinct()
-    texts = staged(rows.join(touched, "id", "left_semi").dropDuplicates(["id"]), "texts")
-    links = staged(_confirmed(first, texts), "links")
-    parts = staged(components(links), "parts")
-
-    # second pass: what is still apart in a list
-    apart = lists.join(parts, "id", "left").select("posting", "id", F.coalesce("component", "id").alias("component"))
-    mixed = apart.groupBy("posting").agg(F.count("*").alias("length"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    mixed = mixed.select("posting", F.ceil(F.col("length") / BLOCK).cast("int").alias("blocks"))
-    dealt = (apart.join(mixed, "posting").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+                   .select("id", F.expr("aggregate(p, 0L, (a, x) -> a | shiftleft(1L, x.j))").alias("prefix"), F.inline("p"))
+                   .select("id", "prefix", "j", "posting"), "lists")
+
+    sign = vertices.select("id", "n", "postings")
+    texts = staged(rows.join(lists.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "texts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return staged(_confirmed(pairs, texts), "links")
+
+    def apart(parts: DataFrame) -> DataFrame:
+        """(posting, id, j, prefix, component, length) of the lists that hold several components."""
+        own = lists.join(parts, "id", "left").select("posting", "id", "j", "prefix", F.coalesce("component", "id").alias("component"))
+        mixed = own.groupBy("posting").agg(F.count("*").alias("length"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+        return staged(own.join(mixed.select("posting", "length"), "posting"), "apart")
+
+    # each document with the smallest of its lists
+    hubs = lists.groupBy("posting").agg(F.min("id").alias("a"))
+    first = staged(_matched(lists.join(hubs, "posting").where("id <> a").select("a", F.col("id").alias("b")).distinct(), sign), "met")
+    links = confirmed(first)
+
+    # lists with several components: with a member picked by one of HUBS hashes
+    rest = apart(staged(components(links), "parts"))
+    order = F.xxhash64("id", F.pmod("posting", F.lit(HUBS)))
+    hubs = rest.groupBy("posting").agg(F.min_by(F.struct("id", "component"), order).alias("hub"))
+    pairs = rest.join(hubs, "posting").where("component <> hub.component").select(
+        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+    second = staged(_matched(pairs.join(first, ["a", "b"], "left_anti"), sign), "met")
+    links = links.unionByName(confirmed(second))
+
+    # what is still apart, all pairs of a list by blocks
+    rest = apart(staged(components(links), "parts"))
+    blocks = F.ceil(F.col("length") / BLOCK).cast("int")
+    dealt = (rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("posting", "id", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")))
-    more = (dealt.join(vertices.select("id", "postings"), "id").groupBy("posting", "low", "high").applyInPandas(_blocks_matched, "a long, b long")
-            .distinct().join(first, ["a", "b"], "left_anti"))
-    links = links.unionByName(_confirmed(staged(more, "met"), texts))
+             .select("posting", "id", "j", "prefix", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")))
+    third = (dealt.join(sign, "id").repartition("posting", "low", "high").sortWithinPartitions("posting", "low", "high")
+             .mapInArrow(_blocks_matched, "a long, b long")
+             .join(first.unionByName(second), ["a", "b"], "left_anti"))
+    links = links.unionByName(confirmed(staged(third, "met")))
     parts = components(staged(links, "links"))
 
     vertex = same.join(parts.withColumnRenamed("id", "vertex"), "vertex", "left").select(
@@ -155,10 +209,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 
 
 def _matched(pairs: DataFrame, sign: DataFrame) -> DataFrame:
-    """Pairs that agree in MATCHES coordinates."""
-    a = sign.select(F.col("id").alias("a"), F.col("postings").alias("s")).dropDuplicates(["a"])
-    b = sign.select(F.col("id").alias("b"), F.col("postings").alias("t")).dropDuplicates(["b"])
-    return (pairs.join(b, "b").join(a, "a")
+    """Pairs that agree in MATCHES coordinates and whose sizes allow the similarity."""
+    a = sign.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("postings").alias("s"))
+    b = sign.select(F.col("id").alias("b"), "n", F.col("postings").alias("t"))
+    sized = F.expr(f"100 * least(m, n) >= {SIMILARITY} * greatest(m, n)")
+    return (pairs.join(b, "b").join(a, "a").where(sized)
             .where(F.size(F.array_intersect("s", "t")) >= MATCHES).select("a", "b"))
 
 
