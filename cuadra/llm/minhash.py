@@ -168,6 +168,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     def confirmed(pairs: DataFrame) -> DataFrame:
         return staged(_confirmed(pairs, texts), "links")
 
+    def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+        """Edges that connect as the classes so far and the new links do."""
+        return parts.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)
+
     def apart(parts: DataFrame) -> DataFrame:
         """(posting, id, j, prefix, component, length) of the lists that hold several components."""
         own = lists.join(parts, "id", "left").select("posting", "id", "j", "prefix", F.coalesce("component", "id").alias("component"))
@@ -180,16 +184,17 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     links = confirmed(first)
 
     # lists with several components: with a member picked by one of HUBS hashes
-    rest = apart(staged(components(links), "parts"))
+    parts = staged(components(links), "parts")
+    rest = apart(parts)
     order = F.xxhash64("id", F.pmod("posting", F.lit(HUBS)))
     hubs = rest.groupBy("posting").agg(F.min_by(F.struct("id", "component"), order).alias("hub"))
     pairs = rest.join(hubs, "posting").where("component <> hub.component").select(
         F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
     second = staged(_matched(pairs.join(first, ["a", "b"], "left_anti"), sign), "met")
-    links = links.unionByName(confirmed(second))
+    parts = staged(components(joined(parts, confirmed(second))), "parts")
 
     # what is still apart, all pairs of a list by blocks
-    rest = apart(staged(components(links), "parts"))
+    rest = apart(parts)
     blocks = F.ceil(F.col("length") / BLOCK).cast("int")
     dealt = (rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -197,8 +202,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     third = (dealt.join(sign, "id").repartition("posting", "low", "high").sortWithinPartitions("posting", "low", "high")
              .mapInArrow(_blocks_matched, "a long, b long")
              .join(first.unionByName(second), ["a", "b"], "left_anti"))
-    links = links.unionByName(confirmed(staged(third, "met")))
-    parts = components(staged(links, "links"))
+    parts = components(joined(parts, confirmed(staged(third, "met"))))
 
     vertex = same.join(parts.withColumnRenamed("id", "vertex"), "vertex", "left").select(
         F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("n").alias("m"), F.coalesce("component", "vertex").alias("component"))
