@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.  DataFrame functions only.
 
-A seed is a mask over SPAN consecutive words; words under its zeros are ignored,
-so a substituted word there does not hide a hit.  Hashes of all test windows and
+A seed is a mask over consecutive words; words under its zeros are ignored, so a
+substituted word there does not hide a hit.  MASKS leave no overlap out: within
+any SPAN places, of which any two may differ, one mask fits whole somewhere.  Hashes of all test windows and
 all training windows are joined; a hit puts a document and a test item on a
 diagonal (document place less item place).  Around the hits the words of both
 are compared along the diagonal: an overlap is a window of WINDOW words (or the
@@ -12,8 +13,8 @@ it is under the session's threshold.  Test windows are distinct before the join,
 and the training side holds only an id, a place and a hash, so a passage that
 many documents share adds rows in proportion to its occurrences.
 
-Defined results: null and empty texts, and texts or items of fewer than SPAN
-words, hit nothing; words are lower-cased runs of letters and digits; texts are
+Defined results: null and empty texts and items of fewer than SPAN words hit
+nothing; words beyond a text's ends count as different; words are lower-cased runs of letters and digits; texts are
 read whole; repeated documents are judged alike, a repeated id as one document;
 repeated items are reported under the smallest item_id; a null id is in no
 report and stays in ``clean``; an empty table gives no rows; other columns pass
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 SPAN, WINDOW, LEAST_SHARE = 11, 13, 0.8
-#: 1: the word counts; 0: it may differ.  One substitution anywhere in a window
-#: leaves a mask whole, and so do most pairs of substitutions.
-MASKS = ("11011011011", "10110110111", "11101101101")
+#: 1: the word counts; 0: it may differ.  Complete for two substitutions in SPAN
+#: words, the most that LEAST_SHARE allows in SPAN to WINDOW.
+MASKS = ("1111011", "110001111", "1101100011")
+#: Masks of the SQL form: they miss some pairs of substitutions.
+SQL_MASKS = ("11011011011", "10110110111", "11101101101")
 
 
 def _words(text: str) -> Column:
@@ -38,12 +41,13 @@ def _words(text: str) -> Column:
 
 
 def _seeds(rows: DataFrame, key: str) -> DataFrame:
-    """(key, at, seed) of every window and mask of ``rows`` (key, words)."""
-    hashed = rows.where(F.size("words") >= SPAN).select(key, F.expr("transform(words, w -> xxhash64(w))").alias("h"))
+    """(key, at, seed) of every place of ``rows`` (key, words) and mask that fits there."""
+    least = min(map(len, MASKS))
+    hashed = rows.where(F.size("words") >= least).select(key, F.expr("transform(words, w -> xxhash64(w))").alias("h"))
     masks = [[j for j, c in enumerate(m) if c == "1"] for m in MASKS]
-    one = ", ".join(f"xxhash64({k}, {', '.join(f'h[i + {j}]' for j in m)})" for k, m in enumerate(masks))
-    spread = hashed.select(key, F.posexplode(F.expr(f"transform(sequence(0, size(h) - {SPAN}), i -> array({one}))")).alias("at", "seeds"))
-    return spread.select(key, "at", F.explode("seeds").alias("seed"))
+    one = ", ".join(f"if(i + {m[-1]} < size(h), xxhash64({k}, {', '.join(f'h[i + {j}]' for j in m)}), null)" for k, m in enumerate(masks))
+    spread = hashed.select(key, F.posexplode(F.expr(f"transform(sequence(0, size(h) - {least}), i -> array({one}))")).alias("at", "seeds"))
+    return spread.select(key, "at", F.explode("seeds").alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -53,7 +57,7 @@ def overlaps(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str =
              .where("item is not null").groupBy("words").agg(F.min("item").alias("item")))
     items = staged(items, "items")
     own = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
-    test_seeds = _seeds(items, "item").distinct().select("item", F.col("at").alias("item_at"), "seed")
+    test_seeds = _seeds(items.where(F.size("words") >= SPAN), "item").distinct().select("item", F.col("at").alias("item_at"), "seed")
     hits = (_seeds(own.select("id", _words("text").alias("words")), "id").join(test_seeds, "seed")
             .select("id", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
     hits = staged(hits, "hits")
@@ -89,7 +93,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def oracle() -> str:
     """The same rows in DuckDB.  Word windows are compared themselves, not their hashes."""
-    masks = [[j for j, c in enumerate(m) if c == "1"] for m in MASKS]
+    masks = [[j for j, c in enumerate(m) if c == "1"] for m in SQL_MASKS]
     seeds = lambda t, k: " UNION ALL ".join(
         f"SELECT {k}, i AS at, {n} AS mask, " + " || ' ' || ".join(f"w[i + {j + 1}]" for j in m) + f" AS seed FROM (SELECT {k}, w, unnest(range(len(w) - {SPAN - 1})) AS i FROM {t} WHERE len(w) >= {SPAN})"
         for n, m in enumerate(masks))

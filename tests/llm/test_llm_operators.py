@@ -324,6 +324,44 @@ def test_decontamination_finds_substituted_passages(spark):
     assert decontaminate.report(table, tests.limit(0)).count() == 0 and decontaminate.clean(docs(spark, []), tests).count() == 0
 
 
+def test_masks_fit_beside_every_two_substitutions():
+    for n in range(decontaminate.SPAN, decontaminate.WINDOW + 1):
+        for i in range(n):
+            for j in range(i + 1):
+                assert any(not {i, j} & {at + k for k, c in enumerate(m) if c == "1"}
+                           for m in decontaminate.MASKS for at in range(n - len(m) + 1)), (n, i, j)
+
+
+def laid(words, item):
+    """(start, n_words, n_equal) of every diagonal, without seeds."""
+    n, out = min(decontaminate.WINDOW, len(item)), set()
+    for g in range(-len(item), len(words)):
+        equal = [0 <= g + j < len(words) and words[g + j] == w for j, w in enumerate(item)]
+        most, s = max((sum(equal[s:s + n]), -s) for s in range(len(item) - n + 1))
+        if 5 * most >= 4 * n:
+            out.add((g - s, n, most))
+    return out
+
+
+def test_decontamination_matches_brute_force_without_seeds(spark):
+    rng = random.Random(21)
+    items = [prose(rng, n).split() for n in (11, 12, 13, 14, 30, 60, 200)]
+    texts = []
+    for item in items:
+        for phase in range(5):  # every fifth word replaced
+            texts.append(prose(rng, 9).split() + ["zzz" if i % 5 == phase else w for i, w in enumerate(item)] + prose(rng, 9).split())
+        for gone in ([0], [len(item) - 1], [0, 10], [1, 5], [4, 6], [0, 1]):
+            texts.append(["zzz" if i in gone else w for i, w in enumerate(item)])
+        texts += [item[1:], item[:-1], item[:9], item[2:11], item[:8]]
+    for n in (0, 1, 2):  # all pairs of places
+        texts += [["zzz" if k in (i, j) else w for k, w in enumerate(items[n])] for i in range(11 + n) for j in range(i)]
+    tests = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    table = docs(spark, [" ".join(t) for t in texts])
+    got = {(r.doc_id, r.item_id, r.start, r.n_words, r.n_equal) for r in decontaminate.overlaps(table, tests).collect()}
+    want = {(d, i, *x) for d, t in enumerate(texts) for i, item in enumerate(items) for x in laid(t, item)}
+    assert got == want and len({d for d, *_ in want}) > 200
+
+
 # ------------------------------------------------------------------ op 9
 
 def library():
