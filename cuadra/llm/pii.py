@@ -76,7 +76,7 @@ BLOCK = 256
 
 def _proposed(kind: Kind, text: str) -> tuple[Column, Column]:
     """(matches, texts between them), empty where the text cannot hold one."""
-    may = f"contains({text}, '{kind.needs}')" if kind.needs else f"{text} rlike '[0-9]{{2}}'"
+    may = f"contains({text}, '{kind.needs}')" if kind.needs else f"{text} rlike '[0-9][ -]?[0-9]'"
     empty = "cast(array() as array<string>)"
     pattern = kind.pattern.replace("\\", "\\\\")
     return (F.expr(f"if({may}, regexp_extract_all({text}, '{pattern}', 0), {empty})"),

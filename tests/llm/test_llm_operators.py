@@ -63,6 +63,14 @@ def test_pii_base_spans_and_added_kinds(spark):
     assert pii.find(docs(spark, [])).count() == 0
 
 
+def test_pii_cards_without_adjacent_digits(spark):
+    card = "4111111111111111"
+    texts = ["card " + " ".join(card), "-".join(card), "x" + "-".join(card) + ".", "4 1-1 1-1 1-1 1-1 1-1 1-1 1-1 1", "pay " + " ".join("4111111111111112"), "4  1  1"]
+    got = {r.doc_id: [(f.kind, f.start, f.end) for f in r.findings] for r in pii.find(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [base_spans(t) for t in texts]
+    assert [len(got[i]) for i in range(len(texts))] == [1, 1, 1, 1, 0, 0]
+
+
 # ------------------------------------------------------------------ op 2
 
 def test_url_rules_and_vocabulary(spark):
