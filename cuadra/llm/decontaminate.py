@@ -6,15 +6,16 @@ any SPAN places, of which any two may differ, one mask fits whole somewhere.  Ha
 all training windows are joined; a hit puts a document and a test item on a
 diagonal (document place less item place).  Around the hits the words of both
 are compared along the diagonal: an overlap is a window of WINDOW words (or the
-whole item, if shorter, but SPAN at least) of which LEAST_SHARE are equal.
+whole item, if shorter) of which LEAST_SHARE are equal.  An item of SHORTEST to
+SPAN - 1 words must be there whole, word by word: its first words are its seed.
 
 The test side joins as the planner's statistics say: they broadcast it only if
 it is under the session's threshold.  Test windows are distinct before the join,
 and the training side holds only an id, a place and a hash, so a passage that
 many documents share adds rows in proportion to its occurrences.
 
-Defined results: null and empty texts and items of fewer than SPAN words hit
-nothing; words beyond a text's ends count as different; words are lower-cased runs of letters and digits; texts are
+Defined results: null and empty texts and items of fewer than SHORTEST words
+hit nothing; words beyond a text's ends count as different; words are lower-cased runs of letters and digits; texts are
 read whole; repeated documents are judged alike, a repeated id as one document;
 repeated items are reported under the smallest item_id; a null id is in no
 report and stays in ``clean``; an empty table gives no rows; other columns pass
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 SPAN, WINDOW, LEAST_SHARE = 11, 13, 0.8
+#: Words of the shortest item that is searched.
+SHORTEST = 6
 #: 1: the word counts; 0: it may differ.  Complete for two substitutions in SPAN
 #: words, the most that LEAST_SHARE allows in SPAN to WINDOW.
 MASKS = ("1111011", "110001111", "1101100011")
@@ -40,12 +43,12 @@ def _words(text: str) -> Column:
     return F.expr(f"filter(split(lower(coalesce({text}, '')), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w <> '')")
 
 
-def _seeds(rows: DataFrame, key: str) -> DataFrame:
+def _seeds(rows: DataFrame, key: str, masks: tuple[str, ...]) -> DataFrame:
     """(key, at, seed) of every place of ``rows`` (key, words) and mask that fits there."""
-    least = min(map(len, MASKS))
+    least = min(map(len, masks))
     hashed = rows.where(F.size("words") >= least).select(key, F.expr("transform(words, w -> xxhash64(w))").alias("h"))
-    masks = [[j for j, c in enumerate(m) if c == "1"] for m in MASKS]
-    one = ", ".join(f"if(i + {m[-1]} < size(h), xxhash64({k}, {', '.join(f'h[i + {j}]' for j in m)}), null)" for k, m in enumerate(masks))
+    places = [[j for j, c in enumerate(m) if c == "1"] for m in masks]
+    one = ", ".join(f"if(i + {m[-1]} < size(h), xxhash64({k}, {', '.join(f'h[i + {j}]' for j in m)}), null)" for k, m in enumerate(places))
     spread = hashed.select(key, F.posexplode(F.expr(f"transform(sequence(0, size(h) - {least}), i -> array({one}))")).alias("at", "seeds"))
     return spread.select(key, "at", F.explode("seeds").alias("seed")).where("seed is not null")
 
@@ -57,8 +60,14 @@ def overlaps(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str =
              .where("item is not null").groupBy("words").agg(F.min("item").alias("item")))
     items = staged(items, "items")
     own = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
-    test_seeds = _seeds(items.where(F.size("words") >= SPAN), "item").distinct().select("item", F.col("at").alias("item_at"), "seed")
-    hits = (_seeds(own.select("id", _words("text").alias("words")), "id").join(test_seeds, "seed")
+    test_seeds = _seeds(items.where(F.size("words") >= SPAN), "item", MASKS)
+    masks, short = MASKS, items.where(F.size("words").between(SHORTEST, SPAN - 1))
+    if not short.isEmpty():  # the documents' seeds of the run are made only then
+        masks = (*MASKS, "1" * SHORTEST)
+        run = F.xxhash64(F.lit(len(MASKS)), *[F.xxhash64(F.col("words")[j]) for j in range(SHORTEST)])
+        test_seeds = test_seeds.unionByName(short.select("item", F.lit(0).alias("at"), run.alias("seed")))
+    test_seeds = test_seeds.distinct().select("item", F.col("at").alias("item_at"), "seed")
+    hits = (_seeds(own.select("id", _words("text").alias("words")), "id", masks).join(test_seeds, "seed")
             .select("id", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
     hits = staged(hits, "hits")
     read = own.join(hits.select("id").distinct(), "id", "left_semi").select("id", _words("text").alias("words"))
@@ -69,7 +78,8 @@ def overlaps(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str =
     laid = pairs.select("id", "item", "diagonal", equal.alias("equal"), size.alias("n_words"))
     best = laid.withColumn("best", F.expr(
         "array_max(transform(sequence(0, size(equal) - n_words), s -> named_struct('n', aggregate(slice(equal, s + 1, n_words), 0, (a, x) -> a + x), 's', -s)))"))
-    return (best.where(F.col("best.n") >= F.ceil(F.col("n_words") * LEAST_SHARE))
+    least = F.when(F.col("n_words") < SPAN, F.col("n_words")).otherwise(F.ceil(F.col("n_words") * LEAST_SHARE))
+    return (best.where(F.col("best.n") >= least)
             .select(F.col("id").alias(key), F.col("item").alias(item), (F.col("diagonal") - F.col("best.s")).cast("long").alias("start"),
                     F.col("n_words").cast("long").alias("n_words"), F.col("best.n").cast("long").alias("n_equal")).distinct())
 

@@ -370,6 +370,24 @@ def test_decontamination_matches_brute_force_without_seeds(spark):
     assert got == want and len({d for d, *_ in want}) > 200
 
 
+def test_decontamination_of_short_items(spark):
+    rng = random.Random(22)
+    items = [prose(rng, n).split() for n in (6, 7, 8, 9, 10, 10)]
+    items.append(items[5][:6] + ["other"])
+    texts = []
+    for item in items[:6]:
+        texts += [item, prose(rng, 8).split() + item + prose(rng, 8).split() + item, item[1:], item[:-1], [*item[:-1], "zzz"], ["zzz", *item[1:]]]
+    texts += [items[6], [], ["a"]]
+    tests = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)] + [(20, prose(rng, 30))], "item_id long, text string")
+    table = docs(spark, [" ".join(t).upper() for t in texts])
+    got = {(r.doc_id, r.item_id, r.start, r.n_words, r.n_equal) for r in decontaminate.overlaps(table, tests).collect()}
+    want = {(d, i, s, len(item), len(item)) for d, t in enumerate(texts) for i, item in enumerate(items)
+            for s in range(len(t) - len(item) + 1) if t[s:s + len(item)] == item}
+    assert got == want and len(want) == 3 * 6 + 1
+    bad = {d for d, *_ in want}
+    assert {r.doc_id for r in decontaminate.clean(table, tests).collect()} == set(range(len(texts))) - bad
+
+
 # ------------------------------------------------------------------ op 9
 
 def library():
