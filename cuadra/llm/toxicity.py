@@ -2,15 +2,15 @@
 
 The classifier is fitted on a bounded sample of labelled rows: about EXAMPLES
 rows by hash without near copies (rows of one MinHash value and label are one
-example), and of their words the TERMS that tell the labels apart best
-(chi-square of at least LEAST_CHI2).  Each document's K nearest examples by
-exact TF-IDF cosine over these words come from a block-max inverted index:
-blocks of examples are visited by falling upper bound until no block can hold a
-better one.  Their votes, weighted by distance and shrunk to the share of label
+example).  All their words are terms, weighted by TF-IDF and by how well they
+tell the labels apart: the root of 1 + chi-square, one being what chance gives.
+Each document's K nearest examples by exact cosine over these weights come from
+a block-max inverted index: blocks of examples are visited by falling upper
+bound until no block can hold a better one.  Their votes, weighted by distance and shrunk to the share of label
 1 where all are far, are calibrated on the examples, each scored without itself.
 
-Defined results: null and empty texts, and texts without any of the terms, get
-the share of label 1 among the examples without terms; without labelled rows
+Defined results: null and empty texts, and texts without a word of any example,
+get the share of label 1 among the examples without words; without labelled rows
 the score is 0; ties between examples go to the smaller id; texts are read
 whole; repeated rows are scored one by one; a null label is no label; several
 labels of one id count as several examples.
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import BYTE_HASH, LOWER, crc32_of, list_array, shingles_of, slices, span_hashes, staged, table, utf8, words_of
 
-#: Bounds of the fitted sample and its vocabulary.
-EXAMPLES, TERMS, LEAST_CHI2 = 6000, 2048, 40.0
+#: Bound of the fitted sample.
+EXAMPLES = 6000
 #: Bytes of the word beginnings that are terms of their own.
 PREFIXES = (4, 5, 6)
 #: Neighbours that vote; examples in a block of the index.
@@ -70,8 +70,15 @@ def counted(words: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray,
     return words[at], np.diff(np.r_[at, len(words)]), np.searchsorted(row[at], np.arange(rows + 1))
 
 
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each range in turn."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 class Index:
-    """Block-max inverted index over unit TF-IDF vectors of the examples."""
+    """Block-max inverted index over unit vectors of the examples: of each term
+    the cells (blocks that hold it, with its largest weight there), of each cell
+    the postings."""
 
     def __init__(self, ids: list, labels: list, terms: list, counts: list, vocabulary: np.ndarray):
         order = sorted(range(len(ids)), key=lambda i: (len(terms[i]) == 0, ids[i], labels[i]))
@@ -86,34 +93,44 @@ class Index:
         t = np.concatenate([np.searchsorted(self.vocabulary, terms[i]) for i in full]) if full else np.zeros(0, np.int64)
         d = np.repeat(np.arange(n), [len(terms[i]) for i in full])
         c = np.concatenate([counts[i] for i in full]) if full else np.zeros(0)
-        self.idf = np.log((1 + len(ids)) / (1 + np.bincount(t, minlength=v))) + 1
+        self.df = np.bincount(t, minlength=v)
+        with_1, ones = np.bincount(t, self.labels[d] if full else None, v), float(sum(labels))
+        apart = with_1 * (len(ids) - ones) - (self.df - with_1) * ones
+        chi2 = len(ids) * apart ** 2 / np.maximum(ones * (len(ids) - ones) * self.df * (len(ids) - self.df), 1)
+        self.idf = (np.log((1 + len(ids)) / (1 + self.df)) + 1) * np.sqrt(1 + chi2)
         w = (1 + np.log(np.maximum(c, 1))) * self.idf[t] if full else np.zeros(0)
         w = w / np.sqrt(np.bincount(d, w * w, n))[d] if full else w
         order = np.lexsort((d, t))
-        self.doc, self.weight = d[order].astype(np.int32), w[order]
+        t, self.doc, self.weight = t[order], d[order].astype(np.int32), w[order]
         self.blocks = -(-n // BLOCK)
-        at = t[order].astype(np.int64) * self.blocks + self.doc // BLOCK
-        self.ptr = np.searchsorted(at, np.arange(v * self.blocks + 1)).reshape(-1)
-        self.top = np.zeros((v, self.blocks))
-        if len(at):
-            np.maximum.at(self.top.reshape(-1), at, self.weight)
+        cell = t * self.blocks + self.doc // BLOCK
+        at = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        self.begin = np.r_[at, len(cell)].astype(np.int64)
+        self.block = (self.doc[at] // BLOCK).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weight, at) if len(at) else np.zeros(0)
+        self.ptr = np.searchsorted(t[at], np.arange(v + 1))
         self.levels = self.values = None
 
     def nearest(self, t: np.ndarray, c: np.ndarray, without: int | None = None, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines), nearest first, ties to the smaller id."""
         q = (1 + np.log(c)) * self.idf[t]
         q = q / np.sqrt((q * q).sum())
-        bound = q @ self.top[t]
+        size = self.ptr[t + 1] - self.ptr[t]
+        cells, q = ranges(self.ptr[t], size), np.repeat(q, size)
+        block = self.block[cells]
+        bound = np.bincount(block, q * self.top[cells], self.blocks)
         order = np.argsort(-bound, kind="stable")
         best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
         while done < len(order) and bound[order[done]] > 0:
             if len(score) == k and bound[order[done]] < score[-1] - 1e-12:
                 break
-            some = order[done:done + step]
-            cell = (t[:, None] * self.blocks + some[None]).reshape(-1)
-            begin, size = self.ptr[cell], self.ptr[cell + 1] - self.ptr[cell]
-            post = np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-            sums = np.bincount(self.doc[post], np.repeat(np.repeat(q, len(some)), size) * self.weight[post], len(self.ids))
+            some = np.zeros(self.blocks, bool)
+            some[order[done:done + step]] = True
+            own = np.flatnonzero(some[block])
+            begin = self.begin[cells[own]]
+            size = self.begin[cells[own] + 1] - begin
+            post = ranges(begin, size)
+            sums = np.bincount(self.doc[post], np.repeat(q[own], size) * self.weight[post], len(self.ids))
             hit = np.flatnonzero(sums)
             if without is not None:
                 hit = hit[self.ids[hit] != without]
@@ -129,9 +146,16 @@ class Index:
         return float(((w * self.labels[best]).sum() + self.every) / (w.sum() + 1))
 
     def calibrate(self, terms: list, counts: list, ids: list, labels: list) -> None:
-        """Isotonic fit of the labels on the votes of the examples left out in turn."""
-        got = sorted((self.vote(*self.nearest(np.searchsorted(self.vocabulary, t), c, without=i)), y)
-                     for t, c, i, y in zip(terms, counts, ids, labels, strict=True) if len(t))
+        """Isotonic fit of the labels on the votes of the examples left out in
+        turn, without the words that no other example has; votes above all of
+        these, as a copy of an example gets, rise to one."""
+        got = []
+        for t, c, i, y in zip(terms, counts, ids, labels, strict=True):
+            t = np.searchsorted(self.vocabulary, t)
+            known = self.df[t] > 1
+            if known.any():
+                got.append((self.vote(*self.nearest(t[known], c[known], without=i)), y))
+        got.sort()
         pools: list[list[float]] = []  # vote, label sum, rows
         for vote, y in got:
             pools.append([vote, y, 1])
@@ -141,6 +165,8 @@ class Index:
                 pools[-1] = [(u[0] * u[2] + v * n) / (u[2] + n), u[1] + s, u[2] + n]
         self.levels = np.array([p[0] for p in pools])
         self.values = np.array([(p[1] + 0.5) / (p[2] + 1) for p in pools])
+        if len(pools) and self.levels[-1] < 1:
+            self.levels, self.values = np.r_[self.levels, 1.0], np.r_[self.values, 1.0]
 
     def score(self, t: np.ndarray, c: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """(calibrated score, nearest examples, cosines)."""
@@ -176,18 +202,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     sample = staged(own.join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(features, "id long, y int, sketch long, terms array<long>, counts array<int>"), "features")
     first = sample.groupBy("sketch", "y").agg(F.min("id").alias("id"))
     sample = staged(sample.join(first, ["sketch", "y", "id"]).dropDuplicates(["sketch", "y"]), "examples")
-    total = sample.agg(F.count("*"), F.sum("y")).first()
-    n, ones = total[0], total[1] or 0
-    with_1, all_of = F.col("with_1"), F.col("n")
-    chi2 = n * (with_1 * (n - ones - all_of + with_1) - (all_of - with_1) * (ones - with_1)) ** 2 / (F.lit(float(ones or 1)) * (n - ones or 1) * all_of * F.greatest(n - all_of, F.lit(1)))
-    told = (sample.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").cast("double").alias("with_1"), F.count("*").cast("double").alias("n"))
-            .where("n >= 3").withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS))
-    vocabulary = np.sort(np.array([r.term for r in told.select("term").toLocalIterator()], np.int64).view(np.uint64))
-    got = sample.select("id", "y", F.filter(F.arrays_zip("terms", "counts"), lambda x: x["terms"].isin([int(v) for v in vocabulary.view(np.int64)]) if len(vocabulary) else F.lit(False)).alias("z"))
-    rows = got.select("id", "y", "z.terms", "z.counts").toPandas()
-    ids, ys = rows.id.tolist(), rows.y.tolist()
-    terms = [np.array(x, np.int64).view(np.uint64) for x in rows.terms]
-    counts = [np.array(x, np.float64) for x in rows.counts]
+    rows = sample.select("id", "y", "terms", "counts").toArrow()
+    ids, ys = rows["id"].to_pylist(), rows["y"].to_pylist()
+    terms = [x.values.to_numpy().view(np.uint64) for x in rows["terms"]]
+    counts = [x.values.to_numpy().astype(np.float64) for x in rows["counts"]]
+    vocabulary = np.unique(np.concatenate(terms)) if terms else np.zeros(0, np.uint64)
     index = Index(ids, ys, terms, counts, vocabulary)
     index.calibrate(terms, counts, ids, ys)
     return index

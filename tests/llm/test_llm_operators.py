@@ -172,6 +172,20 @@ def test_toxicity_learns_and_handles_edges(spark):
     assert toxicity.score(docs(spark, []), index).count() == 0
 
 
+@pytest.mark.parametrize("n", [24, 160])
+def test_toxicity_finds_a_copy_of_an_example_of_rare_words(spark, n):
+    rng = random.Random(23)
+    rare = lambda: " ".join("".join(rng.choice("ijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(30))
+    marks = [int(i % 4 == 0) for i in range(n)]
+    texts = [prose(rng, 60) + (" badword uglyterm" if m else "") for m in marks]
+    texts[4], texts[5] = rare(), rare()
+    table = docs(spark, [*texts, texts[4], texts[5], rare()])
+    index = toxicity.fit(table, spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int"))
+    got = {r.doc_id: r.toxicity for r in toxicity.score(table, index).collect()}
+    assert got[n].score >= toxicity.THRESHOLD > max(got[n + 1].score, got[n + 2].score)
+    assert got[n].evidence[0] == "4:1:1.0000" and got[n + 1].evidence[0] == "5:0:1.0000"
+
+
 # ------------------------------------------------------------------ op 5
 
 def repeats(rows, length):
