@@ -1,11 +1,12 @@
 """URL filter: rules by host and path, then a weighted vocabulary.
 
-The vocabulary is searched with an Aho-Corasick automaton in host and path; a
-hit counts if no ASCII letter or digit stands next to it.  One strict term, or
+The vocabulary is searched with an Aho-Corasick automaton in the whole url, query
+string and fragment too; a hit counts if no ASCII letter or digit stands next to
+it.  One strict term, or
 soft terms whose weights reach the limit (each term once), reject the page.
 
-Defined results: a null url or one without ``://`` has empty host and path, fits
-no rule and is allowed; urls of any length are read whole; repeated rows are
+Defined results: a null url or one without ``://`` has empty host and path and
+fits no rule, so its terms alone decide; urls of any length are read whole; repeated rows are
 judged one by one; other columns pass through, a column named like the output
 is replaced.
 """
@@ -73,7 +74,7 @@ def judge(df: DataFrame, url: str = "url", out: str = "judged", rules: Iterable[
                 found += [r for r in by_host.get(at, ()) if path.startswith(r[1])]
                 at = at.partition(".")[2]
             best = max(found, default=None)
-            text, hits = (host + path).translate(ASCII_LOWER), {}
+            text, hits = (raw or "").translate(ASCII_LOWER), {}
             for end, (term, weight, hard) in automaton.iter(text):
                 begin = end + 1 - len(term)
                 before, after = text[begin - 1:begin] if begin else "", text[end + 1:end + 2]
@@ -96,6 +97,7 @@ def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
+    """The same rows in DuckDB, but for terms outside host and path, which it does not search."""
     fits = [(h + p, v, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')") for v, h, p in RULES]
     fits.sort(key=lambda r: -len(r[0]))
     case = lambda k: " ".join(f"WHEN {r[2]} THEN '{r[k]}'" for r in fits)

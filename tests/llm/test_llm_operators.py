@@ -93,6 +93,16 @@ def test_url_rules_and_vocabulary(spark):
     assert urls.judge(rows.limit(0)).count() == 0
 
 
+def test_url_vocabulary_covers_the_whole_url(spark):
+    cases = {
+        "http://a.net/go?to=casino&x=viagra": ("block", 2, 0), "http://a.net/#XXX": ("block", 1, 0), "www.porn.com/xxx": ("block", 2, 0),
+        "http://a.net/free?free=1#bets": ("block", 0, 2), "http://a.net/?q=mycasino": ("allow", 0, 0), "http://x.org/?casino": ("allow", 1, 0),
+        "casino": ("block", 1, 0), "/free": ("allow", 0, 1), "casino://a.net/": ("block", 1, 0)}
+    rows = spark.createDataFrame(list(enumerate(cases)), "page_id long, url string")
+    got = [(r.judged.verdict, r.judged.n_strict, r.judged.n_soft) for r in urls.judge(rows).orderBy("page_id").collect()]
+    assert got == list(cases.values())
+
+
 # ------------------------------------------------------------------ op 3
 
 def test_mixing_meets_targets_and_handles_edges(spark):
