@@ -8,6 +8,9 @@ that allows.  A step needs only the domains' totals, so each iteration is one
 aggregate over (tokens, posterior), and a document's rate follows from the
 steps so far: nothing of the size of the corpus is kept or moved in between.
 
+Without a given total no rate falls below one, so no document goes, unless a
+domain has target zero; the total grows until it holds what that needs.
+
 With nonnegative rates not every target can be met (posteriors that never pass
 one half cannot make a domain the whole).  ``fit`` stops when the totals are
 within TOLERANCE or no longer improve, and reports what is reached.
@@ -43,12 +46,13 @@ class Fit:
     targets: np.ndarray
     steps: np.ndarray
     totals: np.ndarray
+    least: float = 0.0
 
     def rates(self, posterior: np.ndarray) -> np.ndarray:
-        """Rate of each document: every step taken in turn, cut off at zero."""
+        """Rate of each document: every step taken in turn, cut off at ``least``."""
         rate = np.ones(len(posterior))
         for step in self.steps:
-            rate = np.maximum(0.0, rate - posterior @ step)
+            rate = np.maximum(self.least, rate - posterior @ step)
         return rate
 
 
@@ -60,15 +64,15 @@ def features(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def fit(rows: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None, rounds: int = ROUNDS) -> Fit:
     """Rates for ``rows`` (__tokens, __posterior): domain shares as in
-    ``targets`` of ``total`` tokens.  Without ``total``, just so many tokens that
-    no domain has to shrink."""
+    ``targets`` of ``total`` tokens.  Without ``total``, so many tokens that no
+    domain has to shrink and, if all have a target, no document either."""
     k = len(names)
     if not k:
         return Fit(names, np.zeros(0), np.zeros((0, 0)), np.zeros(0))
 
     def sums(steps: np.ndarray) -> np.ndarray:
         """Expected tokens of each domain at the rates so far."""
-        now = Fit(names, np.zeros(k), steps, np.zeros(k))
+        now = Fit(names, np.zeros(k), steps, np.zeros(k), least)
 
         def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros(k)
@@ -81,11 +85,12 @@ def fit(rows: DataFrame, names: list[str], targets: dict[str, float], total: flo
         got = rows.select("__tokens", "__posterior").mapInPandas(part, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
         return np.bincount(got.i, got.x, k)
 
+    share = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
+    share = share / share.sum() if share.sum() else np.full(k, 1 / k)
+    least = 1.0 if total is None and (share > 0).all() else 0.0
     steps = np.zeros((0, k))
     first = sums(steps)
     totals = first
-    share = np.array([max(0.0, targets.get(n, 0.0)) for n in names])
-    share = share / share.sum() if share.sum() else np.full(k, 1 / k)
     if total is None:
         total = max([t / s for t, s in zip(totals, share, strict=True) if s > 0 and t > 0], default=0.0)
     goal = share * total
@@ -94,6 +99,9 @@ def fit(rows: DataFrame, names: list[str], targets: dict[str, float], total: flo
     weight = np.where(first > 0, 1 / np.maximum(first, 1e-300), 0.0)
     best, best_at, still = np.inf, 0, 0
     for _ in range(rounds):
+        # what leaks into a domain whose documents are at the least rate raises the total
+        if least and (totals / share).max() > goal.sum() * (1 + TOLERANCE / 4):
+            goal, best, still = share * (totals / share).max(), np.inf, 0
         gap = totals - goal
         loss = float((gap * gap * weight).sum())
         still = still + 1 if loss > best * (1 - 1e-6) else 0
@@ -107,7 +115,7 @@ def fit(rows: DataFrame, names: list[str], targets: dict[str, float], total: flo
         gap = totals - goal
         if float((gap * gap * weight).sum()) < best:
             best_at, reached = len(steps), totals
-    return Fit(names, goal, steps[:best_at], reached)
+    return Fit(names, goal, steps[:best_at], reached, least)
 
 
 def rated(rows: DataFrame, found: Fit, out: str = "rate") -> DataFrame:

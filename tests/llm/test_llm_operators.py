@@ -136,6 +136,19 @@ def test_mixing_is_least_squares_under_nonnegative_rates(spark):
         assert own <= loss.min() * 1.01 + 1e-2
 
 
+@pytest.mark.parametrize("leak", [0.01, 0.05])
+def test_mixing_lowers_no_rate_below_one(spark, leak):
+    share = {"a": 400, "b": 60, "c": 50, "d": 30}
+    p = np.repeat(np.eye(4) * (1 - 4 * leak / 3) + leak / 3, list(share.values()), axis=0)
+    p[:200] = [1.0, 0.0, 0.0, 0.0]
+    rows = spark.createDataFrame([(10.0, x.tolist()) for x in p], "__tokens double, __posterior array<double>").coalesce(1)
+    found = mixing.fit(rows, list(share), {"a": 0.4, "b": 0.2, "c": 0.2, "d": 0.2})
+    rates = found.rates(p)
+    assert rates.min() >= 1 and np.allclose(found.totals, (rates * 10.0) @ p)
+    assert np.abs(found.totals - found.targets).sum() <= 1e-3 * found.targets.sum()
+    assert found.targets.sum() < 1.2 * 4000 / 0.4
+
+
 # ------------------------------------------------------------------ op 4
 
 def test_block_max_search_is_exact():
