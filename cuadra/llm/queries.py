@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, langid, minhash, mixing, pii, suffix, tokens, toxicity, urls, vptree
+from . import conversations, decontaminate, langid, minhash, mixing, packing, phrases, pii, suffix, tokens, toxicity, urls, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": pii.op1_pii,
@@ -21,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_tokens": tokens.op9_tokens,
     "op10_langid": langid.op10_langid,
+    "op11_phrases": phrases.op11_phrases,
+    "op12_packing": packing.op12_packing,
+    "op13_conversations": conversations.op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -28,4 +31,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_pii": pii.oracle(),
     "op2_urls": urls.oracle(),
     "op8_decontaminate": decontaminate.oracle(),
+    "op11_phrases": phrases.oracle(),
 }
