@@ -3,14 +3,14 @@ pivot, year-to-date to month, column profiles, month ranges and scopes.
 
 Design notes (scale):
 
-* Current vs previous month is one aggregation, never a self-join: every row
-  is emitted twice by a generator, once as *current* for its own month and
-  once as *previous* for the following month.  Partial (map-side)
-  aggregation then collapses hot keys before the shuffle, so a key holding a
-  third of the rows costs one row per map task on the wire.
-* Every measure of the pivot is linear in (current, previous), so the
-  dimension join is done on fact rows (broadcast when proven small) and the
-  pivot sums in the same aggregation: one shuffle for the whole indicator job.
+* Current vs previous month is no self-join.  The fact is dealt by its key without the
+  period, so all months of a key lie together: they are summed by month there, and each
+  month's sum is emitted twice, as *current* for its own month and as *previous* for the
+  next.  Narrow fact rows cross the network once, before anything is doubled.  (The key and
+  the period are the fact's primary key, so a key has one row a month and summing before
+  the shuffle would not save any.)
+* Every measure of the pivot is linear in (current, previous), so the pivot is one more
+  aggregation of the comparison, combined before its shuffle.
 """
 
 from __future__ import annotations
@@ -79,13 +79,7 @@ VAL = "_value"
 
 def current_previous_rows(df: DataFrame, value: str, keys: Sequence[str],
                           period: str = PERIOD) -> DataFrame:
-    """Each row twice: (its period, value, current) and
-    (next period, value, previous).  No aggregation yet.
-
-    Conditional sums over these rows use ``CASE WHEN ... THEN v END`` (null
-    elsewhere, skipped by ``sum``) and one ``coalesce(.., 0)`` at the end,
-    which equals the reference's ``CASE ... ELSE 0`` sums while each row
-    touches only the one or two measures it belongs to."""
+    """Each row twice: (its period, value, current) and (next period, value, previous)."""
     v = F.col(value)
     pairs = F.array(
         F.struct(F.col(period).alias(period), v.alias(VAL), F.lit(True).alias(CUR)),
@@ -96,13 +90,12 @@ def current_previous_rows(df: DataFrame, value: str, keys: Sequence[str],
 
 def _restrict_periods(out: DataFrame, source: DataFrame, period_col: str,
                       period: str | None) -> DataFrame:
-    """Keep the requested period, or every period present in the source.
-
-    The set of periods is bounded by the calendar (one per month)."""
+    """Keep the requested period, or every period present in the source: a subquery of one
+    row, as the set of periods is bounded by the calendar."""
     if period is not None:
         return out.where(F.col(period_col) == period)
-    periods = source.select(period_col).distinct()
-    return out.join(periods, period_col, "left_semi")
+    periods = source.select(F.collect_set(period_col)).scalar()
+    return out.where(F.array_contains(periods, F.col(period_col)))
 
 
 def _scope_input(df: DataFrame, period_col: str, period: str | None) -> DataFrame:
@@ -115,22 +108,32 @@ def _zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
+def _two_months(df: DataFrame, keys: Sequence[str], value: str, period: str | None, period_col: str,
+                dealt: bool = False) -> DataFrame:
+    """(period, keys, _act, _ant): the sums of a key in a month and in the one before, null
+    where the key has no row; every month that follows a month of the key is there.
+    ``dealt``: the table is already laid out by (a part of) the key."""
+    src = _scope_input(df.select(period_col, *keys, value), period_col, period)
+    sums = (src if dealt else src.repartition(*keys)).groupBy(period_col, *keys).agg(F.sum(value).alias("_sum"))
+    cur, v = F.col(CUR), F.col(VAL)
+    # both aggregations find the key's rows in their partition
+    pairs = current_previous_rows(sums, "_sum", keys, period_col).groupBy(period_col, *keys).agg(
+        F.max(F.when(cur, v)).alias("_act"), F.max(F.when(~cur, v)).alias("_ant"))
+    return _restrict_periods(pairs, src, period_col, period)
+
+
 def month_compare(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
                   period: str | None = None, period_col: str = PERIOD,
-                  act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant") -> DataFrame:
+                  act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant", dealt: bool = False) -> DataFrame:
     """Sum of ``value`` in the current and in the previous month, by key.
 
     ``period`` given: that month only (input pruned to the two months).
     Otherwise every month present in ``df``.  A key with rows only in the
-    previous month appears with a zero current amount.
+    previous month appears with a zero current amount.  ``dealt``: the table is laid out
+    by a part of ``keys`` (``sinks.bucketed``), so nothing is shuffled.
     """
-    src = _scope_input(df, period_col, period)
-    rows = current_previous_rows(src.select(period_col, *keys, value), value, keys, period_col)
-    cur, v = F.col(CUR), F.col(VAL)
-    out = rows.groupBy(period_col, *keys).agg(
-        _zero_if_null(F.sum(F.when(cur, v))).alias(act),
-        _zero_if_null(F.sum(F.when(~cur, v))).alias(ant))
-    return _restrict_periods(out, src, period_col, period)
+    pairs = _two_months(df, keys, value, period, period_col, dealt)
+    return pairs.select(period_col, *keys, _zero_if_null(F.col("_act")).alias(act), _zero_if_null(F.col("_ant")).alias(ant))
 
 
 # ------------------------------------------------------ concept pivot (D2)
@@ -139,54 +142,57 @@ def _not_january(period_col: str) -> Column:
     return F.substring(F.col(period_col), 6, 2) != F.lit("01")
 
 
-def measure_expr(m: Measure, period_col: str = PERIOD, concept_col: str = "concept") -> Column:
-    """Conditional sum of one measure over current/previous rows."""
-    cur, v = F.col(CUR), F.col(VAL)
-    of_concept = F.col(concept_col) == F.lit(m.concept)
-    signed = F.when(cur, v).otherwise(-v)           # act - ant, row by row
+def measure_expr(m: Measure, period_col: str = PERIOD, concept_col: str = "concept",
+                 act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant") -> Column:
+    """Conditional sum of one measure over compared months."""
+    a, p = F.col(act), F.col(ant)
     if m.formula == "act":
-        term = F.when(of_concept & cur, v)
+        term = a
     elif m.formula == "act-ant":
-        term = F.when(of_concept, signed)
+        term = a - p
     elif m.formula == "ytd":                        # January: act only
-        term = F.when(of_concept & (cur | _not_january(period_col)), signed)
+        term = F.when(_not_january(period_col), a - p).otherwise(a)
     else:
         raise ValueError(f"unknown formula {m.formula!r}")
-    return _zero_if_null(F.sum(term)).alias(m.name)
+    return _zero_if_null(F.sum(F.when(F.col(concept_col) == F.lit(m.concept), term))).alias(m.name)
 
 
 def concept_pivot(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
                   concept_col: str = "concept", period_col: str = PERIOD) -> DataFrame:
-    """One conditional sum per measure, grouped by ``keys``, over the rows of
-    ``current_previous_rows``.  Groups whose concept has no measure still
-    appear with zeros, as a SQL ``CASE ... ELSE 0`` pivot gives."""
+    """One conditional sum per measure, grouped by ``keys``, over compared months with
+    their concept.  Groups whose concept has no measure still appear with zeros, as a SQL
+    ``CASE ... ELSE 0`` pivot gives."""
     return rows.groupBy(*keys).agg(*[measure_expr(m, period_col, concept_col) for m in measures])
 
 
-def management_indicators(fact: DataFrame, accounts: DataFrame, measures: Sequence[Measure],
-                          derived: Mapping[str, str], period: str | None = None,
-                          out_type: str = AMOUNT_TYPE) -> DataFrame:
-    """Indicators by (period, institution, product, business line).
+def indicators_of(compared: DataFrame, accounts: DataFrame, measures: Sequence[Measure],
+                  derived: Mapping[str, str], out_type: str = AMOUNT_TYPE) -> DataFrame:
+    """Indicators by (period, institution, product, business line) from ``month_compare``
+    by institution and account.
 
-    fact: periodo_mes, ins_id, planCuenta_id, eerr_Monto.
     accounts: planCuenta_id, producto_id, negocio_id, planCuenta_Concepto.
     ``derived``: name -> SQL over measure names, evaluated as decimal(20,2).
     """
     acct = (accounts.where(F.col("planCuenta_Concepto").isNotNull())
             .select("planCuenta_id", "producto_id", "negocio_id",
                     F.col("planCuenta_Concepto").alias("concept")))
-    src = _scope_input(fact.select(PERIOD, "ins_id", "planCuenta_id", "eerr_Monto"), PERIOD, period)
-    joined = join_dimension(src, acct, "planCuenta_id")
-    keys = ["ins_id", "producto_id", "negocio_id", "concept"]
-    rows = current_previous_rows(joined, "eerr_Monto", keys)
     group = [PERIOD, "ins_id", "producto_id", "negocio_id"]
-    out = _restrict_periods(concept_pivot(rows, group, measures), src, PERIOD, period)
+    out = concept_pivot(join_dimension(compared, acct, "planCuenta_id"), group, measures)
     out = out.withColumns({name: F.expr(f"try_cast({sql} AS decimal(20,2))")
                            for name, sql in derived.items()})
     names = [m.name for m in measures] + list(derived)
     return out.select(*group, *[F.col(n).try_cast(out_type).alias(n) for n in names])
 
 
+def management_indicators(fact: DataFrame, accounts: DataFrame, measures: Sequence[Measure],
+                          derived: Mapping[str, str], period: str | None = None,
+                          out_type: str = AMOUNT_TYPE) -> DataFrame:
+    """``indicators_of`` the comparison of a fact (periodo_mes, ins_id, planCuenta_id,
+    eerr_Monto)."""
+    compared = month_compare(fact, ["ins_id", "planCuenta_id"], period=period)
+    return indicators_of(compared, accounts, measures, derived, out_type)
+
+
 # --------------------------------------------------- year-to-date to month (D3)
 
 def ytd_to_month(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
@@ -195,14 +201,10 @@ def ytd_to_month(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
     """Turn year-to-date balances into monthly movements.
 
     Month m: ytd(m) - ytd(m-1), except January where ytd(m) is the month.
-    One aggregation over (current, previous) rows; no window, no month spine.
     """
-    src = _scope_input(df, period_col, period)
-    rows = current_previous_rows(src.select(period_col, *keys, value), value, keys, period_col)
-    cur, v = F.col(CUR), F.col(VAL)
-    term = F.when(cur, v).when(_not_january(period_col), -v)
-    res = rows.groupBy(period_col, *keys).agg(_zero_if_null(F.sum(term)).alias(out))
-    return _restrict_periods(res, src, period_col, period)
+    pairs = _two_months(df, keys, value, period, period_col)
+    act, ant = _zero_if_null(F.col("_act")), _zero_if_null(F.col("_ant"))
+    return pairs.select(period_col, *keys, F.when(_not_january(period_col), act - ant).otherwise(act).alias(out))
 
 
 # ------------------------------------------------------------ profile (D7/D8)

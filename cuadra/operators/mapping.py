@@ -75,8 +75,3 @@ def cast_losses(df: DataFrame, spec: TableSpec, mapping: Mapping[str, str | Colu
     return (wide.selectExpr("_n AS n_rows", f"stack({len(pairs)}, {args}) AS (column_name, n_lost)")
             .select("column_name", "n_rows", "n_lost", (F.col("n_lost") == 0).alias("passed")))
 
-
-def apply_defaults(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Replace nulls with the declared default of each column."""
-    return df.withColumns({c.name: F.coalesce(F.col(c.name), F.expr(c.default)).try_cast(c.dtype)
-                           for c in spec.columns if c.default is not None and c.name in df.columns})

@@ -157,13 +157,15 @@ def _empty_summary(df: DataFrame) -> DataFrame:
             "external_code string, severity string, n_rows bigint, n_bad bigint, passed boolean")
 
 
-def _summary_row(df: DataFrame, rule_id: str, rule_type: str, column: str | None,
-                 error_code: int, severity: Severity, tolerance_rows: int | None = None,
-                 tolerance_share: float | None = None, external_code: str | None = None) -> DataFrame:
-    """``df`` has one row with n_rows and n_bad; add the rule's metadata."""
+def summary_rows(df: DataFrame, rule_id: str, rule_type: str, column: str | None,
+                 error_code: int = 0, severity: Severity = Severity.ERROR, tolerance_rows: int | None = None,
+                 tolerance_share: float | None = None, external_code: str | None = None,
+                 by: Sequence[str] = ()) -> DataFrame:
+    """``df`` has n_rows and n_bad (one row, or one for each value of ``by``); add the
+    rule's metadata."""
     n_rows, n_bad = F.col("n_rows").cast("bigint"), F.coalesce(F.col("n_bad"), F.lit(0)).cast("bigint")
     return df.select(
-        F.lit(rule_id).alias("rule_id"), F.lit(rule_type).alias("rule_type"),
+        *by, F.lit(rule_id).alias("rule_id"), F.lit(rule_type).alias("rule_type"),
         F.lit(column).cast("string").alias("column_name"), F.lit(error_code).cast("int").alias("error_code"),
         F.lit(external_code).cast("string").alias("external_code"), F.lit(severity.value).alias("severity"), n_rows.alias("n_rows"), n_bad.alias("n_bad"),
         tolerance_passed(n_bad, n_rows, tolerance_rows, tolerance_share).alias("passed"))
@@ -208,7 +210,7 @@ def pk_check(df: DataFrame, keys: Sequence[str], rule_id: str = "pk", error_code
                       F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))).alias("n_bad"))
     if ignore_nulls:  # n_rows counts the rows with a non-null key (0 when none)
         agg = agg.select(F.coalesce(F.col("n_rows"), F.lit(0)).alias("n_rows"), "n_bad")
-    return _summary_row(agg.fillna({"n_rows": 0}), rule_id, rule_type, ",".join(keys), error_code,
+    return summary_rows(agg.fillna({"n_rows": 0}), rule_id, rule_type, ",".join(keys), error_code,
                         severity, external_code=external_code)
 
 
@@ -245,7 +247,7 @@ def fk_check(df: DataFrame, ref: DataFrame, fk: ForeignKey, rule_id: str | None
     agg = joined.agg(F.sum("n_rows").alias("n_rows"),
                      F.sum(F.when(checked & F.col("_hit").isNull(), F.col("n_rows"))).alias("n_bad"))
     rid = rule_id or f"fk:{','.join(fk.local)}->{fk.ref}"
-    return _summary_row(agg.fillna({"n_rows": 0}), rid, "fk", ",".join(fk.local), fk.error_code,
+    return summary_rows(agg.fillna({"n_rows": 0}), rid, "fk", ",".join(fk.local), fk.error_code,
                         fk.severity, external_code=fk.external_code)
 
 
@@ -266,6 +268,15 @@ def aggregate_rules(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()
                                 "(rule_id, error_code, severity, rule_order, passed)")
 
 
+def aggregate_summary(df: DataFrame, rule: Rule) -> DataFrame:
+    """An aggregate rule's summary row."""
+    return aggregate_rules(df, [rule]).select(
+        "rule_id", F.lit("aggregate").alias("rule_type"), F.lit(None).cast("string").alias("column_name"),
+        "error_code", F.lit(rule.external_code).cast("string").alias("external_code"),
+        "severity", F.lit(None).cast("bigint").alias("n_rows"),
+        F.when(F.col("passed"), 0).otherwise(1).cast("bigint").alias("n_bad"), "passed")
+
+
 def first_error(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The code of the first failing ERROR rule (by rule order), per group.
 
@@ -294,11 +305,13 @@ def row_count_interval(df: DataFrame, lo: int | None, hi: int | None, by: Sequen
 
 def one_value(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Each column must hold exactly one distinct value in the batch (0 on
-    an empty batch fails).  Output: column_name, n_distinct, passed."""
-    wide = df.agg(*[F.count_distinct(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-    args = ", ".join(f"{_sql_str(c)}, _d{i}" for i, c in enumerate(cols))
-    return (wide.selectExpr(f"stack({len(cols)}, {args}) AS (column_name, n_distinct)")
-            .withColumn("passed", F.col("n_distinct") == 1))
+    an empty batch fails).  Output: column_name, n_distinct, passed.
+
+    The values are made distinct per column before they meet: one row a value and
+    task reaches the shuffle, and no row is multiplied by the number of columns."""
+    counted = [df.select(F.col(c).alias("_v")).where("_v IS NOT NULL").distinct()
+               .agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(c).alias("column_name"), "n_distinct") for c in cols]
+    return reduce(lambda a, b: a.unionByName(b), counted).withColumn("passed", F.col("n_distinct") == 1)
 
 
 def new_record_check(batch: DataFrame, current: DataFrame, keys: Sequence[str],
@@ -311,7 +324,7 @@ def new_record_check(batch: DataFrame, current: DataFrame, keys: Sequence[str],
     agg = marked.agg(F.count(F.lit(1)).alias("n_rows"),
                      F.count(F.when(F.col("_old").isNull(), 1)).alias("n_bad"))
     tol_rows = max_num if max_num is not None else (None if max_share is not None else 0)
-    return _summary_row(agg, rule_id, "max_new_records", ",".join(keys), 0, Severity.ERROR,
+    return summary_rows(agg, rule_id, "max_new_records", ",".join(keys), 0, Severity.ERROR,
                         tol_rows, max_share)
 
 
@@ -351,20 +364,15 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
             parts.append(fk_check(df, refs[fk.ref], fk))
     for r in spec.rules:
         if r.level == "aggregate":
-            res = aggregate_rules(df, [r])
-            parts.append(res.select(
-                "rule_id", F.lit("aggregate").alias("rule_type"), F.lit(None).cast("string").alias("column_name"),
-                "error_code", F.lit(r.external_code).cast("string").alias("external_code"),
-                "severity", F.lit(None).cast("bigint").alias("n_rows"),
-                F.when(F.col("passed"), 0).otherwise(1).cast("bigint").alias("n_bad"), "passed"))
+            parts.append(aggregate_summary(df, r))
     summary = reduce(lambda a, b: a.unionByName(b), parts)
 
     details = [row_rule_details(df, checks, detail_cols)] if checks else []
     if spec.pk:
-        details.append(_repeated_rows(df, spec.pk).select(F.lit("pk").alias("rule_id"), *detail_cols))
+        details.append(repeated_rows(df, spec.pk).select(F.lit("pk").alias("rule_id"), *detail_cols))
     for col in spec.columns:
         if col.unique:
-            rows = _repeated_rows(df.where(F.col(col.name).isNotNull()), [col.name])
+            rows = repeated_rows(df.where(F.col(col.name).isNotNull()), [col.name])
             details.append(rows.select(F.lit(f"{col.name}:unique").alias("rule_id"), *detail_cols))
     for fk in spec.foreign_keys:
         if fk.ref in refs:
@@ -378,7 +386,7 @@ def check(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None =
     return CheckResult(summary, detail_df, kept)
 
 
-def _repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs more than once; nulls are equal to each other."""
     dup = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])

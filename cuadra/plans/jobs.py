@@ -8,6 +8,7 @@ are larger and smaller, so the jobs run with bounds of their own here.
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from cuadra.plans import monthly as P
 from cuadra.plans import raws as RW
 from cuadra.plans import staging as ST
 from cuadra.plans import tables as TB
-from cuadra.session import shared_dir
+from cuadra.session import materialize, shared_dir
 from cuadra.sinks import tables as SK
 
 # Test parameters (ours): the month that the jobs load, and bounds that any fixture meets.
@@ -97,7 +98,7 @@ def q_statements_job(spark: SparkSession, sf: str) -> DataFrame:
     valid = X.table(spark, sf, "supplier").where("s_acctbal >= 0")
     whole = (lines.groupBy("l_suppkey").agg(F.countDistinct("_origin").alias("n")).where("n = 4")
              .join(valid, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi").select("l_suppkey"))
-    clean = P.materialize(lines.join(whole, "l_suppkey", "left_semi").drop("_origin"))
+    clean = materialize(lines.join(whole, "l_suppkey", "left_semi").drop("_origin"))
     root, wh = shared_dir(spark, "statements"), _warehouse(spark)
     files = ST.statement_lines(clean, valid)
     ST.write_files(files.withColumn("path", F.regexp_replace("path", "^[a-z0-9]+/", "")), root)
@@ -121,6 +122,181 @@ def q_indicators_job(spark: SparkSession, sf: str) -> DataFrame:
     return _written(P.indicators(spark, wh, YEAR, MONTH, ANY, masters)).select(*TB.INDICATORS.names)
 
 
+# ------------------------------------------------- whole months, ranges, history
+
+def _masters(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    part = X.table(spark, sf, "part")
+    return {"negocio": TB.business_lines(part), "producto": TB.products(part)}
+
+
+def q_enrichment_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The month's accounts, then every assignment lot: accounts of a business line without
+    a master keep their former (empty) assignment."""
+    wh = _warehouse(spark)
+    _written(P.account(spark, ST.landing(spark, sf, "plan"), wh, YEAR, MONTH, _any(RW.PLAN_CTAS)))
+    res = P.account_enrichment(spark, ST.landing(spark, sf, "asigna"), wh, "*", _masters(spark, sf), _any(RW.ASIGNA),
+                               changed_at="1998-05-15 12:00:00")
+    return _written(res).select(*TB.ACCOUNT.names)
+
+
+#: Before any load, after the first, after the second, and after the assignment.
+TIMES = ("1998-02-28 23:59:59", "1998-03-01 00:00:00", "1998-04-20 00:00:00", "1998-05-15 12:00:00")
+
+
+def q_account_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The account table rebuilt from its history at four times around three loads."""
+    wh, land = _warehouse(spark), ST.landing(spark, sf, "plan")
+    for month in (MONTH, MONTH + 1):
+        _written(P.account(spark, land, wh, YEAR, month, _any(RW.PLAN_CTAS)))
+    _written(P.account_enrichment(spark, ST.landing(spark, sf, "asigna"), wh, "*", _masters(spark, sf), _any(RW.ASIGNA), changed_at=TIMES[3]))
+    history = SK.read_history(spark, TB.ACCOUNT, wh.path("account_history"))
+    return reduce(DataFrame.unionByName, [SK.as_of(history, TB.ACCOUNT, t).select(F.lit(t).alias("at"), *TB.ACCOUNT.names) for t in TIMES])
+
+
+def q_account_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """When each name of an account was valid: loads of January to March 1998, the second of
+    which spells every name in upper case."""
+    path = shared_dir(spark, "intervals")
+    lines, part = X.table(spark, sf, "lineitem"), X.accounts(X.table(spark, sf, "part")).select("planCuenta_id", "planCuenta_Nombre")
+    now = SK.read_table(spark, TB.ACCOUNT, path)
+    for month in (1, 2, 3):
+        at = f"1998-0{month}-01"
+        seen = lines.where(X.period_of("l_shipdate") == at).select(X.padded_code("l_partkey", 7).alias("planCuenta_id")).distinct()
+        chart = part.join(seen, "planCuenta_id", "left_semi")
+        chart = chart.withColumn("planCuenta_Nombre", F.upper("planCuenta_Nombre")) if month == 2 else chart
+        merged = SK.upsert_full(now, chart, TB.ACCOUNT, ["planCuenta_id", "planCuenta_Nombre"], f"{at} 00:00:00", "chart")
+        SK.save_version(merged, TB.ACCOUNT, path)
+        saved = SK.read_table(spark, TB.ACCOUNT, path)
+        SK.append_history(now, saved, TB.ACCOUNT, f"{path}_history", f"{at} 00:00:00", "chart")
+        now = saved
+    return SK.intervals(SK.read_history(spark, TB.ACCOUNT, f"{path}_history"), TB.ACCOUNT)
+
+
+def q_job_quality_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What the account and snapshot jobs kept of their rules: the results, and how many
+    violating rows each rule left."""
+    wh, land = _warehouse(spark), ST.landing(spark, sf, "plan")
+    P.account(spark, land, wh, YEAR, MONTH, _any(RW.PLAN_CTAS), run_id="run-1")
+    P.account_month(spark, land, wh, YEAR, MONTH, _any(RW.PLAN_CTAS), run_id="run-2")
+    path = wh.path("quality")
+    details = SK.read_quality(spark, path, "dq_details").groupBy("run_id", "rule_id").agg(F.count(F.lit(1)).alias("n_details"))
+    return SK.read_quality(spark, path, "dq_results").join(details, ["run_id", "rule_id"], "left").select(
+        "table_name", "run_id", "rule_id", "rule_type", "severity", "n_rows", "n_bad", "passed", F.coalesce("n_details", F.lit(0)).alias("n_details"))
+
+
+def _clean_lines(spark: SparkSession, sf: str, periods: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(lines, institutions) of months without faults: accounts that an institution reports
+    once a month, institutions with a valid header code that report all four statements."""
+    month = F.date_format("l_shipdate", "yyyy-MM-01")
+    lines = X.table(spark, sf, "lineitem").where(month.isin(periods)).withColumn("_month", month).withColumn("_origin", X.origin_of())
+    keys = ["_month", "l_suppkey", "l_partkey"]
+    once = lines.groupBy(*keys).agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    valid = X.table(spark, sf, "supplier").where("s_acctbal >= 0")
+    lines = lines.join(once, keys, "left_semi")
+    whole = (lines.groupBy("_month", "l_suppkey").agg(F.countDistinct("_origin").alias("n")).where("n = 4")
+             .join(valid, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi").select("_month", "l_suppkey"))
+    return materialize(lines.join(whole, ["_month", "l_suppkey"], "left_semi").drop("_month", "_origin")), valid
+
+
+def _clean_extracts(spark: SparkSession, sf: str, clean: DataFrame, valid: DataFrame, repeated: str | None = None) -> str:
+    """Statements, institution lists and charts of clean lines in one folder; of the month
+    ``repeated`` every line stands twice in its file."""
+    root = shared_dir(spark, "clean")
+    files = ST.statement_lines(clean, valid)
+    if repeated:
+        files = files.unionByName(files.where((F.col("_ord") == 1) & F.col("path").contains(f"/{repeated[:4]}{repeated[5:7]}/")))
+    ST.write_files(files.withColumn("path", F.regexp_replace("path", "^[a-z0-9]+/", "")), root)
+    ST.write_files(ST.codifis_lines(clean, valid), root)
+    ST.write_files(ST.chart_lines(clean, X.table(spark, sf, "part")), root)
+    return root
+
+
+def _relaxed() -> dict:
+    return {"codifis": _any(RW.CODIFIS), "plan": _any(RW.PLAN_CTAS), "stmt": {k: _any(v) for k, v in RW.STATEMENTS.items()}}
+
+
+def q_monthly_run_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole monthly run on one folder with a clean month: rows of every table that it
+    wrote."""
+    root, wh = _clean_extracts(spark, sf, *_clean_lines(spark, sf, [PERIOD])), _warehouse(spark)
+    done = P.monthly_run(spark, {k: root for k in ("codifis", "plan", "stmt")}, wh, YEAR, MONTH, _relaxed())
+    return reduce(DataFrame.unionByName, [
+        _written(r).select(F.lit(r.name).alias("job")).groupBy("job").agg(F.count(F.lit(1)).alias("n_rows")) for r in done])
+
+
+RANGE_START, RANGE_MONTHS = "1998-01-01", 4
+RANGE = ["1998-01-01", "1998-02-01", "1998-03-01", "1998-04-01"]
+
+
+def q_statements_range_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Four months of statements in one pass; in the third every line stands twice, so the
+    months before it are written and it and the fourth are not."""
+    root, wh = _clean_extracts(spark, sf, *_clean_lines(spark, sf, RANGE), repeated=RANGE[2]), _warehouse(spark)
+    land = P.landing(spark, root)
+    P.run_range(lambda y, m: P.institution(spark, land, wh, y, m, _any(RW.CODIFIS)), RANGE_START, RANGE_MONTHS)
+    P.institution_month_range(spark, land, wh, RANGE_START, RANGE_MONTHS, _any(RW.CODIFIS))
+    P.run_range(lambda y, m: P.account(spark, land, wh, y, m, _any(RW.PLAN_CTAS)), RANGE_START, RANGE_MONTHS)
+    P.account_month_range(spark, land, wh, RANGE_START, RANGE_MONTHS, _any(RW.PLAN_CTAS))
+    res = P.statements_range(spark, land, wh, RANGE_START, RANGE_MONTHS, {k: _any(v) for k, v in RW.STATEMENTS.items()})
+    return res.written.select(*TB.STATEMENT.names)
+
+
+def q_statements_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """The rules' verdict on a whole month as it is: every institution's files, valid or
+    not.  Rules with violations stop the load, so nothing is written."""
+    land, wh = ST.landing(spark, sf, "stmt"), _warehouse(spark)
+    lines = _month_lines(spark, sf)
+    month_of = F.lit(PERIOD).alias("periodo_mes")
+    registered = X.institutions(X.table(spark, sf, "supplier").where("s_acctbal >= 0"))
+    SK.partition_replace(registered.select(month_of, "ins_id", "ins_nombre"), TB.INSTITUTION_MONTH, wh.path("institution_month"))
+    seen = lines.where("l_partkey % 10 <> 7").select(X.padded_code("l_partkey", 7).alias("planCuenta_id")).distinct()
+    accounts = X.accounts(X.table(spark, sf, "part")).join(seen, "planCuenta_id", "left_semi")
+    SK.partition_replace(accounts.select(month_of, "planCuenta_id", "planCuenta_Nombre"), TB.ACCOUNT_MONTH, wh.path("account_month"))
+    by_folder = {o: _any(dataclasses.replace(r, template=f"{o.lower()}/{r.template}")) for o, r in RW.STATEMENTS.items()}
+    res = P.statements(spark, land, wh, YEAR, MONTH, by_folder)
+    if res.ok or SK.exists(wh.path("statement")):
+        raise RuntimeError("a month with violations was written")
+    kinds = ["pk", "fk", "scope", "header", "row_count"]
+    return res.summary.where(F.col("rule_type").isin(kinds) & (F.col("rule_id") != "month_not_empty")).select("rule_id", "n_rows", "n_bad", "passed")
+
+
+def q_institution_range_job(spark: SparkSession, sf: str) -> DataFrame:
+    wh, land = _warehouse(spark), ST.landing(spark, sf, "codifis")
+    done = P.run_range(lambda y, m: P.institution(spark, land, wh, y, m, _any(RW.CODIFIS)), RANGE_START, 3)
+    return _written(done[-1]).select("ins_id", "ins_nombre")
+
+
+def q_institution_month_range_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Three months of institution snapshots in one pass."""
+    wh, land = _warehouse(spark), ST.landing(spark, sf, "codifis")
+    SK.save_version(X.institutions(X.table(spark, sf, "supplier")), TB.INSTITUTION, wh.path("institution"))
+    return _written(P.institution_month_range(spark, land, wh, RANGE_START, 3, _any(RW.CODIFIS))).select("periodo_mes", "ins_id", "ins_nombre")
+
+
+def q_account_month_range_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Three months of account snapshots in one pass; the dimension lacks the accounts that
+    first report in March, so March and what follows is not written."""
+    wh, land = _warehouse(spark), ST.landing(spark, sf, "plan")
+    early = X.table(spark, sf, "lineitem").where(X.period_of("l_shipdate").isin(RANGE[:2]))
+    seen = early.select(X.padded_code("l_partkey", 7).alias("planCuenta_id")).distinct()
+    SK.save_version(X.accounts(X.table(spark, sf, "part")).join(seen, "planCuenta_id", "left_semi"), TB.ACCOUNT, wh.path("account"))
+    return P.account_month_range(spark, land, wh, RANGE_START, 3, _any(RW.PLAN_CTAS)).written.select(
+        "periodo_mes", "planCuenta_id", "planCuenta_Nombre")
+
+
+def q_indicators_range_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators of February to May 1998 in one pass from statements without April: only
+    the months before it are written."""
+    wh, part = _warehouse(spark), X.table(spark, sf, "part")
+    fact = X.statement_fact(X.table(spark, sf, "lineitem")).where(F.col("periodo_mes").isin("1998-01-01", "1998-02-01", "1998-03-01", "1998-05-01"))
+    SK.partition_replace(fact, dataclasses.replace(TB.STATEMENT, partition_cols=("periodo_mes",)), wh.path("statement"))
+    accounts = TB.governed_accounts(part)
+    SK.save_version(accounts, TB.ACCOUNT, wh.path("account"))
+    SK.save_version(X.institutions(X.table(spark, sf, "supplier")), TB.INSTITUTION, wh.path("institution"))
+    masters = {"negocio": accounts.select("negocio_id").distinct(), "producto": accounts.select("producto_id").distinct()}
+    return P.reprocess_indicators(spark, wh, "1998-02-01", 4, masters=masters).select(*TB.INDICATORS.names)
+
+
 QUERIES = {
     "institution_job": q_institution_job,
     "institution_month_job": q_institution_month_job,
@@ -130,4 +306,15 @@ QUERIES = {
     "statement_completeness": q_statement_completeness,
     "statements_job": q_statements_job,
     "indicators_job": q_indicators_job,
+    "enrichment_job": q_enrichment_job,
+    "account_as_of": q_account_as_of,
+    "account_intervals": q_account_intervals,
+    "job_quality_log": q_job_quality_log,
+    "monthly_run_job": q_monthly_run_job,
+    "statements_range_job": q_statements_range_job,
+    "statements_verdict": q_statements_verdict,
+    "institution_range_job": q_institution_range_job,
+    "institution_month_range_job": q_institution_month_range_job,
+    "account_month_range_job": q_account_month_range_job,
+    "indicators_range_job": q_indicators_range_job,
 }

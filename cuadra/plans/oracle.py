@@ -441,7 +441,7 @@ def scan_fixed_width_sql() -> str:
 def settings_as_of_sql() -> str:
     from cuadra.plans import raws as RW
     vals = ", ".join(f"('{raw.name}', {i}, '{st.start}', '{st.end}')"
-                     for raw in RW.STATEMENTS.values() for i, st in enumerate(raw.settings))
+                     for raw in RW.OVERLAPPING.values() for i, st in enumerate(raw.settings))
     return f"""WITH files AS (SELECT DISTINCT periodo_mes, ins_id, eerr_origen FROM ({_file_rows_sql()})
                 WHERE eerr_origen IS NOT NULL),
 settings(raw_name, setting_id, valid_from, valid_to) AS (VALUES {vals}),
@@ -454,6 +454,38 @@ SELECT periodo_mes, ins_id, eerr_origen, CAST(CASE WHEN n_settings = 1 THEN firs
        n_settings FROM m"""
 
 
+def scan_two_layouts_sql() -> str:
+    return f"SELECT * FROM ({fact_sql()}) WHERE eerr_origen = 'B1'"
+
+
+def rejected_lines_sql() -> str:
+    return """WITH l AS (
+  SELECT *, strftime(o_orderdate, '%Y-%m-01') AS periodo_mes, substr(o_orderpriority, 1, 1) AS lote,
+         o_orderkey || chr(9) || o_custkey || chr(9) || o_orderstatus || chr(9)
+         || replace(CAST(CAST(o_totalprice AS DECIMAL(23,2)) AS VARCHAR), '.', ',') || chr(9) || strftime(o_orderdate, '%Y-%m-%d') AS five,
+         o_orderkey % 97 = 0 AS short, o_orderpriority = '2-HIGH' AND o_custkey % 3 = 0 AS accent FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY periodo_mes, lote ORDER BY o_orderkey) AS line FROM l)
+SELECT periodo_mes, lote, line, CASE WHEN short THEN 'fields' ELSE 'encoding' END AS reason,
+       base64(CASE WHEN short THEN encode(five) ELSE encode(five || chr(9) || o_orderpriority) || '\\xE9'::BLOB END) AS content
+FROM n WHERE short OR accent"""
+
+
+def file_inventory_sql() -> str:
+    origin = " ".join(f"WHEN {_where(f, st)} THEN '{c}'" for c, f, st in ORIGINS)
+    money = lambda c: f"length(CAST(CAST({c} AS DECIMAL(23,2)) AS VARCHAR))"
+    return f"""WITH rows AS (
+  SELECT {period_sql('l_shipdate')} AS periodo_mes, l_suppkey, CASE {origin} END AS eerr_origen,
+         length({code_sql('l_partkey', 7)}) AS code, {money('l_extendedprice')} AS m1, {money('l_quantity')} AS m2,
+         {money('l_discount')} AS m3, {money('l_tax')} AS m4 FROM lineitem),
+files AS (SELECT eerr_origen, periodo_mes, l_suppkey, count(*) AS n,
+                 sum(CASE WHEN eerr_origen IN ('B1', 'R1') THEN code + m1 + m2 + m3 + m4 + 5 ELSE code + m1 + 2 END) AS body
+          FROM rows WHERE eerr_origen IS NOT NULL GROUP BY ALL)
+SELECT f.eerr_origen, f.periodo_mes, {code_sql('f.l_suppkey', 3)} AS ins_id,
+       CAST(body + length({code_sql('f.l_suppkey', 3)}) + length(s_name) + 2
+            + CASE WHEN f.eerr_origen IN ('B1', 'R1') THEN 0 ELSE 1 + length(CAST(n AS VARCHAR)) END AS BIGINT) AS n_bytes
+FROM files f JOIN supplier ON s_suppkey = f.l_suppkey"""
+
+
 # ------------------------------------------------------------ write modes
 
 _AT = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -615,6 +647,22 @@ def lost_in_cast_sql() -> str:
         f"count(*) FILTER (WHERE {bad}) = 0 AS passed FROM orders" for c, bad in parts)
 
 
+def profile_merge_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_non_null, CAST(min({c}) AS VARCHAR) AS min_value,
+       CAST(max({c}) AS VARCHAR) AS max_value, count(DISTINCT {c}) AS n_distinct, true AS distinct_within, true AS median_within FROM orders"""
+        for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+
+
+def month_compare_bucketed_sql() -> str:
+    return month_compare_sql()
+
+
+def fk_composite_bucketed_sql() -> str:
+    return f"""WITH fact AS ({fact_sql()})
+SELECT planCuenta_id, periodo_mes, count(*) AS n_rows FROM fact WHERE planCuenta_id LIKE '%7' GROUP BY ALL"""
+
+
 # ------------------------------------------------------------ monthly jobs
 
 MARCH = "l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01'"
@@ -669,6 +717,139 @@ def indicators_job_sql() -> str:
     return f"SELECT * FROM ({mgmt_indicators_sql()}) WHERE periodo_mes = '1998-03-01'"
 
 
+def _months(*periods: str) -> str:
+    return "strftime(l_shipdate, '%Y-%m-01') IN (" + ", ".join(f"'{p}'" for p in periods) + ")"
+
+
+def _assigned_sql(accounts: str) -> str:
+    """Accounts with their assignment; those of a business line without a master have none."""
+    return f"""SELECT a.planCuenta_id, a.planCuenta_Nombre, CASE WHEN p.negocio_id <> 'PROMO' THEN p.negocio_id END AS negocio_id,
+       CASE WHEN p.negocio_id <> 'PROMO' THEN p.producto_id END AS producto_id,
+       CASE WHEN p.negocio_id <> 'PROMO' THEN p.planCuenta_Concepto END AS planCuenta_Concepto
+FROM ({accounts}) a JOIN ({accounts_sql()}) p ON p.planCuenta_id = a.planCuenta_id"""
+
+
+def enrichment_job_sql() -> str:
+    return _assigned_sql(account_job_sql())
+
+
+def account_as_of_sql() -> str:
+    none = "CAST(NULL AS VARCHAR)"
+    plain = f"planCuenta_id, planCuenta_Nombre, {none} AS negocio_id, {none} AS producto_id, {none} AS planCuenta_Concepto"
+    both = account_job_sql(_months("1998-03-01", "1998-04-01"))
+    return f"""SELECT '1998-03-01 00:00:00' AS at, {plain} FROM ({account_job_sql()})
+UNION ALL SELECT '1998-04-20 00:00:00', {plain} FROM ({both})
+UNION ALL SELECT '1998-05-15 12:00:00', * FROM ({_assigned_sql(both)})"""
+
+
+def account_intervals_sql() -> str:
+    seen = lambda p: f"SELECT DISTINCT {code_sql('l_partkey', 7)} FROM lineitem WHERE {_months(p)}"
+    return f"""
+WITH names AS (SELECT {code_sql('p_partkey', 7)} AS planCuenta_id, p_name AS lower_name, upper(p_name) AS upper_name FROM part),
+loads AS (
+  SELECT planCuenta_id, DATE '1998-01-01' AS since, lower_name AS name FROM names WHERE planCuenta_id IN ({seen('1998-01-01')})
+  UNION ALL SELECT planCuenta_id, DATE '1998-02-01', upper_name FROM names WHERE planCuenta_id IN ({seen('1998-02-01')})
+  UNION ALL SELECT planCuenta_id, DATE '1998-03-01', lower_name FROM names WHERE planCuenta_id IN ({seen('1998-03-01')})),
+changes AS (SELECT * FROM (SELECT *, lag(name) OVER (PARTITION BY planCuenta_id ORDER BY since) AS former FROM loads)
+            WHERE former IS DISTINCT FROM name)
+SELECT planCuenta_id, 'planCuenta_Nombre' AS column_name, name AS value, CAST(since AS TIMESTAMP) AS valid_from,
+       CAST(lead(since) OVER (PARTITION BY planCuenta_id ORDER BY since) AS TIMESTAMP) AS valid_to FROM changes"""
+
+
+def job_quality_log_sql() -> str:
+    """The rules of the two jobs, written out; only the short names can be violated."""
+    name, rows = "length(planCuenta_Nombre)", "(SELECT count(*) FROM acct)"
+
+    def rule(table, run, rid, kind, bad="0", severity="ERROR", n=rows, counted=True):
+        details = bad if counted else "0"
+        return (f"SELECT '{table}' AS table_name, '{run}' AS run_id, '{rid}' AS rule_id, '{kind}' AS rule_type, '{severity}' AS severity, "
+                f"{n} AS n_rows, {bad} AS n_bad, {bad} = 0 AS passed, {details} AS n_details")
+
+    def columns(table, run):
+        bad = {"min_len": f"(SELECT count(*) FROM acct WHERE {name} < 5)", "max_len": f"(SELECT count(*) FROM acct WHERE {name} > 100)"}
+        return [rule(table, run, f"{c}:{k}", k, bad[k] if c == "planCuenta_Nombre" and k in bad else "0")
+                for c in ("planCuenta_id", "planCuenta_Nombre") for k in ("not_null", "min_len", "max_len")]
+
+    files = lambda table, run: [rule(table, run, "rejected_lines", "raw"), rule(table, run, "rows_in_file", "row_count"),
+                                rule(table, run, "file_period", "period", n="1"), rule(table, run, "pk", "pk")]
+    parts = columns("account", "run-1") + files("account", "run-1") + [
+        rule("account", "run-1", "DQ_CuentaCorta", "row_sql", f"(SELECT count(*) FROM acct WHERE NOT {name} <= 10)", "WARNING")]
+    parts += columns("account_month", "run-2") + files("account_month", "run-2") + [
+        rule("account_month", "run-2", "periodo_mes:not_null", "not_null"), rule("account_month", "run-2", "fk:planCuenta_id->account", "fk")]
+    return f"WITH acct AS ({account_job_sql()})\n" + "\nUNION ALL\n".join(parts)
+
+
+def _clean_sql(periods: list[str]) -> str:
+    return f"""
+dated AS (SELECT *, strftime(l_shipdate, '%Y-%m-01') AS m FROM lineitem WHERE {_months(*periods)}),
+once AS (SELECT m, l_suppkey, l_partkey FROM dated GROUP BY ALL HAVING count(*) = 1),
+single AS (SELECT * FROM dated JOIN once USING (m, l_suppkey, l_partkey)),
+whole AS (SELECT m, l_suppkey FROM single JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal >= 0
+          GROUP BY ALL HAVING count(DISTINCT {ORIGIN}) = 4),
+clean AS (SELECT * FROM single JOIN whole USING (m, l_suppkey))"""
+
+
+def monthly_run_job_sql() -> str:
+    counts = {"institution": "count(DISTINCT l_suppkey)", "institution_month": "count(DISTINCT l_suppkey)",
+              "account": "count(DISTINCT l_partkey)", "account_month": "count(DISTINCT l_partkey)", "statements": "count(*)"}
+    return f"WITH {_clean_sql(['1998-03-01'])}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{job}' AS job, {n} AS n_rows FROM clean" for job, n in counts.items())
+
+
+def statements_range_job_sql() -> str:
+    return f"""WITH {_clean_sql(['1998-01-01', '1998-02-01'])}
+{fact_sql().replace('FROM lineitem', 'FROM clean')}"""
+
+
+def statements_verdict_sql() -> str:
+    """Scope, keys, files and headers of March 1998 as it stands."""
+    bank = code_sql("l_suppkey", 3)
+    per_kind = "\nUNION ALL\n".join(
+        f"""SELECT '{k}:header_code' AS rule_id, count(*) AS n_rows, count(*) FILTER (code <> ins_id) AS n_bad FROM files WHERE kind = '{k}'
+UNION ALL SELECT '{k}:rows_per_file', sum(n)::BIGINT, 0 FROM files WHERE kind = '{k}'""" for k in ("B1", "R1", "C1", "C2"))
+    return f"""
+WITH rows AS (SELECT *, {bank} AS ins_id, {ORIGIN} AS kind FROM lineitem WHERE {MARCH}),
+files AS (SELECT kind, ins_id, CASE WHEN s_acctbal < 0 THEN reverse(ins_id) ELSE ins_id END AS code, count(*) AS n
+          FROM rows JOIN supplier ON s_suppkey = l_suppkey GROUP BY ALL),
+registered AS (SELECT {code_sql('s_suppkey', 3)} AS ins_id FROM supplier WHERE s_acctbal >= 0),
+scope AS (SELECT * FROM rows WHERE ins_id IN (SELECT ins_id FROM registered)),
+keys AS (SELECT ins_id, l_partkey, count(*) AS n FROM scope GROUP BY ALL),
+owed AS (SELECT ins_id, unnest(['B1', 'R1', 'C1', 'C2']) AS kind FROM registered),
+absent AS (SELECT count(*) AS n FROM registered WHERE ins_id NOT IN (SELECT ins_id FROM scope)),
+verdicts AS (
+{per_kind}
+UNION ALL SELECT 'pk', sum(n)::BIGINT, coalesce(sum(n) FILTER (n > 1), 0)::BIGINT FROM keys
+UNION ALL SELECT 'fk:ins_id,periodo_mes->institution_month', count(*), 0 FROM scope
+UNION ALL SELECT 'fk:planCuenta_id,periodo_mes->account_month', count(*), count(*) FILTER (l_partkey % 10 = 7) FROM scope
+UNION ALL SELECT 'statement_files', count(*), count(*) FILTER (f.n IS NULL) FROM owed LEFT JOIN files f USING (ins_id, kind)
+UNION ALL SELECT 'registered_without_statements', n, n FROM absent WHERE n > 0)
+SELECT rule_id, n_rows, n_bad, n_bad = 0 AS passed FROM verdicts"""
+
+
+def institution_range_job_sql() -> str:
+    return institution_job_sql().replace(MARCH, "l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '1998-04-01'")
+
+
+def institution_month_range_job_sql() -> str:
+    return (f"SELECT DISTINCT {period_sql('l_shipdate')} AS periodo_mes, {code_sql('s_suppkey', 3)} AS ins_id, s_name AS ins_nombre "
+            "FROM supplier JOIN lineitem ON s_suppkey = l_suppkey WHERE l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '1998-04-01'")
+
+
+def account_month_range_job_sql() -> str:
+    """March is left out if it has an account that did not report before."""
+    return f"""WITH m AS (SELECT DISTINCT {period_sql('l_shipdate')} AS periodo_mes, l_partkey FROM lineitem
+           WHERE {_months('1998-01-01', '1998-02-01', '1998-03-01')}),
+late AS (SELECT count(*) AS n FROM m WHERE periodo_mes = '1998-03-01' AND l_partkey NOT IN
+         (SELECT l_partkey FROM m WHERE periodo_mes < '1998-03-01'))
+SELECT periodo_mes, {code_sql('p_partkey', 7)} AS planCuenta_id, p_name AS planCuenta_Nombre
+FROM m JOIN part ON p_partkey = l_partkey WHERE periodo_mes < '1998-03-01' OR (SELECT n FROM late) = 0"""
+
+
+def indicators_range_job_sql() -> str:
+    kept = f"(SELECT * FROM lineitem WHERE {_months('1998-01-01', '1998-02-01', '1998-03-01')}) AS lineitem"
+    return f"SELECT * FROM ({mgmt_indicators_sql().replace('FROM lineitem', 'FROM ' + kept)}) WHERE periodo_mes >= '1998-02-01' AND negocio_id IS NOT NULL"
+
+
 ORACLES = {
     "mgmt_indicators": mgmt_indicators_sql,
     "unify_sources": unify_sources_sql,
@@ -704,6 +885,9 @@ ORACLES = {
     "scan_delimited": scan_delimited_sql,
     "scan_fixed_width": scan_fixed_width_sql,
     "settings_as_of": settings_as_of_sql,
+    "scan_two_layouts": scan_two_layouts_sql,
+    "rejected_lines": rejected_lines_sql,
+    "file_inventory": file_inventory_sql,
     "partition_replace": partition_replace_sql,
     "upsert_full": upsert_full_sql,
     "change_tracking": change_tracking_sql,
@@ -722,6 +906,9 @@ ORACLES = {
     "profile_columns": profile_columns_sql,
     "month_prefix": month_prefix_sql,
     "lost_in_cast": lost_in_cast_sql,
+    "profile_merge": profile_merge_sql,
+    "month_compare_bucketed": month_compare_bucketed_sql,
+    "fk_composite_bucketed": fk_composite_bucketed_sql,
     "institution_job": institution_job_sql,
     "institution_month_job": institution_month_job_sql,
     "account_job": account_job_sql,
@@ -730,6 +917,17 @@ ORACLES = {
     "statement_completeness": statement_completeness_sql,
     "statements_job": statements_job_sql,
     "indicators_job": indicators_job_sql,
+    "enrichment_job": enrichment_job_sql,
+    "account_as_of": account_as_of_sql,
+    "account_intervals": account_intervals_sql,
+    "job_quality_log": job_quality_log_sql,
+    "monthly_run_job": monthly_run_job_sql,
+    "statements_range_job": statements_range_job_sql,
+    "statements_verdict": statements_verdict_sql,
+    "institution_range_job": institution_range_job_sql,
+    "institution_month_range_job": institution_month_range_job_sql,
+    "account_month_range_job": account_month_range_job_sql,
+    "indicators_range_job": indicators_range_job_sql,
 }
 
 

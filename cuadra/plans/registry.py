@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cuadra.functions.expressions import decimal_comma
 from cuadra.operators import analytics as A
 from cuadra.operators import mapping as M
+from cuadra.operators import profiles as PR
 from cuadra.operators import quality as Q
 from cuadra.operators.joins import join_dimension
 from cuadra.plans import fixtures as X
@@ -22,6 +23,7 @@ from cuadra.plans import staging as ST
 from cuadra.plans import tables as TB
 from cuadra.plans.measures import DERIVED, MEASURES
 from cuadra.session import shared_dir
+from cuadra.sinks import bucketed as BK
 from cuadra.sinks import tables as SK
 from cuadra.sources import layouts as L
 from cuadra.sources import text as TX
@@ -231,15 +233,13 @@ QUERIES.update({
 # ------------------------------------------------------------ text sources
 
 
-def _root(spark, sf, kind):
-    return ST.stage(spark, sf, kind)
+def _land(spark, sf, kind):
+    return ST.landing(spark, sf, kind)
 
 
-def _statement_scan(spark, sf, origin):
-    raw = RW.STATEMENTS[origin]
-    root = _root(spark, sf, "stmt")
-    data, headers = TX.scan_delimited(spark, f"{root}/{origin.lower()}/{raw.template}", raw.settings[-1])
-    return data, headers
+def _kinds():
+    """The statements' layouts; the staged extract keeps each kind in a folder of its own."""
+    return {o: _dc.replace(raw, template=f"{o.lower()}/{raw.template}") for o, raw in RW.STATEMENTS.items()}
 
 
 def _file_keys(df: DataFrame, origin: str) -> list:
@@ -247,13 +247,17 @@ def _file_keys(df: DataFrame, origin: str) -> list:
             F.lit(origin).alias("eerr_origen")]
 
 
+KEYS_OF_FILE = [TX.FILE, "YYYY", "MM", "Cod_Banco"]
+
+
 def _headers(spark, sf, origin):
-    raw = RW.STATEMENTS[origin]
-    root = _root(spark, sf, "stmt")
-    lines = TX.read_lines(spark, f"{root}/{origin.lower()}/{raw.template}")
-    keys = [TX.FILE, "YYYY", "MM", "Cod_Banco"]
-    hdr = TX.header_records(lines, raw.settings[-1].header_fields, keys=keys)
-    return lines, hdr
+    raw = _kinds()[origin]
+    lines = TX.raw_lines(_land(spark, sf, "stmt"), raw)
+    return lines, TX.header_records(lines, raw.settings[0].header_fields, keys=KEYS_OF_FILE)
+
+
+def _all_kinds(part):
+    return reduce(lambda a, b: a.unionByName(b), [part(o) for o in RW.STATEMENTS])
 
 
 def q_decimal_comma(spark, sf):
@@ -262,71 +266,59 @@ def q_decimal_comma(spark, sf):
 
 def q_scan_by_template(spark, sf):
     branches = []
-    for origin in RW.STATEMENTS:
-        data, _ = _statement_scan(spark, sf, origin)
-        shaped = data.select(*_file_keys(data, origin)[:2], *[c for c in data.columns if c.startswith("planCuenta")
-                                                              or "_Monto" in c])
-        amounts = [c for c in shaped.columns if "_Monto" in c]
-        if len(amounts) == 4:
-            branches.append(A.statement_branch(shaped, origin, components=amounts))
-        else:
-            branches.append(A.statement_branch(shaped, origin, total=amounts[0]))
+    for origin, raw in _kinds().items():
+        data = TX.scan_raw(_land(spark, sf, "stmt"), raw).data
+        amounts = [c for c in data.columns if "_Monto" in c]
+        shaped = data.select(*_file_keys(data, origin)[:2], "planCuenta_id", *amounts)
+        branches.append(A.statement_branch(shaped, origin, components=amounts) if len(amounts) == 4
+                        else A.statement_branch(shaped, origin, total=amounts[0]))
     return A.unify_sources(branches)
 
 
 def q_header_records(spark, sf):
-    parts = []
-    for origin in RW.STATEMENTS:
+    def part(origin):
         _, hdr = _headers(spark, sf, origin)
-        parts.append(hdr.select(*_file_keys(hdr, origin), "codigo", "banco"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        return hdr.select(*_file_keys(hdr, origin), "codigo", "banco")
+    return _all_kinds(part)
 
 
 def q_drop_header(spark, sf):
-    parts = []
-    for origin in RW.STATEMENTS:
+    def part(origin):
         lines, hdr = _headers(spark, sf, origin)
-        kept = TX.drop_header(lines, hdr, keys=[TX.FILE, "YYYY", "MM", "Cod_Banco"])
-        parts.append(kept.groupBy("YYYY", "MM", "Cod_Banco").agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(*_file_keys(kept, origin), "n_rows"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        kept = TX.drop_header(lines, hdr)
+        return (kept.groupBy("YYYY", "MM", "Cod_Banco").agg(F.count(F.lit(1)).alias("n_rows"))
+                .select(*_file_keys(kept, origin), "n_rows"))
+    return _all_kinds(part)
 
 
 def q_header_code_check(spark, sf):
-    parts = []
-    for origin in RW.STATEMENTS:
+    def part(origin):
         _, hdr = _headers(spark, sf, origin)
-        parts.append(hdr.select(*_file_keys(hdr, origin), "codigo",
-                                (F.col("codigo") == F.col("Cod_Banco")).alias("passed")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        return hdr.select(*_file_keys(hdr, origin), "codigo", (F.col("codigo") == F.col("Cod_Banco")).alias("passed"))
+    return _all_kinds(part)
 
 
 def q_header_row_count(spark, sf):
     parts = []
     for origin in ("C1", "C2"):
         lines, hdr = _headers(spark, sf, origin)
-        keys = [TX.FILE, "YYYY", "MM", "Cod_Banco"]
-        counted = TX.drop_header(lines, hdr, keys=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("actual"))
-        joined = hdr.join(counted, keys, "left")
-        parts.append(joined.select(*_file_keys(joined, origin),
-                                   F.col("filas").try_cast("bigint").alias("declared"),
+        counted = TX.drop_header(lines, hdr).groupBy(TX.FILE).agg(F.count(F.lit(1)).alias("actual"))
+        joined = hdr.join(counted, TX.FILE, "left")
+        declared = F.col("filas").try_cast("bigint")
+        parts.append(joined.select(*_file_keys(joined, origin), declared.alias("declared"),
                                    F.coalesce("actual", F.lit(0)).alias("actual"),
-                                   F.coalesce(F.col("filas").try_cast("bigint") == F.col("actual"),
-                                              F.lit(False)).alias("passed")))
+                                   F.coalesce(declared == F.col("actual"), F.lit(False)).alias("passed")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def q_row_shape_filter(spark, sf):
-    root = _root(spark, sf, "codifis")
-    lines = TX.read_lines(spark, f"{root}/{RW.CODIFIS.template}", encoding=RW.CODIFIS.settings[-1].encoding)
-    rows = TX.split_fields(TX.row_shape_filter(lines), RW.CODIFIS.settings[-1], keep=["YYYY", "MM"])
+    rows = TX.scan_raw(_land(spark, sf, "codifis"), RW.CODIFIS, shape="default").data
     return rows.select(TX.file_period().alias("periodo_mes"), F.col("institucion_id").alias("ins_id"),
                        F.col("institucion_nombre").alias("ins_nombre"))
 
 
 def q_period_check(spark, sf):
-    root = _root(spark, sf, "plan")
-    data, _ = TX.scan_delimited(spark, f"{root}/{RW.PLAN_CTAS.template}", RW.PLAN_CTAS.settings[-1])
+    data = TX.scan_raw(_land(spark, sf, "plan"), RW.PLAN_CTAS).data
     prof = data.groupBy("YYYY", "MM").agg(
         F.min("ano").alias("min_ano"), F.max("ano").alias("max_ano"),
         F.min("mes").alias("min_mes"), F.max("mes").alias("max_mes"), F.count(F.lit(1)).alias("n_rows"))
@@ -337,8 +329,7 @@ def q_period_check(spark, sf):
 
 
 def q_scan_semicolon(spark, sf):
-    root = _root(spark, sf, "asigna")
-    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ASIGNA.template}", RW.ASIGNA.settings[-1])
+    data = TX.scan_raw(_land(spark, sf, "asigna"), RW.ASIGNA, period=F.lit(RW.REF_START)).data
     return data.select("planCuenta_id", F.nullif("producto_id", F.lit("")).alias("producto_id"),
                        F.nullif("negocio_id", F.lit("")).alias("negocio_id"),
                        F.nullif("concepto", F.lit("")).alias("planCuenta_Concepto"))
@@ -350,24 +341,43 @@ def _orders_from(data: DataFrame) -> DataFrame:
 
 
 def q_scan_delimited(spark, sf):
-    root = _root(spark, sf, "orders_tab")
-    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ORDERS_TEMPLATE}", RW.ORDERS_TAB)
-    return _orders_from(data)
+    return _orders_from(TX.scan_raw(_land(spark, sf, "orders_tab"), RW.ORDERS).data)
 
 
 def q_scan_fixed_width(spark, sf):
-    root = _root(spark, sf, "orders_fixed")
-    data, _ = TX.scan_delimited(spark, f"{root}/{RW.ORDERS_TEMPLATE}", RW.ORDERS_FIXED)
-    return _orders_from(data)
+    return _orders_from(TX.scan_raw(_land(spark, sf, "orders_fixed"), RW.ORDERS_BY_POSITION).data)
 
 
 def q_settings_as_of(spark, sf):
     files = _fact(spark, sf).select("periodo_mes", "ins_id", "eerr_origen").distinct()
     settings = reduce(lambda a, b: a.unionByName(b),
-                       [L.settings_frame(spark, raw) for raw in RW.STATEMENTS.values()])
+                       [L.settings_frame(spark, raw) for raw in RW.OVERLAPPING.values()])
     return L.settings_as_of(files, settings, keys=["ins_id", "eerr_origen"], name_col="eerr_origen")
 
 
+def q_scan_two_layouts(spark, sf):
+    """One scan over files whose columns change order and separator on a date."""
+    data = TX.scan_raw(_land(spark, sf, "two_layouts"), RW.TWO_LAYOUTS).data
+    amounts = [c for c in data.columns if "_Monto" in c]
+    shaped = data.select(TX.file_period().alias("periodo_mes"), "ins_id", "planCuenta_id", *amounts)
+    return A.statement_branch(shaped, "B1", components=amounts)
+
+
+def q_rejected_lines(spark, sf):
+    """Lines that the orders' layout can't take: short ones, and those of Latin-1 files that
+    are no UTF-8; each with its file, line and bytes."""
+    rejects = TX.scan_raw(_land(spark, sf, "orders_damaged"), RW.ORDERS).rejects
+    return rejects.select(TX.file_period().alias("periodo_mes"), F.col("NUM").alias("lote"), F.col("_line").alias("line"),
+                          F.col("_reason").alias("reason"), "content")
+
+
+def q_file_inventory(spark, sf):
+    """Every statement file by kind, month and bank with its size, from one listing."""
+    files = TX.inventory(_land(spark, sf, "stmt"), _kinds())
+    return files.select(F.col("raw_name").alias("eerr_origen"), TX.file_period().alias("periodo_mes"),
+                        F.col("Cod_Banco").alias("ins_id"), F.col("length").alias("n_bytes"))
+
+
 QUERIES.update({
     "decimal_comma": q_decimal_comma,
     "scan_by_template": q_scan_by_template,
@@ -381,6 +391,9 @@ QUERIES.update({
     "scan_delimited": q_scan_delimited,
     "scan_fixed_width": q_scan_fixed_width,
     "settings_as_of": q_settings_as_of,
+    "scan_two_layouts": q_scan_two_layouts,
+    "rejected_lines": q_rejected_lines,
+    "file_inventory": q_file_inventory,
 })
 
 
@@ -616,6 +629,59 @@ def q_lost_in_cast(spark, sf):
     return M.cast_losses(_t(spark, sf, "orders"), spec, {c.name: c.name for c in spec.columns})
 
 
-QUERIES["lost_in_cast"] = q_lost_in_cast
+#: Parts of the stored profiles that are written by a second load.
+PROFILE_SPLIT = "1998-07-01"
+#: Stated errors: of a distinct count (four standard errors), and of a quantile's rank.
+DISTINCT_ERROR, RANK_ERROR = 0.032, 0.01
+
+
+def q_profile_merge(spark, sf):
+    """Profiles of orders by month, stored in two loads and merged, beside exact counts: is
+    each estimate within its stated error?"""
+    orders = _t(spark, sf, "orders").withColumn("periodo_mes", X.period_of("o_orderdate"))
+    path = shared_dir(spark, "profiles")
+    for part in (orders.where(F.col("periodo_mes") < PROFILE_SPLIT), orders.where(F.col("periodo_mes") >= PROFILE_SPLIT)):
+        PR.store_profiles(part, "periodo_mes", path)
+    merged = PR.merge_profiles(PR.read_profiles(spark, "periodo_mes", path))
+    names = [c for c in orders.columns if c != "periodo_mes"]
+    exact = orders.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("_v")) for c in names]))) \
+        .distinct().groupBy("column_name").agg(F.count("_v").alias("n_distinct"))
+    # where the estimated median stands among the rows
+    medians = {c: merged.where(F.col("column_name") == c).select(F.max("approx_q50")).scalar() for c in ("o_totalprice", "o_orderkey")}
+    ranks = orders.agg(*[F.avg((F.col(c).cast("double") <= m).cast("double")).alias(c) for c, m in medians.items()])
+    rank = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_rank")) for c in medians]))
+    rows = merged.join(exact, "column_name").join(ranks.select(rank), "column_name", "left")
+    return rows.select("column_name", "n_rows", "n_non_null", "min_value", "max_value", "n_distinct",
+                       (F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= DISTINCT_ERROR * F.col("n_distinct")).alias("distinct_within"),
+                       F.coalesce(F.abs(F.col("_rank") - 0.5) <= RANK_ERROR, F.lit(True)).alias("median_within"))
+
+
+def _bucketed_fact(spark, sf):
+    """The statement fact laid out by account, in as many buckets as shuffles have partitions."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return BK.read_bucketed(spark, BK.save_bucketed(_fact(spark, sf), ["planCuenta_id"], shared_dir(spark, "bucketed"), buckets))
+
+
+def q_month_compare_bucketed(spark, sf):
+    out = A.month_compare(_bucketed_fact(spark, sf), ["ins_id", "planCuenta_id"], dealt=True)
+    return out.select("periodo_mes", "ins_id", "planCuenta_id",
+                      F.col("eerr_Monto_Act").try_cast(A.AMOUNT_TYPE).alias("eerr_Monto_Act"),
+                      F.col("eerr_Monto_Ant").try_cast(A.AMOUNT_TYPE).alias("eerr_Monto_Ant"))
+
+
+def q_fk_composite_bucketed(spark, sf):
+    """Account and month of the bucketed fact against the accounts registered that month
+    (planted: accounts ending in 7 are never registered)."""
+    reg = (_t(spark, sf, "lineitem").where("l_partkey % 10 <> 7")
+           .select(X.period_of("l_shipdate").alias("periodo_mes"), X.padded_code("l_partkey", 7).alias("planCuenta_id")).distinct())
+    return Q.fk_violation_keys(_bucketed_fact(spark, sf), reg, TB.STATEMENT.foreign_keys[1])
+
+
+QUERIES.update({
+    "lost_in_cast": q_lost_in_cast,
+    "profile_merge": q_profile_merge,
+    "month_compare_bucketed": q_month_compare_bucketed,
+    "fk_composite_bucketed": q_fk_composite_bucketed,
+})
 
 QUERIES.update(JB.QUERIES)

@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 
 from cuadra.functions.expressions import padded_code
 from cuadra.plans import fixtures as X
+from cuadra.plans import raws as RW
 from cuadra.session import qualified, shared_dir
+from cuadra.sources import text as TX
 
 # The header record of a statement file.
 HEADER_FIELDS = ("codigo", "banco")
@@ -54,7 +56,7 @@ def _filesystem(root: str):
     return pafs.FileSystem.from_uri(root)
 
 
-def _writer(root: str):
+def _writer(root: str, encoding: str = "utf-8"):
     """Write the rows of a task, sorted by (path, _ord), one file per path.
     Lines are appended batch by batch to the open file and the file is
     closed when the path changes: memory stays at one Arrow batch however
@@ -80,7 +82,7 @@ def _writer(root: str):
                         # a speculative copy of this task writes to another name
                         own, final = f"{folder}/_{uuid.uuid4().hex}.tmp", path
                         out, current, n = fs.open_output_stream(own), rel, 0
-                    out.write(("\n".join(group["value"].tolist()) + "\n").encode("utf-8"))
+                    out.write(("\n".join(group["value"].tolist()) + "\n").encode(encoding))
                     n += len(group)
                 if done:
                     yield pd.DataFrame(done, columns=["path", "n_lines"])
@@ -94,14 +96,14 @@ def _writer(root: str):
     return write
 
 
-def write_files(lines: DataFrame, root: str) -> int:
+def write_files(lines: DataFrame, root: str, encoding: str = "utf-8") -> int:
     """Write ``lines`` (path, _ord, value) as one text file per path under
     ``root``; returns the number of files.  Rows are hash-partitioned by
     path, so each file is written by exactly one task."""
     root = qualified(lines.sparkSession, root)
     out = (lines.select("path", "_ord", "value").repartition("path")
            .sortWithinPartitions("path", "_ord")
-           .mapInPandas(_writer(root), "path string, n_lines long"))
+           .mapInPandas(_writer(root, encoding), "path string, n_lines long"))
     return out.count()
 
 
@@ -198,6 +200,54 @@ def orders_lines(orders: DataFrame, fixed_width: bool) -> DataFrame:
     return orders.select(path.alias("path"), F.lit(1).alias("_ord"), value.alias("value"))
 
 
+def two_layout_lines(lineitem: DataFrame) -> DataFrame:
+    """Detailed statements (B1) of ten groups of banks a month: a header (group and rows),
+    then bank, account and amounts; from ``TWO_LAYOUTS_FROM`` on ';'-separated and in the
+    reverse order."""
+    keyed = lineitem.where(X.origin_of() == "B1").select(
+        F.date_format("l_shipdate", "yyyyMM").alias("periodo"), (F.col("l_suppkey") % 10).cast("string").alias("grupo"),
+        padded_code("l_suppkey", 3).alias("ins_id"), padded_code("l_partkey", 7).alias("planCuenta_id"),
+        *[_amount_text(c).alias(n) for n, c in X.COMPONENT_SOURCES])
+    names = ["ins_id", "planCuenta_id", *[n for n, _ in X.COMPONENT_SOURCES]]
+    late = F.concat_ws("-", F.substring("periodo", 1, 4), F.substring("periodo", 5, 2), F.lit("01")) >= RW.TWO_LAYOUTS_FROM
+    data = keyed.select("periodo", "grupo", F.lit(1).alias("_ord"),
+                        F.when(late, F.concat_ws(";", *reversed(names))).otherwise(F.concat_ws("\t", *names)).alias("value"))
+    hdr = keyed.groupBy("periodo", "grupo").agg(F.count(F.lit(1)).alias("n")).select(
+        "periodo", "grupo", F.lit(0).alias("_ord"), F.concat_ws("\t", "grupo", F.col("n").cast("string")).alias("value"))
+    path = F.concat("periodo", F.lit("/banks"), "periodo", F.lit("_"), "grupo", F.lit(".txt"))
+    return hdr.unionByName(data).select(path.alias("path"), "_ord", "value")
+
+
+#: Planted in the damaged orders extract: lines without their last field, and an 'é' in
+#: files that are written in Latin-1.
+SHORT_LINES, ACCENTED_LINES, LATIN_FILES = "o_orderkey % 97 = 0", "o_custkey % 3 = 0", "o_orderpriority = '2-HIGH'"
+
+
+def damaged_lines(orders: DataFrame) -> DataFrame:
+    """``orders_lines`` in the order of their keys, some short and some with an accent;
+    ``latin`` tells the files to be written in Latin-1."""
+    latin = F.expr(LATIN_FILES)
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", "_price", "_date"]
+    named = orders.withColumn("_price", _amount_text("o_totalprice")).withColumn("_date", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    priority = F.when(latin & F.expr(ACCENTED_LINES), F.concat("o_orderpriority", F.lit("\u00e9"))).otherwise(F.col("o_orderpriority"))
+    whole = [F.col(c).cast("string") for c in fields]
+    value = F.when(F.expr(SHORT_LINES), F.concat_ws("\t", *whole)).otherwise(F.concat_ws("\t", *whole, priority))
+    month = F.date_format("o_orderdate", "yyyyMM")
+    path = F.concat(month, F.lit("/orders"), month, F.lit("_"), F.substring("o_orderpriority", 1, 1), F.lit(".txt"))
+    return named.select(path.alias("path"), F.col("o_orderkey").alias("_ord"), value.alias("value"), latin.alias("latin"))
+
+
+_LANDINGS: dict[str, TX.Landing] = {}
+
+
+def landing(spark: SparkSession, sf_dir: str, kind: str) -> TX.Landing:
+    """The staged folder of a kind, listed once."""
+    root = stage(spark, sf_dir, kind)
+    if root not in _LANDINGS or _LANDINGS[root].spark is not spark:
+        _LANDINGS[root] = TX.Landing(spark, root)
+    return _LANDINGS[root]
+
+
 def stage(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Write one kind of extract for ``sf_dir`` (once per process); returns
     its root folder."""
@@ -216,6 +266,12 @@ def stage(spark: SparkSession, sf_dir: str, kind: str) -> str:
         lines = assignment_lines(t("part"))
     elif kind in ("orders_tab", "orders_fixed"):
         lines = orders_lines(t("orders"), kind == "orders_fixed")
+    elif kind == "two_layouts":
+        lines = two_layout_lines(t("lineitem"))
+    elif kind == "orders_damaged":
+        lines = damaged_lines(t("orders"))
+        write_files(lines.where("latin").drop("latin"), root, "latin-1")
+        lines = lines.where("NOT latin").drop("latin")
     else:
         raise ValueError(kind)
     write_files(lines, root)

@@ -83,7 +83,7 @@ ACCOUNT_MONTH = TableSpec(
 
 # Unified statement fact, partitioned by period and institution.
 STATEMENT = TableSpec(
-    name="statement", kind=TableKind.TRANSACTION, num_partitions=1, pk_external_code="COD_ERROR",
+    name="statement", kind=TableKind.TRANSACTION, num_partitions=1, rebalance=True, pk_external_code="COD_ERROR",
     partition_cols=("periodo_mes", "ins_id"), one_value_partitions=("periodo_mes", "ins_id"),
     columns=(
         C("periodo_mes", pk=True, description="period"),
@@ -113,7 +113,7 @@ _INDICATOR_MEASURES = (
     "gestion_ingresoComision_mes", "gestion_gastoComision_mes", "gestion_utilidadFinanciera_mes",
 )
 INDICATORS = TableSpec(
-    name="indicators", kind=TableKind.TRANSACTION, num_partitions=1,
+    name="indicators", kind=TableKind.TRANSACTION, num_partitions=1, rebalance=True,
     pk_external_code="COD_ERROR", partition_cols=("periodo_mes",),
     columns=(
         C("periodo_mes", pk=True),

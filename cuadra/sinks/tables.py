@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuadra.specs import ColumnSpec, TableSpec
@@ -93,11 +93,17 @@ def _ordered(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Output files.  Rows are rebalanced (by the partition columns, if any):
-    AQE makes one file of what is small and splits what holds a large share of
-    the rows, from the sizes it measures at run time.  No row is counted first
-    and no large table or hot month goes through one task."""
-    return df.hint("rebalance", *spec.partition_cols)
+    """Output files.  A small table that declares ``num_partitions`` gets that many
+    files a table partition.  Otherwise rows are rebalanced (by the partition columns, if
+    any): AQE makes one file of what is small and splits what holds a large share of the
+    rows, from the sizes it measures at run time."""
+    n = spec.num_partitions
+    if n is None or spec.rebalance:
+        return df.hint("rebalance", *spec.partition_cols)
+    if not spec.partition_cols:
+        return df.repartition(n)
+    place = F.pmod(F.xxhash64(*(spec.pk or spec.names)), F.lit(n))
+    return df.repartition(*spec.partition_cols, place)
 
 
 def partition_replace(df: DataFrame, spec: TableSpec, path: str) -> DataFrame:
@@ -117,6 +123,14 @@ def save_version(df: DataFrame, spec: TableSpec, path: str) -> int:
     return n
 
 
+def drop_versions(path: str, keep: int) -> None:
+    """Delete the complete versions of a table before its last ``keep``."""
+    spark = SparkSession.getActiveSession()
+    for n in versions(path)[:-keep]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}={n}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def version_counts(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """Row count of every complete version (one small job per version)."""
     parts = [read_table(spark, spec, path, v).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -218,7 +232,7 @@ def insert_only(target: DataFrame, source: DataFrame, spec: TableSpec,
     ``mapping``: table column -> source column, as in the other modes; a column
     that the source lacks takes its declared default, or null."""
     named = {v: k for k, v in (mapping or {}).items()}
-    source = source.select(*[F.col(c).alias(named.get(c, c)) for c in source.columns])
+    source = single_keys(source.select(*[F.col(c).alias(named.get(c, c)) for c in source.columns]), spec)
     new = source.join(target.select(*spec.pk), spec.pk, "left_anti")
     absent = {c.name: F.expr(c.default if c.default is not None else "NULL").try_cast(c.dtype)
               for c in spec.columns if c.name not in new.columns}
@@ -245,21 +259,91 @@ def change_trace(before: DataFrame, after: DataFrame, spec: TableSpec, changed_a
                     F.lit(changed_by).alias("changed_by")))
 
 
-def new_partitions(batch: DataFrame, spec: TableSpec) -> DataFrame:
-    """Distinct partition values of a batch (bounded: one per period)."""
-    return batch.select(*spec.partition_cols).distinct()
+# ------------------------------------------------------------ history
+
+#: Column name of the event that a key was inserted.
+INSERTED = ""
+
+
+def history_events(before: DataFrame, after: DataFrame, spec: TableSpec, changed_at: str,
+                   changed_by: str) -> DataFrame:
+    """What a load changed, as rows to append: the changed cells (``change_trace``) and
+    one row with column name '' for each new key."""
+    inserted = after.select(*spec.pk).join(before.select(*spec.pk), spec.pk, "left_anti").select(
+        *spec.pk, F.lit(INSERTED).alias("column_name"), F.lit(None).cast("string").alias("old_value"),
+        F.lit(None).cast("string").alias("new_value"), F.lit(changed_at).cast("timestamp_ntz").alias("changed_at"),
+        F.lit(changed_by).alias("changed_by"))
+    return change_trace(before, after, spec, changed_at, changed_by).unionByName(inserted)
+
+
+def append_history(before: DataFrame, after: DataFrame, spec: TableSpec, path: str, changed_at: str, changed_by: str) -> None:
+    """Append a load's events.  ``load`` numbers the loads, so that of two loads with the
+    same time the later one counts; a load that changed nothing leaves no rows."""
+    events = history_events(before, after, spec, changed_at, changed_by)
+    number = 1 + max((int(n.split("=", 1)[1]) for n, folder in _entries(path) if folder and n.startswith("load=")), default=0)
+    events.hint("rebalance").write.mode("overwrite").parquet(f"{path}/load={number}")
+
+
+def read_history(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """All events of a table: primary key, column_name, old_value, new_value, changed_at,
+    changed_by, load."""
+    keys = ", ".join(f"`{c.name}` {c.dtype}" for c in spec.columns if c.pk)
+    schema = f"{keys}, column_name string, old_value string, new_value string, changed_at timestamp_ntz, changed_by string, load int"
+    if not _entries(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
-__all__ = ["ColumnSpec", "change_trace", "insert_only", "partition_replace", "read_table",
-           "save_version", "selective_update", "update_only", "upsert_full", "version_counts",
-           "versions"]
+def intervals(history: DataFrame, spec: TableSpec) -> DataFrame:
+    """Each value with the time it was valid: primary key, column_name, value, valid_from
+    (inclusive), valid_to (exclusive, null: still valid).  A value replaced at the time it
+    was set was never valid."""
+    order = Window.partitionBy(*spec.pk, "column_name").orderBy("changed_at", "load")
+    return (history.where(F.col("column_name") != INSERTED)
+            .select(*spec.pk, "column_name", F.col("new_value").alias("value"), F.col("changed_at").alias("valid_from"),
+                    F.lead("changed_at").over(order).alias("valid_to"))
+            .where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from"))))
 
 
+def as_of(history: DataFrame, spec: TableSpec, at: str | Column) -> DataFrame:
+    """The table as it was at ``at``: every key inserted by then with the latest value of
+    each column.  One aggregation over the events by key, combined before its shuffle."""
+    at = F.lit(at).cast("timestamp_ntz") if isinstance(at, str) else at
+    rest = [c for c in spec.columns if not c.pk]
+    order = F.struct("changed_at", "load")
+    latest = [F.max(F.when(F.col("column_name") == c.name, F.struct(order.alias("at"), F.col("new_value").alias("value"))))
+              .alias(f"_v{i}") for i, c in enumerate(rest)]
+    rows = history.where(F.col("changed_at") <= at).groupBy(*spec.pk).agg(
+        F.max(F.col("column_name") == INSERTED).alias("_inserted"), *latest).where("_inserted")
+    return rows.select(*spec.pk, *[F.col(f"_v{i}.value").try_cast(c.dtype).alias(c.name) for i, c in enumerate(rest)])
+
+
+# ------------------------------------------------------------ rule results
+
 def append_quality(summary: DataFrame, details: DataFrame, path: str, table: str, run_id: str) -> None:
-    """Keep rule results and violating rows of a load (both appended,
-    partitioned by table and rule; the run id tells loads apart)."""
+    """Keep rule results and violating rows of a load (both appended, partitioned by
+    table; the run id tells loads apart).  A violating row is kept by its key columns as
+    JSON, so tables with different keys share one log."""
     tag = [F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id")]
-    summary.select(*tag, *summary.columns).write.mode("append") \
-        .partitionBy("table_name").parquet(f"{path.rstrip('/')}/dq_results")
-    details.select(*tag, *details.columns).write.mode("append") \
-        .partitionBy("table_name", "rule_id").parquet(f"{path.rstrip('/')}/dq_details")
+    key = [c for c in details.columns if c != "rule_id"]
+    for rows, name in ((summary, "dq_results"),
+                       (details.select("rule_id", F.to_json(F.struct(*key)).alias("row_key")), "dq_details")):
+        rows.select(*tag, *rows.columns).hint("rebalance").write.mode("append").partitionBy("table_name").parquet(f"{path.rstrip('/')}/{name}")
+
+
+QUALITY_SCHEMAS = {
+    "dq_results": "run_id string, rule_id string, rule_type string, column_name string, error_code int, external_code string, "
+                  "severity string, n_rows long, n_bad long, passed boolean, table_name string",
+    "dq_details": "run_id string, rule_id string, row_key string, table_name string",
+}
+
+
+def read_quality(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The log ``dq_results`` or ``dq_details`` of ``append_quality``."""
+    folder = f"{path.rstrip('/')}/{name}"
+    return spark.read.schema(QUALITY_SCHEMAS[name]).parquet(folder) if _entries(folder) else spark.createDataFrame([], QUALITY_SCHEMAS[name])
+
+
+__all__ = ["ColumnSpec", "append_history", "append_quality", "as_of", "change_trace", "history_events", "insert_only", "intervals",
+           "partition_replace", "read_history", "read_quality", "read_table", "save_version", "selective_update", "update_only",
+           "upsert_full", "version_counts", "versions"]

@@ -1,10 +1,13 @@
 """Delimited and fixed-width text extracts.
 
-One distributed read covers every file a path template matches (all banks,
-all months): the template's fixed folder is listed recursively with a
-file-name filter, and a regular expression over each file's path enforces
-the full template and recovers its values (period, bank code, ...).  Header
-records are found per file and header lines are removed by value, all as
+A landing folder is listed once (``Landing``); every template is a regular
+expression over the file paths of that listing, which Spark applies to the files
+before it opens any, and which recovers the template's values (period, bank code,
+...).  Files are read line by line with Spark's text source, so a file larger than a
+split is read by several tasks.  The header of a file is its line at the least
+(block start, row); header lines are removed by value.  Each line is parsed by the
+layout that is valid at its file's date, all layouts in one scan; a line that no
+layout can take is kept aside with its file, place and reason.  All of it is
 DataFrame operations (no per-file driver loop).
 """
 
@@ -12,11 +15,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cuadra.specs import RawSetting
+from cuadra.specs import RawSetting, RawSpec
 
 FILE = "_file"
 LINE = "value"
@@ -61,14 +66,15 @@ def template_regex(template: str, params: Mapping[str, str] | None = None) -> tu
             out.append(f"\\{names.index(name) + 1}")
         else:
             names.append(name)
-            out.append(f"({re.escape(str(params[name]))})" if name in params
+            # a wildcard in a given value matches within one path segment
+            out.append("(" + re.escape(str(params[name])).replace("\\*", "[^/]*") + ")" if name in params
                        else TOKENS.get(name, ("*", r"([^/]+?)"))[1])
         pos = m.end()
     out.append(re.escape(template[pos:]).replace("\\*", "[^/]*"))
     return "".join(out) + "$", names
 
 
-def _listing(template: str, params: Mapping[str, str] | None) -> tuple[str, str]:
+def listing(template: str, params: Mapping[str, str] | None = None) -> tuple[str, str]:
     """(folder to list recursively, file-name glob) for a template.
 
     Listing the fixed prefix recursively with a name filter is far cheaper
@@ -84,38 +90,79 @@ def _listing(template: str, params: Mapping[str, str] | None) -> tuple[str, str]
     return "/".join(fixed) or ".", parts[-1]
 
 
-def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | None = None,
-               encoding: str = "UTF-8", whole_files: bool = True) -> DataFrame:
-    """Every line of every file matching the template.
-
-    ``whole_files`` (for layouts whose files are bounded, e.g. by a row-count
-    rule; the binary reader takes files below 2 GB): each file is read as
-    one value and split into numbered lines, so
-    the header (line 0) travels with its lines and needs no aggregation or
-    join.  Output: ``_file``, the template values, ``_line``, ``_header``,
-    ``value``.
-
-    Otherwise lines are read one by one (files of any size).  Output:
-    ``_file``, the template values, ``_block``, ``_row``, ``value``;
-    ``_block``/``_row`` order the lines of a file."""
-    folder, name_glob = _listing(template, params)
-    reader = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name_glob))
-    if whole_files:
-        # binaryFile opens each file once and hands over its bytes; it is
-        # several times cheaper per small file than the whole-text reader.
-        return file_lines(reader.format("binaryFile").load(folder), template, encoding, params)
-    if encoding.upper().replace("-", "") != "UTF8":
-        # the text source only decodes UTF-8; the CSV source honours the encoding
-        df = (reader.option("sep", "\u0000").option("quote", "").option("encoding", encoding)
-              .schema("value string").csv(folder))
-    else:
-        df = reader.text(folder)
-    pattern, names = template_regex(template, params)
+class Landing:
+    """A folder of raw extracts, listed once.
+
+    Its relations hold the listing, so scans of several templates, kinds or months
+    share it; files that land later are seen by a new ``Landing``."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self._held = spark, root.rstrip("/"), {}
+
+    def relation(self, kind: str, encoding: str = "UTF-8") -> DataFrame:
+        """Every file of the folder, by the text source or (paths only) ``binaryFile``."""
+        key = (kind, encoding.upper().replace("-", ""))
+        if key not in self._held:
+            reader = self.spark.read.option("recursiveFileLookup", "true")
+            if kind == "files":
+                made = reader.format("binaryFile").load(self.root)
+            elif key[1] == "UTF8":
+                made = reader.text(self.root)
+            else:
+                # the text source only decodes UTF-8; the CSV source honours the encoding
+                made = (reader.option("sep", "\u0000").option("quote", "").option("encoding", encoding)
+                        .schema("value string").csv(self.root))
+            self._held[key] = made
+        return self._held[key]
+
+    def path(self, template: str) -> str:
+        return f"{self.root}/{template}"
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once a row however often it is used: the
+    optimizer does not copy a generator's values into the filters and columns above it."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def _values(path: Column, pattern: str, names: Sequence[str]) -> Column:
+    """The template's values in a path, as an array."""
+    return F.split(F.regexp_replace(path, ".*?" + pattern, "\u0001".join(f"${i + 1}" for i in range(len(names)))), "\u0001")
+
+
+def _tokens(path: Column, pattern: str, names: Sequence[str]) -> list[Column]:
+    """The template's values from a path."""
+    values = _values(path, pattern, names)
+    return [values.getItem(i).alias(n) for i, n in enumerate(names)]
+
+
+def lines_of(landing: Landing, template: str, params: Mapping[str, str] | None = None,
+             encoding: str = "UTF-8", periods: Sequence[str] | None = None) -> DataFrame:
+    """Every line of every file of the landing folder that matches the template.
+
+    ``periods``: only files of these months ('yyyy-MM-01').  Both conditions are on the
+    path, so Spark applies them to the listing and opens no other file.
+    Output: ``_file``, the template's values, ``_block`` (first byte of the split the
+    line was read from), ``_row``, ``value``; ``_block``/``_row`` order a file's lines."""
+    pattern, names = template_regex(landing.path(template), params)
     path = F.col("_metadata.file_path")
-    tokens = [F.regexp_extract(path, pattern, i + 1).alias(n) for i, n in enumerate(names)]
-    return df.where(path.rlike(pattern)).select(path.alias(FILE), *tokens,
-                                                F.col("_metadata.file_block_start").alias("_block"),
-                                                F.monotonically_increasing_id().alias("_row"), F.col(LINE))
+    rows = landing.relation("lines", encoding).where(path.rlike(pattern))
+    if periods is not None:
+        found = {n: t for n, t in zip(names, _tokens(path, pattern, names))}
+        rows = rows.where(F.concat(found["YYYY"], found["MM"]).isin([p[:7].replace("-", "") for p in periods]))
+    rows = rows.select(path.alias(FILE), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"), F.col(LINE))
+    if not names:
+        return rows
+    rows = _once(rows, _values=_values(F.col(FILE), pattern, names))
+    return rows.select(FILE, *[F.col("_values").getItem(i).alias(n) for i, n in enumerate(names)], "_block", "_row", LINE)
+
+
+def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | None = None,
+               encoding: str = "UTF-8") -> DataFrame:
+    """``lines_of`` for one template whose folder is listed for it alone."""
+    folder, _ = listing(template, params)
+    return lines_of(Landing(spark, folder), template[len(folder.rstrip("/")) + 1:] if template.startswith(folder) else template, params, encoding)
 
 
 def file_lines(files: DataFrame, template: str, encoding: str = "UTF-8",
@@ -133,21 +180,17 @@ def file_lines(files: DataFrame, template: str, encoding: str = "UTF-8",
                            F.posexplode("_lines").alias("_line", LINE))
 
 
-def listing(template: str, params: Mapping[str, str] | None = None) -> tuple[str, str]:
-    """Public form of the (folder, file-name glob) a template is read from."""
-    return _listing(template, params)
-
-
 def header_records(lines: DataFrame, fields: Sequence[str], sep: str = "\t",
                    keys: Sequence[str] = (FILE,)) -> DataFrame:
     """First line of each file, split into the header fields.
 
-    Output: keys, ``_header`` (the raw line), one column per field."""
+    A file's first line lies in its first block; one row a file and task reaches the
+    shuffle.  Output: keys, ``_header`` (the raw line), one column per field."""
     if "_line" in lines.columns:
         first = lines.where(F.col("_line") == 0).select(*keys, F.col(LINE).alias("_header"))
     else:
-        first = (lines.groupBy(*keys)
-                 .agg(F.min_by(F.col(LINE), F.struct("_block", "_row")).alias("_header")))
+        first = (lines.where(F.col("_block") == 0).groupBy(*keys)
+                 .agg(F.min_by(F.col(LINE), F.col("_row")).alias("_header")))
     parts = F.split(F.col("_header"), re.escape(sep), -1)
     return first.select(*keys, "_header",
                         *[F.trim(parts.getItem(i)).alias(f) for i, f in enumerate(fields)])
@@ -156,13 +199,14 @@ def header_records(lines: DataFrame, fields: Sequence[str], sep: str = "\t",
 def drop_header(lines: DataFrame, headers: DataFrame | None = None,
                 keys: Sequence[str] = (FILE,)) -> DataFrame:
     """Remove every line equal to its file's header line (not only the first:
-    a repeated header further down is dropped too)."""
+    a repeated header further down is dropped too).
+
+    Lines and headers meet by file and line, so the lines of a large file are spread
+    over the tasks; few headers are broadcast by the planner."""
     if "_header" in lines.columns:
         return lines.where(F.col(LINE) != F.col("_header")).drop("_header")
-    hdr = headers.select(*keys, "_header")
-    return (lines.join(hdr, list(keys), "left")
-            .where(F.col("_header").isNull() | (F.col(LINE) != F.col("_header")))
-            .drop("_header"))
+    hdr = headers.select(*keys, F.col("_header").alias(LINE))
+    return lines.join(hdr, [*keys, LINE], "left_anti")
 
 
 def row_shape_filter(lines: DataFrame, predicate: str | Column | None = None) -> DataFrame:
@@ -195,24 +239,140 @@ def split_fields(lines: DataFrame, setting: RawSetting, keep: Sequence[str] = ()
     return lines.select(*keep, *cols)
 
 
-def scan_delimited(spark: SparkSession, template: str, setting: RawSetting,
-                   params: Mapping[str, str] | None = None,
-                   keep: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Read, strip headers, split and type every file of a template.
-
-    Returns (data, headers); headers is None for header-less layouts.  The
-    data keeps ``_file`` and the template values."""
-    lines = read_lines(spark, template, params, setting.encoding, whole_files=True)
-    _, names = template_regex(template)
-    keep = list(keep if keep is not None else [FILE, *names])
-    headers = None
-    if setting.header_fields:
-        headers = header_records(lines, setting.header_fields, setting.header_sep, keys=[FILE])
-        lines = drop_header(lines, headers, keys=[FILE])
-    elif "_header" in lines.columns:
-        lines = lines.drop("_header")
-    lines = lines.where(F.length(F.col(LINE)) > 0)
-    return split_fields(lines, setting, keep), headers
+def inventory(landing: Landing, raws: Mapping[str, RawSpec]) -> DataFrame:
+    """Every file of the landing folder that belongs to one of the extracts, empty files
+    too: raw_name, ``_file``, the templates' values (null where a template has none),
+    length, modified.  No file is opened."""
+    patterns = {k: template_regex(landing.path(r.template)) for k, r in raws.items()}
+    names = list(dict.fromkeys(n for _, found in patterns.values() for n in found))
+    path, kind, values = F.col("path"), None, {n: F.lit(None).cast("string") for n in names}
+    for k, (pattern, found) in patterns.items():
+        fits = path.rlike(pattern)
+        kind = F.when(fits, k) if kind is None else kind.when(fits, k)
+        for n, token in zip(found, _tokens(path, pattern, found)):
+            values[n] = F.when(fits, token).otherwise(values[n])
+    files = landing.relation("files").select("path", "length", "modificationTime")
+    return (files.select(kind.alias("raw_name"), path.alias(FILE), *[v.alias(n) for n, v in values.items()], "length",
+                         F.col("modificationTime").alias("modified")).where(F.col("raw_name").isNotNull()))
+
+
+@dataclass
+class Scan:
+    """A scanned template.  data: ``_file``, the template's values and the layout's
+    columns.  headers: one row a file, None for header-less layouts.  rejects: lines that
+    could not be taken (``rejected``)."""
+
+    data: DataFrame
+    headers: DataFrame | None
+    rejects: DataFrame
+
+
+SETTING = "_setting"
+REASON = "_reason"
+
+
+def setting_of(raw: RawSpec, period: Column) -> Column:
+    """Number of the one setting valid at ``period``; null if none or several are."""
+    valid = [period.between(s.start, s.end) for s in raw.settings]
+    n = reduce(lambda a, b: a + b, [v.cast("int") for v in valid])
+    first = reduce(lambda a, b: F.coalesce(a, b), [F.when(v, i) for i, v in enumerate(valid)])
+    return F.when(n == 1, first)
+
+
+def by_layout(lines: DataFrame, raw: RawSpec, period: Column) -> DataFrame:
+    """Lines with ``_setting`` (the layout of the file's date), ``_parts`` (the line cut by
+    that layout) and ``_reason``: why it can't be taken (encoding, layout, fields), or null."""
+    def parts(s: RawSetting) -> Column:
+        if not s.widths:
+            return F.split(F.col(LINE), re.escape(s.sep), -1)
+        begins = [1 + sum(s.widths[:i]) for i in range(len(s.widths))]
+        return F.array(*[F.trim(F.substring(F.col(LINE), b, w)) for b, w in zip(begins, s.widths)])
+
+    def pick(make):
+        out = None
+        for i, s in enumerate(raw.settings):
+            out = F.when(F.col(SETTING) == i, make(s)) if out is None else out.when(F.col(SETTING) == i, make(s))
+        return out
+
+    cut = _once(_once(_once(lines, _period=period), **{SETTING: setting_of(raw, F.col("_period"))}), _parts=pick(parts))
+    # in a fixed-width line the last column must begin at least
+    short = pick(lambda s: F.length(LINE) <= sum(s.widths[:-1]) if s.widths else F.size("_parts") != len(s.columns))
+    reason = (F.when(~F.is_valid_utf8(F.col(LINE)), "encoding").when(F.col(SETTING).isNull(), "layout").when(short, "fields"))
+    return _once(cut, **{REASON: reason})
+
+
+def typed(cut: DataFrame, raw: RawSpec, keep: Sequence[str]) -> DataFrame:
+    """The layouts' columns from ``_parts``, by name whatever their order, cast with
+    ``try_cast``.  A column that a layout lacks is null for its files."""
+    types: dict[str, str] = {}
+    for s in raw.settings:
+        for name, dtype in s.columns:
+            if types.setdefault(name, dtype) != dtype:
+                raise ValueError(f"{raw.name}.{name}: {types[name]} in one layout, {dtype} in another")
+    out = []
+    for name, dtype in types.items():
+        at = [[n for n, _ in s.columns].index(name) if name in dict(s.columns) else None for s in raw.settings]
+        if len(set(at)) == 1:
+            field = F.col("_parts").getItem(at[0])
+        else:
+            field = reduce(lambda a, b: F.coalesce(a, b),
+                           [F.when(F.col(SETTING) == i, F.col("_parts").getItem(k)) for i, k in enumerate(at) if k is not None])
+        out.append((field if dtype == "string" else F.trim(field).try_cast(dtype)).alias(name))
+    return cut.select(*keep, *out)
+
+
+def rejected(cut: DataFrame, lines: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Rejected lines: ``_file``, the template's values, ``_block`` and ``_line`` (the line's
+    number in that block, from 1; a file smaller than a split is one block), ``_reason`` and
+    the line's bytes as read (base64)."""
+    first = lines.groupBy(FILE, "_block").agg(F.min("_row").alias("_first"))
+    bad = cut.where(F.col(REASON).isNotNull()).select(*keep, "_block", "_row", REASON, LINE)
+    return bad.join(first, [FILE, "_block"]).select(
+        *keep, "_block", (F.col("_row") - F.col("_first") + 1).alias("_line"), REASON,
+        F.base64(F.col(LINE).cast("binary")).alias("content"))
+
+
+def raw_lines(landing: Landing, raw: RawSpec, params: Mapping[str, str] | None = None,
+              periods: Sequence[str] | None = None) -> DataFrame:
+    """``lines_of`` a raw extract."""
+    encodings = {s.encoding.upper().replace("-", "") for s in raw.settings}
+    if len(encodings) > 1:
+        raise ValueError(f"{raw.name}: layouts of several encodings need a template each")
+    return lines_of(landing, raw.template, params, raw.settings[0].encoding, periods)
+
+
+def scan_raw(landing: Landing, raw: RawSpec, params: Mapping[str, str] | None = None,
+             period: Column | None = None, shape: str | Column | None = None,
+             periods: Sequence[str] | None = None, observation: Observation | None = None) -> Scan:
+    """Read every file of a raw extract's template, each by the layout of its own date.
+    The arguments are those of ``lines_of`` and ``scan_lines``."""
+    return scan_lines(raw_lines(landing, raw, params, periods), raw, period, shape, observation)
+
+
+def scan_lines(lines: DataFrame, raw: RawSpec, period: Column | None = None, shape: str | Column | None = None,
+               observation: Observation | None = None) -> Scan:
+    """``Scan`` of lines in the form of ``lines_of``.
+
+    ``period``: the files' date where the template has none.  ``shape``: lines that do
+    not meet it are no rows of the extract (titles); they are not rejects either.
+    ``observation``: receives n_lines and n_rejected once the data is computed."""
+    _, names = template_regex(raw.template)
+    date = period if period is not None else file_period()
+    headers, body = None, lines
+    fields = {s.header_fields for s in raw.settings}
+    if fields != {None}:
+        if len(fields) > 1:
+            raise ValueError(f"{raw.name}: headers must be alike in all layouts")
+        headers = header_records(lines, next(iter(fields)), raw.settings[0].header_sep, keys=[FILE, *names])
+        body = drop_header(lines, headers, keys=[FILE])
+    body = body.where(F.length(F.col(LINE)) > 0)
+    if shape is not None:
+        body = row_shape_filter(body, None if shape == "default" else shape)
+    cut = by_layout(body, raw, date)
+    keep = [FILE, *names]
+    taken = cut if observation is None else cut.observe(
+        observation, F.count(F.lit(1)).alias("n_lines"), F.count(REASON).alias("n_rejected"))
+    return Scan(typed(taken.where(F.col(REASON).isNull()), raw, keep), headers, rejected(cut, lines, keep))
 
 
 def file_period(year: str = "YYYY", month: str = "MM") -> Column:

@@ -126,8 +126,9 @@ class TableSpec:
     one_value_partitions: tuple[str, ...] = ()   # one distinct value per load
     foreign_keys: tuple[ForeignKey, ...] = ()
     rules: tuple[Rule, ...] = ()
-    backup: bool = False
-    num_partitions: int | None = None            # output files per table partition
+    backup: bool = False                         # keep former versions (reference tables)
+    num_partitions: int | None = None            # output files per table partition, of small tables
+    rebalance: bool = False                      # a large table: files by size instead of by number
     pk_external_code: str | None = None
     max_new_records_num: int | None = None
     max_new_records_share: float | None = None
@@ -173,6 +174,7 @@ class RawSpec:
     settings: tuple[RawSetting, ...] = field(default_factory=tuple)
     min_rows: int | None = None
     max_rows: int | None = None
+    max_rejected: int = 0                        # lines that may be set aside before a load stops
 
     @staticmethod
     def columns_from_names(names: str, sep: str = ";") -> tuple[tuple[str, str], ...]:

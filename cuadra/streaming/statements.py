@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cuadra.operators import analytics as A
-from cuadra.session import shared_dir
 from cuadra.sinks import tables as SK
 from cuadra.sources import text as TX
 from cuadra.specs import RawSpec, TableSpec
@@ -35,11 +34,11 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def parse_statements(files: DataFrame, template: str, raw: RawSpec, origin: str) -> DataFrame:
-    """Whole-file rows of one statement kind -> rows of the unified fact."""
-    setting = raw.settings[-1]
-    lines = TX.file_lines(files, template)
-    data = TX.split_fields(TX.drop_header(lines).where(F.length(TX.LINE) > 0), setting,
-                           keep=["YYYY", "MM", "Cod_Banco"])
+    """Whole-file rows of one statement kind -> rows of the unified fact; each file is
+    parsed by the layout of its date."""
+    lines = TX.file_lines(files, template, raw.settings[0].encoding)
+    cut = TX.by_layout(TX.drop_header(lines).where(F.length(TX.LINE) > 0), raw, TX.file_period())
+    data = TX.typed(cut.where(F.col(TX.REASON).isNull()), raw, keep=["YYYY", "MM", "Cod_Banco"])
     shaped = data.select(TX.file_period().alias("periodo_mes"), F.col("Cod_Banco").alias("ins_id"),
                          *[c for c in data.columns if c == "planCuenta_id" or "_Monto" in c])
     amounts = [c for c in shaped.columns if "_Monto" in c]
@@ -65,7 +64,11 @@ def merge_into_partitions(batch: DataFrame, table: TableSpec, path: str, kind_co
 def start_statement_stream(spark: SparkSession, landing: str, raw: RawSpec, origin: str,
                            table: TableSpec, table_path: str, checkpoint: str | None = None,
                            available_now: bool = False, max_files: int = 1000) -> StreamingQuery:
-    """Stream one statement kind from ``landing`` into the statement table."""
+    """Stream one statement kind from ``landing`` into the statement table.
+
+    Without ``checkpoint`` the stream's progress is kept beside the table, one folder a
+    kind, so a restart goes on where it stopped.  Streams of several kinds replace the same
+    partitions: run them one after the other (``available_now``), not at once."""
     template = f"{landing.rstrip('/')}/{raw.template}"
     folder, name_glob = TX.listing(template)
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -77,6 +80,6 @@ def start_statement_stream(spark: SparkSession, landing: str, raw: RawSpec, orig
         merge_into_partitions(batch, table, table_path, "eerr_origen")
 
     writer = (fact.writeStream.foreachBatch(write)
-              .option("checkpointLocation", checkpoint or shared_dir(spark, f"stream-{origin}")))
+              .option("checkpointLocation", checkpoint or f"{table_path.rstrip('/')}_progress/{origin}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
