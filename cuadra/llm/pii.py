@@ -171,7 +171,7 @@ def oracle() -> str:
     SELECT doc_id, unnest(ms) AS m, unnest(ps[1:len(ms)]) AS p, unnest(ps[2:len(ms) + 1]) AS p1, unnest(list_prepend(NULL, ms[1:len(ms) - 1])) AS m0,
       unnest(list_append(ms[2:], NULL)) AS m1, unnest(list_transform(ms, lambda x, i: list_sum(list_transform(ps[1:i], lambda y: length(y)))
       + coalesce(list_sum(list_transform(ms[1:i - 1], lambda y: length(y))), 0)))::BIGINT AS st
-    FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d))
+    FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d) WHERE len(ms) > 0)
   WHERE ({valid[k.name]}) AND ({more}))""")
     base = [i for i, k in enumerate(KINDS) if k.base]
     rows = " UNION ALL ".join(f"SELECT doc_id, k, kind, st, st + length(m) AS en FROM s{i}" for i in range(len(KINDS)))
