@@ -102,8 +102,10 @@ def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
         return df.hint("rebalance", *spec.partition_cols)
     if not spec.partition_cols:
         return df.repartition(n)
-    place = F.pmod(F.xxhash64(*(spec.pk or spec.names)), F.lit(n))
-    return df.repartition(*spec.partition_cols, place)
+    if n == 1:
+        return df.repartition(*spec.partition_cols)
+    # n ranges of a hash: each of the n tasks writes one file a table partition
+    return df.repartitionByRange(n, F.pmod(F.xxhash64(*(spec.pk or spec.names)), F.lit(n)))
 
 
 def partition_replace(df: DataFrame, spec: TableSpec, path: str) -> DataFrame:
