@@ -104,8 +104,8 @@ def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
         return df.repartition(n)
     if n == 1:
         return df.repartition(*spec.partition_cols)
-    # n ranges of a hash: each of the n tasks writes one file a table partition
-    return df.repartitionByRange(n, F.pmod(F.xxhash64(*(spec.pk or spec.names)), F.lit(n)))
+    # each of the n tasks writes one file a table partition
+    return df.repartition(n, *(spec.pk or spec.names))
 
 
 def partition_replace(df: DataFrame, spec: TableSpec, path: str) -> DataFrame:
