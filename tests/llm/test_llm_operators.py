@@ -151,7 +151,9 @@ def test_mixing_lowers_no_rate_below_one(spark, leak):
 
 # ------------------------------------------------------------------ op 4
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("common", [1, 10, 16])
+def test_block_max_search_is_exact(common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)   # all terms sparse, some dense, all dense
     rng = np.random.default_rng(4)
     vocabulary = np.arange(1, 41, dtype=np.uint64)
     terms = [np.sort(rng.choice(vocabulary, rng.integers(0, 8), replace=False)) for _ in range(500)]
@@ -164,12 +166,20 @@ def test_block_max_search_is_exact():
     dense /= np.maximum(np.sqrt((dense ** 2).sum(1)), 1e-300)[:, None]
     for i in range(0, 500, 7):
         if len(terms[i]):
-            best, cosine = index.nearest(terms[i].astype(int) - 1, counts[i], without=i)
+            best, cosine = (x[0] for x in index.nearest(terms[i].astype(int) - 1, counts[i], np.array([0, len(terms[i])]), np.array([i])))
+            best, cosine = best[best >= 0], cosine[best >= 0]
             want = np.round(dense @ dense[i], 12)
             want[i] = 0
             order = np.lexsort((np.arange(500), -want))[:toxicity.K]
             order = order[want[order] > 0]
             assert index.ids[best].tolist() == order.tolist() and np.allclose(cosine, want[order])
+    # many queries at once give what each alone gives
+    some = [i for i in range(300) if len(terms[i])]
+    t, c = np.concatenate([terms[i].astype(int) - 1 for i in some]), np.concatenate([counts[i] for i in some])
+    whole = index.nearest(t, c, np.r_[0, np.cumsum([len(terms[i]) for i in some])])
+    for k, i in enumerate(some):
+        alone = index.nearest(terms[i].astype(int) - 1, counts[i], np.array([0, len(terms[i])]))
+        assert (whole[0][k] == alone[0][0]).all() and np.allclose(whole[1][k], alone[1][0])
 
 
 def test_toxicity_learns_and_handles_edges(spark):
