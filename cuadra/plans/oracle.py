@@ -8,11 +8,37 @@ Spark plans, so a match checks the rewrites as well.
 
 from __future__ import annotations
 
-from cuadra.plans.fixtures import COMPONENT_SOURCES, ORIGINS
-from cuadra.plans.measures import CONCEPTS, DERIVED, MEASURES
-
 AMT = "DECIMAL(26,2)"
 
+# Fixed values, stated again here so that a wrong declaration in the library shows up as a
+# difference: statement kind by return flag and line status, the columns of its amounts,
+# the concepts by part size, and the indicators as SQL over the current and previous month.
+ORIGINS = (("B1", "A", None), ("R1", "R", None), ("C1", "N", "F"), ("C2", "N", "O"))
+COMPONENT_SOURCES = (("clp", "l_extendedprice"), ("ipc", "l_quantity"), ("tdc", "l_discount"), ("tdcb", "l_tax"))
+CONCEPTS = ("COLOCACION", "COLOCACION_MORA90", "PROVISION_STOCK", "PROVISION", "CASTIGO", "RECUPERO",
+            "INGRESO_INTERES", "GASTO_INTERES", "INGRESO_COMISION", "UTILIDAD_FINANCIERA")
+_IN_YEAR = "CASE WHEN month(CAST(e.periodo_mes AS DATE)) > 1 THEN act - ant ELSE act END"
+MEASURES = (
+    ("gestion_colocacion_mes", "COLOCACION", "act"),
+    ("gestion_colocacionMora90_mes", "COLOCACION_MORA90", "act"),
+    ("gestion_provision_mes", "PROVISION_STOCK", "act - ant"),
+    ("gestion_provision_Ano", "PROVISION", "act"),
+    ("gestion_provisionStock", "PROVISION_STOCK", "act"),
+    ("gestion_castigo_mes", "CASTIGO", _IN_YEAR),
+    ("gestion_castigo_Ano", "CASTIGO", "act"),
+    ("gestion_recupero_mes", "RECUPERO", _IN_YEAR),
+    ("gestion_recupero_Ano", "RECUPERO", "act"),
+    ("gestion_ingresoInteres_mes", "INGRESO_INTERES", "act"),
+    ("gestion_gastoInteres_mes", "GASTO_INTERES", "act"),
+    ("gestion_ingresoComision_mes", "INGRESO_COMISION", "act"),
+    ("gestion_gastoComision_mes", "GASTO_INTERES", "act"),
+    ("gestion_utilidadFinanciera_mes", "UTILIDAD_FINANCIERA", "act"),
+)
+DERIVED = (
+    ("gestion_gastoRiesgo_mes", "gestion_provision_mes + gestion_castigo_mes - gestion_recupero_mes"),
+    ("gestion_gastoRiesgo_Ano", "gestion_provision_Ano + gestion_castigo_Ano - gestion_recupero_Ano"),
+)
+
 
 def period_sql(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-01')"
@@ -79,21 +105,12 @@ JOIN fact f ON f.periodo_mes IN (p.periodo_mes, {prev_period_sql('p.periodo_mes'
 GROUP BY p.periodo_mes, {k}"""
 
 
-def _measure_sql(m) -> str:
-    if m.formula == "act":
-        f = "act"
-    elif m.formula == "act-ant":
-        f = "act - ant"
-    else:
-        f = "CASE WHEN month(CAST(e.periodo_mes AS DATE)) > 1 THEN act - ant ELSE act END"
-    return f"sum(CASE WHEN a.planCuenta_Concepto = '{m.concept}' THEN {f} ELSE 0 END)"
-
-
 def mgmt_indicators_sql() -> str:
-    measures = ",\n       ".join(f"{_measure_sql(m)} AS {m.name}" for m in MEASURES)
+    measures = ",\n       ".join(f"sum(CASE WHEN a.planCuenta_Concepto = '{concept}' THEN {sql} ELSE 0 END) AS {name}"
+                                for name, concept, sql in MEASURES)
     derived = ",\n       ".join(f"CAST(CAST({sql} AS DECIMAL(20,2)) AS {AMT}) AS {name}"
-                                for name, sql in DERIVED.items())
-    casts = ", ".join(f"CAST({m.name} AS {AMT}) AS {m.name}" for m in MEASURES)
+                                for name, sql in DERIVED)
+    casts = ", ".join(f"CAST({name} AS {AMT}) AS {name}" for name, _, _ in MEASURES)
     return f"""
 WITH fact AS ({fact_sql()}),
 eerr AS ({compare_sql(['ins_id', 'planCuenta_id'])}),
