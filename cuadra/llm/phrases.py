@@ -5,15 +5,25 @@ into pieces, and those at blanks and tabs into words.  A phrase of 2 to LONGEST
 counts wherever it stands within a piece, overlaps included, language by language.
 
 1. Words are counted exactly; they give each language's total n.
-2. SON: a shard is what a task has read when it holds SHARD_WORDS words or ends.  With a
-   share p of a language's words it mines every phrase of frequent words that occurs at
-   least ceil(support * p) times in it, level by level.  The shares add up to one, so a
-   phrase below its local support in every shard is below the support in all.
-3. The union of the locally frequent phrases is a Bloom filter of 16 bits or more a phrase
-   and at most MOST_BITS (128 MB), the only thing that is broadcast.  What it lets
-   through by mistake costs rows, never results.
-4. Every shard counts the phrases that pass, and the counts are added up by phrase: the
-   frequent phrases and their exact counts.
+2. SON: the files of the corpus are dealt over SHARDS shards.  With a share p of a language's
+   words a shard is mined for every phrase of frequent words that occurs at least
+   ceil(support * p) times in it.  The shares add up to one, so a phrase below its local
+   support in every shard is below the support in all.  A shard may be larger than any
+   task: tasks count their part block by block, and the counts are added up by phrase and
+   shard: those of two words, those of three whose pairs are frequent, and the longer ones
+   whose threes are.
+   SHARDS is fixed, so the local support does not fall as the corpus grows.
+3. The union of the locally frequent phrases are the candidates.  Their counts in all shards
+   lie beside each other then, as a shard's counts are dealt by phrase, and give the exact
+   global counts; candidates below the support go.
+4. With each phrase comes a place that holds it, a document or, for two words, a shard; a last
+   pass writes the phrases out from there.
+
+What tasks look up (frequent words, frequent pairs, places of phrases) are Bloom filters
+of 16 bits or more an entry and at most MOST_BITS (128 MB), the only things that are
+broadcast.  What one lets through by mistake costs rows, never results.  Until their words
+are written out phrases are told apart by hashes, of 64 bits for two words (among 10^9
+different pairs two share one with a chance of 3 %) and of 88 bits for more.
 
 Each cut of a phrase after its first k words has a score floor(1000 a n / (l r)) with a, l
 and r the counts of the phrase and of its two parts; decimals of 38 digits hold the
@@ -21,8 +31,8 @@ products.  The lowest cut counts.  A phrase is dropped if a longer frequent phra
 it at ``share`` percent of its count or more; counts only fall with length, so one word
 more on either side is all that need be compared.
 
-With more than ``support`` shards the local support is one and step 2 lets every phrase
-of frequent words through; the result stays exact, only the counts shuffled grow.
+A table that is read from files has the same shards in every pass, whatever its splits;
+rows that come from no file are one shard.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated
 rows count as often as they occur; equal scores are ordered by falling count, then by the
@@ -43,8 +53,9 @@ from pyspark.sql import functions as F
 from .common import BYTE_HASH, LOWER, mix, slices, span_hashes, staged, table, utf8
 
 LONGEST, SUPPORT, SHARE, TOP = 5, 100, 100, 2000
-#: Words of a shard: its arrays take about 60 bytes a word.
-SHARD_WORDS = 5_000_000
+#: Shards; words that a task counts at once (40 to 70 bytes each), bytes of text that it holds
+#: at most, text bytes cut into words at once, and places handled at once.
+SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 2_300_000, 1 << 26, 1 << 20, 1 << 18
 #: Bits of the broadcast filters: at least, a phrase, at most (128 MB).
 LEAST_BITS, BITS_EACH, MOST_BITS = 1 << 20, 16, 1 << 30
 
@@ -53,60 +64,75 @@ ENDS = np.zeros(256, bool)
 ENDS[[*b".,;:!?", 10, 11, 12, 13]] = True
 GAPS = np.zeros(256, bool)
 GAPS[[0x20, 9]] = True
-LEVEL = np.uint64(0x9E3779B97F4A7C15)
+LEVEL, OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class Shard:
-    """Words of some texts in order: key (hash of language and word), lang (place in
-    ``langs``), linked (the next word follows in the same piece), and their bytes."""
+class Block:
+    """Words of some texts of one shard in order: code (place in ``keys``, the block's distinct hashes of
+    language and word), lang (place in ``langs``), linked (the next word follows in the same
+    piece) and, if phrases are to be written out, the words' bytes."""
 
-    def __init__(self):
-        self.langs: list[str] = []
-        self.parts: list[tuple] = []
-        self.words, self.bytes = 0, 0
+    def __init__(self, parts: list[tuple], langs: list[str], shard: int):
+        def take(i: int, kind: type) -> np.ndarray:
+            out = np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, kind)
+            for k, p in enumerate(parts):  # each column is dropped as soon as it is joined
+                parts[k] = (*p[:i], None, *p[i + 1:])
+            return out
 
-    def add(self, raw: np.ndarray, offsets: np.ndarray, langs: list[str]) -> None:
-        raw = LOWER[raw]
-        n = len(raw)
-        place = {v: i for i, v in enumerate(self.langs)}
-        codes = np.array([place.setdefault(v, len(place)) for v in langs], np.int32)
-        self.langs = list(place)
-        if not n:
-            return
-        edge = np.zeros(n + 1, bool)
-        edge[offsets] = True
-        inside = ~(ENDS | GAPS)[raw]
-        starts = np.flatnonzero(inside & (edge[:-1] | np.r_[True, ~inside[:-1]]))
-        ends = np.flatnonzero(inside & (edge[1:] | np.r_[~inside[1:], True])) + 1
-        doc = np.searchsorted(offsets, starts, side="right") - 1
-        breaks = np.cumsum(ENDS[raw], dtype=np.int32)[starts]
-        linked = np.zeros(len(starts), bool)
-        linked[:-1] = (doc[1:] == doc[:-1]) & (breaks[1:] == breaks[:-1])
-        lang = codes[doc]
-        salts = span_hashes(*_names(self.langs))
-        key = mix(span_hashes(BYTE_HASH[raw], starts, ends) + salts[lang])
-        self.parts.append((key, lang, linked, (starts + self.bytes).astype(np.int64), (ends + self.bytes).astype(np.int64), raw))
-        self.words += len(starts)
-        self.bytes += n
-
-    def close(self) -> None:
-        """Joins the parts to the arrays of the shard."""
-        kinds = (np.uint64, np.int32, bool, np.int64, np.int64, np.uint8)
-        whole = [np.concatenate([p[i] for p in self.parts]) if self.parts else np.zeros(0, k) for i, k in enumerate(kinds)]
-        self.key, self.lang, self.linked, self.starts, self.ends, self.raw = whole
-        self.parts = []
+        self.langs, self.shard = langs, shard
+        code, self.keys = pd.factorize(take(0, np.uint64))
+        self.code = code.astype(np.int32)
+        self.lang, self.linked = take(1, np.int16), take(2, bool)
+        self.starts, self.ends, raw = take(3, np.int32), take(4, np.int32), take(5, np.uint8)
+        self.content = raw.tobytes()
+        self.doc, self.docs = take(6, np.int32), take(7, np.int64)
 
     def totals(self) -> dict[str, int]:
         return {v: int(c) for v, c in zip(self.langs, np.bincount(self.lang, minlength=len(self.langs)), strict=True)}
 
+    def hashes(self, first: np.ndarray, length: int, by: np.uint64 = LEVEL) -> np.ndarray:
+        """Hash of the phrases of ``length`` words that begin at these words."""
+        out = self.keys[self.code[first]]
+        for k in range(1, length):
+            out = mix(out * by + self.keys[self.code[first + k]])
+        return out
+
+    def more(self, first: np.ndarray, length: int) -> np.ndarray:
+        """24 further bits."""
+        return (self.hashes(first, length, OTHER) & np.uint64(0xFFFFFF)).astype(np.int32)
+
     def phrases(self, first: np.ndarray, length: int) -> list[str]:
-        """The phrases that begin at these words, with single spaces."""
-        content = self.raw.tobytes()
-        a, b = self.starts[first], self.ends[first + length - 1]
+        """Those phrases with single spaces."""
+        content, a, b = self.content, self.starts[first], self.ends[first + length - 1]
         made = [content[i:j].decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)]
         return [t if t.count(" ") == length - 1 and "\t" not in t else " ".join(filter(None, t.replace("\t", " ").split(" "))) for t in made] if length > 1 else made
 
 
+def _words(raw: np.ndarray, offsets: np.ndarray, langs: list[str], docs: np.ndarray, place: dict[str, int], base: int, before: int, texts: bool) -> tuple:
+    """The columns of ``Block`` for one slice of texts; ``place`` numbers the languages,
+    ``base`` and ``before`` are the bytes and documents of the block so far."""
+    raw = LOWER[raw]
+    codes = np.array([place.setdefault(v, len(place)) for v in langs], np.int16)
+    n = len(raw)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int16), np.zeros(0, bool), *[np.zeros(0, np.int32)] * 2, raw, np.zeros(0, np.int32), docs
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    inside = ~(ENDS | GAPS)[raw]
+    starts = np.flatnonzero(inside & (edge[:-1] | np.r_[True, ~inside[:-1]]))
+    ends = np.flatnonzero(inside & (edge[1:] | np.r_[~inside[1:], True])) + 1
+    doc = np.searchsorted(offsets, starts, side="right") - 1
+    breaks = np.cumsum(ENDS[raw], dtype=np.int32)[starts]
+    linked = np.zeros(len(starts), bool)
+    linked[:-1] = (doc[1:] == doc[:-1]) & (breaks[1:] == breaks[:-1])
+    lang = codes[doc]
+    key = mix(span_hashes(BYTE_HASH[raw], starts, ends) + span_hashes(*_names(list(place)))[lang])
+    own = (doc + before).astype(np.int32)
+    if not texts:
+        return key, lang, linked, *[np.zeros(0, np.int32)] * 2, raw[:0], own, docs
+    return key, lang, linked, (starts + base).astype(np.int32), (ends + base).astype(np.int32), raw, own, docs
+
+
 def _names(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Arguments of ``span_hashes`` for short strings."""
     coded = [v.encode() + b"\x00" for v in values]
@@ -114,17 +140,21 @@ def _names(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return BYTE_HASH[np.frombuffer(b"".join(coded), np.uint8)], np.r_[0, ends[:-1]], ends
 
 
-def shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Shard]:
-    held = Shard()
-    for b in slices(batches, "text"):
-        held.add(*utf8(b.column("text")), b.column("lang").to_pylist())
-        if held.words >= limit:
-            held.close()
-            yield held
-            held = Shard()
-    held.close()
-    if held.words:
-        yield held
+def blocks(batches: Iterator[pa.RecordBatch], limit: int, texts: bool = False) -> Iterator[Block]:
+    """A task's texts in blocks of one shard and about ``limit`` words."""
+    parts, words, sizes, rows, place, shard = [], 0, 0, 0, {}, None
+    for b in slices(batches, "text", SLICE):
+        own = b.column("shard").to_numpy()
+        cuts = np.flatnonzero(np.diff(own)) + 1
+        for begin, end in zip(np.r_[0, cuts], np.r_[cuts, len(own)]):
+            if parts and (own[begin] != shard or words >= limit or sizes >= MOST_BYTES):
+                yield Block(parts, list(place), shard)
+                parts, words, sizes, rows, place = [], 0, 0, 0, {}
+            shard, run = int(own[begin]), b.slice(int(begin), int(end - begin))
+            parts.append(_words(*utf8(run.column("text")), run.column("lang").to_pylist(), run.column("doc").to_numpy(), place, sizes, rows, texts))
+            words, sizes, rows = words + len(parts[-1][0]), sizes + len(parts[-1][5]), rows + run.num_rows
+    if words:
+        yield Block(parts, list(place), shard)
 
 
 class Filter:
@@ -178,36 +208,40 @@ def bloom(hashes: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def levels(shard: Shard, words: Filter, longest: int, keep: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple]:
-    """(length, first place of each kept phrase, its hash, its count) from two words up.
+def levels(block: Block, words: Filter, longest: int, passes: Callable[[np.ndarray, int], np.ndarray | None]) -> Iterator[tuple]:
+    """(length, first place of each distinct phrase, its hash, its count) from two words up.
 
     A phrase's number is that of its first and its last words' phrase, which are one
-    shorter, so equal numbers are equal phrases; ``keep`` tells of phrases (hash, count,
-    language, length) which go on to the next level."""
-    at = np.flatnonzero(words.holds(shard.key))
-    number = np.full(len(shard.key), -1, np.int64)
-    number[at] = pd.factorize(shard.key[at])[0]
-    hashes = shard.key.copy()
+    shorter, so equal numbers are equal phrases.  ``passes`` tells which phrases (hashes,
+    length) count and may be part of longer ones; None: all."""
+    number = np.where(words.holds(block.keys)[block.code], block.code, np.int32(-1))
+    at = np.flatnonzero(number >= 0).astype(np.int32)
     for length in range(2, longest + 1):
         at = at[at < len(number) - 1]
         # beyond two words the two shorter phrases already lie in one piece
-        at = at[(number[at + 1] >= 0) & (shard.linked[at] if length == 2 else True)]
+        at = at[(number[at + 1] >= 0) & (block.linked[at] if length == 2 else True)]
+        may = [passes(block.hashes(at[i:i + PLACES], length), length) for i in range(0, len(at), PLACES)]
+        if may and may[0] is not None:
+            at = at[np.concatenate(may)]
         if not len(at):
             return
-        code, distinct = pd.factorize(number[at] * np.int64(int(number.max()) + 1) + number[at + 1])
-        count = np.bincount(code, minlength=len(distinct))
-        first = np.empty(len(distinct), np.int64)
+        pair = number[at].astype(np.int64)
+        pair *= np.int64(number.max()) + 1
+        pair += number[at + 1]
+        code, distinct = pd.factorize(pair)
+        del pair
+        first = np.empty(len(distinct), np.int32)
         first[code[::-1]] = at[::-1]
-        after = mix(hashes[at] * LEVEL + shard.key[at + length - 1])
-        hashes[at] = after
-        good = keep(hashes[first], count, shard.lang[first])
-        yield length, first[good], hashes[first[good]], count[good]
-        stay = good[code]
+        yield length, first, block.hashes(first, length), np.bincount(code, minlength=len(distinct))
         number[:] = -1
-        at, code = at[stay], code[stay]
         number[at] = code
 
 
+def salted(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hash of a phrase in one document or shard."""
+    return mix(hashes + places.view(np.uint64) * LEVEL)
+
+
 def key_of(langs: list[str], words: list[str]) -> np.ndarray:
     """The shards' key of each (language, word)."""
     place = {v: i for i, v in enumerate(dict.fromkeys(langs))}
@@ -221,65 +255,129 @@ def key_of(langs: list[str], words: list[str]) -> np.ndarray:
 COUNTS = "lang string, length int, phrase string, n long"
 
 
-def _rows(shard: Shard, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+def _rows(block: Block, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     """COUNTS rows of (length, first places, hashes, counts)."""
-    names = np.array(shard.langs, dtype=object)
+    names = np.array(block.langs, dtype=object)
     for length, first, _, count in found:
         for i in range(0, len(first), 1 << 16):
             at = first[i:i + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[shard.lang[at]], pa.string()), pa.array(np.full(len(at), length, np.int32)), pa.array(shard.phrases(at, length), pa.string()),
+                [pa.array(names[block.lang[at]], pa.string()), pa.array(np.full(len(at), length, np.int32)), pa.array(block.phrases(at, length), pa.string()),
                  pa.array(count[i:i + (1 << 16)].astype(np.int64))], ["lang", "length", "phrase", "n"])
 
 
-def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shard_words: int = SHARD_WORDS,
+def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shards: int = SHARDS, block_words: int = BLOCK_WORDS,
              text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, length, phrase, n) of every phrase of 1 to ``longest`` words that occurs
     ``support`` times in a language, and (lang, n) with all words of each language."""
     spark = df.sparkSession
-    texts = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"))
+    texts = df.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
+                      F.pmod(F.xxhash64(F.input_file_name()), F.lit(shards)).cast("int").alias("shard"), F.xxhash64(F.col(f"`{text}`"), F.col(f"`{lang}`")).alias("doc"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, shard_words):
-            code, distinct = pd.factorize(shard.key)
-            first = np.empty(len(distinct), np.int64)
-            first[code[::-1]] = np.arange(len(code))[::-1]
-            yield from _rows(shard, iter([(1, first, distinct, np.bincount(code, minlength=len(distinct)))]))
+        for block in blocks(batches, block_words, True):
+            first = np.empty(len(block.keys), np.int32)
+            first[block.code[::-1]] = np.arange(len(block.code), dtype=np.int32)[::-1]
+            yield from _rows(block, iter([(1, first, block.keys, np.bincount(block.code, minlength=len(first)))]))
+            own = block.totals()  # length 0: the words of a language in a shard
+            yield pa.RecordBatch.from_arrays([pa.array(list(own)), pa.array([0] * len(own), pa.int32()), pa.array([str(block.shard)] * len(own)), pa.array(list(own.values()), pa.int64())],
+                                             ["lang", "length", "phrase", "n"])
 
     words = staged(texts.mapInArrow(count_words, COUNTS).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")), "words")
-    totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    often = words.where(F.col("n") >= support)
-    n = {r.lang: r.n for r in totals.collect()}  # one row a language
+    totals = staged(words.where("length = 0").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0"), "totals")
+    often = words.where((F.col("length") == 1) & (F.col("n") >= support))
+    # one row a language and shard
+    n = {r.lang: r.n for r in totals.collect()}
+    least = {(r.lang, int(r.phrase)): -(-support * r.n // n[r.lang]) for r in words.where("length = 0 AND n > 0").collect()}
 
     def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(key_of(b.column("lang").to_pylist(), b.column("phrase").to_pylist()).view(np.int64))], ["h"])
 
-    known = spark.sparkContext.broadcast(bloom(often.select("lang", "phrase").mapInArrow(hash_words, "h long"), often.count()))
-
-    def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, shard_words):
-            least = np.array([-(-support * own // n[v]) if own else 1 for v, own in shard.totals().items()], np.int64)
-            for _, _, hashes, _ in levels(shard, Filter(known.value), longest, lambda h, c, lang: c >= least[lang]):
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
-
-    local = staged(texts.mapInArrow(mine, "h long"), "local")
-    union = spark.sparkContext.broadcast(bloom(local, local.count()))
+    def hash_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = salted(b.column("h").to_numpy().view(np.uint64), b.column("place").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["h"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, shard_words):
-            passed = Filter(union.value)
-            yield from _rows(shard, levels(shard, Filter(known.value), longest, lambda h, c, lang: passed.holds(h)))
+    known = spark.sparkContext.broadcast(bloom(often.select("lang", "phrase").mapInArrow(hash_words, "h long"), often.count()))
 
-    counted = texts.mapInArrow(count, COUNTS).groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
-    return staged(often.unionByName(counted), "phrases"), totals
+    def mined(name: str, shortest: int, last: int, passes: Callable[[np.ndarray, int], np.ndarray | None]) -> DataFrame:
+        """(x, h, n, place) of the frequent phrases of ``shortest`` to ``last`` words: in some
+        shard as often as its share asks, and ``support`` times in all.  place is where it can
+        be read: one of its shards for pairs (their 64-bit hash tells them apart), else one of
+        its documents (with 24 more bits, x)."""
+        pairs = shortest == 2
+        names = ["shard", "h", "n", "least", *([] if pairs else ["x", "place"])]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in blocks(batches, block_words):
+                asked = np.array([least.get((v, block.shard), 1) for v in block.langs], np.int32)
+                for length, first, hashes, count in levels(block, Filter(known.value), last, passes):
+                    for i in range(0, len(first) if length >= shortest else 0, 1 << 16):
+                        part = slice(i, i + (1 << 16))
+                        at = first[part]
+                        columns = [np.full(len(at), block.shard, np.int32), hashes[part].view(np.int64), count[part].astype(np.int32), asked[block.lang[at]]]
+                        if not pairs:
+                            columns += [block.more(at, length), block.docs[block.doc[at]]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+        rows = texts.mapInArrow(run, "shard int, h long, n int, least int" + ("" if pairs else ", x int, place long"))
+        rows = rows.withColumn("x", F.lit(0)).withColumn("place", F.col("shard").cast("long")) if pairs else rows
+        # blocks hold a phrase once, so rows are dealt as they are, all shards of a phrase together
+        key = ["h"] if pairs else ["x", "h"]
+        by_shard = rows.repartition(*key).groupBy(*key, "shard").agg(
+            F.sum("n").alias("n"), F.max("least").alias("least"), F.min("x").alias("_x"), F.min("place").alias("place"))
+        found = by_shard.groupBy(*key).agg(F.sum("n").alias("n"), F.bool_or(F.col("n") >= F.col("least")).alias("candidate"),
+                                           F.min("_x").alias("_x"), F.min("place").alias("place"))
+        return staged(found.where("candidate").where(F.col("n") >= support).select(F.col("_x").alias("x"), "h", "n", "place"), name)
+
+    found = pairs = mined("pairs", 2, 2, lambda h, k: None)
+    near = spark.sparkContext.broadcast(bloom(pairs, pairs.count()))
+    if longest > 2:  # phrases of three words from frequent pairs, longer ones from those
+        triples = mined("triples", 3, 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else None)
+        found = pairs.unionByName(triples)
+    if longest > 3:
+        close = spark.sparkContext.broadcast(bloom(triples, triples.count()))
+        tests = {2: near, 3: close}
+        found = found.unionByName(mined("longer", 4, longest, lambda h, k: Filter(tests[k].value).holds(h) if k in tests else None))
+    where = spark.sparkContext.broadcast(bloom(found.mapInArrow(hash_places, "h long"), found.count()))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_known, pairs_known, places_known = Filter(known.value), Filter(near.value), Filter(where.value)
+        for block in blocks(batches, block_words, True):
+            names = np.array(block.langs, dtype=object)
+            ok = words_known.holds(block.keys)[block.code]
+            pair = np.flatnonzero(ok[:-1] & ok[1:] & block.linked[:-1]).astype(np.int32)
+            pair = pair[np.concatenate([pairs_known.holds(block.hashes(pair[i:i + PLACES], 2)) for i in range(0, len(pair), PLACES)])] if len(pair) else pair
+            begins = np.zeros(len(ok), bool)
+            begins[pair] = True
+            at = pair
+            for length in range(2, longest + 1):
+                if length > 2:  # the last two words are a frequent pair as well
+                    at = at[at + length - 2 < len(begins)]
+                    at = at[begins[at + length - 2]]
+                for i in range(0, len(at), PLACES):
+                    part = at[i:i + PLACES]
+                    hashes = block.hashes(part, length)
+                    places = block.docs[block.doc[part]] if length > 2 else np.full(len(part), block.shard, np.int64)
+                    own = np.flatnonzero(places_known.holds(salted(hashes, places)))
+                    if length == 2:  # of the pairs that stand in the shard, each once
+                        own = own[np.unique(hashes[own], return_index=True)[1]]
+                    part, hashes = part[own], hashes[own]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[block.lang[part]], pa.string()), pa.array(np.full(len(part), length, np.int32)), pa.array(block.phrases(part, length), pa.string()),
+                         pa.array(block.more(part, length) if length > 2 else np.zeros(len(part), np.int32)), pa.array(hashes.view(np.int64))], ["lang", "length", "phrase", "x", "h"])
+
+    written = texts.mapInArrow(write, "lang string, length int, phrase string, x int, h long").distinct()
+    named = written.join(found.select("x", "h", "n"), ["x", "h"]).select("lang", "length", "phrase", "n")
+    return staged(often.unionByName(named), "phrases"), totals
 
 
 def collocations(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, share: int = SHARE, top: int = TOP,
-                 shard_words: int = SHARD_WORDS, text: str = "text", lang: str = "lang") -> DataFrame:
+                 shards: int = SHARDS, block_words: int = BLOCK_WORDS, text: str = "text", lang: str = "lang") -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
-    known, totals = frequent(df, longest, support, shard_words, text, lang)
+    known, totals = frequent(df, longest, support, shards, block_words, text, lang)
     return scored(known, totals, share, top)
 
 

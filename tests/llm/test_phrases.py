@@ -56,15 +56,27 @@ def rows():
     return [*made, (None, "en"), ("", None), ("... ", "fr"), ("new york " * 3000, "en"), *[("Of the New York.", "de")] * 40, ("only", "nl")]
 
 
-@pytest.mark.parametrize("shard_words,support,share", [(50, 5, 100), (700, 12, 100), (10**6, 40, 100), (300, 9, 60)])
-def test_equals_a_plain_count(spark, rows, shard_words, support, share):
-    got = P.collocations(table(spark, rows).repartition(5), 5, support, share, 50, shard_words).collect()
+def filed(spark, rows, folder, files=7):
+    """The table read from several files, which are dealt over the shards."""
+    table(spark, rows).repartition(files).write.parquet(f"{folder}/documents.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+@pytest.mark.parametrize("shards,block_words,support,share", [(5, 50, 5, 100), (3, 700, 12, 100), (8, 10**6, 40, 100), (4, 300, 9, 60), (40, 100, 7, 100)])
+def test_equals_a_plain_count(spark, rows, tmp_path, shards, block_words, support, share):
+    got = P.collocations(filed(spark, rows, tmp_path), 5, support, share, 50, shards, block_words).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 5, support, share, 50)
 
 
-def test_every_frequent_phrase_with_its_count(spark, rows):
-    known, totals = P.frequent(table(spark, rows).repartition(7), 4, 6, 90)
-    found, n = counts(rows, 4)
+def test_rows_from_no_file_are_one_shard(spark, rows):
+    got = P.collocations(table(spark, rows).repartition(5), 3, 10, 100, 50, 8, 500).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 3, 10, 100, 50)
+
+
+@pytest.mark.parametrize("longest", [2, 4])
+def test_every_frequent_phrase_with_its_count(spark, rows, tmp_path, longest):
+    known, totals = P.frequent(filed(spark, rows, tmp_path), longest, 6, 4, 90)
+    found, n = counts(rows, longest)
     assert {(r.lang, tuple(r.phrase.split(" "))): r.n for r in known.collect()} == {p: c for p, c in found.items() if c >= 6}
     assert {r.lang: r.n for r in totals.collect()} == {v: c for v, c in n.items() if c}
 
