@@ -36,6 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cuadra.session import qualified
+
 from .common import shared_dir, slices, staged, table, utf8
 
 MAGIC = b"WAVEMTX1"
@@ -306,9 +308,8 @@ def write(df: DataFrame, folder: str, tokenizer: str, end: int, key: str = "doc_
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(json)
     name = f"encoder_{zlib.crc32(json.encode()):x}_{end}"
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{os.path.abspath(folder)}"
-    folder = folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and not folder.startswith("file://") else folder
+    # a folder without a scheme lies on the session's default file system, as for Spark's own writers
+    folder = qualified(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _kept(name, lambda: Encoder(shared.value, end))
