@@ -6,8 +6,8 @@ triangle inequality holds.  Each shard holds a tree; blocks of queries descend
 it together, nearer side first, and skip a side when the vantage point's
 distance shows that it cannot hold a better one.  The bound is relaxed by
 ``factor``: 1 is exact, less prunes more.  Trees and query blocks have fixed
-sizes; every query block meets every shard, and each pair hands on only its own
-best.
+sizes; every query block meets every shard, whose tree is built once, and each pair
+hands on only its own best.
 
 Defined results: vectors that are null, zero, empty or hold a null or non-finite
 component take no part; a repeated vec_id counts once, with its smallest vector;
@@ -138,21 +138,25 @@ def search(rows: DataFrame, queries: DataFrame, k: int = NEAREST, factor: float
         own = df.select("id", "vector", F.size("vector").alias("dim"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
         return own.groupBy("part", "dim").applyInPandas(packed, "part int, dim int, ids binary, vectors binary")
 
-    shards = staged(dealt(rows, n_shards), "shards").select(F.col("part").alias("shard"), "dim", "ids", "vectors")
-    blocks = dealt(queries, n_blocks).select(F.col("part").alias("block"), "dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))).join(shards, ["shard", "dim"])
+    # a task reads a shard, builds its tree once, then searches it for one query block after the other
+    named = lambda df, shard, block: df.select(shard.alias("shard"), "dim", block.cast("int").alias("block"), "ids", "vectors")
+    trees = named(dealt(rows, n_shards), F.col("part"), F.lit(-1))
+    blocks = named(dealt(queries, n_blocks), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))), F.col("part"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree, of = None, None
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                ids, q_ids = np.frombuffer(r.ids, "<i8").copy(), np.frombuffer(r.q_ids, "<i8")
-                tree = Tree(ids, np.frombuffer(r.vectors, "<f8").reshape(len(ids), -1).copy(), top)
-                best, score = tree.search(q_ids, np.frombuffer(r.q_vectors, "<f8").reshape(len(q_ids), -1), k, factor)
-                some = best >= 0
-                some &= ~np.isneginf(score)
-                yield pd.DataFrame({"query_id": np.repeat(q_ids, some.sum(1)), "vec_id": best[some], "score": score[some]})
-
-    found = pairs.repartition(max(1, min(n_shards * n_blocks, 10_000)), "shard", "block").mapInPandas(run, "query_id long, vec_id long, score double")
+                ids, vectors = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.vectors, "<f8")
+                if r.block < 0:
+                    tree, of = Tree(ids.copy(), vectors.reshape(len(ids), -1).copy(), top), (r.shard, r.dim)
+                elif of == (r.shard, r.dim):  # else no vector of this length lies in the shard
+                    best, score = tree.search(ids, vectors.reshape(len(ids), -1), k, factor)
+                    some = (best >= 0) & ~np.isneginf(score)
+                    yield pd.DataFrame({"query_id": np.repeat(ids, some.sum(1)), "vec_id": best[some], "score": score[some]})
+
+    both = trees.unionByName(blocks).repartition(n_shards, "shard").sortWithinPartitions("shard", "dim", "block")
+    found = both.mapInPandas(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
