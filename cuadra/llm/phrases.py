@@ -55,7 +55,7 @@ from .common import BYTE_HASH, LOWER, mix, slices, span_hashes, staged, table, u
 LONGEST, SUPPORT, SHARE, TOP = 5, 100, 100, 2000
 #: Shards; words that a task counts at once (40 to 70 bytes each), bytes of text that it holds
 #: at most, text bytes cut into words at once, and places handled at once.
-SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 2_300_000, 1 << 26, 1 << 20, 1 << 18
+SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 1_500_000, 1 << 26, 1 << 20, 1 << 18
 #: Bits of the broadcast filters: at least, a phrase, at most (128 MB).
 LEAST_BITS, BITS_EACH, MOST_BITS = 1 << 20, 16, 1 << 30
 
