@@ -10,7 +10,10 @@ Design notes (scale):
   the period are the fact's primary key, so a key has one row a month and summing before
   the shuffle would not save any.)
 * Every measure of the pivot is linear in (current, previous), so the pivot is one more
-  aggregation of the comparison, combined before its shuffle.
+  aggregation of the comparison.  Its narrow rows are shuffled, not the wide sums, which
+  have about as many groups.
+* Both shuffles are dealt to a number of tasks in proportion to the rows, so a task's
+  memory does not grow with the table.
 """
 
 from __future__ import annotations
@@ -108,13 +111,23 @@ def _zero_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(0))
 
 
+#: Rows of a fact that one task compares.
+ROWS_A_TASK = 200_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Tasks that a comparison of ``df`` is dealt to."""
+    return max(1, -(-df.count() // ROWS_A_TASK))
+
+
 def _two_months(df: DataFrame, keys: Sequence[str], value: str, period: str | None, period_col: str,
-                dealt: bool = False) -> DataFrame:
+                dealt: bool = False, tasks: int | None = None) -> DataFrame:
     """(period, keys, _act, _ant): the sums of a key in a month and in the one before, null
     where the key has no row; every month that follows a month of the key is there.
-    ``dealt``: the table is already laid out by (a part of) the key."""
+    ``dealt``: the table is already laid out by (a part of) the key.  ``tasks``: as
+    ``tasks_for`` the rows, where the caller knows it."""
     src = _scope_input(df.select(period_col, *keys, value), period_col, period)
-    sums = (src if dealt else src.repartition(*keys)).groupBy(period_col, *keys).agg(F.sum(value).alias("_sum"))
+    sums = (src if dealt else src.repartition(tasks or tasks_for(src), *keys)).groupBy(period_col, *keys).agg(F.sum(value).alias("_sum"))
     cur, v = F.col(CUR), F.col(VAL)
     # both aggregations find the key's rows in their partition
     pairs = current_previous_rows(sums, "_sum", keys, period_col).groupBy(period_col, *keys).agg(
@@ -124,15 +137,17 @@ def _two_months(df: DataFrame, keys: Sequence[str], value: str, period: str | No
 
 def month_compare(df: DataFrame, keys: Sequence[str], value: str = "eerr_Monto",
                   period: str | None = None, period_col: str = PERIOD,
-                  act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant", dealt: bool = False) -> DataFrame:
+                  act: str = "eerr_Monto_Act", ant: str = "eerr_Monto_Ant", dealt: bool = False,
+                  tasks: int | None = None) -> DataFrame:
     """Sum of ``value`` in the current and in the previous month, by key.
 
     ``period`` given: that month only (input pruned to the two months).
     Otherwise every month present in ``df``.  A key with rows only in the
     previous month appears with a zero current amount.  ``dealt``: the table is laid out
-    by a part of ``keys`` (``sinks.bucketed``), so nothing is shuffled.
+    by a part of ``keys`` (``sinks.bucketed``), so nothing is shuffled.  ``tasks``: as
+    ``tasks_for`` the rows, where the caller knows it.
     """
-    pairs = _two_months(df, keys, value, period, period_col, dealt)
+    pairs = _two_months(df, keys, value, period, period_col, dealt, tasks)
     return pairs.select(period_col, *keys, _zero_if_null(F.col("_act")).alias(act), _zero_if_null(F.col("_ant")).alias(ant))
 
 
@@ -166,18 +181,20 @@ def concept_pivot(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measu
 
 
 def indicators_of(compared: DataFrame, accounts: DataFrame, measures: Sequence[Measure],
-                  derived: Mapping[str, str], out_type: str = AMOUNT_TYPE) -> DataFrame:
+                  derived: Mapping[str, str], out_type: str = AMOUNT_TYPE, tasks: int | None = None) -> DataFrame:
     """Indicators by (period, institution, product, business line) from ``month_compare``
     by institution and account.
 
     accounts: planCuenta_id, producto_id, negocio_id, planCuenta_Concepto.
+    ``tasks``: as ``tasks_for`` the comparison, where the caller knows it.
     ``derived``: name -> SQL over measure names, evaluated as decimal(20,2).
     """
     acct = (accounts.where(F.col("planCuenta_Concepto").isNotNull())
             .select("planCuenta_id", "producto_id", "negocio_id",
                     F.col("planCuenta_Concepto").alias("concept")))
     group = [PERIOD, "ins_id", "producto_id", "negocio_id"]
-    out = concept_pivot(join_dimension(compared, acct, "planCuenta_id"), group, measures)
+    rows = join_dimension(compared, acct, "planCuenta_id").drop("planCuenta_id")
+    out = concept_pivot(rows.repartition(tasks or tasks_for(compared), *group), group, measures)
     out = out.withColumns({name: F.expr(f"try_cast({sql} AS decimal(20,2))")
                            for name, sql in derived.items()})
     names = [m.name for m in measures] + list(derived)
@@ -189,8 +206,10 @@ def management_indicators(fact: DataFrame, accounts: DataFrame, measures: Sequen
                           out_type: str = AMOUNT_TYPE) -> DataFrame:
     """``indicators_of`` the comparison of a fact (periodo_mes, ins_id, planCuenta_id,
     eerr_Monto)."""
-    compared = month_compare(fact, ["ins_id", "planCuenta_id"], period=period)
-    return indicators_of(compared, accounts, measures, derived, out_type)
+    tasks = tasks_for(_scope_input(fact, PERIOD, period))
+    compared = month_compare(fact, ["ins_id", "planCuenta_id"], period=period, tasks=tasks)
+    # a row of the fact counts in two months
+    return indicators_of(compared, accounts, measures, derived, out_type, 2 * tasks)
 
 
 # --------------------------------------------------- year-to-date to month (D3)

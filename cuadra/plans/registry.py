@@ -657,9 +657,11 @@ def q_profile_merge(spark, sf):
 
 
 def _bucketed_fact(spark, sf):
-    """The statement fact laid out by account, in as many buckets as shuffles have partitions."""
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return BK.read_bucketed(spark, BK.save_bucketed(_fact(spark, sf), ["planCuenta_id"], shared_dir(spark, "bucketed"), buckets))
+    """The statement fact laid out by account, in as many buckets as shuffles have partitions
+    or, of a larger fact, as its comparison has tasks."""
+    fact = _fact(spark, sf)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), A.tasks_for(fact))
+    return BK.read_bucketed(spark, BK.save_bucketed(fact, ["planCuenta_id"], shared_dir(spark, "bucketed"), buckets))
 
 
 def q_month_compare_bucketed(spark, sf):
