@@ -3,7 +3,7 @@
 A landing folder is listed once (``Landing``); every template is a regular
 expression over the file paths of that listing, which Spark applies to the files
 before it opens any, and which recovers the template's values (period, bank code,
-...).  Files are read line by line with Spark's text source, so a file larger than a
+...).  Millions of small files come packed (``Bundle``).  Files are read line by line with Spark's text source, so a file larger than a
 split is read by several tasks.  The header of a file is its line at the least
 (block start, row); header lines are removed by value.  Each line is parsed by the
 layout that is valid at its file's date, all layouts in one scan; a line that no
@@ -14,7 +14,7 @@ DataFrame operations (no per-file driver loop).
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -118,6 +118,51 @@ class Landing:
     def path(self, template: str) -> str:
         return f"{self.root}/{template}"
 
+    def lines(self, encoding: str, fits: Callable[[Column], Column], values: Callable[[Column], Column] | None = None) -> DataFrame:
+        """(``_file``, ``_block``, ``_row``, ``value``) of every line of the files whose path
+        ``fits``, and what ``values`` makes of the path as ``_values``."""
+        path = F.col("_metadata.file_path")
+        rows = self.relation("lines", encoding).where(fits(path)).select(
+            path.alias(FILE), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), F.col(LINE))
+        return _once(rows, _values=values(F.col(FILE))) if values else rows
+
+    def files(self) -> DataFrame:
+        """path, length and modificationTime of every file; none is opened."""
+        return self.relation("files").select("path", "length", "modificationTime")
+
+
+class Bundle(Landing):
+    """A folder of raw extracts packed into Parquet, for millions of small files: neither a
+    disk block nor an entry of the driver's listing each.
+
+    A record is a piece of a file, cut between lines: path (in the folder), start (its first
+    byte in the file), length, modificationTime, content.  Lines have two more columns:
+    ``_line``, their number in the file from 0 (null beyond its first piece), and, where
+    every file is one piece, ``_header``, the file's first line."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root)
+        self.pieces = spark.read.parquet(self.root)
+        self.whole = self.pieces.where("start > 0").isEmpty()
+
+    def path(self, template: str) -> str:
+        return template
+
+    def lines(self, encoding: str, fits: Callable[[Column], Column], values: Callable[[Column], Column] | None = None) -> DataFrame:
+        content = F.col("content")
+        text = content.cast("string") if encoding.upper().replace("-", "") == "UTF8" else F.decode(content, encoding)
+        cut = F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+        made = [values(F.col("path")).alias("_values")] if values else []
+        pieces = self.pieces.where(fits(F.col("path"))).select(F.col("path").alias(FILE), F.col("start").alias("_block"), *made, cut.alias("_lines"))
+        header = [F.get("_lines", F.lit(0)).alias("_header")] if self.whole else []
+        rows = pieces.select(FILE, "_block", *(["_values"] if values else []), *header, F.posexplode("_lines").alias("_row", LINE))
+        return rows.withColumn("_row", F.col("_row").cast("long")).withColumn("_line", F.when(F.col("_block") == 0, F.col("_row")))
+
+    def files(self) -> DataFrame:
+        if self.whole:
+            return self.pieces.select("path", "length", "modificationTime")
+        return self.pieces.groupBy("path").agg(F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"))
+
 
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with more columns, each computed once a row however often it is used: the
@@ -145,17 +190,15 @@ def lines_of(landing: Landing, template: str, params: Mapping[str, str] | None =
     Output: ``_file``, the template's values, ``_block`` (first byte of the split the
     line was read from), ``_row``, ``value``; ``_block``/``_row`` order a file's lines."""
     pattern, names = template_regex(landing.path(template), params)
-    path = F.col("_metadata.file_path")
-    rows = landing.relation("lines", encoding).where(path.rlike(pattern))
-    if periods is not None:
+
+    def fits(path: Column) -> Column:
+        if periods is None:
+            return path.rlike(pattern)
         found = {n: t for n, t in zip(names, _tokens(path, pattern, names))}
-        rows = rows.where(F.concat(found["YYYY"], found["MM"]).isin([p[:7].replace("-", "") for p in periods]))
-    rows = rows.select(path.alias(FILE), F.col("_metadata.file_block_start").alias("_block"),
-                       F.monotonically_increasing_id().alias("_row"), F.col(LINE))
-    if not names:
-        return rows
-    rows = _once(rows, _values=_values(F.col(FILE), pattern, names))
-    return rows.select(FILE, *[F.col("_values").getItem(i).alias(n) for i, n in enumerate(names)], "_block", "_row", LINE)
+        return path.rlike(pattern) & F.concat(found["YYYY"], found["MM"]).isin([p[:7].replace("-", "") for p in periods])
+    rows = landing.lines(encoding, fits, (lambda path: _values(path, pattern, names)) if names else None)
+    more = [c for c in ("_header", "_line") if c in rows.columns]
+    return rows.select(FILE, *[F.col("_values").getItem(i).alias(n) for i, n in enumerate(names)], "_block", "_row", LINE, *more)
 
 
 def read_lines(spark: SparkSession, template: str, params: Mapping[str, str] | None = None,
@@ -251,8 +294,7 @@ def inventory(landing: Landing, raws: Mapping[str, RawSpec]) -> DataFrame:
         kind = F.when(fits, k) if kind is None else kind.when(fits, k)
         for n, token in zip(found, _tokens(path, pattern, found)):
             values[n] = F.when(fits, token).otherwise(values[n])
-    files = landing.relation("files").select("path", "length", "modificationTime")
-    return (files.select(kind.alias("raw_name"), path.alias(FILE), *[v.alias(n) for n, v in values.items()], "length",
+    return (landing.files().select(kind.alias("raw_name"), path.alias(FILE), *[v.alias(n) for n, v in values.items()], "length",
                          F.col("modificationTime").alias("modified")).where(F.col("raw_name").isNotNull()))
 
 
