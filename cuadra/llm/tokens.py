@@ -18,6 +18,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import json as _json
 import os
 import struct
 import sys
@@ -30,6 +31,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -45,8 +47,8 @@ MAGIC = b"WAVEMTX1"
 SHARD, SEGMENT = 1 << 22, 1 << 18
 #: Bytes of a plane between two entries of its rank directory.
 STRIDE = 64
-#: Pieces whose ids a worker keeps.
-CACHE = 300_000
+#: Pieces whose ids a worker keeps, and new ones that the library gets at once.
+CACHE, TOGETHER = 300_000, 1 << 14
 
 
 class WaveletMatrix:
@@ -197,11 +199,19 @@ def _kept(name: str, make: Callable[[], object]) -> object:
     return getattr(held, name)
 
 
+#: The byte alphabet of byte-level models: a printable character for each byte.
+ALPHABET = np.arange(256, dtype=np.uint32)
+_HIDDEN = np.r_[0:33, 127:161, 173]
+ALPHABET[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+
+
 class Encoder:
     """The library's encoding with its byte-level pre-tokenisation done in numpy.
 
     Pieces of equal text have equal ids, so each distinct piece is given to the
-    library once.  Texts that hold one of the tokenizer's added tokens or a
+    library once, many of them in one call: written in the model's byte alphabet, which
+    has no line end, and split at line ends.  The lengths of the tokens tell the pieces apart.
+    Texts that hold one of the tokenizer's added tokens or a
     code point that this Python does not know go to the library whole.
     """
 
@@ -211,7 +221,24 @@ class Encoder:
         self.library = Tokenizer.from_str(json)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.kinds = np.full(0x110000, 255, np.uint8)
-        self.flat, self.at, self.known, self.end = np.array([end], np.uint32), np.array([0, 1], np.int64), {}, end
+        self.flat, self.at, self.known, self.end = np.array([end], np.uint32), np.array([0, 1], np.int64), pa.array([], pa.binary()), end
+        self.model, self.sizes = self._model(json)
+
+    @staticmethod
+    def _model(json: str) -> tuple[object, np.ndarray | None]:
+        """(tokenizer of pieces that are written in the byte alphabet and split at line ends, bytes
+        of each token), or None if the tokenizer does more than the byte-level steps."""
+        from tokenizers import Tokenizer
+        parts = _json.loads(json)
+        model, level = parts["model"], parts.get("pre_tokenizer") or {}
+        if (model.get("type") != "BPE" or parts.get("normalizer") or level.get("type") != "ByteLevel" or level.get("add_prefix_space")
+                or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))):
+            return None, None
+        sizes = np.zeros(max(model["vocab"].values(), default=0) + 1, np.int64)
+        for token, i in model["vocab"].items():
+            sizes[i] = len(token)
+        own = {**parts, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": "\n"}}
+        return Tokenizer.from_str(_json.dumps(own)), sizes
 
     def _kinds(self, points: np.ndarray) -> np.ndarray:
         """1 letter, 2 number, 3 space, 0 other, 4 unassigned."""
@@ -227,19 +254,31 @@ class Encoder:
     def _ids_of(self, pieces: pa.Array) -> np.ndarray:
         """Place in ``at`` of each distinct piece."""
         if len(self.known) > CACHE:
-            self.flat, self.at, self.known = self.flat[:1], self.at[:2], {}
-        values = pieces.to_pylist()
-        get = self.known.get
-        where = [get(v, -1) for v in values]
-        new = [i for i, w in enumerate(where) if w < 0]
-        if new:
-            got = [e.ids for e in self.library.encode_batch_fast([values[i].decode() for i in new], add_special_tokens=False)]
-            base = len(self.at) - 1
-            self.flat = np.concatenate([self.flat, np.fromiter((x for ids in got for x in ids), np.uint32)])
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(ids) for ids in got])])
-            for j, i in enumerate(new):
-                self.known[values[i]] = where[i] = base + j
-        return np.array(where, np.int64)
+            self.flat, self.at, self.known = self.flat[:1], self.at[:2], self.known[:0]
+        where = pc.fill_null(pc.index_in(pieces, value_set=self.known), -1).to_numpy().astype(np.int64) + 1
+        new = np.flatnonzero(where == 0)
+        if len(new):
+            fresh = pieces.take(pa.array(new))
+            got = [self._encoded(fresh.slice(i, TOGETHER)) for i in range(0, len(fresh), TOGETHER)]
+            where[new] = len(self.known) + 1 + np.arange(len(new))
+            self.flat = np.concatenate([self.flat, *[ids for ids, _ in got]])
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate([n for _, n in got]))])
+            self.known = pa.concat_arrays([self.known, fresh])
+        return where
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces, how many each has) from the library."""
+        if self.model is not None:
+            raw, offsets = utf8(pieces)
+            line = np.insert(ALPHABET[raw], offsets[1:-1], 10).astype("<u4").tobytes().decode("utf-32-le")
+            ids = np.array(self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum(self.sizes[ids])
+            last = np.searchsorted(ends, offsets[1:])
+            if len(ends) and ends[-1] == offsets[-1] and (ends[last] == offsets[1:]).all():
+                return ids, np.diff(last, prepend=-1)
+        # a tokenizer of another kind, or bytes that its model leaves out: piece by piece
+        got = [e.ids for e in self.library.encode_batch_fast([v.decode() for v in pieces.to_pylist()], add_special_tokens=False)]
+        return np.fromiter((x for ids in got for x in ids), np.uint32), np.array([len(ids) for ids in got], np.int64)
 
     def _fast(self, raw: np.ndarray, offsets: np.ndarray, points: np.ndarray, kinds: np.ndarray, char_at: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(points)

@@ -454,6 +454,33 @@ def test_encoding_equals_the_library():
         assert ids[at[i]:at[i + 1]].tolist() == [*e.ids, 2], cases[i]
 
 
+def test_new_pieces_reach_the_library_together(monkeypatch):
+    own, rng, calls = tokens.Encoder(library().to_str(), 2), random.Random(17), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    own.library, own.model = Counted(own.library), Counted(getattr(own, "model", None))
+    text = prose(rng, 3000, ["".join(rng.choice("abcdefgh\u00e9") for _ in range(6)) for _ in range(2000)])
+    ids, _ = own.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert ids.tolist() == [*library().encode(text, add_special_tokens=False).ids, 2] and calls == [1]
+
+
+def test_other_tokenizers_get_piece_by_piece():
+    import json
+    other = json.loads(library().to_str())
+    other["model"]["dropout"] = 0.0
+    other["normalizer"] = {"type": "NFC"}
+    own = tokens.Encoder(json.dumps(other), 2)
+    ids, _ = own.encode(np.frombuffer(b"the house's door", np.uint8), np.array([0, 16]))
+    assert own.model is None and ids.tolist() == [*library().encode("the house's door", add_special_tokens=False).ids, 2]
+
+
 def test_wavelet_matrix_access_count_and_occurrences():
     rng = np.random.default_rng(14)
     ids = np.minimum(rng.zipf(1.3, 5000), 50256).astype(np.uint16)
