@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import staged, table
 
-#: Vectors of a tree, queries of a block, vectors of a leaf.
-SHARD, BLOCK, LEAF = 4096, 512, 64
+#: Vectors of a tree, queries of a block, vectors of a leaf, and pairs that are scored at once.
+SHARD, BLOCK, LEAF, PAIRS = 4096, 512, 512, 1 << 14
 NEAREST, EVERY = 20, 20
 #: Share of the bound that pruning respects.
 FACTOR = 0.7
@@ -76,22 +76,30 @@ class Tree:
         self.score = np.full((len(queries), k), -np.inf)
         self.query, self.own, self.factor = queries, ids, factor
         self.size = (queries * queries).sum(1) + self.top * self.top
+        self.slack = 1e-9 * self.top * np.sqrt((queries * queries).sum(1))
         self._visit(0, np.arange(len(queries)))
         return self.best, self.score
 
     def _take(self, q: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        """Puts rows [lo, hi) into the lists of queries q; their inner products."""
-        # one order of summation for every pair, so equal vectors tie exactly
-        product = np.einsum("qd,md->qm", self.query[q], self.vectors[lo:hi])
-        ids = np.broadcast_to(self.ids[lo:hi], product.shape)
-        open_ = np.where(ids == self.own[q][:, None], -np.inf, product)
-        better = np.flatnonzero((open_ >= self.score[q, -1][:, None]).any(1))
-        if len(better):
-            own = q[better]
-            s = np.concatenate([self.score[own], open_[better]], 1)
-            i = np.concatenate([self.best[own], np.where(np.isneginf(open_[better]), -1, ids[better])], 1)
-            order = np.lexsort((i, -s))[:, :self.best.shape[1]]
-            self.score[own], self.best[own] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+        """Puts rows [lo, hi) into the lists of queries q; their inner products but for rounding.
+
+        A matrix product leaves out the pairs that are no better by more than its rounding; the
+        others get their score, in one order of summation, so equal vectors tie exactly."""
+        k, product = self.best.shape[1], self.query[q] @ self.vectors[lo:hi].T
+        least = self.score[q, -1].copy()
+        open_ = np.flatnonzero(np.isneginf(least))
+        if len(open_) and hi - lo > k + 1:  # one of the k + 1 best may be the query itself
+            least[open_] = np.partition(product[open_], hi - lo - k - 1, axis=1)[:, hi - lo - k - 1]
+        i, j = np.nonzero((product >= (least - self.slack[q])[:, None]) & (self.ids[lo:hi] != self.own[q][:, None]))
+        if len(i):
+            score = np.concatenate([np.einsum("nd,nd->n", self.query[q[i[a:a + PAIRS]]], self.vectors[lo + j[a:a + PAIRS]]) for a in range(0, len(i), PAIRS)])
+            rows, at, n = np.unique(i, return_index=True, return_counts=True)
+            own, place = q[rows], (np.repeat(np.arange(len(rows)), n), k + np.arange(len(i)) - np.repeat(at, n))
+            s, d = np.full((len(rows), k + n.max()), -np.inf), np.full((len(rows), k + n.max()), -1, np.int64)
+            s[:, :k], d[:, :k] = self.score[own], self.best[own]
+            s[place], d[place] = score, self.ids[lo + j]
+            order = np.lexsort((d, -s))[:, :k]
+            self.score[own], self.best[own] = np.take_along_axis(s, order, 1), np.take_along_axis(d, order, 1)
         return product
 
     def _visit(self, node: int, q: np.ndarray) -> None:

@@ -301,6 +301,19 @@ def test_vector_search_is_exact_at_factor_one(spark):
     assert vptree.search(usable.limit(0), usable.limit(0)).count() == 0
 
 
+def test_vector_search_scores_few_pairs(monkeypatch):
+    """A matrix product rules out most pairs before any is scored on its own."""
+    rng, scored, einsum = np.random.default_rng(10), [], np.einsum
+    vectors = rng.normal(size=(4096, 16))
+    tree = vptree.Tree(np.arange(4096), vectors.copy(), float(np.sqrt((vectors * vectors).sum(1)).max()))
+    monkeypatch.setattr(np, "einsum", lambda *a: scored.append(einsum(*a)) or scored[-1])
+    best, score = tree.search(np.arange(200), vectors[:200], 20, 1.0)
+    want = vectors[:200] @ vectors.T
+    want[np.arange(200), np.arange(200)] = -np.inf
+    assert best.tolist() == np.argsort(-want, 1)[:, :20].tolist() and np.allclose(score, -np.sort(-want, 1)[:, :20])
+    assert sum(x.size for x in scored) < 0.2 * want.size
+
+
 # ------------------------------------------------------------------ op 7
 
 def shingles(text):
