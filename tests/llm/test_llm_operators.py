@@ -360,6 +360,21 @@ def test_near_duplicate_classes_match_brute_force(spark, monkeypatch, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want)) and kept.columns == [x.split()[0] for x in DOCS.split(", ")]
 
 
+def test_members_of_a_large_component_do_not_meet_each_other(spark):
+    rows = [(1, i, 0, 1, 0 if i < 90 else i, 100, (90, 0)) for i in range(100)] + [(2, i, 0, 1, i, 3, (1, i)) for i in range(3)]
+    rest = spark.createDataFrame(rows, "posting long, id long, j int, prefix long, component long, length long, largest struct<n: long, component: long>")
+    got = minhash.dealt(rest, 10).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault((r.posting, r.low, r.high), []).append(r)
+    met = Counter((a.posting, *sorted((a.id, b.id))) for g in groups.values() for i, a in enumerate(g) for b in g[:i]
+                  if a.component != b.component and (a.low == a.high or a.block != b.block))
+    want = {(1, a, b) for a in range(100) for b in range(max(a + 1, 90), 100)} | {(2, 0, 1), (2, 0, 2), (2, 1, 2)}
+    assert set(met) == want and set(met.values()) == {1}
+    # each member once or, of the few others, once for each block; all pairs of blocks took ten rows each
+    assert len([r for r in got if r.posting == 1]) <= 90 + 10 * 10
+
+
 def test_near_duplicates_of_odd_tables(spark):
     assert minhash.classes(docs(spark, [])).count() == 0
     text = prose(random.Random(11), 50)
