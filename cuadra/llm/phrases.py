@@ -55,7 +55,7 @@ from .common import BYTE_HASH, LOWER, mix, slices, span_hashes, staged, table, u
 LONGEST, SUPPORT, SHARE, TOP = 5, 100, 100, 2000
 #: Shards; words that a task counts at once (40 to 70 bytes each), bytes of text that it holds
 #: at most, text bytes cut into words at once, and places handled at once.
-SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 1_500_000, 1 << 26, 1 << 20, 1 << 18
+SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 1_000_000, 1 << 26, 1 << 20, 1 << 18
 #: Bits of the broadcast filters: at least, a phrase, at most (128 MB).
 LEAST_BITS, BITS_EACH, MOST_BITS = 1 << 20, 16, 1 << 30
 
@@ -180,16 +180,21 @@ class Filter:
 CHUNK = 1 << 17
 
 
-def bloom(hashes: DataFrame, n: int) -> np.ndarray:
-    """Bytes of the filter of a column ``h`` of n hashes: tasks set the bits of its chunks,
-    and at most MOST_BITS reach the driver."""
+def _hash_column(b: pa.RecordBatch) -> np.ndarray:
+    return b.column("h").to_numpy().view(np.uint64)
+
+
+def bloom(rows: DataFrame, n: int, hashed: Callable[[pa.RecordBatch], np.ndarray] = _hash_column) -> np.ndarray:
+    """Bytes of the filter of n rows' hashes: tasks set the bits of its chunks, and at most
+    MOST_BITS reach the driver.  Rows are hashed where their bits are placed: a task of two
+    Python steps would hold two workers."""
     bits = LEAST_BITS
     while bits < min(n * BITS_EACH, MOST_BITS):
         bits *= 2
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.unique(Filter.places(b.column("h").to_numpy().view(np.uint64), bits)).astype(np.int64)
+            at = np.unique(Filter.places(hashed(b), bits)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at // CHUNK), pa.array((at % CHUNK).astype(np.int32))], ["chunk", "bit"])
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,9 +206,9 @@ def bloom(hashes: DataFrame, n: int) -> np.ndarray:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([np.packbits(v, bitorder="little").tobytes() for v in held.values()], pa.binary())], ["chunk", "content"])
 
-    rows = (hashes.select("h").mapInArrow(places, "chunk long, bit int").repartition("chunk").mapInArrow(chunks, "chunk long, content binary"))
+    made = rows.mapInArrow(places, "chunk long, bit int").repartition("chunk").mapInArrow(chunks, "chunk long, content binary")
     out = np.zeros(bits // 8, np.uint8)
-    for r in rows.collect():
+    for r in made.collect():
         out[r.chunk * CHUNK // 8:(r.chunk + 1) * CHUNK // 8] |= np.frombuffer(r.content, np.uint8)
     return out
 
@@ -290,17 +295,13 @@ def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shar
     n = {r.lang: r.n for r in totals.collect()}
     least = {(r.lang, int(r.phrase)): -(-support * r.n // n[r.lang]) for r in words.where("length = 0 AND n > 0").collect()}
 
-    def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(key_of(b.column("lang").to_pylist(), b.column("phrase").to_pylist()).view(np.int64))], ["h"])
+    def hash_words(b: pa.RecordBatch) -> np.ndarray:
+        return key_of(b.column("lang").to_pylist(), b.column("phrase").to_pylist()) if b.num_rows else np.zeros(0, np.uint64)
 
-    def hash_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = salted(b.column("h").to_numpy().view(np.uint64), b.column("place").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], ["h"])
+    def hash_places(b: pa.RecordBatch) -> np.ndarray:
+        return salted(_hash_column(b), b.column("place").to_numpy())
 
-    known = spark.sparkContext.broadcast(bloom(often.select("lang", "phrase").mapInArrow(hash_words, "h long"), often.count()))
+    known = spark.sparkContext.broadcast(bloom(often.select("lang", "phrase"), often.count(), hash_words))
 
     def mined(name: str, shortest: int, last: int, passes: Callable[[np.ndarray, int], np.ndarray | None]) -> DataFrame:
         """(x, h, n, place) of the frequent phrases of ``shortest`` to ``last`` words: in some
@@ -333,15 +334,15 @@ def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shar
         return staged(found.where("candidate").where(F.col("n") >= support).select(F.col("_x").alias("x"), "h", "n", "place"), name)
 
     found = pairs = mined("pairs", 2, 2, lambda h, k: None)
-    near = spark.sparkContext.broadcast(bloom(pairs, pairs.count()))
+    near = spark.sparkContext.broadcast(bloom(pairs.select("h"), pairs.count()))
     if longest > 2:  # phrases of three words from frequent pairs, longer ones from those
         triples = mined("triples", 3, 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else None)
         found = pairs.unionByName(triples)
     if longest > 3:
-        close = spark.sparkContext.broadcast(bloom(triples, triples.count()))
+        close = spark.sparkContext.broadcast(bloom(triples.select("h"), triples.count()))
         tests = {2: near, 3: close}
         found = found.unionByName(mined("longer", 4, longest, lambda h, k: Filter(tests[k].value).holds(h) if k in tests else None))
-    where = spark.sparkContext.broadcast(bloom(found.mapInArrow(hash_places, "h long"), found.count()))
+    where = spark.sparkContext.broadcast(bloom(found.select("h", "place"), found.count(), hash_places))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_known, pairs_known, places_known = Filter(known.value), Filter(near.value), Filter(where.value)

@@ -104,3 +104,11 @@ def test_filter_holds_what_was_put_in(spark):
 def test_empty_table(spark):
     assert P.collocations(table(spark, [])).collect() == []
     assert P.collocations(table(spark, [(None, None), ("", "en")])).collect() == []
+
+
+def test_filters_take_one_python_step_a_task(spark, rows, tmp_path, monkeypatch):
+    """Two steps in one task are two workers, each with memory of its own."""
+    steps, bloom = [], P.bloom
+    monkeypatch.setattr(P, "bloom", lambda hashes, *a: steps.append(hashes._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")) or bloom(hashes, *a))
+    P.collocations(filed(spark, rows, tmp_path), support=20, shards=3, block_words=500).collect()
+    assert steps and not any(steps)
