@@ -11,7 +11,10 @@ counts wherever it stands within a piece, overlaps included, language by languag
    support in every shard is below the support in all.  A shard may be larger than any
    task: tasks count their part block by block, and the counts are added up by phrase and
    shard: those of two words, those of three whose pairs are frequent, and the longer ones
-   whose threes are.
+   whose threes are.  The more words, the more pairs reach a fixed support and the more threes
+   consist of them, few of which are frequent: so threes are first counted by hash bucket
+   (PCY) and only those of buckets that reach the support are counted one by one.  From three
+   words on a task adds up its blocks before it hands on rows.
    SHARDS is fixed, so the local support does not fall as the corpus grows.
 3. The union of the locally frequent phrases are the candidates.  Their counts in all shards
    lie beside each other then, as a shard's counts are dealt by phrase, and give the exact
@@ -56,6 +59,8 @@ LONGEST, SUPPORT, SHARE, TOP = 5, 100, 100, 2000
 #: Shards; words that a task counts at once (40 to 70 bytes each), bytes of text that it holds
 #: at most, text bytes cut into words at once, and places handled at once.
 SHARDS, BLOCK_WORDS, MOST_BYTES, SLICE, PLACES = 8, 1_000_000, 1 << 26, 1 << 20, 1 << 18
+#: Rows of phrases that a task holds to add up its blocks (36 bytes each, four times that while they are added up).
+HELD = 1 << 20
 #: Bits of the broadcast filters: at least, a phrase, at most (128 MB).
 LEAST_BITS, BITS_EACH, MOST_BITS = 1 << 20, 16, 1 << 30
 
@@ -213,6 +218,50 @@ def bloom(rows: DataFrame, n: int, hashed: Callable[[pa.RecordBatch], np.ndarray
     return out
 
 
+#: Buckets that one row of bucket counts is of; a bucket holds a twelfth of the support on average, or less.
+BUCKETS, FULL = 1 << 16, 12
+
+
+def in_bucket(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(8 * len(bits) - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def heavy_buckets(rows: DataFrame, counted: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]], n: int, support: int) -> np.ndarray:
+    """One bit a bucket of hashes: whether the counts in it reach ``support`` together, as they
+    do wherever one hash's do.  ``counted`` gives a task's (hashes, counts); n: their sum, at
+    most.  A row holds the buckets of one chunk that occur, and at most MOST_BITS bits reach
+    the driver."""
+    most = BUCKETS
+    while most < min(n * FULL // support, MOST_BITS):
+        most *= 2
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, count in counted(batches):
+            code, bucket = pd.factorize((hashes & np.uint64(most - 1)).view(np.int64), sort=True)
+            total = np.bincount(code, weights=count, minlength=len(bucket)).astype(np.int64)
+            chunk = bucket // BUCKETS
+            cuts = np.r_[0, np.flatnonzero(np.diff(chunk)) + 1, len(chunk)] if len(chunk) else np.zeros(1, np.int64)
+            parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chunk[cuts[:-1]] if parts else [], pa.int64()), pa.array([(bucket[i:j] % BUCKETS).astype(np.uint16).tobytes() for i, j in parts], pa.binary()),
+                 pa.array([total[i:j].astype(np.uint32).tobytes() for i, j in parts], pa.binary())], ["chunk", "bucket", "n"])
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for chunk, at, own in zip(*(b.column(c).to_pylist() for c in ("chunk", "bucket", "n")), strict=True):
+                held.setdefault(chunk, np.zeros(BUCKETS, np.int64))[np.frombuffer(at, np.uint16)] += np.frombuffer(own, np.uint32)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([np.packbits(v >= support, bitorder="little").tobytes() for v in held.values()], pa.binary())], ["chunk", "content"])
+
+    made = rows.mapInArrow(sums, "chunk long, bucket binary, n binary").repartition("chunk").mapInArrow(reached, "chunk long, content binary")
+    out = np.zeros(most // 8, np.uint8)
+    for r in made.collect():
+        out[r.chunk * BUCKETS // 8:(r.chunk + 1) * BUCKETS // 8] = np.frombuffer(r.content, np.uint8)
+    return out
+
+
 def levels(block: Block, words: Filter, longest: int, passes: Callable[[np.ndarray, int], np.ndarray | None]) -> Iterator[tuple]:
     """(length, first place of each distinct phrase, its hash, its count) from two words up.
 
@@ -242,6 +291,32 @@ def levels(block: Block, words: Filter, longest: int, passes: Callable[[np.ndarr
         number[at] = code
 
 
+def added_up(rows: Iterator[list[np.ndarray]], held: int) -> Iterator[list[np.ndarray]]:
+    """Rows (shard, h, n, least, x, place) with one of each shard and phrase: n added, the
+    smallest place; about ``held`` rows are added up at a time."""
+    parts: list[list[np.ndarray]] = []
+    size = 0
+
+    def merged() -> list[np.ndarray]:
+        shard, h, n, least, x, place = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((place, x, h, shard))
+        shard, h, x = shard[order], h[order], x[order]
+        first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (x[1:] != x[:-1]) | (shard[1:] != shard[:-1])])
+        return [shard[first], h[first], np.add.reduceat(n[order], first), np.maximum.reduceat(least[order], first), x[first], place[order[first]]]
+
+    for columns in rows:
+        parts.append(columns)
+        size += len(columns[0])
+        if size >= held:
+            parts = [merged()]
+            size = len(parts[0][0])
+            if 2 * size >= held:  # few recur
+                yield parts[0]
+                parts, size = [], 0
+    if size:
+        yield merged()
+
+
 def salted(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Hash of a phrase in one document or shard."""
     return mix(hashes + places.view(np.uint64) * LEVEL)
@@ -311,21 +386,27 @@ def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shar
         pairs = shortest == 2
         names = ["shard", "h", "n", "least", *([] if pairs else ["x", "place"])]
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
             for block in blocks(batches, block_words):
                 asked = np.array([least.get((v, block.shard), 1) for v in block.langs], np.int32)
                 for length, first, hashes, count in levels(block, Filter(known.value), last, passes):
                     for i in range(0, len(first) if length >= shortest else 0, 1 << 16):
                         part = slice(i, i + (1 << 16))
                         at = first[part]
-                        columns = [np.full(len(at), block.shard, np.int32), hashes[part].view(np.int64), count[part].astype(np.int32), asked[block.lang[at]]]
+                        columns = [np.full(len(at), block.shard, np.int32), hashes[part].view(np.int64), count[part].astype(np.int64), asked[block.lang[at]]]
                         if not pairs:
                             columns += [block.more(at, length), block.docs[block.doc[at]]]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                        yield columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = counted(batches)
+            for columns in rows if pairs else added_up(rows, HELD):
+                for i in range(0, len(columns[0]), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 16)]) for c in columns], names)
 
-        rows = texts.mapInArrow(run, "shard int, h long, n int, least int" + ("" if pairs else ", x int, place long"))
+        rows = texts.mapInArrow(run, "shard int, h long, n long, least int" + ("" if pairs else ", x int, place long"))
         rows = rows.withColumn("x", F.lit(0)).withColumn("place", F.col("shard").cast("long")) if pairs else rows
-        # blocks hold a phrase once, so rows are dealt as they are, all shards of a phrase together
+        # a task's rows hold a phrase of a shard once or little more, so they are dealt as they are, all shards of a phrase together
         key = ["h"] if pairs else ["x", "h"]
         by_shard = rows.repartition(*key).groupBy(*key, "shard").agg(
             F.sum("n").alias("n"), F.max("least").alias("least"), F.min("x").alias("_x"), F.min("place").alias("place"))
@@ -336,7 +417,14 @@ def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shar
     found = pairs = mined("pairs", 2, 2, lambda h, k: None)
     near = spark.sparkContext.broadcast(bloom(pairs.select("h"), pairs.count()))
     if longest > 2:  # phrases of three words from frequent pairs, longer ones from those
-        triples = mined("triples", 3, 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else None)
+        def triple_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for block in blocks(batches, block_words):
+                for length, _, hashes, count in levels(block, Filter(known.value), 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else None):
+                    if length == 3:
+                        yield hashes, count
+
+        heavy = spark.sparkContext.broadcast(heavy_buckets(texts, triple_counts, sum(n.values()), support))
+        triples = mined("triples", 3, 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else in_bucket(heavy.value, h))
         found = pairs.unionByName(triples)
     if longest > 3:
         close = spark.sparkContext.broadcast(bloom(triples.select("h"), triples.count()))

@@ -112,3 +112,38 @@ def test_filters_take_one_python_step_a_task(spark, rows, tmp_path, monkeypatch)
     monkeypatch.setattr(P, "bloom", lambda hashes, *a: steps.append(hashes._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")) or bloom(hashes, *a))
     P.collocations(filed(spark, rows, tmp_path), support=20, shards=3, block_words=500).collect()
     assert steps and not any(steps)
+
+
+@pytest.mark.parametrize("held", [1, 64, 10**6])
+def test_blocks_of_a_task_are_added_up(held):
+    rng = np.random.default_rng(2)
+    parts = [[np.full(50, i % 2, np.int32), rng.integers(0, 9, 50), rng.integers(1, 5, 50), np.full(50, 3 + i % 2, np.int32),
+              rng.integers(0, 2, 50).astype(np.int32), rng.integers(-99, 99, 50)] for i in range(40)]
+    expected = {}
+    for p in parts:
+        for shard, h, n, least, x, place in zip(*map(np.ndarray.tolist, p)):
+            old = expected.get((shard, h, x), (0, 0, place))
+            expected[shard, h, x] = (old[0] + n, least, min(old[2], place))
+    got, rows = {}, 0
+    for p in P.added_up(iter(parts), held):
+        rows += len(p[0])
+        for shard, h, n, least, x, place in zip(*map(np.ndarray.tolist, p)):
+            old = got.get((shard, h, x), (0, 0, place))
+            got[shard, h, x] = (old[0] + n, least, min(old[2], place))
+    assert got == expected
+    assert rows == len(expected) or held < 100
+    assert list(P.added_up(iter([]), held)) == []
+
+
+def test_heavy_buckets_hold_what_reaches_the_support(spark):
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**63, 30_000, dtype=np.uint64)
+    rows = spark.createDataFrame([(int(h), 60 if i < 300 else 1) for i, h in enumerate([*hashes, *hashes[:200]])], "h long, n long").repartition(3)
+
+    def counted(batches):
+        for b in batches:
+            yield b.column("h").to_numpy().view(np.uint64), b.column("n").to_numpy()
+
+    bits = P.heavy_buckets(rows, counted, 60 * 300 + 29_900, 61)
+    assert P.in_bucket(bits, hashes[:200]).all() and P.in_bucket(bits, hashes).mean() < 0.05
+    assert not P.in_bucket(P.heavy_buckets(rows.where("n < 0"), counted, 0, 61), hashes).any()
