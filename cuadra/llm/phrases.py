@@ -12,9 +12,9 @@ counts wherever it stands within a piece, overlaps included, language by languag
    task: tasks count their part block by block, and the counts are added up by phrase and
    shard: those of two words, those of three whose pairs are frequent, and the longer ones
    whose threes are.  The more words, the more pairs reach a fixed support and the more threes
-   consist of them, few of which are frequent: so threes are first counted by hash bucket
-   (PCY) and only those of buckets that reach the support are counted one by one.  From three
-   words on a task adds up its blocks before it hands on rows.
+   consist of them, few of which are frequent: so threes, and then the longer ones, are first
+   counted by hash bucket (PCY), and only those of buckets that reach the support are counted
+   one by one.  From three words on a task adds up its blocks before it hands on rows.
    SHARDS is fixed, so the local support does not fall as the corpus grows.
 3. The union of the locally frequent phrases are the candidates.  Their counts in all shards
    lie beside each other then, as a shard's counts are dealt by phrase, and give the exact
@@ -50,6 +50,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -414,22 +415,29 @@ def frequent(df: DataFrame, longest: int = LONGEST, support: int = SUPPORT, shar
                                            F.min("_x").alias("_x"), F.min("place").alias("place"))
         return staged(found.where("candidate").where(F.col("n") >= support).select(F.col("_x").alias("x"), "h", "n", "place"), name)
 
-    found = pairs = mined("pairs", 2, 2, lambda h, k: None)
-    near = spark.sparkContext.broadcast(bloom(pairs.select("h"), pairs.count()))
-    if longest > 2:  # phrases of three words from frequent pairs, longer ones from those
-        def triple_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def heavy(shortest: int, last: int, passes: Callable[[np.ndarray, int], np.ndarray | None]) -> Broadcast:
+        """``heavy_buckets`` of the phrases of ``shortest`` to ``last`` words."""
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for block in blocks(batches, block_words):
-                for length, _, hashes, count in levels(block, Filter(known.value), 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else None):
-                    if length == 3:
+                for length, _, hashes, count in levels(block, Filter(known.value), last, passes):
+                    if length >= shortest:
                         yield hashes, count
 
-        heavy = spark.sparkContext.broadcast(heavy_buckets(texts, triple_counts, sum(n.values()), support))
-        triples = mined("triples", 3, 3, lambda h, k: Filter(near.value).holds(h) if k == 2 else in_bucket(heavy.value, h))
+        return spark.sparkContext.broadcast(heavy_buckets(texts, counted, (last - shortest + 1) * sum(n.values()), support))
+
+    found = pairs = mined("pairs", 2, 2, lambda h, k: None)
+    near = spark.sparkContext.broadcast(bloom(pairs.select("h"), pairs.count()))
+    if longest > 2:  # phrases of three words from frequent pairs, longer ones from those
+        pruned = lambda h, k: Filter(near.value).holds(h) if k == 2 else None
+        threes = heavy(3, 3, pruned)
+        triples = mined("triples", 3, 3, lambda h, k: pruned(h, k) if k == 2 else in_bucket(threes.value, h))
         found = pairs.unionByName(triples)
     if longest > 3:
         close = spark.sparkContext.broadcast(bloom(triples.select("h"), triples.count()))
         tests = {2: near, 3: close}
-        found = found.unionByName(mined("longer", 4, longest, lambda h, k: Filter(tests[k].value).holds(h) if k in tests else None))
+        shorter = lambda h, k: Filter(tests[k].value).holds(h) if k in tests else None
+        more = heavy(4, longest, shorter)
+        found = found.unionByName(mined("longer", 4, longest, lambda h, k: shorter(h, k) if k in tests else in_bucket(more.value, h)))
     where = spark.sparkContext.broadcast(bloom(found.select("h", "place"), found.count(), hash_places))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
