@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cuadra.operators import quality as Q
+from cuadra.operators.joins import key_side
 from cuadra.session import shared_dir
 from cuadra.specs import ForeignKey, Severity, TableSpec
 
@@ -39,12 +40,12 @@ class MarkedBatch:
 
 
 def mark(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame], extra: Sequence[Q.RowCheck] = ()) -> MarkedBatch:
-    """Foreign keys are looked up by one left join each (the planner broadcasts a small
-    parent; AQE splits a hot key); a nullable key with a null part is not checked."""
+    """Foreign keys are looked up by one left join each (the planner may broadcast a
+    small parent; AQE splits a hot key); a nullable key with a null part is not checked."""
     checks, out, hits = [*Q.row_checks(spec), *extra], df, []
     for i, fk in enumerate(f for f in spec.foreign_keys if f.ref in refs):
         names = {r: f"_fk{i}_{n}" for n, (_, r) in enumerate(fk.columns)}
-        keys = refs[fk.ref].select(*[F.col(r).alias(names[r]) for r in fk.remote]).distinct().withColumn(f"_fk{i}", F.lit(True))
+        keys = key_side(refs[fk.ref]).select(*[F.col(r).alias(names[r]) for r in fk.remote]).distinct().withColumn(f"_fk{i}", F.lit(True))
         same = reduce(lambda a, b: a & b, [out[local] == keys[names[r]] for local, r in fk.columns])
         out = out.join(keys, same, "left").drop(*names.values())
         bad = F.col(f"_fk{i}").isNull()

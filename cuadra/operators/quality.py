@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuadra.operators.joins import dealt
 from cuadra.specs import ColumnSpec, ForeignKey, Rule, Severity, TableSpec
 
 SUMMARY_COLUMNS = ("rule_id", "rule_type", "column_name", "error_code", "external_code",
@@ -390,7 +391,7 @@ def repeated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs more than once; nulls are equal to each other."""
     dup = duplicate_keys(df, keys).select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys])
-    return df.join(dup, same, "left_semi")
+    return df.join(dealt(dup), same, "left_semi")
 
 
 def exclude_warnings(df: DataFrame, spec: TableSpec, refs: Mapping[str, DataFrame] | None = None

@@ -29,6 +29,7 @@ from cuadra.operators import analytics as A
 from cuadra.operators import mapping as M
 from cuadra.operators import observed as OB
 from cuadra.operators import quality as Q
+from cuadra.operators.joins import dealt, key_side
 from cuadra.plans import raws as RW
 from cuadra.plans import tables as TB
 from cuadra.plans.measures import DERIVED, MEASURES
@@ -275,7 +276,7 @@ def file_counts(lines: DataFrame, headers: DataFrame, kind: str = "eerr_origen")
     data = TX.drop_header(lines, headers, keys=[TX.FILE]).where(F.length(TX.LINE) > 0)
     counted = data.groupBy(TX.FILE).agg(F.count(F.lit(1)).alias("n_rows"))
     files = headers.select(TX.FILE, TX.file_period().alias(PERIOD), F.col("Cod_Banco").alias("ins_id"), kind)
-    return files.join(counted, TX.FILE, "left").select(TX.FILE, PERIOD, "ins_id", kind, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    return files.join(dealt(counted), TX.FILE, "left").select(TX.FILE, PERIOD, "ins_id", kind, F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def completeness(registered: DataFrame, counts: DataFrame, raws: dict[str, RawSpec]) -> DataFrame:
@@ -287,7 +288,7 @@ def completeness(registered: DataFrame, counts: DataFrame, raws: dict[str, RawSp
                                F.lit(r.max_rows).alias("hi")) for o, r in raws.items()])
     owed = registered.select(*by, "ins_id").distinct().select(*by, "ins_id", F.inline(kinds))
     found = counts.groupBy(*by, "ins_id", "eerr_origen").agg(F.sum("n_rows").alias("n_rows"))
-    return (owed.join(found, [*by, "ins_id", "eerr_origen"], "left")
+    return (owed.join(dealt(found), [*by, "ins_id", "eerr_origen"], "left")
             .withColumn("passed", F.coalesce(F.col("n_rows").between(F.col("lo"), F.col("hi")), F.lit(False)))
             .select(*by, "ins_id", "eerr_origen", "n_rows", "passed"))
 
@@ -338,7 +339,7 @@ def judge_statements(spark: SparkSession, raw_root: Root | dict[str, Root], wh:
     rejected = _union(rejects)
     counts, _ = OB.staged(file_counts(found, header), "files")
     month = lambda spec, name: SK.read_table(spark, spec, wh.path(name)).where(F.col(PERIOD).isin(list(periods)))
-    registered = month(wh.spec(TB.INSTITUTION_MONTH), "institution_month")
+    registered = key_side(month(wh.spec(TB.INSTITUTION_MONTH), "institution_month"))
     in_scope, missing = A.month_scope(A.unify_sources(branches), registered)
     res = OB.check_and_stage(M.auto_map(in_scope, wh.spec(TB.STATEMENT)), wh.spec(TB.STATEMENT),
                              {"institution_month": registered, "account_month": month(TB.ACCOUNT_MONTH, "account_month")})

@@ -1,7 +1,9 @@
 """Write modes of governed tables.
 
 Transaction tables (period-partitioned) are written with dynamic partition
-overwrite: only the partitions present in the batch are replaced.
+overwrite: only the partitions present in the batch are replaced.  A table that
+declares ``partition_groups`` keeps many partitions in one folder, as the driver holds
+every folder of a table; its replace still is by partition.
 
 Reference tables (keyed catalogues) are versioned: every load writes a new
 folder ``<path>/v=<n>`` and readers take the highest complete version
@@ -20,9 +22,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cuadra.operators.joins import dealt
+from cuadra.session import materialize
 from cuadra.specs import ColumnSpec, TableSpec
 
 VERSION = "v"
+#: Folder column of partitions that share folders.
+GROUP = "_group"
 
 
 # ------------------------------------------------------------ storage
@@ -69,11 +75,16 @@ def stored_schema(spec: TableSpec) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in cols)
 
 
+def _stored(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """A partitioned table with the columns of its folders."""
+    return spark.read.schema(stored_schema(spec)).parquet(path)
+
+
 def read_table(spark: SparkSession, spec: TableSpec, path: str, version: int | None = None) -> DataFrame:
     """A governed table, always with its declared schema (partition values
     such as '001' or '2018-01-01' must stay strings)."""
     if spec.partition_cols:
-        return spark.read.schema(stored_schema(spec)).parquet(path)
+        return _stored(spark, spec, path).drop(GROUP)
     if version is None:
         found = versions(path)
         if not found:
@@ -92,31 +103,50 @@ def _ordered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _with_tracking(df, spec).select(*cols)
 
 
+def _folder_columns(spec: TableSpec) -> tuple[str, ...]:
+    return (*spec.partition_cols[:-1], GROUP) if spec.partition_groups else spec.partition_cols
+
+
 def _files(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Output files.  A small table that declares ``num_partitions`` gets that many
-    files a table partition.  Otherwise rows are rebalanced (by the partition columns, if
+    files a folder.  Otherwise rows are rebalanced (by the folders' columns, if
     any): AQE makes one file of what is small and splits what holds a large share of the
     rows, from the sizes it measures at run time."""
-    n = spec.num_partitions
+    n, folders = spec.num_partitions, _folder_columns(spec)
     if n is None or spec.rebalance:
-        return df.hint("rebalance", *spec.partition_cols)
-    if not spec.partition_cols:
+        return df.hint("rebalance", *folders)
+    if not folders:
         return df.repartition(n)
     if n == 1:
-        return df.repartition(*spec.partition_cols)
-    # each of the n tasks writes one file a table partition
+        return df.repartition(*folders)
+    # each of the n tasks writes one file a folder
     return df.repartition(n, *(spec.pk or spec.names))
 
 
 def partition_replace(df: DataFrame, spec: TableSpec, path: str) -> DataFrame:
     """Write a batch of a transaction table, replacing only the partitions
     present in the batch; returns the table re-read."""
-    (_files(_ordered(df, spec), spec).write.mode("overwrite")
+    batch = _ordered(df, spec)
+    if spec.partition_groups:
+        batch = batch.withColumn(GROUP, F.pmod(F.xxhash64(spec.partition_cols[-1]), F.lit(spec.partition_groups)).cast("int"))
+        if exists(path):
+            batch = _with_neighbours(materialize(batch), spec, path)
+    (_files(batch, spec).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*spec.partition_cols).parquet(path))
+     .partitionBy(*_folder_columns(spec)).parquet(path))
     return read_table(df.sparkSession, spec, path)
 
 
+def _with_neighbours(batch: DataFrame, spec: TableSpec, path: str) -> DataFrame:
+    """The batch and the stored rows of other partitions in its folders, cut off from the
+    path that is overwritten."""
+    def of(columns: Sequence[str], how: str, rows: DataFrame) -> DataFrame:
+        keys = batch.select(*[F.col(c).alias(f"_k_{c}") for c in columns]).distinct()
+        return rows.join(dealt(keys), reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns]), how)
+    kept = of(spec.partition_cols, "left_anti", of(_folder_columns(spec), "left_semi", _stored(batch.sparkSession, spec, path)))
+    return materialize(batch.unionByName(kept.select(*batch.columns)))
+
+
 def save_version(df: DataFrame, spec: TableSpec, path: str) -> int:
     """Write a reference table as a new complete version; returns it."""
     found = versions(path)
@@ -251,7 +281,7 @@ def change_trace(before: DataFrame, after: DataFrame, spec: TableSpec, changed_a
     cols = [c for c in (columns or [c.name for c in spec.columns]) if c not in pk]
     b = before.select(*pk, *[F.col(c).cast("string").alias(f"_b_{c}") for c in cols])
     a = after.select(*pk, *[F.col(c).cast("string").alias(f"_a_{c}") for c in cols])
-    joined = a.join(b, pk, "left")
+    joined = a.join(dealt(b), pk, "left")
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_b_{c}").alias("old_value"),
                                F.col(f"_a_{c}").alias("new_value")) for c in cols])
     return (joined.select(*pk, F.inline(cells))
@@ -271,7 +301,7 @@ def history_events(before: DataFrame, after: DataFrame, spec: TableSpec, changed
                    changed_by: str) -> DataFrame:
     """What a load changed, as rows to append: the changed cells (``change_trace``) and
     one row with column name '' for each new key."""
-    inserted = after.select(*spec.pk).join(before.select(*spec.pk), spec.pk, "left_anti").select(
+    inserted = after.select(*spec.pk).join(dealt(before.select(*spec.pk)), spec.pk, "left_anti").select(
         *spec.pk, F.lit(INSERTED).alias("column_name"), F.lit(None).cast("string").alias("old_value"),
         F.lit(None).cast("string").alias("new_value"), F.lit(changed_at).cast("timestamp_ntz").alias("changed_at"),
         F.lit(changed_by).alias("changed_by"))

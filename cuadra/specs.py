@@ -123,6 +123,7 @@ class TableSpec:
     kind: TableKind
     columns: tuple[ColumnSpec, ...]
     partition_cols: tuple[str, ...] = ()
+    partition_groups: int | None = None          # folders that the last partition column's values share; None: one a value
     one_value_partitions: tuple[str, ...] = ()   # one distinct value per load
     foreign_keys: tuple[ForeignKey, ...] = ()
     rules: tuple[Rule, ...] = ()
