@@ -336,13 +336,15 @@ def judge_statements(spark: SparkSession, raw_root: Root | dict[str, Root], wh:
         branches.append(A.statement_branch(shaped, origin, components=amounts) if len(amounts) == 4
                         else A.statement_branch(shaped, origin, total=amounts[0]))
     header, _ = OB.staged(_union(headers), "headers")
-    rejected = _union(rejects)
+    rejected, _ = OB.staged(_union(rejects), "rejects")
     counts, _ = OB.staged(file_counts(found, header), "files")
     month = lambda spec, name: SK.read_table(spark, spec, wh.path(name)).where(F.col(PERIOD).isin(list(periods)))
     registered = key_side(month(wh.spec(TB.INSTITUTION_MONTH), "institution_month"))
-    in_scope, missing = A.month_scope(A.unify_sources(branches), registered)
+    in_scope, _ = A.month_scope(A.unify_sources(branches), registered)
     res = OB.check_and_stage(M.auto_map(in_scope, wh.spec(TB.STATEMENT)), wh.spec(TB.STATEMENT),
                              {"institution_month": registered, "account_month": month(TB.ACCOUNT_MONTH, "account_month")})
+    # what is registered and not in the staged batch is in no file: the lines are not parsed again
+    _, missing = A.month_scope(res.marked, registered)
     in_period = header.withColumn(PERIOD, TX.file_period())
     rules = [OB.results_by(res, PERIOD, wh.spec(TB.STATEMENT)),
              _bad_by(completeness(registered, counts, raws), ~F.col("passed"), "statement_files", "scope", "ins_id,eerr_origen"),
